@@ -2,12 +2,14 @@
 
 Each rule votes good (1) or bad (-1) or abstains (0). The votes of all documents are counted by pattern, of which there
 are at most ``3 ** len(RULES)`` whatever the corpus holds. Expectation-maximisation over that table estimates how many
-documents are good and how often each rule says good of good and of bad documents, from the rules' agreement alone. A
-document's posterior probability of being good then replaces a filter that all rules must pass.
+documents are good, how many are bad in each of a few ways, and how often each rule says good of each of these, from
+the rules' agreement alone. A document's posterior probability of being good then replaces a filter that all rules must
+pass.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,20 +18,23 @@ from pyspark.sql import functions as F
 from .common import checkpointed, written
 
 SPACE = "[\\x20\\x09-\\x0D]+"
-#: Name, condition for a bad vote, condition for a good vote; over the columns of ``measured``. First match counts.
+#: Ways of being bad; a rule names the one that it is after.
+WAYS = ["marks", "repetition", "form"]
+#: Name, way, condition for a bad vote, condition for a good vote, over the columns of ``measured``; the first counts.
 RULES = [
-    ("length", "n_words < 20", "n_words >= 80"),
-    ("symbols", "n_symbols * 10 > n_words", "n_symbols * 50 <= n_words"),
-    ("lines", "n_dup_lines * 5 > n_lines", "n_dup_lines = 0"),
-    ("repeats", "n_repeat_words * 5 > n_words", "n_repeat_words * 12 <= n_words"),
-    ("word_length", "word_chars < 2 * n_words or word_chars > 12 * n_words", "word_chars between 3 * n_words and 9 * n_words"),
-    ("variety", "n_distinct * 5 < n_words", "n_distinct * 3 >= n_words"),
-    ("plain", "n_plain * 10 < 7 * n_words", "n_plain * 10 >= 9 * n_words"),
-    ("sentences", "n_stops * 60 < n_words", "n_stops * 30 >= n_words and n_stops * 3 <= n_words"),
+    ("length", "form", "n_words < 20", "n_words >= 80"),
+    ("sentences", "form", "n_stops * 60 < n_words", "n_stops * 30 >= n_words and n_stops * 3 <= n_words"),
+    ("symbols", "marks", "n_symbols * 10 > n_words", "n_symbols * 50 <= n_words"),
+    ("plain", "marks", "n_plain * 10 < 7 * n_words", "n_plain * 10 >= 9 * n_words"),
+    ("word_length", "marks", "word_chars < 2 * n_words or word_chars > 12 * n_words", "word_chars between 3 * n_words and 9 * n_words"),
+    ("lines", "repetition", "n_dup_lines * 5 > n_lines", "n_dup_lines = 0"),
+    ("repeats", "repetition", "n_repeat_words * 10 > 3 * n_words", "n_repeat_words * 12 <= n_words"),
+    ("variety", "repetition", "n_distinct * 5 < n_words", "n_distinct * 3 >= n_words"),
 ]
-ROUNDS = 25
-#: Weak supervision takes every rule to be better than chance: bounds of its chance to say good of good and of bad.
-OF_GOOD, OF_BAD = 0.9, 0.6
+ROUNDS = 12
+#: Weak supervision takes every rule to be better than chance: the least chance to say good of a good document, the
+#: greatest to say so of one that is bad in the rule's way, and the range for other ways.
+OF_GOOD, OF_BAD, OF_OTHER = 0.9, 0.6, (0.3, 0.98)
 KEPT_FROM = 0.5
 PREFIX = "__quality_"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_distinct", "n_stops", "n_plain"]
@@ -80,7 +85,7 @@ def measured(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame
 def voted(rows: DataFrame, prefix: str = "") -> DataFrame:
     """``rows`` with a vote of each rule."""
     named = lambda sql: reduce(lambda s, m: s.replace(m, f"`{prefix}{m}`"), MEASURES, sql) if prefix else sql
-    votes = {f"{prefix}vote_{name}": F.expr(f"case when {named(bad)} then -1 when {named(good)} then 1 else 0 end") for name, bad, good in RULES}
+    votes = {f"{prefix}vote_{name}": F.expr(f"case when {named(bad)} then -1 when {named(good)} then 1 else 0 end") for name, _, bad, good in RULES}
     return rows.withColumns(votes)
 
 
@@ -89,36 +94,50 @@ def base_failed(prefix: str = "") -> Column:
     return (n < 50) | (100 * repeated > 50 * n)
 
 
-def posterior(share: float, says: list[tuple[float, float]], prefix: str = "") -> Column:
-    """Probability of good, from the share of good documents and each rule's chance to say good of good and of bad."""
-    log = F.log(F.lit(share)) - F.log(F.lit(1 - share))
-    for (name, _, _), (of_good, of_bad) in zip(RULES, says, strict=True):
-        vote = F.col(f"{prefix}vote_{name}")
-        log += F.when(vote > 0, F.log(F.lit(of_good / of_bad))).when(vote < 0, F.log(F.lit((1 - of_good) / (1 - of_bad)))).otherwise(0.0)
-    return 1 / (1 + F.exp(-log))
+def start() -> tuple[list[float], list[list[float]]]:
+    """Shares of good documents and of each way of being bad, and for these each rule's chance to say good."""
+    says = [[0.95] * len(RULES)] + [[0.3 if way == own else 0.85 for _, own, _, _ in RULES] for way in WAYS]
+    return [0.85] + [0.15 / len(WAYS)] * len(WAYS), says
 
 
-def estimated(votes: DataFrame, rounds: int = ROUNDS, prefix: str = "") -> tuple[float, list[tuple[float, float]]]:
-    """Share of good documents and the rules' chances, by expectation-maximisation over the patterns of votes.
+def posteriors(shares: list[float], says: list[list[float]], prefix: str = "") -> list[Column]:
+    """Probability of good and of each way of being bad."""
+    logs = []
+    for share, chances in zip(shares, says, strict=True):
+        log = F.lit(math.log(share))
+        for (name, *_), good in zip(RULES, chances, strict=True):
+            vote = F.col(f"{prefix}vote_{name}")
+            log += F.when(vote > 0, F.lit(math.log(good))).when(vote < 0, F.lit(math.log(1 - good))).otherwise(0.0)
+        logs.append(log)
+    return [1 / reduce(lambda a, b: a + b, (F.exp(F.least(x - log, F.lit(500.0))) for x in logs)) for log in logs]
+
+
+def estimated(votes: DataFrame, rounds: int = ROUNDS, prefix: str = "") -> tuple[list[float], list[list[float]]]:
+    """Shares and chances as of ``start``, by expectation-maximisation over the patterns of votes.
 
     Of no documents, the start is returned.
     """
-    columns = [f"{prefix}vote_{name}" for name, _, _ in RULES]
+    columns, n = [f"{prefix}vote_{name}" for name, *_ in RULES], F.col(f"{prefix}n")
     patterns = checkpointed(votes.groupBy(*columns).agg(F.count("*").alias(f"{prefix}n")).coalesce(1))
-    share, says = 0.9, [(0.95, 0.4)] * len(RULES)
-    n = F.col(f"{prefix}n")
+    shares, says = start()
     for _ in range(rounds):
-        good = posterior(share, says, prefix)
-        sums = [F.sum(n).alias("all"), F.sum(n * good).alias("good")]
-        for k, c in enumerate(columns):
-            cast, yes = F.col(c) != 0, F.col(c) > 0
-            sums += [F.sum(F.when(cast, n * good)).alias(f"g{k}"), F.sum(F.when(yes, n * good)).alias(f"gy{k}"), F.sum(F.when(cast, n * (1 - good))).alias(f"b{k}"), F.sum(F.when(yes, n * (1 - good))).alias(f"by{k}")]
-        r = {k: v or 0.0 for k, v in patterns.agg(*sums).first().asDict().items()}
-        if not r["all"]:
+        named = {f"{prefix}p{c}": p for c, p in enumerate(posteriors(shares, says, prefix))}
+        sums = []
+        for c, p in enumerate(named):
+            weight = n * F.col(p)
+            sums.append(F.sum(weight).alias(f"all{c}"))
+            for k, vote in enumerate(columns):
+                sums += [F.sum(F.when(F.col(vote) != 0, weight)).alias(f"cast{c}_{k}"), F.sum(F.when(F.col(vote) > 0, weight)).alias(f"good{c}_{k}")]
+        r = {k: v or 0.0 for k, v in patterns.withColumns(named).agg(*sums).first().asDict().items()}
+        total = sum(r[f"all{c}"] for c in range(len(shares)))
+        if not total:
             break
-        share = (r["good"] + 1) / (r["all"] + 2)
-        says = [(max(OF_GOOD, (r[f"gy{k}"] + 4) / (r[f"g{k}"] + 5)), min(OF_BAD, (r[f"by{k}"] + 1) / (r[f"b{k}"] + 5))) for k in range(len(RULES))]
-    return share, says
+        shares = [(r[f"all{c}"] + 1) / (total + len(shares)) for c in range(len(shares))]
+        for c in range(len(shares)):
+            for k, (_, way, _, _) in enumerate(RULES):
+                low, high = (OF_GOOD, 0.9999) if not c else (0.0001, OF_BAD) if way == WAYS[c - 1] else OF_OTHER
+                says[c][k] = min(high, max(low, (r[f"good{c}_{k}"] + 1) / (r[f"cast{c}_{k}"] + 2)))
+    return shares, says
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -129,13 +148,13 @@ def quality(docs: DataFrame) -> DataFrame:
     """
     rows = written(measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text"), "quality")
     votes = voted(rows)
-    share, says = estimated(votes)
-    scored = votes.withColumn("posterior", posterior(share, says)).withColumn("base_failed", base_failed())
+    shares, says = estimated(votes)
+    scored = votes.withColumn("posterior", posteriors(shares, says)[0]).withColumn("base_failed", base_failed())
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("posterior") >= KEPT_FROM)).alias("kept"), "posterior")
 
 
 def good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
     votes = voted(measured(docs, prefix=PREFIX), PREFIX)
-    share, says = estimated(votes.drop("text"), prefix=PREFIX)
-    return votes.where(~base_failed(PREFIX) & (posterior(share, says, PREFIX) >= KEPT_FROM)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    shares, says = estimated(votes, prefix=PREFIX)
+    return votes.where(~base_failed(PREFIX) & (posteriors(shares, says, PREFIX)[0] >= KEPT_FROM)).select(*[F.col(f"`{c}`") for c in docs.columns])
