@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import over_blocks, remainder, whole
 
 #: Rows of each class that the models are counted on, and that the curve is fitted on: the bound of the sample.
-COUNT_ROWS, CURVE_ROWS = 3000, 1500
+COUNT_ROWS, CURVE_ROWS = 1600, 800
 #: Rows with this remainder of crc32(doc_id) by 4 are never learned from.
 HELD_OUT = (4, 2)
 THRESHOLD = 0.3
@@ -63,24 +63,27 @@ def before(words: np.ndarray, sizes: np.ndarray, start) -> np.ndarray:
     return history
 
 
-def grams(words: list[bytes]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
-    """For each order of letter n-grams, hashes of context and of context with letter at every letter of all words; the
-    word's place of every letter. Words are bytes with an end mark; contexts reach no further than the word's start."""
+def letters(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The letters of all words with an end mark behind each, and the word's place of every letter."""
     sizes = np.array([len(w) + 1 for w in words], np.int64)
-    letter = np.frombuffer(b"".join(w + b"\n" for w in words), np.uint8).astype(np.uint64) + np.uint64(1)
-    offset = np.arange(len(letter)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out, context = [], np.full(len(letter), 0x9E3779B97F4A7C15, np.uint64)
+    return np.frombuffer(b"".join(w + b"\n" for w in words), np.uint8), np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+
+
+def grams(letter: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order of letter n-grams, hashes of the context and of context with letter, at every letter. Contexts
+    reach no further than the word's start, which they see."""
+    letter = letter.astype(np.uint64) + np.uint64(1)
+    context = np.full(len(letter), 0x9E3779B97F4A7C15, np.uint64)
     for order in range(1, LETTERS + 1):
         if order > 1:
             back = order - 1
-            far = np.zeros(len(letter), np.uint64)
-            far[back:] = letter[:-back]
-            far[offset < back] = 300
+            far = np.full(len(letter), 300, np.uint64)
+            same = owner[back:] == owner[:-back]
+            far[back:][same] = letter[:-back][same]
             context = (context ^ far) * np.uint64(0xFF51AFD7ED558CCD)
             context ^= context >> np.uint64(29)
         gram = (context ^ (letter << np.uint64(48))) * np.uint64(0xC4CEB9FE1A85EC53)
-        out.append((context + np.uint64(order), gram ^ gram >> np.uint64(31)))
-    return out, np.repeat(np.arange(len(words)), sizes)
+        yield context + np.uint64(order), gram ^ gram >> np.uint64(31)
 
 
 class Table:
@@ -119,22 +122,22 @@ class Model:
         seen = (counts > 0).astype(float)
         words = Table(word, seen)
         weights = words(hashed(vocabulary))  # a word is spelled as often as it has different words before it
-        letters = []
-        at, owner = grams(vocabulary)
-        for order, (context, gram) in enumerate(at, 1):
+        tables = []
+        letter, owner = letters(vocabulary)
+        for order, (context, gram) in enumerate(grams(letter, owner), 1):
             sums = weights[:, owner]
             if order <= SHARED_LETTERS:
                 sums = np.broadcast_to(sums.sum(axis=0), sums.shape)
             table = Table(gram, sums)
             _, first = np.unique(gram, return_index=True)
-            letters.append((table, Table(context, sums), Table(context[first], (table.sums > 0).astype(float))))
-        return cls(Table(mixed(history, word), counts), (Table(history, counts), Table(history, seen)), words, (words.sums.sum(axis=1), (words.sums > 0).sum(axis=1)), letters, np.zeros(4))
+            tables.append((table, Table(context, sums), Table(context[first], (table.sums > 0).astype(float))))
+        return cls(Table(mixed(history, word), counts), (Table(history, counts), Table(history, seen)), words, (words.sums.sum(axis=1), (words.sums > 0).sum(axis=1)), tables, np.zeros(4))
 
     def spelled(self, vocabulary: list[bytes]) -> np.ndarray:
         """Probability of each word's spelling in each class, as logarithms."""
-        at, owner = grams(vocabulary)
+        letter, owner = letters(vocabulary)
         p = np.full((2, len(owner)), 1 / 257)
-        for (table, totals, kinds), (context, gram) in zip(self.letters, at, strict=True):
+        for (table, totals, kinds), (context, gram) in zip(self.letters, grams(letter, owner), strict=True):
             p = interpolated(table(gram), totals(context), kinds(context), p)
         return np.stack([np.bincount(owner, np.log(row), len(vocabulary)) for row in p])
 
