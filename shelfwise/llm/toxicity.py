@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,13 +92,13 @@ class Table:
 
     def __init__(self, keys: np.ndarray, sums: np.ndarray):
         self.keys, inverse = np.unique(keys, return_inverse=True)
-        self.sums = np.stack([np.bincount(inverse, row, len(self.keys)) for row in sums])
+        self.sums = np.stack([np.bincount(inverse, row, len(self.keys)) for row in sums]).astype(np.float32)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.zeros((2, len(keys)))
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.sums[:, at] * (self.keys[at] == keys)
+        return self.sums[:, at].astype(float) * (self.keys[at] == keys)
 
 
 def interpolated(count: np.ndarray, total: np.ndarray, kinds: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -107,14 +108,13 @@ def interpolated(count: np.ndarray, total: np.ndarray, kinds: np.ndarray, lower:
 
 @dataclass
 class Model:
-    """Counts of both classes (toxic is row 0) and the weights of the curve."""
+    """Counts of both classes; toxic is row 0."""
 
     bigrams: Table
     histories: tuple[Table, Table]  # tokens and distinct words behind a history
     words: Table  # continuation counts
     totals: tuple[np.ndarray, np.ndarray]  # of all continuation counts; of distinct words
     letters: list[tuple[Table, Table, Table]]  # by order: n-grams, their contexts' tokens, their contexts' kinds
-    weights: np.ndarray
 
     @classmethod
     def counted(cls, vocabulary: list[bytes], history: np.ndarray, word: np.ndarray, counts: np.ndarray) -> Model:
@@ -131,7 +131,7 @@ class Model:
             table = Table(gram, sums)
             _, first = np.unique(gram, return_index=True)
             tables.append((table, Table(context, sums), Table(context[first], (table.sums > 0).astype(float))))
-        return cls(Table(mixed(history, word), counts), (Table(history, counts), Table(history, seen)), words, (words.sums.sum(axis=1), (words.sums > 0).sum(axis=1)), tables, np.zeros(4))
+        return cls(Table(mixed(history, word), counts), (Table(history, counts), Table(history, seen)), words, (words.sums.sum(axis=1), (words.sums > 0).sum(axis=1)), tables)
 
     def spelled(self, vocabulary: list[bytes]) -> np.ndarray:
         """Probability of each word's spelling in each class, as logarithms."""
@@ -163,10 +163,18 @@ class Model:
         starts = np.cumsum(sizes) - sizes
         return np.stack([np.add.reduceat(ratio, starts) / sizes, single[order][starts], np.add.reduceat(best, starts) / np.minimum(sizes, STRONGEST)], axis=1)
 
+
+@dataclass
+class Scorer:
+    """A model, sent to the executors once, and the weights of its curve."""
+
+    model: Broadcast
+    weights: np.ndarray
+
     def probability(self, texts: list[str]) -> np.ndarray:
         if not texts:
             return np.empty(0)
-        return 1 / (1 + np.exp(-np.clip(self.weights[0] + self.evidence(texts) @ self.weights[1:], -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.weights[0] + self.model.value.evidence(texts) @ self.weights[1:], -30, 30)))
 
 
 def mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -188,7 +196,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_rows: int = CURVE_ROWS) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_rows: int = CURVE_ROWS) -> Scorer | None:
     """The model of ``labels.toxic``, learned from at most ``count_rows + curve_rows`` labelled rows of each class.
 
     The sample is of the rows with the smallest hash of their id. Null labels and null ids are no labels; of several
@@ -226,6 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_
     hashes = np.append(hashed(words), np.uint64(START))
     model = Model.counted(words, hashes[history], hashes[coded.indices.to_numpy()], np.stack([table[k].to_numpy().astype(float) for k in ("toxic", "ordinary")]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    del table, coded, words, history, hashes, model
 
     def judge(block: pa.Table) -> Iterator[pa.RecordBatch]:
         x = shared.value.evidence(block["text"].to_pylist())
@@ -236,15 +245,13 @@ def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_
     order = np.lexsort([seen[k].to_numpy() for k in "abc"] + [y])
     x, y = np.stack([seen[k].to_numpy() for k in "abc"], axis=1)[order], y[order]
     weight = np.where(y == 1, share.get(1, 0) / max(y.sum(), 1), share.get(0, 0) / max((1 - y).sum(), 1))
-    model.weights = fit_curve(x, y, weight / max(weight.mean(), 1e-9)) if len(y) else np.zeros(4)
-    return model
+    return Scorer(shared, fit_curve(x, y, weight / max(weight.mean(), 1e-9)) if len(y) else np.zeros(4))
 
 
-def probability(docs: DataFrame, model: Model | None, text: str = "text") -> Column:
+def probability(docs: DataFrame, scorer: Scorer | None, text: str = "text") -> Column:
     """The toxicity of a text column, 0 to 1; 0 for all if there is no model. A null text counts as empty."""
-    if model is None:
+    if scorer is None:
         return F.lit(0.0)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
@@ -253,7 +260,7 @@ def probability(docs: DataFrame, model: Model | None, text: str = "text") -> Col
         for k, one in enumerate(whole_texts):
             size += len(one)
             if size >= 8 << 20 or k == len(whole_texts) - 1:
-                values.append(shared.value.probability(whole_texts[at : k + 1]))
+                values.append(scorer.probability(whole_texts[at : k + 1]))
                 at, size = k + 1, 0
         return pd.Series(np.concatenate(values) if values else np.empty(0))
 
