@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, pii, quality_rules, toxicity, wavelet
+from . import bpe, jaccard, packing, pii, quality_rules, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
 
