@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard, packing, pii, quality_rules, toxicity, wavelet
+from . import bpe, embeddings, jaccard, packing, pii, quality_rules, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read(wavelet.write(table(spark, sf_dir, "documents")))
 
