@@ -62,11 +62,17 @@ def repeat_words(words: Column) -> Column:
     return let(grams, lambda g: F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0)).otherwise(slow(g)))
 
 
+def once(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``rows`` with these columns, worked out once a row: conditions on them aren't moved below and repeated."""
+    return rows.select("*", F.inline(F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))))
+
+
 def measured(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with the measures behind its columns; a null text has no words."""
     body = F.coalesce(F.col(text), F.lit(""))
     w, lines = f"{PREFIX}words", f"{PREFIX}all_lines"
-    split = docs.withColumn(w, F.array_remove(F.split(body, SPACE), "")).withColumn(lines, F.filter(F.split(body, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
+    parts = {w: F.array_remove(F.split(body, SPACE), ""), lines: F.filter(F.split(body, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))}
+    split = once(docs, parts)
     words, kept_lines = F.col(w), F.col(lines)
     measures = {
         "n_words": F.size(words),
@@ -79,14 +85,14 @@ def measured(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame
         "n_stops": F.length(body) - F.length(F.regexp_replace(body, "[.!?]", "")),
         "n_plain": F.size(F.filter(words, lambda x: x.rlike("^\\p{L}+[.,;:!?]?$"))),
     }
-    return split.withColumns({f"{prefix}{name}": value.cast("long") for name, value in measures.items()}).drop(w, lines)
+    return once(split, {f"{prefix}{name}": value.cast("long") for name, value in measures.items()}).drop(w, lines)
 
 
 def voted(rows: DataFrame, prefix: str = "") -> DataFrame:
-    """``rows`` with a vote of each rule."""
+    """``rows`` with the array ``votes``, a vote of each rule."""
     named = lambda sql: reduce(lambda s, m: s.replace(m, f"`{prefix}{m}`"), MEASURES, sql) if prefix else sql
-    votes = {f"{prefix}vote_{name}": F.expr(f"case when {named(bad)} then -1 when {named(good)} then 1 else 0 end") for name, _, bad, good in RULES}
-    return rows.withColumns(votes)
+    votes = [F.expr(f"case when {named(bad)} then -1 when {named(good)} then 1 else 0 end") for _, _, bad, good in RULES]
+    return rows.withColumn(f"{prefix}votes", F.array(*votes))
 
 
 def base_failed(prefix: str = "") -> Column:
@@ -100,16 +106,18 @@ def start() -> tuple[list[float], list[list[float]]]:
     return [0.85] + [0.15 / len(WAYS)] * len(WAYS), says
 
 
-def posteriors(shares: list[float], says: list[list[float]], prefix: str = "") -> list[Column]:
-    """Probability of good and of each way of being bad."""
-    logs = []
-    for share, chances in zip(shares, says, strict=True):
-        log = F.lit(math.log(share))
-        for (name, *_), good in zip(RULES, chances, strict=True):
-            vote = F.col(f"{prefix}vote_{name}")
-            log += F.when(vote > 0, F.lit(math.log(good))).when(vote < 0, F.lit(math.log(1 - good))).otherwise(0.0)
-        logs.append(log)
-    return [1 / reduce(lambda a, b: a + b, (F.exp(F.least(x - log, F.lit(500.0))) for x in logs)) for log in logs]
+def posteriors(shares: list[float], says: list[list[float]], prefix: str = "") -> Column:
+    """Array of the probabilities of good and of each way of being bad."""
+    table = lambda f: F.array(*[F.array(*[F.lit(f(x)) for x in chances]) for chances in says])
+    good, bad = table(math.log), table(lambda x: math.log(1 - x))
+
+    def log(share: Column, c: Column) -> Column:
+        each = F.transform(F.col(f"{prefix}votes"), lambda v, k: F.when(v > 0, F.get(F.get(good, c), k)).when(v < 0, F.get(F.get(bad, c), k)).otherwise(0.0))
+        return F.aggregate(each, share, lambda a, x: a + x)
+
+    logs = F.transform(F.array(*[F.lit(math.log(x)) for x in shares]), log)
+    odds = lambda x, all_logs: 1 / F.aggregate(all_logs, F.lit(0.0), lambda a, y: a + F.exp(F.least(y - x, F.lit(500.0))))
+    return let(logs, lambda all_logs: F.transform(all_logs, lambda x: odds(x, all_logs)))
 
 
 def estimated(votes: DataFrame, rounds: int = ROUNDS, prefix: str = "") -> tuple[list[float], list[list[float]]]:
@@ -117,26 +125,21 @@ def estimated(votes: DataFrame, rounds: int = ROUNDS, prefix: str = "") -> tuple
 
     Of no documents, the start is returned.
     """
-    columns, n = [f"{prefix}vote_{name}" for name, *_ in RULES], F.col(f"{prefix}n")
-    patterns = checkpointed(votes.groupBy(*columns).agg(F.count("*").alias(f"{prefix}n")).coalesce(1))
+    patterns = checkpointed(votes.groupBy(F.col(f"{prefix}votes").alias("votes")).agg(F.count("*").alias("n")).coalesce(1))
     shares, says = start()
     for _ in range(rounds):
-        named = {f"{prefix}p{c}": p for c, p in enumerate(posteriors(shares, says, prefix))}
-        sums = []
-        for c, p in enumerate(named):
-            weight = n * F.col(p)
-            sums.append(F.sum(weight).alias(f"all{c}"))
-            for k, vote in enumerate(columns):
-                sums += [F.sum(F.when(F.col(vote) != 0, weight)).alias(f"cast{c}_{k}"), F.sum(F.when(F.col(vote) > 0, weight)).alias(f"good{c}_{k}")]
-        r = {k: v or 0.0 for k, v in patterns.withColumns(named).agg(*sums).first().asDict().items()}
-        total = sum(r[f"all{c}"] for c in range(len(shares)))
-        if not total:
+        by_class = patterns.select("n", "votes", F.posexplode(posteriors(shares, says)).alias("c", "p"))
+        by_rule = by_class.select("c", (F.col("n") * F.col("p")).alias("w"), F.posexplode("votes").alias("k", "v"))
+        sums = by_rule.groupBy("c", "k").agg(F.sum("w").alias("all"), F.sum(F.when(F.col("v") != 0, F.col("w")).otherwise(0.0)).alias("cast"), F.sum(F.when(F.col("v") > 0, F.col("w")).otherwise(0.0)).alias("good"))
+        r = {(x["c"], x["k"]): x for x in sums.collect()}
+        if not r:
             break
-        shares = [(r[f"all{c}"] + 1) / (total + len(shares)) for c in range(len(shares))]
+        total = sum(r[c, 0]["all"] for c in range(len(shares)))
+        shares = [(r[c, 0]["all"] + 1) / (total + len(shares)) for c in range(len(shares))]
         for c in range(len(shares)):
             for k, (_, way, _, _) in enumerate(RULES):
                 low, high = (OF_GOOD, 0.9999) if not c else (0.0001, OF_BAD) if way == WAYS[c - 1] else OF_OTHER
-                says[c][k] = min(high, max(low, (r[f"good{c}_{k}"] + 1) / (r[f"cast{c}_{k}"] + 2)))
+                says[c][k] = min(high, max(low, (r[c, k]["good"] + 1) / (r[c, k]["cast"] + 2)))
     return shares, says
 
 
