@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embeddings, jaccard, packing, pii, quality_rules, toxicity, wavelet
+from . import bpe, embeddings, jaccard, packing, pii, quality_classifier, quality_rules, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
 
+def op7_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.scored(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
