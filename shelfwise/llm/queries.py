@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embeddings, jaccard, packing, pii, quality_classifier, quality_rules, toxicity, wavelet
+from . import bpe, embeddings, jaccard, katz, packing, pii, quality_classifier, quality_rules, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.scores(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
