@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import over_blocks, remainder, whole
 
 #: Rows of each class that the models are counted on, and that the curve is fitted on: the bound of the sample.
-COUNT_ROWS, CURVE_ROWS = 1600, 800
+COUNT_ROWS, CURVE_ROWS = 1000, 500
 #: Rows with this remainder of crc32(doc_id) by 4 are never learned from.
 HELD_OUT = (4, 2)
 THRESHOLD = 0.3
