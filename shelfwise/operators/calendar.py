@@ -1,0 +1,117 @@
+"""Calendars: report windows, weeks, complete periods, and the bridge from weeks to reported periods."""
+
+from __future__ import annotations
+
+import datetime as dt
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+PERIODS = ("annual", "half", "quarter", "month", "week", "ytd")
+
+
+def sunday(day: dt.date) -> dt.date:
+    """The Sunday that a day's week starts on."""
+    return day - dt.timedelta(days=(day.weekday() + 1) % 7)
+
+
+def report_window(as_of: dt.date, run_min: dt.date | None = None, latest_day: bool = False) -> tuple[dt.date, dt.date]:
+    """From the Sunday of the first week (of ``run_min``, else of January 1) to the last complete Saturday, or to
+    ``as_of`` itself."""
+    first = sunday(run_min or dt.date(as_of.year, 1, 1))
+    last = as_of if latest_day else as_of if as_of.weekday() == 5 else sunday(as_of) - dt.timedelta(days=1)
+    if last < first:
+        raise ValueError(f"the report ends on {last}, before it starts on {first}")
+    return first, last
+
+
+def checked(calendar: DataFrame, start: str, end: str) -> DataFrame:
+    """The calendar, if it has every date of the window once; else an error."""
+    days = (dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).days + 1
+    found = calendar.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))).agg(F.count_distinct("date").alias("n"), F.count("*").alias("rows")).first()
+    if found["n"] != days or found["rows"] != days:
+        raise ValueError(f"the calendar has {found['n']} of the {days} dates from {start} to {end}, in {found['rows']} rows")
+    return calendar
+
+
+def number(column: str):
+    """The first run of digits of a label such as M01 or Q1; null without one."""
+    return F.expr(f"try_cast(regexp_extract({column}, '[0-9]+', 0) as int)")
+
+
+def fiscal_weeks(calendar: DataFrame) -> DataFrame:
+    """One row per year and week: its first and last day and number of days, quarter, half and month numbers."""
+    weeks = calendar.groupBy("year", "week").agg(F.min("date").alias("week_start_date"), F.max("date").alias("week_end_date"), F.count("*").alias("week_days"), F.min(number("quarter")).alias("quarter"), F.min(number("month")).alias("month"))
+    half = F.when(F.col("quarter") <= 2, 1).otherwise(2)
+    return weeks.withColumn("half", half).withColumn("year_week", F.format_string("%d-W%02d", "year", "week"))
+
+
+def civil_weeks(days: DataFrame) -> DataFrame:
+    """Weeks of civil years: a week over January 1 is two; a week's month is that of its first day. ``days`` has date
+    and week."""
+    dated = days.select("date", "week", F.year("date").alias("year"))
+    weeks = dated.groupBy("year", "week").agg(F.min("date").alias("week_start_date"), F.max("date").alias("week_end_date"), F.count_distinct("date").alias("week_days"))
+    month = F.month("week_start_date")
+    return weeks.withColumns({"month": month, "quarter": F.ceil(month / 3).cast("int"), "half": F.when(month <= 6, 1).otherwise(2)})
+
+
+def complete_periods(weeks: DataFrame, start: str, end: str) -> DataFrame:
+    """Years, halves, quarters and months, with whether all of their days, by the unclipped calendar, are in the window."""
+    def of(kind: str, column: str | None) -> DataFrame:
+        keys = ["year", *([column] if column else [])]
+        spans = weeks.groupBy(*keys).agg(F.min("week_start_date").alias("first_day"), F.max("week_end_date").alias("last_day"))
+        return spans.select(F.lit(kind).alias("period_type"), "year", (F.col(column) if column else F.lit(0)).cast("int").alias("number"), "first_day", "last_day")
+
+    spans = reduce(DataFrame.unionByName, [of("annual", None), of("half", "half"), of("quarter", "quarter"), of("month", "month")])
+    return spans.withColumn("is_complete", (F.col("first_day") >= F.lit(start).cast("date")) & (F.col("last_day") <= F.lit(end).cast("date")))
+
+
+def ytd_months(weeks: DataFrame, start: str, end: str) -> DataFrame:
+    """Month numbers that are complete in the latest year of the window; year-to-date takes them of every year."""
+    months = complete_periods(weeks, start, end).where("period_type = 'month'")
+    latest = weeks.where(F.col("week_start_date") <= F.lit(end).cast("date")).agg(F.max("year").alias("latest"))
+    return months.join(F.broadcast(latest), F.col("year") == F.col("latest")).where("is_complete").select(F.col("number").alias("month"))
+
+
+def within(weeks: DataFrame, start: str, end: str) -> DataFrame:
+    """The weeks that overlap the window."""
+    return weeks.where((F.col("week_end_date") >= F.lit(start).cast("date")) & (F.col("week_start_date") <= F.lit(end).cast("date")))
+
+
+def period_bridge(weeks: DataFrame, start: str, end: str, kinds=PERIODS) -> DataFrame:
+    """``year``, ``week`` to ``period_type`` and ``period``: annual and week for all weeks of the window, the others for
+    complete ones, year-to-date for the months that the latest year has complete. At most one row per kind and week."""
+    inside = within(weeks, start, end)
+    complete = F.broadcast(complete_periods(weeks, start, end).where("is_complete"))
+    label = {"half": "%d-H%d", "quarter": "%d-Q%d", "month": "%d-%02d"}
+    parts = []
+    for kind in kinds:
+        if kind == "annual":
+            part = inside.select("year", "week", F.col("year").cast("string").alias("period"))
+        elif kind == "week":
+            part = inside.select("year", "week", F.col("year_week").alias("period"))
+        elif kind == "ytd":
+            part = inside.join(F.broadcast(ytd_months(weeks, start, end)), "month").select("year", "week", F.format_string("YTD-%d", "year").alias("period"))
+        else:
+            found = complete.where(F.col("period_type") == kind).select("year", F.col("number").alias(kind))
+            part = inside.join(found, ["year", kind]).select("year", "week", F.format_string(label[kind], "year", kind).alias("period"))
+        parts.append(part.withColumn("period_type", F.lit(kind)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def day_calendar(calendar: DataFrame, end: str) -> DataFrame:
+    """For a report that ends on any day: every date with its day number in the year, and the last day number of its
+    part of the week: the week of the end's day number is split in two there, in every year."""
+    dated = calendar.withColumn("day_index", F.row_number().over(Window.partitionBy("year").orderBy("date")))
+    cut = F.broadcast(dated.where(F.col("date") == F.lit(end).cast("date")).select(F.col("day_index").alias("cut")))
+    part = Window.partitionBy("year", "week", F.col("day_index") <= F.col("cut"))
+    return dated.join(cut).withColumn("last_day_index", F.max("day_index").over(part)).select("date", "year", "week", "day_index", "last_day_index", "cut")
+
+
+def ytd_days(calendar: DataFrame, start: str, end: str) -> DataFrame:
+    """The days 1 to K of every year that has them all in the window; K is the day number of the end."""
+    days = day_calendar(calendar, end).where("day_index <= cut")
+    inside = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    years = days.groupBy("year").agg(F.count("*").alias("n"), F.sum(inside.cast("int")).alias("inside"), F.max("cut").alias("k")).where("n = k and inside = k")
+    return days.join(F.broadcast(years.select("year")), "year").select("date", "year", "week", "day_index", F.format_string("YTD-%d", "year").alias("period"))
