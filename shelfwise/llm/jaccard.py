@@ -9,7 +9,11 @@ compared only with its neighbour in each list; what links becomes one component.
 again only if its sets are of different components, and only pairs across components are compared. In that round a list
 is a row of blocks of one size each, in order of position, and a block's entries past the last position that could still
 reach the needed overlap are skipped. Connected components thus come out exactly, and a group of any number of near
-copies costs its size and not its square. Candidates are verified on their whole sets.
+copies costs its size and not its square.
+
+Candidates are first held against parity bitmaps of about a bit per shingle: bits in which two bitmaps differ are at
+least so many shingles in which the sets differ, so what that rules out cannot link. The rest is verified on whole sets,
+for which only their documents' texts are read again.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ WORDS, PERCENT = 4, 85
 #: is broadcast is bounded by it. Any order gives whole results, frequent shingles last only keeps lists short.
 FREQUENT_IN_BLOCK, FREQUENT = 6, 1 << 17
 CHUNK = 200_000
+#: Ids that are sent to every task to pick their documents; more are joined by a shuffle of the texts.
+SENT = 500_000
 
 
 def ceil(a, b):
@@ -72,8 +78,37 @@ def signature(values: np.ndarray) -> tuple[int, int]:
     return int(digest[0]), int(digest[1])
 
 
+def parity(values: np.ndarray) -> bytes:
+    """Bitmap whose bit k is the parity of the set's hashes that are k modulo its size, a power of two of at least 64."""
+    bits = max(64, 1 << (len(values) - 1).bit_length()) if len(values) else 64
+    return np.packbits(np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two bitmaps differ, the larger folded to the size of the smaller."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    folded = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0)
+    return int(np.bitwise_count(folded ^ b).sum())
+
+
+def plausible(pairs: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``x``, ``y``) that their sets' bitmaps do not rule out."""
+    x, y = (named.select(F.col("id").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}")) for k in "xy")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n_x").to_numpy() + batch.column("n_y").to_numpy()
+            most = n - 2 * ceil(percent * n, 100 + percent)
+            gap = np.array([differing(a, b) for a, b in zip(batch.column("bits_x").to_pylist(), batch.column("bits_y").to_pylist(), strict=True)], np.int64)
+            yield batch.select(["x", "y"]).filter(pa.array(gap <= most))
+
+    return pairs.join(x, "x").join(y, "y").mapInArrow(run, "x long, y long")
+
+
 def scanned(docs: DataFrame, words: int) -> DataFrame:
-    """Kind 0: a document with the size and signature of its set. Kind 1: a shingle (in ``a``) that is frequent in a
+    """Kind 0: a document with the size, signature and bitmap of its set. Kind 1: a shingle (in ``a``) that is frequent in a
     block, with the number of documents of the block (in ``n``)."""
 
     def run(block: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -84,9 +119,10 @@ def scanned(docs: DataFrame, words: int) -> DataFrame:
         n, m = len(sets), int(often.sum())
         ids = pa.concat_arrays([block["doc_id"].combine_chunks(), pa.nulls(m, pa.int64())])
         columns = [np.repeat([0, 1], [n, m]), np.concatenate([[len(s) for s in sets], counts[often]]), np.concatenate([signed[:, 0], shingles[often].view(np.int64)]), np.concatenate([signed[:, 1], np.zeros(m, np.int64)])]
-        yield pa.RecordBatch.from_arrays([ids, *(pa.array(c.astype(np.int64)) for c in columns)], names=["doc_id", "kind", "n", "a", "b"])
+        bits = pa.array([parity(s) for s in sets] + [None] * m, pa.binary())
+        yield pa.RecordBatch.from_arrays([ids, *(pa.array(c.astype(np.int64)) for c in columns), bits], names=["doc_id", "kind", "n", "a", "b", "bits"])
 
-    return over_blocks(whole(docs), run, "doc_id long, kind long, n long, a long, b long")
+    return over_blocks(whole(docs), run, "doc_id long, kind long, n long, a long, b long, bits binary")
 
 
 def entries(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
@@ -257,6 +293,22 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("shared") >= percent * (F.col("n_x") + F.col("n_y") - F.col("shared"))).select("x", "y")
 
 
+def linking(docs: DataFrame, pairs: DataFrame, named: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (``x``, ``y``) of documents that link, as a written table."""
+    pairs = written(plausible(pairs, named, percent), "jaccard-pairs")
+    members = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
+    texts = whole(docs).join(F.broadcast(members) if members.count() <= SENT else members, "doc_id")
+
+    def of(block: pa.Table) -> Iterator[pa.RecordBatch]:
+        sets = shingle_sets(block["text"].to_pylist(), words)
+        offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+        values = np.concatenate(sets).view(np.int64)
+        yield pa.RecordBatch.from_arrays([block["doc_id"].combine_chunks(), pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(offsets, values)], names=["id", "n", "shingles"])
+
+    sets = written(over_blocks(texts, of, "id long, n long, shingles array<long>"), "jaccard-sets")
+    return written(verified(pairs, sets, percent).distinct(), "jaccard-links")
+
+
 def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row.
 
@@ -270,32 +322,20 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     index = entries(docs, top["a"].to_numpy().view(np.uint64), words, percent)
     first = written(neighbours(index, percent), "jaccard-lists")
     filled = rows.where("n > 0 and doc_id is not null")
-    named = filled.groupBy("a", "b").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"))
+    named = filled.groupBy("a", "b").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), F.min("bits").alias("bits"))
+    named = written(named, "jaccard-named")
     label = lambda a, b, k: named.select(F.col("a").alias(a), F.col("b").alias(b), F.col("id").alias(k))
     near = first.where("kind = 0").select("a", "b", "c", "d").distinct().join(label("a", "b", "x"), ["a", "b"]).join(label("c", "d", "y"), ["c", "d"])
-    near = written(near.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), "jaccard-pairs")
-    lists = first.where("kind = 1").select("shingle", "a", "b", F.col("c").alias("n"), F.col("d").alias("at"))
-
-    members = near.select(F.explode(F.array("x", "y")).alias("id")).union(lists.select("a", "b").distinct().join(label("a", "b", "id"), ["a", "b"]).select("id")).distinct()
-
-    def of(block: pa.Table) -> Iterator[pa.RecordBatch]:
-        sets = shingle_sets(block["text"].to_pylist(), words)
-        offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-        values = np.concatenate(sets).view(np.int64)
-        yield pa.RecordBatch.from_arrays([block["doc_id"].combine_chunks(), pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(offsets, values)], names=["id", "n", "shingles"])
-
-    texts = whole(docs).join(members.withColumnRenamed("id", "doc_id"), "doc_id").dropDuplicates(["doc_id"])
-    sets = written(over_blocks(texts, of, "id long, n long, shingles array<long>"), "jaccard-sets")
-    links = written(verified(near, sets, percent), "jaccard-links")
+    near = near.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    links = linking(docs, near, named, words, percent)
     linked = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    lists = first.where("kind = 1").select("shingle", "a", "b", F.col("c").alias("n"), F.col("d").alias("at"))
     placed = lists.join(label("a", "b", "id"), ["a", "b"]).join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")).drop("a", "b")
     placed = written(placed, "jaccard-placed")
     mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
-    more = written(across(placed.join(mixed, "shingle", "left_semi"), percent), "jaccard-across")
-    if not more.isEmpty():
-        found = written(verified(more, sets, percent), "jaccard-more")
-        if not found.isEmpty():
-            linked = components(links.union(found).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    found = linking(docs, across(placed.join(mixed, "shingle", "left_semi"), percent), named, words, percent)
+    if not found.isEmpty():
+        linked = components(links.union(found).select(F.col("x").alias("a"), F.col("y").alias("b")))
     copies = named.join(linked.withColumnRenamed("node", "id"), "id", "left").select("a", "b", F.coalesce("component", "id").alias("component"))
     told = rows.join(copies, ["a", "b"], "left")
     return told.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNull() | (F.col("n") == 0), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
