@@ -33,6 +33,8 @@ HELD_OUT = (4, 2)
 THRESHOLD = 0.3
 DISCOUNT = 0.75
 STRONGEST = 4
+#: Words whose probabilities a task remembers; texts that are judged together, in characters.
+REMEMBERED, TOGETHER = 400_000, 2 << 20
 #: Letters of the longest letter n-gram, and of the longest that both classes share.
 LETTERS, SHARED_LETTERS = 6, 3
 START = xxhash.xxh3_64_intdigest(b"\x00start")
@@ -141,12 +143,26 @@ class Model:
             p = interpolated(table(gram), totals(context), kinds(context), p)
         return np.stack([np.bincount(owner, np.log(row), len(vocabulary)) for row in p])
 
+    def singles(self, vocabulary: list[bytes]) -> np.ndarray:
+        """Probability of each word alone in each class; those of words seen before are remembered."""
+        if not hasattr(self, "places") or len(self.places) + len(vocabulary) > REMEMBERED:
+            self.places: dict[bytes, int] = {}
+            self.found = np.empty((2, max(REMEMBERED, len(vocabulary))))
+        places = self.places
+        new = [w for w in vocabulary if w not in places]
+        if new:
+            total, kinds = self.totals
+            hashes, at = hashed(new), len(places)
+            spelled = np.exp(np.maximum(self.spelled(new), -600))
+            self.found[:, at : at + len(new)] = interpolated(self.words(hashes), total[:, None] + np.zeros(len(new)), kinds[:, None], spelled)
+            places.update(zip(new, range(at, at + len(new)), strict=True))
+        return self.found[:, np.fromiter(map(places.__getitem__, vocabulary), np.int64, len(vocabulary))]
+
     def evidence(self, texts: list[str]) -> np.ndarray:
         """Per text the length-normalised log-likelihood ratio: of all of it, of its best word, of its best words."""
         vocabulary, word, sizes = tokens(texts)
         hashes = hashed(vocabulary)
-        total, kinds = self.totals
-        lower = interpolated(self.words(hashes), total[:, None] + np.zeros(len(hashes)), kinds[:, None], np.exp(np.maximum(self.spelled(vocabulary), -600)))
+        lower = self.singles(vocabulary)
         single = np.log(lower[0] / lower[1])[word]
         seen_after = self.histories[0](hashes), self.histories[1](hashes)
         start = np.array([START], np.uint64)
@@ -240,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_
         x = shared.value.evidence(block["text"].to_pylist())
         yield pa.RecordBatch.from_arrays([block["toxic"].combine_chunks(), *(pa.array(x[:, k]) for k in range(3))], names=["toxic", "a", "b", "c"])
 
-    seen = over_blocks(chosen.where("not counted"), judge, "toxic int, a double, b double, c double").toArrow()
+    seen = over_blocks(chosen.where("not counted"), judge, "toxic int, a double, b double, c double", limit=2 * TOGETHER).toArrow()
     y = seen["toxic"].to_numpy().astype(float)
     order = np.lexsort([seen[k].to_numpy() for k in "abc"] + [y])
     x, y = np.stack([seen[k].to_numpy() for k in "abc"], axis=1)[order], y[order]
@@ -259,7 +275,7 @@ def probability(docs: DataFrame, scorer: Scorer | None, text: str = "text") -> C
         whole_texts = texts.fillna("").tolist()
         for k, one in enumerate(whole_texts):
             size += len(one)
-            if size >= 8 << 20 or k == len(whole_texts) - 1:
+            if size >= TOGETHER or k == len(whole_texts) - 1:
                 values.append(scorer.probability(whole_texts[at : k + 1]))
                 at, size = k + 1, 0
         return pd.Series(np.concatenate(values) if values else np.empty(0))
