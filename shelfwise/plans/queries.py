@@ -54,8 +54,7 @@ class Inputs:
 
     def kpis(self, names, kinds=("annual",), roots=None, cuts=(None,), frames=None, **rules) -> DataFrame:
         frames = frames or metrics.Facts(self.scoped())
-        table = metrics.kpi_table(frames, self.slices(roots, cuts), self.periods(kinds), metrics.Rules(tuple(names), **rules), self.products)
-        return shaped(table)
+        return metrics.kpi_table(frames, self.slices(roots, cuts), self.periods(kinds), metrics.Rules(tuple(names), **rules), self.products)
 
 
 def shaped(df: DataFrame) -> DataFrame:
@@ -67,14 +66,20 @@ def shaped(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def query(*sources: str, sql: str):
-    """Registers a query under its function's name, with SQL behind these inputs."""
+def query(*sources: str, sql: str, doubles: str = ""):
+    """Registers a query under its function's name, with SQL behind these inputs; ``doubles`` names the result's columns
+    that both sides give to six decimals."""
 
     def add(f: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
         QUERIES[f.__name__] = lambda spark, sf_dir: shaped(f(Inputs(spark, sf_dir)))
-        SQL[f.__name__] = "with " + ctes(*sources) + "".join(f",\n{SHARED[k].strip()}" for k in SHARED if needed(k, sql)) + "\n" + sql.replace("{START}", f"date '{START}'").replace("{END}", f"date '{END}'").strip()
-        for key, value in (("{START}", f"date '{START}'"), ("{END}", f"date '{END}'")):
-            SQL[f.__name__] = SQL[f.__name__].replace(key, value)
+        body = sql.strip()
+        if doubles:
+            rounded = ", ".join(f'round(cast("{c}" as double), 6) as "{c}"' for c in doubles.split())
+            body = f"select * replace ({rounded}) from ({body})"
+        tables = [ctes(*sources)] if sources else []
+        tables += [SHARED[k].strip() for k in SHARED if needed(k, body)]
+        text = ("with " + ",\n".join(tables) + "\n" if tables else "") + body
+        SQL[f.__name__] = text.replace("{START}", f"date '{START}'").replace("{END}", f"date '{END}'")
         return f
 
     return add
@@ -432,3 +437,212 @@ DC = """(select g.product_id, g.warehouse_id, c.year, c.week, sum(case when coal
 @query("inventory_warehouse", "fiscal_cal", sql=f"select * from {DC}")
 def dc_instock(x):
     return facts.dc_instock(x.inventory_warehouse, x.fiscal_cal, START, END)
+
+
+# Metrics --------------------------------------------------------------------------------------------------------------
+
+SALES = ["total_sales_quantity", "total_sales_revenue", "AUR", "AUC", "total_inventory", "distinct_product_count", "distinct_store_count", "distinct_pair_count"]
+SALES_SQL = """sum(sales_quantity) total_sales_quantity, sum(sales_revenue) total_sales_revenue, sum(sales_revenue) / nullif(sum(sales_quantity), 0) "AUR", sum(sales_cost) / nullif(sum(sales_quantity), 0) "AUC",
+  sum(inventory) total_inventory, count(distinct s.product_id) distinct_product_count, count(distinct store_id) distinct_store_count, count(distinct s.product_id * 100 + store_id) distinct_pair_count"""
+
+
+def _by(measures: str, rows: str = "sd s", slices_: str = "sl", kinds: str = "'annual'", more: str = "") -> str:
+    return f"""select pb.period_type, pb.period, root, dimension, dimension_value, {measures} from {rows} join {slices_} q on q.product_id = s.product_id join pb on pb.year = s.year and pb.week = s.week where pb.period_type in ({kinds}) {more} group by 1, 2, 3, 4, 5"""
+
+
+BASE = ("daily_data", "products", "fiscal_cal")
+ALL_KINDS = "'annual', 'half', 'quarter', 'month', 'week', 'ytd'"
+
+
+@query(*BASE, sql=_by(SALES_SQL), doubles="AUR AUC")
+def annual_sales(x):
+    return x.kpis(SALES)
+
+
+@query(*BASE, sql=_by(SALES_SQL, kinds=ALL_KINDS), doubles="AUR AUC")
+def period_sales(x):
+    return x.kpis(SALES, calendar.PERIODS)
+
+
+@query(*BASE, sql=_by(SALES_SQL, slices_="sl2", kinds=ALL_KINDS), doubles="AUR AUC")
+def roots_cuts(x):
+    return x.kpis(SALES, calendar.PERIODS, ROOTS, (None, "brand"))
+
+
+STOCK_SQL = """select period_type, period, root, dimension, dimension_value, avg(a) mean_stock, avg(b) mean_stock_retail, avg(c) mean_stock_cost from (
+  select pb.period_type, pb.period, root, dimension, dimension_value, date, sum(inventory) a, sum(inventory_retail) b, sum(inventory_cost) c from sd s join {sl} q on q.product_id = s.product_id join pb on pb.year = s.year and pb.week = s.week where pb.period_type in ({kinds}) group by 1, 2, 3, 4, 5, 6) group by 1, 2, 3, 4, 5"""
+
+
+@query(*BASE, sql=STOCK_SQL.replace("{sl}", "sl").replace("{kinds}", ALL_KINDS), doubles="mean_stock mean_stock_retail mean_stock_cost")
+def mean_stock(x):
+    return x.kpis(["mean_stock", "mean_stock_retail", "mean_stock_cost"], calendar.PERIODS)
+
+
+@query(*BASE, sql=f"""select f.period_type, f.period, f.root, f.dimension, f.dimension_value, units total_sales_quantity, mean_stock from ({_by("sum(sales_quantity) units", slices_="sl2")}) f
+  left join ({STOCK_SQL.replace("{sl}", "sl2").replace("{kinds}", "'annual'")}) m on m.period = f.period and m.root = f.root and m.dimension = f.dimension and m.dimension_value = f.dimension_value""", doubles="mean_stock")
+def null_cut_row(x):
+    """A null cut value has the sales family only."""
+    return x.kpis(["total_sales_quantity", "mean_stock"], roots=ROOTS, cuts=(None, "brand"))
+
+
+@query(*BASE, sql=f"""select m.period_type, m.period, m.root, m.dimension, m.dimension_value, units / nullif(mean_stock, 0) inventory_turnover_rate from ({STOCK_SQL.replace("{sl}", "sl").replace("{kinds}", "'annual', 'quarter'")}) m
+  join ({_by("sum(sales_quantity) units", kinds="'annual', 'quarter'")}) u on u.period = m.period and u.period_type = m.period_type""", doubles="inventory_turnover_rate")
+def inventory_turnover(x):
+    return x.kpis(["inventory_turnover_rate"], ("annual", "quarter"))
+
+
+WOS_SQL = """select pb.period_type, pb.period, 'overall' root, 'overall' dimension, 'overall' dimension_value, sum(case when q > 0 then a * week_days / 7.0 end) / nullif(sum(q), 0) "WOS",
+  sum(case when r > 0 then b * week_days / 7.0 end) / nullif(sum(r), 0) wos_revenue, sum(case when k > 0 then c * week_days / 7.0 end) / nullif(sum(k), 0) wos_cost {more} from (
+  select product_id, year, week, max(week_days) week_days, sum(q) q, sum(r) r, sum(k) k, avg(a) a, avg(b) b, avg(c) c from (
+  select product_id, year, week, date, max(week_days) week_days, sum(sales_quantity) q, sum(sales_revenue) r, sum(sales_cost) k, sum(inventory) a, sum(inventory_retail) b, sum(inventory_cost) c from sd group by 1, 2, 3, 4) group by 1, 2, 3) s
+  {join} join pb on pb.year = s.year and pb.week = s.week join products p on p.product_id = s.product_id where pb.period_type in ('annual', 'ytd') group by 1, 2"""
+
+
+@query(*BASE, sql=WOS_SQL.replace("{more}", "").replace("{join}", ""), doubles="WOS wos_revenue wos_cost")
+def wos(x):
+    return x.kpis(["WOS", "wos_revenue", "wos_cost"], ("annual", "ytd"))
+
+
+def _dc_daily(x):
+    days = readers.window(x.inventory_warehouse, "date", START, END).join(F.broadcast(x.fiscal_cal.select("date", "year", "week")), "date")
+    return days.withColumns({"git_quantity": F.lit(0.0), "has_inventory_row": F.lit(True), "is_blocked": F.lit(False)})
+
+
+DC_WEEK = "left join (select product_id, year, week, avg(i) d from (select product_id, c.year, c.week, w.date, sum(inventory) i from inventory_warehouse w join fiscal_cal c on c.date = w.date where w.date between {START} and {END} group by 1, 2, 3, 4) group by 1, 2, 3) d on d.product_id = s.product_id and d.year = s.year and d.week = s.week"
+
+
+@query(*BASE, "inventory_warehouse", sql=WOS_SQL.replace("{join}", DC_WEEK).replace("{more}", """, sum(case when q > 0 then coalesce(d, 0) * week_days / 7.0 end) / nullif(sum(q), 0) "WOS_DC", sum(case when q > 0 then (a + coalesce(d, 0)) * week_days / 7.0 end) / nullif(sum(q), 0) "WOS_TOTAL" """), doubles="WOS wos_revenue wos_cost WOS_DC WOS_TOTAL")
+def wos_dc_total(x):
+    return x.kpis(["WOS", "wos_revenue", "wos_cost", "WOS_DC", "WOS_TOTAL"], ("annual", "ytd"), frames=metrics.Facts(x.scoped(), dc_daily=_dc_daily(x)))
+
+
+@query(*BASE, "inventory_warehouse", sql="""select t.period_type, t.period, t.root, t.dimension, t.dimension_value, dc_mean_stock, total_mean_stock from (
+  select 'annual' period_type, cast(s.year as varchar) period, 'overall' root, 'overall' dimension, 'overall' dimension_value, avg(a + coalesce(i, 0)) total_mean_stock from (select year, date, sum(inventory) a from sd group by 1, 2) s
+  left join (select date, sum(inventory) i from inventory_warehouse where product_id in (select product_id from products) group by 1) w on w.date = s.date group by s.year) t
+  join (select cast(c.year as varchar) period, avg(i) dc_mean_stock from (select date, sum(inventory) i from inventory_warehouse where date between {START} and {END} and product_id in (select product_id from products) group by 1) w join fiscal_cal c on c.date = w.date group by 1) d on d.period = t.period""", doubles="dc_mean_stock total_mean_stock")
+def mean_stock_total(x):
+    return x.kpis(["dc_mean_stock", "total_mean_stock"], frames=metrics.Facts(x.scoped(), dc_daily=_dc_daily(x)))
+
+
+@query(*BASE, "scope", "blocks", sql="""select 'annual' period_type, cast(year as varchar) period, 'overall' root, 'overall' dimension, 'overall' dimension_value, sum(case when not b then sales_quantity end) total_sales_quantity, sum(sales_revenue) total_sales_revenue
+  from (select s.*, i.first_day is not null b from sd s left join iv i on i.product_id = s.product_id and i.location_id = s.store_id and s.date between i.first_day and i.last_day) group by year""")
+def gated_sales(x):
+    days = assortment.flag_blocked(x.usable(), x.intervals())
+    return x.kpis(["total_sales_quantity", "total_sales_revenue"], frames=metrics.Facts(x.scoped(days)), gated=frozenset({"total_sales_quantity"}))
+
+
+@query(*BASE, sql=_by("""sum(sales_quantity) total_sales_quantity""", more="and s.category = 'PROMO'"))
+def population_filter(x):
+    return x.kpis(["total_sales_quantity"], populations={"total_sales_revenue": {"category": ["PROMO"]}})
+
+
+@query(*BASE, "goods_in_transit", sql="""select 'annual' period_type, cast(year as varchar) period, 'overall' root, 'overall' dimension, 'overall' dimension_value, avg(a) mean_stock from (
+  select c.year, date, sum(i + g) a from (select coalesce(d.product_id, t.product_id) product_id, coalesce(d.date, t.date) date, coalesce(inventory, 0) i, coalesce(g, 0) g from (select * from daily_data where usable = 1 and date between {START} and {END}) d
+  full outer join (select product_id, destination_id, date, sum(quantity) g from goods_in_transit where destination_type = 0 and date between {START} and {END} group by 1, 2, 3) t on t.product_id = d.product_id and t.destination_id = d.store_id and t.date = d.date) s
+  join fiscal_cal c using (date) where product_id in (select product_id from products) group by 1, 2) where year in (select year from sd) group by year""", doubles="mean_stock")
+def mean_stock_transit(x):
+    moving = readers.window(facts.store_transit(x.goods_in_transit), "date", START, END)
+    days = facts.with_transit(x.usable(), moving, ["product_id", "store_id", "date"], "has_daily_row")
+    return x.kpis(["mean_stock"], frames=metrics.Facts(x.scoped(days)), transit=frozenset({"mean_stock"}))
+
+
+RATE = "(select year, week, sum(stocked_pairs) a, sum(available_days) b from k where product_id in (select product_id from products) group by 1, 2)"
+
+
+@query(*BASE, "lost_sales", "inventory_warehouse", sql=f"""select r.period_type, r.period, r.root, r.dimension, r.dimension_value, in_stock_rate, weighted_instock_rate, dc_in_stock_rate, lost_sales_pct from (
+  select 'annual' period_type, cast(r.year as varchar) period, 'overall' root, 'overall' dimension, 'overall' dimension_value, greatest(0, sum(a) / sum(b)) in_stock_rate, sum(a / b * u) / sum(u) weighted_instock_rate
+  from {RATE.replace("from k", f"from {INSTOCK}")} r left join (select year, week, sum(sales_quantity) u from sd group by 1, 2) u on u.year = r.year and u.week = r.week group by r.year) r
+  join (select cast(year as varchar) period, sum(dc_stocked_days) * 1.0 / sum(dc_available_days) dc_in_stock_rate from {DC} group by 1) d on d.period = r.period
+  join (select cast(year as varchar) period, 100 * sum(lost_sales) / nullif(sum(could_sell), 0) lost_sales_pct from {LOST} group by 1) l on l.period = r.period where r.period in (select cast(year as varchar) from sd)""", doubles="in_stock_rate weighted_instock_rate dc_in_stock_rate lost_sales_pct")
+def rates(x):
+    frames = metrics.Facts(x.scoped(), facts.instock_weekly([x.lost_sales], x.fiscal_cal, START, END), None, dc_instock(x), facts.lost_base(x.lost_sales, x.usable(), x.fiscal_cal, START, END))
+    return x.kpis(["in_stock_rate", "weighted_instock_rate", "dc_in_stock_rate", "lost_sales_pct"], frames=frames)
+
+
+# Comparisons ----------------------------------------------------------------------------------------------------------
+
+COMPARED = ["total_sales_quantity", "total_sales_revenue", "AUR"]
+
+
+def _links_sql(table: str, kind: str, latest: bool) -> str:
+    return f"""select '{kind}' comparison_type, 'overall' root, 'overall' dimension, 'overall' dimension_value, metric_key, prior_period, current_period, prior_value, current_value, (current_value - prior_value) / nullif(abs(prior_value), 0) * 100 change_pct, cast(null as double) change_pp from (
+  select metric_key, lag(period) over w prior_period, period current_period, lag(value) over w prior_value, value current_value, lead(period) over w n from (
+  select period, 'total_sales_quantity' metric_key, total_sales_quantity value from {table} union all select period, 'total_sales_revenue', total_sales_revenue from {table} union all select period, 'AUR', "AUR" from {table}) window w as (partition by metric_key order by period)) where prior_period is not null {"and n is null" if latest else ""}"""
+
+
+YTD_TABLE = f"({_by('sum(sales_quantity) total_sales_quantity, sum(sales_revenue) total_sales_revenue, sum(sales_revenue) / nullif(sum(sales_quantity), 0) AS ' + chr(34) + 'AUR' + chr(34), kinds=chr(39) + 'ytd' + chr(39))})"
+
+
+@query(*BASE, sql=_links_sql("ann", "yoy", True), doubles="prior_value current_value change_pct")
+def yoy(x):
+    return compare.yoy(x.kpis(COMPARED), COMPARED)
+
+
+@query(*BASE, sql=_links_sql(YTD_TABLE, "ytd", False), doubles="prior_value current_value change_pct")
+def ytd_links(x):
+    return compare.ytd(x.kpis(COMPARED, ("ytd",)), COMPARED)
+
+
+@query(*BASE, sql="""select year, metric, scope, score, score - scope abs_diff, (score - scope) / nullif(abs(scope), 0) * 100 pct_diff from (
+  select cast(year as varchar) as year, 'total_sales_quantity' metric, sum(sales_quantity) scope, sum(case when store_id < 3 then sales_quantity end) score from sd group by 1
+  union all select cast(year as varchar), 'total_sales_revenue', sum(sales_revenue), sum(case when store_id < 3 then sales_revenue end) from sd group by 1)""", doubles="pct_diff")
+def scope_diff(x):
+    names = COMPARED[:2]
+    return compare.scope_diff(x.kpis(names), x.kpis(names, frames=metrics.Facts(x.scoped().where("store_id < 3"))), names)
+
+
+@query(sql="""select * from (values ('WOS', 23.9, 23.1, 0.0, null), ('WOS', 0.9, 2.0, null, null), ('AUR', 4.0, 5.0, 25.0, null), ('in_stock_rate', 0.5, 0.75, null, 25.0), ('lost_sales_pct', 2.0, 3.5, null, 1.5), ('AUC', null, 1.0, null, null)) t(metric, prior_value, current_value, change_pct, change_pp)""", doubles="prior_value current_value change_pct change_pp")
+def change_values(x):
+    rows = [("WOS", 23.9, 23.1), ("WOS", 0.9, 2.0), ("AUR", 4.0, 5.0), ("in_stock_rate", 0.5, 0.75), ("lost_sales_pct", 2.0, 3.5), ("AUC", None, 1.0)]
+    df = x.spark.createDataFrame(rows, "metric string, prior_value double, current_value double")
+    args = F.col("metric"), F.col("prior_value"), F.col("current_value")
+    return df.withColumns({"change_pct": change_pct(*args), "change_pp": change_pp(*args)})
+
+
+UNIVERSE = "(select product_id, store_id from sd where year in (1998, 1999, 2000) group by 1, 2 having count(distinct year) = 3)"
+
+
+@query(*BASE, sql=f"select * from {UNIVERSE}")
+def comparable_universe(x):
+    return compare.universe(x.scoped(), [1998, 1999, 2000])
+
+
+def _comparable(name: str, kind: str, years: list[int], number: int | None = None):
+    """Like for like: the pairs that every year has, their metrics per year, and the links of neighbouring years."""
+    label = {"ytd": "printf('YTD-%d', s.year)", "yoy": "cast(s.year as varchar)", "quarter": f"printf('%d-Q%d', s.year, {number})", "half": f"printf('%d-H%d', s.year, {number})"}[kind]
+    period_type = {"yoy": "annual"}.get(kind, kind)
+    listed = ", ".join(map(str, years))
+    inside = f"and pb.period = {label}"
+    universe = f"(select s.product_id, s.store_id from sd s join pb on pb.year = s.year and pb.week = s.week where pb.period_type = '{period_type}' {inside} and s.year in ({listed}) group by 1, 2 having count(distinct s.year) = {len(years)})"
+    rows = f"(select s.* from sd s join {universe} u on u.product_id = s.product_id and u.store_id = s.store_id where s.year in ({listed})) s"
+    table = "(" + _by('sum(sales_quantity) total_sales_quantity, sum(sales_revenue) total_sales_revenue, sum(sales_revenue) / nullif(sum(sales_quantity), 0) "AUR"', rows=rows, kinds=f"'{period_type}'", more=inside) + ")"
+
+    def run(x):
+        periods = x.periods((period_type,)).where(F.col("year").isin(years))
+        if number:
+            periods = periods.where(F.col("period").endswith(f"-{'Q' if kind == 'quarter' else 'H'}{number}"))
+        scoped = x.scoped().join(F.broadcast(periods.select("year", "week").distinct()), ["year", "week"], "left_semi")
+        pairs = compare.universe(scoped, years)
+        table = metrics.kpi_table(metrics.Facts(compare.restricted(scoped, pairs)), x.slices(), periods, metrics.Rules(tuple(COMPARED)))
+        return compare.links(table, COMPARED, period_type, kind)
+
+    run.__name__ = name
+    query(*BASE, sql=_links_sql(table, kind, False), doubles="prior_value current_value change_pct")(run)
+
+
+_comparable("comparable_ytd", "ytd", [1998, 1999, 2000, 2001])
+_comparable("comparable_yoy", "yoy", [1998, 1999, 2000])
+_comparable("comparable_quarter", "quarter", [1998, 1999, 2000, 2001], 1)
+_comparable("comparable_half", "half", [1998, 1999, 2000], 2)
+
+
+@query(*BASE, sql=_by("sum(sales_quantity) total_sales_quantity", kinds="'week', 'annual'", more="and (pb.period_type = 'annual' and pb.year >= 2000 or pb.period_type = 'week' and pb.year * 100 + pb.week >= (select max(year * 100 + week) - 3 from win))"))
+def trim_recent(x):
+    return slices.trim_recent(x.kpis(["total_sales_quantity"], ("annual", "week")), {"annual": 2, "week": 4})
+
+
+@query(*BASE, sql=f"""select period_type, period, root, dimension, dimension_value, case when period = '2000' or period like 'YTD%' then total_sales_quantity else -1 end total_sales_quantity from ({_by("sum(sales_quantity) total_sales_quantity", kinds="'annual', 'ytd'")}) where period <> '2001'""")
+def merge_incremental(x):
+    new = x.kpis(["total_sales_quantity"], ("annual", "ytd"))
+    saved = new.where("period in ('1998', '1999') or period_type = 'ytd'").withColumn("total_sales_quantity", F.lit(-1.0))
+    return snapshots.merged(saved, new.where("period <> '2001'"), snapshots.KEYS["kpi_long"], always="period_type = 'ytd'")
