@@ -220,8 +220,8 @@ def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_
     """
     modulus, left_out = HELD_OUT
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    share = {r["toxic"]: r["n"] for r in known.where("toxic in (0, 1)").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     usable = known.where(remainder(F.col("doc_id"), modulus) != left_out).withColumn("h", F.xxhash64("doc_id"))
+    share = {r["toxic"]: r["n"] for r in usable.where("toxic in (0, 1)").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     picked = []
     for value in (1, 0):
         rows = usable.where(F.col("toxic") == value).orderBy("h", "doc_id").limit(count_rows + curve_rows).select("doc_id").collect()
