@@ -310,6 +310,20 @@ def test_windows_rise_where_items_stay_whole():
     assert abs(sum([8, 7, 6, 5, 4][k] for k in even[0]) - 15) <= 1
 
 
+def test_added_tokens_are_one_id(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "  <|endoftext|>  x <|endoftext|><|endoftext|>\n", "cut <|endoftext", "plain text", "after \t<|endoftext|> <|ENDOFTEXT|>"]
+    ids = [[*library.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert sum(x.count(50256) for x in ids) == 6
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    crc = [zlib.crc32(np.array(x, "<u4").tobytes()) for x in ids]
+    packed = packing.pack(df).collect()
+    assert sorted((r["doc_id"], r["doc_tokens"], r["length"], r["ids_crc32"]) for r in packed) == [(k, len(x), len(x), c) for k, (x, c) in enumerate(zip(ids, crc, strict=True))]
+    starts = np.cumsum([0, *map(len, ids)]).tolist()
+    rows = wavelet.read(wavelet.write(df)).collect()
+    assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in rows) == [(k, starts[k], len(x), c) for k, (x, c) in enumerate(zip(ids, crc, strict=True))]
+
+
 # 9 embeddings
 
 
