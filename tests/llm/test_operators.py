@@ -224,6 +224,21 @@ def test_pii_finds_revealing_terms(spark):
     assert text[text.index(" the ") :] not in rows[0] and "Blackwood" not in pii.masked(spark.createDataFrame(docs, "doc_id long, text string")).where("doc_id = 0").first()["text"]
 
 
+def test_pii_terms_are_found_far_away_and_taken_out_everywhere(spark):
+    random.seed(7)
+    filler = lambda k: " ".join(random.choices([f"word{j}" for j in range(50)], k=k))
+    docs = [(k, f"Thornfield {filler(15)} reach {filler(9)} ann@corp.example.com {filler(9)} (Thornfield). {filler(k)}") for k in range(2)]
+    docs += [(2, f"{filler(20)} Thornfield, {filler(3)}"), (3, f"Hapax {filler(9)} bob@corp.example.com {filler(9)}")]
+    docs += [(1000 + k, f"reach {filler(30)}") for k in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = {r["doc_id"]: r["spans"] for r in pii.detect(df).collect()}
+    for doc, text in docs:
+        places = [f"term:{m.start()}:{m.end()}" for m in re.finditer("Thornfield", text)]
+        assert [x for x in rows[doc].split(",") if x.startswith("term")] == places and len(places) == (2, 2, 1, 0)[min(doc, 3)]
+    texts = {r["doc_id"]: r["text"] for r in pii.masked(df).collect()}
+    assert not any("Thornfield" in t for t in texts.values()) and "Hapax" in texts[3] and "<email>" in texts[0] and "reach" in texts[0]
+
+
 # 6 and 7 quality
 
 
