@@ -2,29 +2,33 @@
 
 A document's set is its distinct word shingles, by 64-bit hash; equal sets are one set from the start. Under one global
 order of shingles (rare before frequent) two sets that link share a shingle among the first few of each, so only those
-prefixes are indexed: per shingle a list of (set size, position, set), dealt over tasks by shingle.
-
-Answers are derived from those of similar sets instead of being compared pair by pair. In the first round a set is
-compared only with its neighbour in each list; what links becomes one component. In the second round a list is read
-again only if its sets are of different components, and only pairs across components are compared. In that round a list
-is a row of blocks of one size each, in order of position, and a block's entries past the last position that could still
-reach the needed overlap are skipped. Connected components thus come out exactly, and a group of any number of near
-copies costs its size and not its square.
-
-Candidates are first held against parity bitmaps of about a bit per shingle: bits in which two bitmaps differ are at
+prefixes are indexed: per shingle a list of (set size, position, set), dealt over tasks by shingle and, where the list
+of a frequent shingle may be long, in pieces.
+
+Answers are derived from those of similar sets instead of being compared pair by pair: sets that were found to link have
+one component, and what one of them links with is an answer of all. In the first round a set is compared only with its
+neighbour in each list, in the same order everywhere; then, in lists that still hold several components, with its
+neighbour in an order that differs from list to list, as long as that joins components (``chained``). Both make no
+more pairs than the index has entries. What is left is compared across components only (``across``): a list is a row of
+blocks of one size each, in order of position, and a block's entries past the last position that could still reach the
+needed overlap are skipped. Connected components come out exactly. A group of near copies costs its size; only a set
+that shares rare shingles with a group and links with none of it is held against each of the group's sets.
+
+Candidates are first held against parity bitmaps of about two bits per shingle: bits in which two bitmaps differ are at
 least so many shingles in which the sets differ, so what that rules out cannot link. The rest is verified on whole sets,
 for which only their documents' texts are read again.
 """
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import over_blocks, partitions, whole, written
@@ -35,6 +39,10 @@ WORDS, PERCENT = 4, 85
 #: is broadcast is bounded by it. Any order gives whole results, frequent shingles last only keeps lists short.
 FREQUENT_IN_BLOCK, FREQUENT = 6, 1 << 17
 CHUNK = 200_000
+#: Sets of a list, or of two parts of one, that a task compares across components; sets of a chain. Longer ones are split.
+PIECE, CHAIN = 20_000, 256
+#: Rounds of chains at most; what they leave is compared across components, so results do not depend on it.
+CHAINS = 3
 #: Ids that are sent to every task to pick their documents; more are joined by a shuffle of the texts.
 SENT = 500_000
 
@@ -79,8 +87,9 @@ def signature(values: np.ndarray) -> tuple[int, int]:
 
 
 def parity(values: np.ndarray) -> bytes:
-    """Bitmap whose bit k is the parity of the set's hashes that are k modulo its size, a power of two of at least 64."""
-    bits = max(64, 1 << (len(values) - 1).bit_length()) if len(values) else 64
+    """Bitmap whose bit k is the parity of the set's hashes that are k modulo its size, a power of two of at least 64 that
+    follows from the set's size."""
+    bits = max(64, 2 << (len(values) - 1).bit_length()) if len(values) else 64
     return np.packbits(np.bincount((values % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
@@ -107,8 +116,13 @@ def plausible(pairs: DataFrame, named: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "x").join(y, "y").mapInArrow(run, "x long, y long")
 
 
+def hash_of(text: str) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def scanned(docs: DataFrame, words: int) -> DataFrame:
-    """Kind 0: a document with the size, signature and bitmap of its set. Kind 1: a shingle (in ``a``) that is frequent in a
+    """Kind 0: a document with the size, signature and bitmap of its set and its text's hash. Kind 1: a shingle (in ``a``) that is frequent in a
     block, with the number of documents of the block (in ``n``)."""
 
     def run(block: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -120,41 +134,46 @@ def scanned(docs: DataFrame, words: int) -> DataFrame:
         ids = pa.concat_arrays([block["doc_id"].combine_chunks(), pa.nulls(m, pa.int64())])
         columns = [np.repeat([0, 1], [n, m]), np.concatenate([[len(s) for s in sets], counts[often]]), np.concatenate([signed[:, 0], shingles[often].view(np.int64)]), np.concatenate([signed[:, 1], np.zeros(m, np.int64)])]
         bits = pa.array([parity(s) for s in sets] + [None] * m, pa.binary())
-        yield pa.RecordBatch.from_arrays([ids, *(pa.array(c.astype(np.int64)) for c in columns), bits], names=["doc_id", "kind", "n", "a", "b", "bits"])
+        texts = pa.concat_arrays([block["text_hash"].combine_chunks(), pa.nulls(m, pa.int64())])
+        yield pa.RecordBatch.from_arrays([ids, *(pa.array(c.astype(np.int64)) for c in columns), bits, texts], names=["doc_id", "kind", "n", "a", "b", "bits", "text_hash"])
 
-    return over_blocks(whole(docs), run, "doc_id long, kind long, n long, a long, b long, bits binary")
+    return over_blocks(whole(docs).withColumn("text_hash", hash_of("text")), run, "doc_id long, kind long, n long, a long, b long, bits binary, text_hash long")
 
 
-def entries(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
-    """The index: shingle, set size, position under the global order, signature, for the prefix of every set.
+def entries(docs: DataFrame, frequent: np.ndarray, holders: np.ndarray, words: int, percent: int) -> DataFrame:
+    """The index: shingle, set size, position under the global order, signature, piece, for the prefix of every set.
 
-    ``frequent``: the frequent shingles, rarest first; they come last in the order.
+    ``frequent``: the frequent shingles, rarest first; they come last in the order. ``holders``: documents known to hold
+    each. A list that may hold more than ``PIECE`` sets has pieces from 1 on, any other is the piece 0.
     """
     order = np.argsort(frequent)
-    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], order.astype(np.uint64)))
+    shared = docs.sparkSession.sparkContext.broadcast((frequent[order], order.astype(np.uint64), ceil(holders[order], PIECE)))
 
     def run(block: pa.Table) -> Iterator[pa.RecordBatch]:
-        known, rank = shared.value
+        known, rank, pieces = shared.value
         done: set[tuple[int, int]] = set()
         parts = []
         for s in shingle_sets(block["text"].to_pylist(), words):
             if not len(s) or (sign := signature(s)) in done:
                 continue
             done.add(sign)
-            key = s >> np.uint64(1)
+            key, piece = s >> np.uint64(1), np.zeros(len(s), np.int64)
             if len(known):
                 at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                key = np.where(known[at] == s, np.uint64(1 << 63) + rank[at], key)
+                often = known[at] == s
+                key = np.where(often, np.uint64(1 << 63) + rank[at], key)
+                piece = np.where(often & (pieces[at] > 1), 1 + (sign[0] >> 7) % pieces[at], 0)
             first = np.argsort(key, kind="stable")[: len(s) - ceil(percent * len(s), 100) + 1]
-            row = np.empty((len(first), 5), np.int64)
+            row = np.empty((len(first), 6), np.int64)
             row[:, 0] = s[first].view(np.int64)
             row[:, 1], row[:, 2] = len(s), np.arange(len(first))
-            row[:, 3:] = sign
+            row[:, 3:5] = sign
+            row[:, 5] = piece[first]
             parts.append(row)
         if parts:
-            yield table(np.concatenate(parts), ["shingle", "n", "at", "a", "b"])
+            yield table(np.concatenate(parts), ["shingle", "n", "at", "a", "b", "piece"])
 
-    return over_blocks(whole(docs), run, "shingle long, n long, at long, a long, b long")
+    return over_blocks(whole(docs), run, "shingle long, n long, at long, a long, b long, piece long")
 
 
 def table(rows: np.ndarray, names: list[str]) -> pa.RecordBatch:
@@ -188,11 +207,11 @@ def possible(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
 
 
 def neighbours(index: DataFrame, percent: int) -> DataFrame:
-    """Kind 0: pairs of neighbours in a list (``a``, ``b`` and ``c``, ``d``). Kind 1: the entries of lists of three or
-    more sets (``a``, ``b``: signature, ``c``: size, ``d``: position), with their shingle."""
+    """Kind 0: pairs of neighbours in a piece of a list (``a``, ``b`` and ``c``, ``d``). Kind 1: the entries of lists that
+    may hold three or more sets (``a``, ``b``: signature, ``c``: size, ``d``: position), with their shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = np.empty((0, 5), np.int64)  # the rows of the list that the last chunk ended in: two at most
+        last = np.empty((0, 6), np.int64)  # the rows of the list that the last chunk ended in: two at most
         seen = 0  # rows of that list before those
         for rows in chunks(batches):
             rows = np.concatenate([last, rows])
@@ -201,7 +220,7 @@ def neighbours(index: DataFrame, percent: int) -> DataFrame:
             told = len(last)  # rows that the chunk before has told of
             keep = np.flatnonzero(fresh)
             rows, old = rows[keep], keep < told
-            same = rows[1:, 0] == rows[:-1, 0]
+            same = (rows[1:, [0, 5]] == rows[:-1, [0, 5]]).all(axis=1)
             new_pair = same & ~old[1:]
             x, y = rows[:-1][new_pair], rows[1:][new_pair]
             fits = possible(x, y, percent)
@@ -211,8 +230,8 @@ def neighbours(index: DataFrame, percent: int) -> DataFrame:
             which = np.repeat(np.arange(len(starts)), lengths)
             total = lengths.copy()
             total[0] += seen
-            long = (total >= 3)[which]
-            told_before = old & ((seen > 0) | (old.sum() >= 3))
+            long = (total >= 3)[which] | (rows[:, 5] > 0)
+            told_before = old & ((seen > 0) | (old.sum() >= 3) | (rows[:, 5] > 0))
             tell = long & ~told_before
             z = rows[tell]
             out = np.concatenate([
@@ -225,21 +244,42 @@ def neighbours(index: DataFrame, percent: int) -> DataFrame:
             before = seen if len(starts) == 1 else 0
             last = tail[-2:]
             seen = before + len(tail) - len(last)
-        return
 
-    ordered = index.repartition(partitions(index.sparkSession), "shingle").sortWithinPartitions("shingle", "n", "a", "b")
+    ordered = index.repartition(partitions(index.sparkSession), "shingle", "piece").sortWithinPartitions("shingle", "piece", "n", "a", "b")
     return ordered.mapInArrow(run, "kind long, shingle long, a long, b long, c long, d long")
 
 
-def across(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs (``x``, ``y``) of sets of different components in one list that may link. ``lists``: shingle, n, at, id,
-    component."""
+def reaches(x: str, y: str, percent: int) -> Column:
+    """As ``possible``, of two structs of size (``n``) and position (``at``), in any order of size."""
+    least = f"least({x}.n - {x}.at, {y}.n - {y}.at) * {100 + percent} >= {percent} * ({x}.n + {y}.n)"
+    return F.expr(f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n) and {least}")
+
+
+def chained(lists: DataFrame, percent: int, seed: int) -> DataFrame:
+    """Pairs (``x``, ``y``) of neighbours of different components that may link. ``lists``: shingle, holders (entries of the
+    list), n, at, id, component. Each list has an order of its own, among sets of about one size, in chains of about
+    ``CHAIN`` sets."""
+    mixed = F.xxhash64("shingle", "id", F.lit(seed))
+    links = lists.withColumn("mixed", mixed).withColumn("chain", F.pmod("mixed", F.ceil(F.col("holders") / CHAIN)))
+    order = Window.partitionBy("shingle", "chain").orderBy(F.floor(F.log("n") / math.log(100 / percent)), "mixed", "id")
+    both = links.select(F.struct("n", "at", "id", "component").alias("y"), F.lag(F.struct("n", "at", "id", "component")).over(order).alias("x"))
+    near = both.where("x.component != y.component").where(reaches("x", "y", percent))
+    return near.select(F.least("x.id", "y.id").alias("x"), F.greatest("x.id", "y.id").alias("y")).distinct()
+
+
+def across(lists: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``x``, ``y``) of sets of different components in one list that may link. ``lists``: as of ``chained``.
 
-    def pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
+    A list of more than ``PIECE`` sets is split into parts, and every two of them meet in a task.
+    """
+
+    def pairs(rows: np.ndarray, bits: list[bytes]) -> Iterator[np.ndarray]:
         """Of one list, sorted by size and position: per entry, of each block of sizes that can link the entries up to
-        the last position that still reaches the needed overlap."""
+        the last position that still reaches the needed overlap, if the bitmaps do not rule them out."""
         sizes, starts = np.unique(rows[:, 1], return_index=True)
         stops = np.append(starts[1:], len(rows))
+        maps = [np.frombuffer(b"".join(bits[a:z]), np.uint8).reshape(z - a, -1) for a, z in zip(starts.tolist(), stops.tolist(), strict=True)]
+        apart = bool(rows[0, 6] != rows[0, 7])  # two parts meet; pairs inside one are found elsewhere
         for big, (n, start, stop) in enumerate(zip(sizes.tolist(), starts.tolist(), stops.tolist(), strict=True)):
             for small in range(big, -1, -1):
                 m = int(sizes[small])
@@ -249,21 +289,27 @@ def across(lists: DataFrame, percent: int) -> DataFrame:
                 reach = min(m - need, m - ceil(2 * percent * m, 100 + percent))
                 block = rows[starts[small] : stops[small]]
                 block = block[: np.searchsorted(block[:, 2], reach, "right")]  # skips the block's rest
-                for y in rows[start:stop]:
-                    if n - y[2] < need:
+                for k, y in enumerate(rows[start:stop]):
+                    if n - y[2] < need or not len(block):
                         break  # and that of the larger sets
-                    near = block[block[:, 4] != y[4]]
-                    if len(near):
-                        yield np.column_stack([near[:, 3], np.full(len(near), y[3])])
+                    other = block[:, 4] != y[4]
+                    if apart:
+                        other &= block[:, 5] != y[5]
+                    if other.any():
+                        mine = np.bitwise_xor.reduce(maps[big][k].reshape(-1, maps[small].shape[1]), axis=0)
+                        near = np.flatnonzero(other)
+                        near = near[np.bitwise_count(maps[small][near] ^ mine).sum(axis=1) <= n + m - 2 * need]
+                        if len(near):
+                            yield np.column_stack([block[near, 3], np.full(len(near), y[3])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.empty((0, 5), np.int64)
+        rest, left = np.empty((0, 8), np.int64), []
 
-        def lists_of(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            cuts = np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1
+        def lists_of(rows: np.ndarray, bits: list[bytes]) -> Iterator[pa.RecordBatch]:
+            cuts = [0, *(np.flatnonzero((rows[1:, [0, 6, 7]] != rows[:-1, [0, 6, 7]]).any(axis=1)) + 1).tolist(), len(rows)]
             held, size = [], 0
-            for one in np.split(rows, cuts):
-                for found in pairs(one):
+            for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+                for found in pairs(rows[a:z], bits[a:z]):
                     held.append(found)
                     size += len(found)
                     if size >= CHUNK:
@@ -272,16 +318,24 @@ def across(lists: DataFrame, percent: int) -> DataFrame:
             if held:
                 yield table(np.unique(np.concatenate(held), axis=0), ["x", "y"])
 
-        for rows in chunks(batches):
-            rows = np.concatenate([rest, rows])
-            begin = np.searchsorted(rows[:, 0], rows[-1, 0])  # the last list may go on
-            rest = rows[begin:]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.concatenate([rest, matrix([batch.select(batch.schema.names[:8])])])
+            bits = left + batch.column("bits").to_pylist()
+            last = (rows[:, [0, 6, 7]] == rows[-1, [0, 6, 7]]).all(axis=1)  # the last list may go on
+            begin = int(np.argmax(last))
             if begin:
-                yield from lists_of(rows[:begin])
+                yield from lists_of(rows[:begin], bits[:begin])
+            rest, left = rows[begin:], bits[begin:]
         if len(rest):
-            yield from lists_of(rest)
+            yield from lists_of(rest, left)
 
-    ordered = lists.select("shingle", "n", "at", "id", "component").repartition(partitions(lists.sparkSession), "shingle").sortWithinPartitions("shingle", "n", "at", "id")
+    parts = F.ceil(F.col("holders") / PIECE).cast("long")
+    dealt = lists.withColumn("part", F.pmod(F.xxhash64("id"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    columns = ["shingle", "n", "at", "id", "component", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "bits"]
+    dealt = dealt.join(named.select("id", "bits"), "id").select(columns)
+    ordered = dealt.repartition(partitions(lists.sparkSession), "shingle", "low", "high").sortWithinPartitions("shingle", "low", "high", "n", "at", "id")
     found = ordered.mapInArrow(run, "x long, y long")
     return found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
@@ -294,56 +348,96 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def linking(docs: DataFrame, pairs: DataFrame, named: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (``x``, ``y``) of documents that link, as a written table."""
+    """The pairs (``x``, ``y``) of sets that link, as a written table."""
     pairs = written(plausible(pairs, named, percent), "jaccard-pairs")
-    members = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-    texts = whole(docs).join(F.broadcast(members) if members.count() <= SENT else members, "doc_id")
+    members = pairs.select("x").union(pairs.select("y")).distinct().join(named, F.col("x") == F.col("id")).select("id", "doc_id", "a", "b")
+    members = written(members, "jaccard-members")
+    ids = members.select("doc_id").distinct()
+    texts = whole(docs).join(F.broadcast(ids) if ids.count() <= SENT else ids, "doc_id", "left_semi")
 
     def of(block: pa.Table) -> Iterator[pa.RecordBatch]:
         sets = shingle_sets(block["text"].to_pylist(), words)
+        signed = np.array([signature(s) for s in sets], np.int64).reshape(-1, 2)
         offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
         values = np.concatenate(sets).view(np.int64)
-        yield pa.RecordBatch.from_arrays([block["doc_id"].combine_chunks(), pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(offsets, values)], names=["id", "n", "shingles"])
+        columns = [pa.array(np.ascontiguousarray(signed[:, k])) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(offsets, values)], names=["a", "b", "n", "shingles"])
 
-    sets = written(over_blocks(texts, of, "id long, n long, shingles array<long>"), "jaccard-sets")
+    sets = over_blocks(texts, of, "a long, b long, n long, shingles array<long>")
+    sets = written(sets.join(members.select("id", "a", "b"), ["a", "b"]).select("id", "n", "shingles").dropDuplicates(["id"]), "jaccard-sets")
     return written(verified(pairs, sets, percent).distinct(), "jaccard-links")
 
 
-def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of every row.
+def placed(entries: DataFrame, linked: DataFrame) -> DataFrame:
+    """The entries (shingle, n, at, id) of lists that hold several components, with ``component`` and ``holders``."""
+    rows = entries.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("holders")).where("low < high")
+    return rows.join(mixed.select("shingle", "holders"), "shingle")
 
-    A null or empty text has an empty set and links with nothing, as does a row with a null id (its component is null).
-    Repeated rows are copies of each other. An empty table gives no rows. Other columns are not read.
-    """
-    spark = docs.sparkSession
+
+def joined(links: DataFrame) -> DataFrame:
+    return written(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "jaccard-components")
+
+
+def classed(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``n_shingles`` and ``component_id`` of every row."""
     scan = written(scanned(docs, words), "jaccard-scan")
     rows = scan.where("kind = 0").drop("kind")
-    top = scan.where("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "a").limit(FREQUENT).orderBy("n", "a").select("a").toArrow()
-    index = entries(docs, top["a"].to_numpy().view(np.uint64), words, percent)
+    top = scan.where("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "a").limit(FREQUENT).orderBy("n", "a").toArrow()
+    index = entries(docs, top["a"].to_numpy().view(np.uint64), top["n"].to_numpy(), words, percent)
     first = written(neighbours(index, percent), "jaccard-lists")
-    filled = rows.where("n > 0 and doc_id is not null")
-    named = filled.groupBy("a", "b").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), F.min("bits").alias("bits"))
-    named = written(named, "jaccard-named")
+    named = rows.where("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.min("bits").alias("bits"))
+    named = written(named.withColumn("id", F.monotonically_increasing_id()), "jaccard-named")  # two sets may have one doc_id
     label = lambda a, b, k: named.select(F.col("a").alias(a), F.col("b").alias(b), F.col("id").alias(k))
     near = first.where("kind = 0").select("a", "b", "c", "d").distinct().join(label("a", "b", "x"), ["a", "b"]).join(label("c", "d", "y"), ["c", "d"])
-    near = near.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    links = linking(docs, near, named, words, percent)
-    linked = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    lists = first.where("kind = 1").select("shingle", "a", "b", F.col("c").alias("n"), F.col("d").alias("at"))
-    placed = lists.join(label("a", "b", "id"), ["a", "b"]).join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")).drop("a", "b")
-    placed = written(placed, "jaccard-placed")
-    mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
-    found = linking(docs, across(placed.join(mixed, "shingle", "left_semi"), percent), named, words, percent)
+    links = linking(docs, near.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), named, words, percent)
+    linked = joined(links)
+    lists = first.where("kind = 1").select("shingle", "a", "b", F.col("c").alias("n"), F.col("d").alias("at")).join(label("a", "b", "id"), ["a", "b"]).drop("a", "b")
+    lists = written(placed(lists, linked), "jaccard-placed")
+    for seed in range(CHAINS):
+        found = linking(docs, chained(lists, percent, seed), named, words, percent)
+        if found.isEmpty():
+            break
+        links = links.union(found)
+        linked = joined(links)
+        lists = written(placed(lists.drop("component", "holders"), linked), "jaccard-placed")
+    found = linking(docs, across(lists, named, percent), named, words, percent)
     if not found.isEmpty():
-        linked = components(links.union(found).select(F.col("x").alias("a"), F.col("y").alias("b")))
-    copies = named.join(linked.withColumnRenamed("node", "id"), "id", "left").select("a", "b", F.coalesce("component", "id").alias("component"))
-    told = rows.join(copies, ["a", "b"], "left")
-    return told.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNull() | (F.col("n") == 0), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+        linked = joined(links.union(found))
+    lowest = named.join(linked, F.col("id") == F.col("node")).groupBy("component").agg(F.min("doc_id").alias("lowest"))
+    found = named.join(linked.join(lowest, "component"), F.col("id") == F.col("node"), "left")
+    told = rows.join(found.select("a", "b", F.coalesce("lowest", "doc_id").alias("lowest")), ["a", "b"], "left")
+    alone = F.col("doc_id").isNull() | (F.col("n") == 0)
+    return told.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"))
+
+
+def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row.
+
+    A null or empty text has an empty set and links with nothing, as does a row with a null id (its component is null).
+    Repeated rows are copies of each other; rows that share an id but not the text are rows of their own, each with the
+    smallest id that it reaches. A text is one set however long it is; a text of fewer words than a shingle is one
+    shingle. Ties of similarity at the threshold link. An empty table gives no rows. Other columns are not read.
+    """
+    return classed(docs, words, percent).drop("text_hash")
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, one row of an id, with their own columns. Rows
-    with a null id stay."""
-    gone = classes(docs, words, percent).where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("__jaccard_id")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("__jaccard_id"), "left_anti")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    """One row of each component, that with the smallest id, with its own columns.
+
+    Of rows that share this id but not the text, the one with the lowest hash of the text stays, and of rows that repeat
+    id and text one. Rows with a null id stay, and so does one row of each id without words. Only ids and text hashes are
+    joined; no text is shuffled but those of rows that are repeated.
+    """
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    taken = {c.lower() for c in docs.columns}
+    key, rank = (next(n for k in range(len(taken) + 1) if (n := f"__{name}{k}") not in taken) for name in ("id", "hash"))
+    rows = written(classed(docs, words, percent).where("doc_id is not null").groupBy("doc_id", "text_hash").agg(F.min("component_id").alias("component_id"), F.max("n_shingles").alias("n"), F.count("*").alias("copies")), "jaccard-rows")
+    first = rows.where("n > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
+    gone = rows.where("n > 0").join(first, "component_id").where("struct(doc_id, text_hash) != kept").select("doc_id", "text_hash")
+    twice = rows.where("copies > 1").join(gone, ["doc_id", "text_hash"], "left_anti")
+    marked = docs.withColumns({key: F.col("doc_id").cast("long"), rank: hash_of("text")})
+    name = lambda table: table.select(F.col("doc_id").alias(key), F.col("text_hash").alias(rank))
+    kept = marked.join(name(gone.unionByName(twice.select("doc_id", "text_hash"))), [key, rank], "left_anti")
+    again = marked.join(name(twice), [key, rank], "left_semi").dropDuplicates([key, rank])
+    return kept.unionByName(again).select(names)
