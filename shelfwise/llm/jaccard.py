@@ -8,8 +8,8 @@ of a frequent shingle may be long, in pieces.
 Answers are derived from those of similar sets instead of being compared pair by pair: sets that were found to link have
 one component, and what one of them links with is an answer of all. In the first round a set is compared only with its
 neighbour in each list, in the same order everywhere; then, in lists that still hold several components, with its
-neighbour in an order that differs from list to list, as long as that joins components (``chained``). Both make no
-more pairs than the index has entries. What is left is compared across components only (``across``): a list is a row of
+neighbours in ``ORDERS`` orders that differ from list to list (``chained``). Both make at most a few pairs for each entry
+of the index. What is left is compared across components only (``across``): a list is a row of
 blocks of one size each, in order of position, and a block's entries past the last position that could still reach the
 needed overlap are skipped. Connected components come out exactly. A group of near copies costs its size; only a set
 that shares rare shingles with a group and links with none of it is held against each of the group's sets.
@@ -41,8 +41,8 @@ FREQUENT_IN_BLOCK, FREQUENT = 6, 1 << 17
 CHUNK = 200_000
 #: Sets of a list, or of two parts of one, that a task compares across components; sets of a chain. Longer ones are split.
 PIECE, CHAIN = 20_000, 256
-#: Rounds of chains at most; what they leave is compared across components, so results do not depend on it.
-CHAINS = 3
+#: Orders of each list that are chained; what they leave is compared across components, so results do not depend on it.
+ORDERS = 3
 #: Ids that are sent to every task to pick their documents; more are joined by a shuffle of the texts.
 SENT = 500_000
 
@@ -255,13 +255,13 @@ def reaches(x: str, y: str, percent: int) -> Column:
     return F.expr(f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n) and {least}")
 
 
-def chained(lists: DataFrame, percent: int, seed: int) -> DataFrame:
+def chained(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (``x``, ``y``) of neighbours of different components that may link. ``lists``: shingle, holders (entries of the
-    list), n, at, id, component. Each list has an order of its own, among sets of about one size, in chains of about
+    list), n, at, id, component. Each list has orders of its own, among sets of about one size, in chains of about
     ``CHAIN`` sets."""
-    mixed = F.xxhash64("shingle", "id", F.lit(seed))
-    links = lists.withColumn("mixed", mixed).withColumn("chain", F.pmod("mixed", F.ceil(F.col("holders") / CHAIN)))
-    order = Window.partitionBy("shingle", "chain").orderBy(F.floor(F.log("n") / math.log(100 / percent)), "mixed", "id")
+    seeded = lists.withColumn("seed", F.explode(F.array(*map(F.lit, range(ORDERS))))).withColumn("mixed", F.xxhash64("shingle", "id", "seed"))
+    order = Window.partitionBy("shingle", "seed", "chain").orderBy(F.floor(F.log("n") / math.log(100 / percent)), "mixed", "id")
+    links = seeded.withColumn("chain", F.pmod("mixed", F.ceil(F.col("holders") / CHAIN)))
     both = links.select(F.struct("n", "at", "id", "component").alias("y"), F.lag(F.struct("n", "at", "id", "component")).over(order).alias("x"))
     near = both.where("x.component != y.component").where(reaches("x", "y", percent))
     return near.select(F.least("x.id", "y.id").alias("x"), F.greatest("x.id", "y.id").alias("y")).distinct()
@@ -349,7 +349,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def linking(docs: DataFrame, pairs: DataFrame, named: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (``x``, ``y``) of sets that link, as a written table."""
-    pairs = written(plausible(pairs, named, percent), "jaccard-pairs")
+    pairs = written(pairs, "jaccard-pairs")
     members = pairs.select("x").union(pairs.select("y")).distinct().join(named, F.col("x") == F.col("id")).select("id", "doc_id", "a", "b")
     members = written(members, "jaccard-members")
     ids = members.select("doc_id").distinct()
@@ -380,7 +380,8 @@ def joined(links: DataFrame) -> DataFrame:
 
 
 def classed(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n_shingles`` and ``component_id`` of every row."""
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` and ``group`` (names a component, where rows that share an
+    id may be of several) of every row."""
     scan = written(scanned(docs, words), "jaccard-scan")
     rows = scan.where("kind = 0").drop("kind")
     top = scan.where("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "a").limit(FREQUENT).orderBy("n", "a").toArrow()
@@ -390,25 +391,22 @@ def classed(docs: DataFrame, words: int, percent: int) -> DataFrame:
     named = written(named.withColumn("id", F.monotonically_increasing_id()), "jaccard-named")  # two sets may have one doc_id
     label = lambda a, b, k: named.select(F.col("a").alias(a), F.col("b").alias(b), F.col("id").alias(k))
     near = first.where("kind = 0").select("a", "b", "c", "d").distinct().join(label("a", "b", "x"), ["a", "b"]).join(label("c", "d", "y"), ["c", "d"])
-    links = linking(docs, near.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), named, words, percent)
+    near = near.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    links = linking(docs, plausible(near, named, percent), named, words, percent)
     linked = joined(links)
     lists = first.where("kind = 1").select("shingle", "a", "b", F.col("c").alias("n"), F.col("d").alias("at")).join(label("a", "b", "id"), ["a", "b"]).drop("a", "b")
     lists = written(placed(lists, linked), "jaccard-placed")
-    for seed in range(CHAINS):
-        found = linking(docs, chained(lists, percent, seed), named, words, percent)
-        if found.isEmpty():
-            break
-        links = links.union(found)
-        linked = joined(links)
-        lists = written(placed(lists.drop("component", "holders"), linked), "jaccard-placed")
+    links = links.union(linking(docs, plausible(chained(lists, percent), named, percent), named, words, percent))
+    linked = joined(links)
+    lists = placed(lists.drop("component", "holders"), linked)
     found = linking(docs, across(lists, named, percent), named, words, percent)
     if not found.isEmpty():
         linked = joined(links.union(found))
     lowest = named.join(linked, F.col("id") == F.col("node")).groupBy("component").agg(F.min("doc_id").alias("lowest"))
     found = named.join(linked.join(lowest, "component"), F.col("id") == F.col("node"), "left")
-    told = rows.join(found.select("a", "b", F.coalesce("lowest", "doc_id").alias("lowest")), ["a", "b"], "left")
+    told = rows.join(found.select("a", "b", F.coalesce("lowest", "doc_id").alias("lowest"), F.coalesce("component", "id").alias("group")), ["a", "b"], "left")
     alone = F.col("doc_id").isNull() | (F.col("n") == 0)
-    return told.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"))
+    return told.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"), "group")
 
 
 def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -419,7 +417,7 @@ def classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     smallest id that it reaches. A text is one set however long it is; a text of fewer words than a shingle is one
     shingle. Ties of similarity at the threshold link. An empty table gives no rows. Other columns are not read.
     """
-    return classed(docs, words, percent).drop("text_hash")
+    return classed(docs, words, percent).drop("text_hash", "group")
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -432,9 +430,9 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     names = [F.col(f"`{c}`") for c in docs.columns]
     taken = {c.lower() for c in docs.columns}
     key, rank = (next(n for k in range(len(taken) + 1) if (n := f"__{name}{k}") not in taken) for name in ("id", "hash"))
-    rows = written(classed(docs, words, percent).where("doc_id is not null").groupBy("doc_id", "text_hash").agg(F.min("component_id").alias("component_id"), F.max("n_shingles").alias("n"), F.count("*").alias("copies")), "jaccard-rows")
-    first = rows.where("n > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
-    gone = rows.where("n > 0").join(first, "component_id").where("struct(doc_id, text_hash) != kept").select("doc_id", "text_hash")
+    rows = written(classed(docs, words, percent).where("doc_id is not null").groupBy("doc_id", "text_hash").agg(F.min("group").alias("group"), F.max("n_shingles").alias("n"), F.count("*").alias("copies")), "jaccard-rows")
+    first = rows.where("n > 0").groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
+    gone = rows.where("n > 0").join(first, "group").where("struct(doc_id, text_hash) != kept").select("doc_id", "text_hash")
     twice = rows.where("copies > 1").join(gone, ["doc_id", "text_hash"], "left_anti")
     marked = docs.withColumns({key: F.col("doc_id").cast("long"), rank: hash_of("text")})
     name = lambda table: table.select(F.col("doc_id").alias(key), F.col("text_hash").alias(rank))
