@@ -1,12 +1,15 @@
 """Toxicity from class-conditional Kneser-Ney models.
 
 Two models, of toxic and of ordinary documents, are counted on a bounded sample of labelled rows. Each class
-interpolates its word bigrams with its own continuation counts of words, those with a model of how its words are
-spelled, by letter n-grams of the class, and those with letter n-grams that both classes share. So an expression that
-one class has hardly seen is judged by the counts that it shares with others, not by its absence. A text's evidence is
-the difference of its log-likelihoods under the two models, normalised by length: over the whole text, and over its
-strongest word and its ``STRONGEST`` strongest words, as insults in a long text are diluted over the whole. A logistic
-curve fitted on labelled rows that were not counted turns them into a probability.
+interpolates its word bigrams with its own continuation counts of words, and those with counts that both classes share:
+in how many classes a word was seen, and how words are spelled by letter n-grams. So an expression that one class has
+hardly seen is judged by the counts that it shares with the other, not by its absence. A text's evidence is the
+difference of its log-likelihoods under the two models, normalised by length: over the whole text, and over its
+``STRONGEST`` strongest words, as insults in a long text are diluted over the whole. A logistic curve fitted on labelled
+rows that were not counted turns them into a probability.
+
+Counts are tables, grouped by Spark. What the driver receives and sends to the tasks are their sorted keys and sums; the
+sample bounds them, in rows and in characters.
 """
 
 from __future__ import annotations
@@ -18,25 +21,27 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import over_blocks, remainder, whole
+from .common import over_blocks, remainder, whole, written
 
-#: Rows of each class that the models are counted on, and that the curve is fitted on: the bound of the sample.
-COUNT_ROWS, CURVE_ROWS = 1000, 500
+#: Rows of each class that the models are counted on, and that the curve is fitted on, and characters of these rows: the
+#: bound of the sample. Rows that would exceed the characters are passed over, never cut.
+COUNT_ROWS, CURVE_ROWS = 3000, 750
+CHARACTERS = 10_000_000
 #: Rows with this remainder of crc32(doc_id) by 4 are never learned from.
 HELD_OUT = (4, 2)
 THRESHOLD = 0.3
-DISCOUNT = 0.75
+#: Of class counts and letter counts; of the shared counts of words, which are 1 or 2.
+DISCOUNT, SHARED_DISCOUNT = 0.75, 0.3
 STRONGEST = 4
 #: Words whose probabilities a task remembers; texts that are judged together, in characters.
 REMEMBERED, TOGETHER = 400_000, 2 << 20
-#: Letters of the longest letter n-gram, and of the longest that both classes share.
-LETTERS, SHARED_LETTERS = 6, 3
+#: Letters of the longest letter n-gram.
+LETTERS = 3
 START = xxhash.xxh3_64_intdigest(b"\x00start")
 
 
@@ -90,22 +95,32 @@ def grams(letter: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, n
 
 
 class Table:
-    """Sums of two classes by a 64-bit key; 0 where a key is unknown."""
+    """Sums by a 64-bit key, a row for each class or a single one; 0 where a key is unknown. ``keys`` are sorted."""
 
-    def __init__(self, keys: np.ndarray, sums: np.ndarray):
-        self.keys, inverse = np.unique(keys, return_inverse=True)
-        self.sums = np.stack([np.bincount(inverse, row, len(self.keys)) for row in sums]).astype(np.float32)
+    def __init__(self, keys: np.ndarray, *sums: np.ndarray):
+        self.keys = keys
+        self.sums = np.stack(sums)
+        if not len(keys) or self.sums.max() < 2**16:
+            self.sums = self.sums.astype(np.uint16)
+
+    @classmethod
+    def of(cls, rows: DataFrame) -> Table:
+        """From a bounded table of keys (first column) and sums."""
+        found = rows.orderBy(rows.columns[0]).toArrow()
+        keys, *sums = (found[k].to_numpy() for k in found.column_names)
+        order = np.argsort(keys.view(np.uint64))  # signed order before
+        return cls(keys.view(np.uint64)[order], *(x[order] for x in sums))
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
-            return np.zeros((2, len(keys)))
+            return np.zeros((len(self.sums), len(keys)))
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return self.sums[:, at].astype(float) * (self.keys[at] == keys)
 
 
-def interpolated(count: np.ndarray, total: np.ndarray, kinds: np.ndarray, lower: np.ndarray) -> np.ndarray:
+def interpolated(count: np.ndarray, total: np.ndarray, kinds: np.ndarray, lower: np.ndarray, discount: float = DISCOUNT) -> np.ndarray:
     """One step of interpolated Kneser-Ney; where the history is unknown, the lower order's probability."""
-    return np.where(total > 0, (np.maximum(count - DISCOUNT, 0) + DISCOUNT * kinds * lower) / np.maximum(total, 1), lower)
+    return np.where(total > 0, (np.maximum(count - discount, 0) + discount * kinds * lower) / np.maximum(total, 1), lower)
 
 
 @dataclass
@@ -113,71 +128,74 @@ class Model:
     """Counts of both classes; toxic is row 0."""
 
     bigrams: Table
-    histories: tuple[Table, Table]  # tokens and distinct words behind a history
-    words: Table  # continuation counts
-    totals: tuple[np.ndarray, np.ndarray]  # of all continuation counts; of distinct words
-    letters: list[tuple[Table, Table, Table]]  # by order: n-grams, their contexts' tokens, their contexts' kinds
+    histories: Table  # tokens behind a history (rows 0 and 1), distinct words behind it (rows 2 and 3)
+    words: Table  # continuation counts: different words before a word
+    letters: list[tuple[Table, Table]]  # by order: n-grams; their contexts' n-grams and distinct n-grams
+
+    def __post_init__(self) -> None:
+        held = self.words.sums > 0
+        self.totals, self.kinds = self.words.sums.sum(axis=1, dtype=float), held.sum(axis=1, dtype=float)
+        self.shared_total, self.shared_kinds = float(held.sum()), float(held.any(axis=0).sum())
 
     @classmethod
-    def counted(cls, vocabulary: list[bytes], history: np.ndarray, word: np.ndarray, counts: np.ndarray) -> Model:
-        """From the distinct words, and the bigrams (hashes of history, of word) with the counts of both classes."""
-        seen = (counts > 0).astype(float)
-        words = Table(word, seen)
-        weights = words(hashed(vocabulary))  # a word is spelled as often as it has different words before it
-        tables = []
-        letter, owner = letters(vocabulary)
-        for order, (context, gram) in enumerate(grams(letter, owner), 1):
-            sums = weights[:, owner]
-            if order <= SHARED_LETTERS:
-                sums = np.broadcast_to(sums.sum(axis=0), sums.shape)
-            table = Table(gram, sums)
-            _, first = np.unique(gram, return_index=True)
-            tables.append((table, Table(context, sums), Table(context[first], (table.sums > 0).astype(float))))
-        return cls(Table(mixed(history, word), counts), (Table(history, counts), Table(history, seen)), words, (words.sums.sum(axis=1), (words.sums > 0).sum(axis=1)), tables)
+    def counted(cls, bigrams: DataFrame, letters: DataFrame) -> Model:
+        """``bigrams``: h, w, key (of both), toxic, ordinary. ``letters``: order, context, gram, n."""
+        seen = [F.sum((F.col(k) > 0).cast("int")).cast("int").alias(f"{k}_kinds") for k in ("toxic", "ordinary")]
+        sums = [F.sum(k).cast("int").alias(k) for k in ("toxic", "ordinary")]
+        pairs = Table.of(bigrams.select("key", F.col("toxic").cast("int"), F.col("ordinary").cast("int")))
+        orders = []
+        for order in range(1, LETTERS + 1):
+            own = letters.where(F.col("order") == order)
+            orders.append((Table.of(own.select("gram", "n")), Table.of(own.groupBy("context").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")))))
+        return cls(pairs, Table.of(bigrams.groupBy("h").agg(*sums, *seen)), Table.of(bigrams.groupBy("w").agg(*seen)), orders)
 
     def spelled(self, vocabulary: list[bytes]) -> np.ndarray:
-        """Probability of each word's spelling in each class, as logarithms."""
+        """Probability of each word's spelling, as logarithms."""
         letter, owner = letters(vocabulary)
-        p = np.full((2, len(owner)), 1 / 257)
-        for (table, totals, kinds), (context, gram) in zip(self.letters, grams(letter, owner), strict=True):
-            p = interpolated(table(gram), totals(context), kinds(context), p)
-        return np.stack([np.bincount(owner, np.log(row), len(vocabulary)) for row in p])
+        p = np.full(len(owner), 1 / 257)
+        for (table, contexts), (context, gram) in zip(self.letters, grams(letter, owner), strict=True):
+            total, kinds = contexts(context)
+            p = interpolated(table(gram)[0], total, kinds, p)
+        return np.bincount(owner, np.log(p), len(vocabulary))
+
+    def alone(self, vocabulary: list[bytes]) -> np.ndarray:
+        """Probability of each word without its history in each class."""
+        counts = self.words(hashed(vocabulary))
+        spelled = np.exp(np.maximum(self.spelled(vocabulary), -600))
+        shared = interpolated((counts > 0).sum(axis=0), np.full(len(vocabulary), self.shared_total), self.shared_kinds, spelled, SHARED_DISCOUNT)
+        return interpolated(counts, self.totals[:, None] + np.zeros(len(vocabulary)), self.kinds[:, None], shared)
 
     def singles(self, vocabulary: list[bytes]) -> np.ndarray:
-        """Probability of each word alone in each class; those of words seen before are remembered."""
+        """As ``alone``; those of words seen before are remembered."""
         if not hasattr(self, "places") or len(self.places) + len(vocabulary) > REMEMBERED:
             self.places: dict[bytes, int] = {}
             self.found = np.empty((2, max(REMEMBERED, len(vocabulary))))
         places = self.places
         new = [w for w in vocabulary if w not in places]
         if new:
-            total, kinds = self.totals
-            hashes, at = hashed(new), len(places)
-            spelled = np.exp(np.maximum(self.spelled(new), -600))
-            self.found[:, at : at + len(new)] = interpolated(self.words(hashes), total[:, None] + np.zeros(len(new)), kinds[:, None], spelled)
+            at = len(places)
+            self.found[:, at : at + len(new)] = self.alone(new)
             places.update(zip(new, range(at, at + len(new)), strict=True))
         return self.found[:, np.fromiter(map(places.__getitem__, vocabulary), np.int64, len(vocabulary))]
 
     def evidence(self, texts: list[str]) -> np.ndarray:
-        """Per text the length-normalised log-likelihood ratio: of all of it, of its best word, of its best words."""
+        """Per text the length-normalised log-likelihood ratio, of all of it and of its strongest words."""
         vocabulary, word, sizes = tokens(texts)
         hashes = hashed(vocabulary)
         lower = self.singles(vocabulary)
         single = np.log(lower[0] / lower[1])[word]
-        seen_after = self.histories[0](hashes), self.histories[1](hashes)
         start = np.array([START], np.uint64)
-        history_total = np.concatenate([seen_after[0], self.histories[0](start)], axis=1)
-        history_kinds = np.concatenate([seen_after[1], self.histories[1](start)], axis=1)
+        behind = np.concatenate([self.histories(hashes), self.histories(start)], axis=1)
         h = before(word, sizes, len(vocabulary))
         key = mixed(np.append(hashes, start)[h], hashes[word])
-        p = interpolated(self.bigrams(key), history_total[:, h], history_kinds[:, h], lower[:, word])
+        p = interpolated(self.bigrams(key), behind[:2, h], behind[2:, h], lower[:, word])
         ratio = np.log(p[0] / p[1])
         owner = np.repeat(np.arange(len(sizes)), sizes)
         order = np.lexsort([-single, owner])
-        place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        best = single[order] * (place < STRONGEST)
         starts = np.cumsum(sizes) - sizes
-        return np.stack([np.add.reduceat(ratio, starts) / sizes, single[order][starts], np.add.reduceat(best, starts) / np.minimum(sizes, STRONGEST)], axis=1)
+        place = np.arange(len(word)) - np.repeat(starts, sizes)
+        best = single[order] * (place < STRONGEST)
+        return np.stack([np.add.reduceat(ratio, starts) / sizes, np.add.reduceat(best, starts) / np.minimum(sizes, STRONGEST)], axis=1)
 
 
 @dataclass
@@ -212,56 +230,84 @@ def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_rows: int = CURVE_ROWS) -> Scorer | None:
-    """The model of ``labels.toxic``, learned from at most ``count_rows + curve_rows`` labelled rows of each class.
+def sampled(docs: DataFrame, labels: DataFrame, count_rows: int, curve_rows: int, characters: int) -> tuple[DataFrame | None, dict[int, int]]:
+    """The rows to learn from (``text``, ``toxic``, ``counted``) as a written table, and the labelled rows of each class.
 
-    The sample is of the rows with the smallest hash of their id. Null labels and null ids are no labels; of several
-    labels of one id the highest counts. None if no sampled document bears a label.
+    Rows come by the hash of their id; null labels and null ids are no labels, of several labels of one id the highest
+    counts, and of several texts of one id the lowest. The driver sees ids and lengths of the sample.
     """
     modulus, left_out = HELD_OUT
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    usable = known.where(remainder(F.col("doc_id"), modulus) != left_out).withColumn("h", F.xxhash64("doc_id"))
-    share = {r["toxic"]: r["n"] for r in usable.where("toxic in (0, 1)").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    usable = known.where(remainder(F.col("doc_id"), modulus) != left_out).where("toxic in (0, 1)")
+    lengths = whole(docs).groupBy("doc_id").agg(F.min(F.length("text")).alias("size"))
+    usable = written(usable.join(lengths, "doc_id").withColumn("h", F.xxhash64("doc_id")), "toxicity-labels")
+    share = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     picked = []
     for value in (1, 0):
-        rows = usable.where(F.col("toxic") == value).orderBy("h", "doc_id").limit(count_rows + curve_rows).select("doc_id").collect()
+        rows = usable.where(F.col("toxic") == value).orderBy("h", "doc_id").limit(count_rows + curve_rows).select("doc_id", "size").collect()
+        fits, size = [], 0
+        for r in rows:
+            if size + r["size"] <= characters:
+                fits.append(r["doc_id"])
+                size += r["size"]
         part = count_rows / (count_rows + curve_rows)
-        picked += [(r["doc_id"], value, k < part * len(rows)) for k, r in enumerate(rows)]
+        picked += [(doc, value, k < part * len(fits)) for k, doc in enumerate(fits)]
     if not picked:
-        return None
+        return None, share
     sample = docs.sparkSession.createDataFrame(picked, "doc_id long, toxic int, counted boolean")
-    chosen = whole(docs).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    texts = whole(docs).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic", "counted").agg(F.min_by("text", F.struct(F.length("text"), "text")).alias("text"))
+    return written(texts, "toxicity-sample"), share
+
 
-    def count(block: pa.Table) -> Iterator[pa.RecordBatch]:
+def counts(sample: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The class bigrams and the shared letter n-grams of distinct words, as ``Model.counted`` takes them."""
+
+    def words_in(block: pa.Table) -> Iterator[pa.RecordBatch]:
         vocabulary, word, sizes = tokens(block["text"].to_pylist())
+        hashes = np.append(hashed(vocabulary), np.uint64(START))
         label = np.repeat(block["toxic"].to_numpy(), sizes)
-        frame = pd.DataFrame({"h": before(word, sizes, -1), "w": word, "toxic": label == 1, "ordinary": label == 0})
+        frame = pd.DataFrame({"h": before(word, sizes, len(vocabulary)), "w": word, "toxic": label == 1, "ordinary": label == 0})
         frame = frame.groupby(["h", "w"], as_index=False, sort=False).sum()
-        names = pa.array([*vocabulary, None], pa.binary())
-        yield pa.RecordBatch.from_arrays([names.take(pa.array(frame["h"].to_numpy() % len(names))), names.take(pa.array(frame["w"].to_numpy())), *(pa.array(frame[k].to_numpy(np.int64)) for k in ("toxic", "ordinary"))], names=["h", "w", "toxic", "ordinary"])
+        h, w = hashes[frame["h"].to_numpy()], hashes[frame["w"].to_numpy()]
+        columns = [h.view(np.int64), w.view(np.int64), mixed(h, w).view(np.int64), *(frame[k].to_numpy(np.int64) for k in ("toxic", "ordinary"))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "w", "key", "toxic", "ordinary"])
+
+    def distinct(block: pa.Table) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array(tokens(block["text"].to_pylist())[0], pa.binary())], names=["word"])
 
-    counts = over_blocks(chosen.where("counted"), count, "h binary, w binary, toxic long, ordinary long")
-    table = counts.groupBy("h", "w").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toArrow()
-    if not table.num_rows:
+    def spellings(block: pa.Table) -> Iterator[pa.RecordBatch]:
+        letter, owner = letters(block["word"].to_pylist())
+        for order, (context, gram) in enumerate(grams(letter, owner), 1):
+            found, first, n = np.unique(gram, return_index=True, return_counts=True)
+            columns = [np.full(len(found), order), context[first].view(np.int64), found.view(np.int64), n.astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["order", "context", "gram", "n"])
+
+    pairs = over_blocks(sample, words_in, "h long, w long, key long, toxic long, ordinary long", limit=2 * TOGETHER)
+    pairs = written(pairs.groupBy("h", "w", "key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "toxicity-bigrams")
+    words = over_blocks(sample, distinct, "word binary").distinct()
+    spelled = over_blocks(words, spellings, "order long, context long, gram long, n long", sized_by="word", limit=TOGETHER)
+    return pairs, written(spelled.groupBy("order", "context", "gram").agg(F.sum("n").alias("n")), "toxicity-letters")
+
+
+def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_rows: int = CURVE_ROWS, characters: int = CHARACTERS) -> Scorer | None:
+    """The model of ``labels.toxic``, learned from at most ``count_rows + curve_rows`` labelled rows of each class that
+    have at most ``characters``. None if no sampled document bears a label."""
+    sample, share = sampled(docs, labels, count_rows, curve_rows, characters)
+    if sample is None:
         return None
-    coded = pa.chunked_array(table["w"].chunks).dictionary_encode().unify_dictionaries().combine_chunks()
-    words = coded.dictionary.to_pylist()
-    history = pa.compute.index_in(table["h"], coded.dictionary).combine_chunks().fill_null(len(words)).to_numpy()
-    hashes = np.append(hashed(words), np.uint64(START))
-    model = Model.counted(words, hashes[history], hashes[coded.indices.to_numpy()], np.stack([table[k].to_numpy().astype(float) for k in ("toxic", "ordinary")]))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    del table, coded, words, history, hashes, model
+    pairs, spelled = counts(sample.where("counted"))
+    shared = docs.sparkSession.sparkContext.broadcast(Model.counted(pairs, spelled))
 
     def judge(block: pa.Table) -> Iterator[pa.RecordBatch]:
         x = shared.value.evidence(block["text"].to_pylist())
-        yield pa.RecordBatch.from_arrays([block["toxic"].combine_chunks(), *(pa.array(x[:, k]) for k in range(3))], names=["toxic", "a", "b", "c"])
+        yield pa.RecordBatch.from_arrays([block["toxic"].combine_chunks(), *(pa.array(np.ascontiguousarray(x[:, k])) for k in range(2))], names=["toxic", "a", "b"])
 
-    seen = over_blocks(chosen.where("not counted"), judge, "toxic int, a double, b double, c double", limit=2 * TOGETHER).toArrow()
+    seen = over_blocks(sample.where("not counted"), judge, "toxic int, a double, b double", limit=2 * TOGETHER).toArrow()
     y = seen["toxic"].to_numpy().astype(float)
-    order = np.lexsort([seen[k].to_numpy() for k in "abc"] + [y])
-    x, y = np.stack([seen[k].to_numpy() for k in "abc"], axis=1)[order], y[order]
+    order = np.lexsort([seen[k].to_numpy() for k in "ab"] + [y])
+    x, y = np.stack([seen[k].to_numpy() for k in "ab"], axis=1)[order], y[order]
     weight = np.where(y == 1, share.get(1, 0) / max(y.sum(), 1), share.get(0, 0) / max((1 - y).sum(), 1))
-    return Scorer(shared, fit_curve(x, y, weight / max(weight.mean(), 1e-9)) if len(y) else np.zeros(4))
+    return Scorer(shared, fit_curve(x, y, weight / max(weight.mean(), 1e-9)) if len(y) else np.zeros(3))
 
 
 def probability(docs: DataFrame, scorer: Scorer | None, text: str = "text") -> Column:
@@ -284,13 +330,19 @@ def probability(docs: DataFrame, scorer: Scorer | None, text: str = "text") -> C
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row; an empty table gives no rows."""
+    """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row.
+
+    A null or empty text is scored by its end alone. A text is judged as a whole however long it is. Rows that repeat a
+    text have its score; of rows that share an id but not the text, each has its own. A null id is no label and not held
+    out. Score 0 if there is nothing to learn from. An empty table gives no rows. Of ``docs`` only ``doc_id`` and
+    ``text`` are read, of ``labels`` only ``doc_id`` and ``toxic``.
+    """
     scored = whole(docs).withColumn("score", probability(docs, fit(docs, labels)))
     modulus, left_out = HELD_OUT
     return scored.select("doc_id", (remainder(F.col("doc_id"), modulus) == left_out).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def harmless(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` below the threshold, with their own columns."""
-    mark = "__toxicity"
-    return docs.withColumn(mark, probability(docs, fit(docs, labels))).where(F.col(mark) < THRESHOLD).drop(mark)
+    """The rows of ``docs`` below the threshold, with their own columns, whatever their names. Nulls, empty and repeated
+    rows as of ``toxicity``."""
+    return docs.where(probability(docs, fit(docs, labels)) < THRESHOLD)

@@ -112,6 +112,68 @@ def test_toxicity_learns_and_holds_out(spark, odd, none):
     assert toxicity.harmless(learned, labelled).count() < 330 and toxicity.harmless(odd, labelled.limit(0)).columns == odd.columns
 
 
+def test_toxicity_probabilities_are_kneser_ney(spark):
+    """Evidence of the model against formulas over plain counts."""
+    random.seed(22)
+    docs = [(k, int(k % 3 == 0), " ".join(random.choices(["abc", "abd", "b", "vile", "é", "abcd", f"x{k % 5}"], k=random.randint(0, 9)))) for k in range(30)]
+    model = toxicity.Model.counted(*toxicity.counts(spark.createDataFrame(docs, "doc_id long, toxic int, text string").repartition(3)))
+    bigrams = [collections.Counter(), collections.Counter()]
+    for _, toxic, text in docs:
+        w = text.split()
+        bigrams[1 - toxic].update(zip(["^", *w], [*w, "\x00"]))
+    vocabulary = sorted({w for c in bigrams for _, w in c})
+    spell = [collections.Counter() for _ in range(3)]
+    spelled_as = lambda w: [256, 256, *w.encode(), 10]
+    context = lambda x, k, n: tuple(x[max(k - n, 1) : k])  # noqa: E731  the first mark is seen where the context reaches the start
+    for w in vocabulary:
+        x = spelled_as(w)
+        for k in range(2, len(x)):
+            for n in range(3):
+                spell[n][context(x, k, n), x[k]] += 1
+
+    def interpolate(count, total, kinds, lower, discount=0.75):
+        return (max(count - discount, 0) + discount * kinds * lower) / total if total else lower
+
+    def spelling(w):
+        x, out = spelled_as(w), 1.0
+        for k in range(2, len(x)):
+            p = 1 / 257
+            for n in range(3):
+                own = {y: c for (h, y), c in spell[n].items() if h == context(x, k, n)}
+                p = interpolate(own.get(x[k], 0), sum(own.values()), len(own), p)
+            out *= p
+        return out
+
+    classes = [{w: sum(x == w for _, x in c) for w in vocabulary} for c in bigrams]
+    shared = {w: sum(c[w] > 0 for c in classes) for w in vocabulary}
+
+    def single(c, w):
+        lower = interpolate(shared.get(w, 0), sum(shared.values()), len(shared), spelling(w), 0.3)
+        return interpolate(classes[c].get(w, 0), sum(classes[c].values()), sum(v > 0 for v in classes[c].values()), lower)
+
+    def pair(c, h, w):
+        own = {y: n for (x, y), n in bigrams[c].items() if x == h}
+        return interpolate(own.get(w, 0), sum(own.values()), len(own), single(c, w))
+
+    probes = ["", "vile", "abc abd b", "new abq vile x1 x1 é", "b b b b b b b"]
+    found = model.evidence(probes)
+    for text, (whole, best) in zip(probes, found, strict=True):
+        w = text.split()
+        ratios = [math.log(pair(0, h, x) / pair(1, h, x)) for h, x in zip(["^", *w], [*w, "\x00"])]
+        ranked = sorted((math.log(single(0, x) / single(1, x)) for x in [*w, "\x00"]), reverse=True)[:4]
+        assert abs(whole - sum(ratios) / len(ratios)) < 1e-9 and abs(best - sum(ranked) / len(ranked)) < 1e-9
+
+
+def test_toxicity_sample_is_bounded(spark, documents):
+    labels = documents.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    sample, share = toxicity.sampled(documents, labels, 8, 4, 20_000)
+    rows = sample.collect()
+    for value in (0, 1):
+        own = [r for r in rows if r["toxic"] == value]
+        assert 0 < len(own) <= 12 and sum(len(r["text"]) for r in own) <= 20_000 and share[value] > len(own)
+    assert not any(zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 for r in rows)
+
+
 # 3 BPE
 
 
@@ -186,6 +248,35 @@ def test_jaccard_on_odd_rows(odd, none):
     assert kept.columns == odd.columns and sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == [k for k in range(len(TEXTS)) if k != 6]
 
 
+def test_jaccard_of_rows_that_share_an_id(spark):
+    base = [f"w{k}" for k in range(60)]
+    near = [*base[:30], "other", *base[31:]]
+    rows = [(1, " ".join(base)), (1, "something else that is quite short"), (2, " ".join(near)), (2, "alone with some words of its own"), (3, " ".join(base)), (3, " ".join(base)), (4, ""), (None, " ".join(base))]
+    df = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, component_id string").repartition(3)
+    found = collections.Counter((r["doc_id"], r["component_id"]) for r in jaccard.classes(df, 4, 80).collect())
+    assert found == {(1, 1): 2, (2, 1): 1, (2, 2): 1, (3, 1): 2, (4, 4): 1, (None, None): 1}
+    kept = jaccard.one_of_each(df, 4, 80)
+    assert kept.columns == df.columns
+    expected = collections.Counter([rows[0], rows[1], rows[3], rows[6], rows[7]])
+    assert collections.Counter((r["doc_id"], r["text"]) for r in kept.collect()) == expected
+
+
+def test_jaccard_in_pieces(spark, monkeypatch):
+    """Lists in pieces and parts, and chains of few sets, change nothing."""
+    monkeypatch.setattr(jaccard, "PIECE", 7)
+    monkeypatch.setattr(jaccard, "CHAIN", 3)
+    random.seed(44)
+    base = [f"b{k}" for k in range(80)]
+    docs = []
+    for k in range(60):
+        copy = list(base)
+        for _ in range(random.choice([1, 2, 3])):
+            copy[random.randrange(80)] = f"z{random.randint(0, 400)}"
+        docs.append((k, " ".join(copy)))
+    rows = jaccard.classes(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), 4, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == brute_classes(docs, 4, 85)
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     found = {r["node"]: r["component"] for r in components.components(edges).collect()}
