@@ -64,7 +64,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the four kinds, in their order, then by start; the end is exclusive."""
     out = [("email", a, b) for a, b in emails(text)]
     for m in IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+        if all(len(bare := part.lstrip("0")) <= 3 and int(bare or 0) <= 255 for part in m[0].split(".")):  # a part of any length
             out.append(("ip", m.start(), m.end()))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16:
@@ -198,7 +198,8 @@ class Terms:
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with the text's base spans replaced by ``<kind>`` and revealing terms taken out wherever they stand.
 
-    Overlapping spans are one, named by the first. Null texts stay null, other columns and rows as they are.
+    Overlapping spans are one, named by the first. Null texts stay null, empty ones empty; rows that share or lack an id
+    are masked each by its own text; other columns and rows stay as they are. An empty table gives no rows.
     """
     shared = known(docs)
 
@@ -225,8 +226,10 @@ def masked(docs: DataFrame) -> DataFrame:
 def detect(docs: DataFrame) -> DataFrame:
     """Per document the counts of each kind, the digest of the base spans and all spans.
 
-    A null text is empty; empty texts have no spans. A repeated row has the spans of its text again. An empty table gives
-    no rows. Other columns are not read.
+    A null text is empty; empty texts have no spans. Texts are searched whole, digit runs of any length included. Spans
+    are found in each row's own text, so a repeated row has the spans of its text again and rows that share an id do not
+    mix; a null id stays null. Terms that tie at a threshold count. An empty table gives no rows. Other columns are not
+    read.
     """
     shared = known(docs)
 

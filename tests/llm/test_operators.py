@@ -304,6 +304,17 @@ def test_pii_spans(odd, none):
     assert masked[8] == "mail me: <email> or <phone> now" and masked[0] is None and pii.masked(odd).columns == odd.columns
 
 
+def test_pii_of_long_digit_runs_and_repeated_ids(spark):
+    long_run = "0" * 5000
+    assert pii.base_spans(f"{long_run}.1.2.3") == [("ip", 0, 5006)] and pii.base_spans(f"{long_run}.1.2.300") == []
+    assert pii.base_spans("9" * 5000 + ".1.2.3") == [] and pii.base_spans("0000.0.0.255 x") == [("ip", 0, 12)]
+    rows = [(1, "zzzz yyyy a@b.cd xxxx"), (1, "uuuu tttt +49 30 123456 and more"), (None, f"{long_run}.1.2.3"), (None, "a@b.cd"), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = collections.Counter((r["doc_id"], r["text"]) for r in pii.masked(df).collect())
+    assert texts == collections.Counter([(1, "zzzz yyyy <email> xxxx"), (1, "uuuu tttt <phone> and more"), (None, "<ip>"), (None, "<email>"), (2, None)])
+    assert collections.Counter((r["doc_id"], r["spans"]) for r in pii.detect(df).collect()) == collections.Counter([(1, "email:10:16"), (1, "phone:10:23"), (None, "ip:0:5006"), (None, "email:0:6"), (2, "")])
+
+
 def test_pii_finds_revealing_terms(spark):
     filler = [f"word{k}" for k in range(50)]
     random.seed(6)
