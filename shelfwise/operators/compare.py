@@ -46,8 +46,12 @@ def scope_diff(one: DataFrame, other: DataFrame, metrics: Sequence[str]) -> Data
 
 
 def universe(rows: DataFrame, years: Sequence[int], key: Sequence[str] = ("product_id", "store_id")) -> DataFrame:
-    """Keys that have rows in every one of the years."""
+    """Keys that have rows in every one of the years; where rows say so, only those of sales and of unblocked days count."""
     chosen = rows.where(F.col("year").isin(list(years)))
+    if "has_sales_row" in rows.columns:
+        chosen = chosen.where("has_sales_row")
+    if "is_blocked" in rows.columns:
+        chosen = chosen.where("not is_blocked")
     return chosen.groupBy(*key).agg(F.count_distinct("year").alias("n")).where(F.col("n") == len(set(years))).select(*key)
 
 

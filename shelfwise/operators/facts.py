@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditions import valued
+from .assortment import each_day
 from .calendar import within
 
 KEY = ["product_id", "store_id", "date"]
@@ -54,7 +56,7 @@ def scoped_daily(days: DataFrame, products: DataFrame, calendar: DataFrame, week
     days = days.withColumn("has_sales_row", F.col("has_daily_row") | F.col("gross_only"))
     days = days.withColumn("has_daily_row", F.col("has_daily_row") & ~F.col("gross_only")).withColumn("has_stock_row", ~(F.col("gross_only") & (F.col("git_quantity") == 0)))
     at = calendar.select("date", "year", "week").join(weeks.select("year", "week", "week_start_date", "week_days"), ["year", "week"])
-    dated = days.join(F.broadcast(at), "date").join(F.broadcast(products), "product_id")
+    dated = days.join(F.broadcast(at), "date").join(products, "product_id")
     price, cost = F.col("price_without_tax"), F.col("cogs")
     both = F.col("inventory") + F.col("git_quantity")
     return dated.withColumns({
@@ -72,54 +74,37 @@ def collapsed(scoped: DataFrame, keys: Sequence[str]) -> DataFrame:
 def instock_daily(pairs: DataFrame, daily: DataFrame, weeks: DataFrame, start: str, end: str, count_start: str = "first", intervals: DataFrame | None = None, transit: DataFrame | None = None, sales_count: bool = True, usable_only: bool = False, require_daily_data: bool = True) -> DataFrame:
     """In-stock and available days per pair and week.
 
-    Days are counted from the pair's first daily row (``first``), its scope start where it has one (``scope``) or the
-    earlier of both (``earliest``), to the end of the window, by arithmetic on week bounds. Blocked days, and unusable
-    ones if asked, leave both counts. A day is in stock with stock, with sales (``sales_count``) or with transit; a day
-    without a row is out of stock. ``pairs``: product_id, store_id, scope_start.
+    Days count from the pair's first daily row (``first``), its scope start where it has one (``scope``) or the earlier
+    of both (``earliest``), to the end of the window. Blocked days, and unusable ones if asked, leave both counts. A day
+    is in stock with stock, with sales (``sales_count``) or with transit; a day without a row is out of stock. ``pairs``:
+    product_id, store_id, scope_start.
+
+    All that happens on a day is brought to one row per pair and day; then three sums meet in one aggregation by pair and
+    week: the calendar days of the week, the blocked ones, and what the days' rows say.
     """
-    keys = ["product_id", "store_id"]
-    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
-    days = daily.join(pairs.select(*keys), keys, "left_semi")
-    seen = days.groupBy(*keys).agg(F.min("date").alias("first_row"))
-    begun = pairs.join(seen, keys, "inner" if require_daily_data else "left")
-    begin = {"first": F.col("first_row"), "scope": F.coalesce("scope_start", "first_row"), "earliest": F.least("scope_start", "first_row")}[count_start]
-    begun = begun.withColumn("count_from", F.greatest(begin, first)).where(F.col("count_from") <= last).select(*keys, "count_from")
-    inside = within(weeks, start, end).select("year", "week", F.greatest("week_start_date", first).alias("from_day"), F.least("week_end_date", last).alias("to_day"))
-    grid = begun.join(F.broadcast(inside), F.col("to_day") >= F.col("count_from")).withColumn("from_day", F.greatest("from_day", "count_from"))
-    rows = grid.withColumn("counted", F.datediff("to_day", "from_day") + 1)
-    taken = None  # days that leave both counts, one row each
-    if intervals is not None:
-        spans = intervals.withColumnRenamed("location_id", "store_id")
-        met = grid.join(spans, keys).where("first_day <= to_day and last_day >= from_day")
-        lost = F.datediff(F.least("last_day", "to_day"), F.greatest("first_day", "from_day")) + 1
-        taken = met.groupBy(*keys, "year", "week").agg(F.sum(lost).alias("blocked"))
-    counted = days.where(F.col("date").between(first, last))
-    if intervals is not None:
-        spans = intervals.select("product_id", F.col("location_id").alias("store_id"), "first_day", "last_day")
-        counted = counted.join(spans, [*[counted[k] == spans[k] for k in keys], counted["date"].between(spans["first_day"], spans["last_day"])], "left_anti")
-    counted = counted.join(begun, keys).where("date >= count_from")
-    usable = F.coalesce("usable", F.lit(0)) == 1
-    stocked = (F.col("inventory") > 0) | ((F.coalesce("sales_quantity", F.lit(0.0)) > 0) if sales_count else F.lit(False))
-    good = counted.where(stocked & (usable if usable_only else F.lit(True))).select(*keys, "date").distinct()
-    unusable = counted.where(~usable).select(*keys, "date").distinct() if usable_only else None
+    pair = ["product_id", "store_id"]
+    window_start, window_end = F.lit(start).cast("date"), F.lit(end).cast("date")
+    scoped = daily.join(pairs.select(*pair), pair, "left_semi")
+    begun = pairs.join(scoped.groupBy(*pair).agg(F.min("date").alias("first_row")), pair, "inner" if require_daily_data else "left")
+    rule = {"first": F.col("first_row"), "scope": F.coalesce("scope_start", "first_row"), "earliest": F.least("scope_start", "first_row")}[count_start]
+    begun = begun.select(*pair, F.greatest(rule, window_start).alias("opens_on")).where(F.col("opens_on") <= window_end)
+    spans = within(weeks, start, end).select("year", "week", F.greatest("week_start_date", window_start).alias("week_from"), F.least("week_end_date", window_end).alias("week_to"))
+    dates = F.broadcast(spans.select("year", "week", F.explode(F.sequence("week_from", "week_to")).alias("date")))  # as many rows as the calendar has days
+    has_stock = F.coalesce(F.col("inventory") > 0, F.lit(False)) | (F.coalesce(F.col("sales_quantity") > 0, F.lit(False)) if sales_count else F.lit(False))
+    unusable = F.coalesce(F.col("usable") != 1, F.lit(True)) if usable_only else F.lit(False)
+    events = scoped.select(*pair, "date", has_stock.alias("stocked"), unusable.alias("unusable"))
     if transit is not None:
-        moving = transit.where("quantity > 0").select(*keys, "date").join(begun, keys).where((F.col("date") >= F.col("count_from")) & F.col("date").between(first, last)).select(*keys, "date")
-        if intervals is not None:
-            moving = moving.join(spans, [*[moving[k] == spans[k] for k in keys], moving["date"].between(spans["first_day"], spans["last_day"])], "left_anti")
-        if unusable is not None:
-            moving = moving.join(unusable, [*keys, "date"], "left_anti")
-        good = good.union(moving.distinct()).distinct()
-    at = F.broadcast(within(weeks, start, end).select("year", "week", "week_start_date", "week_end_date"))
-    by_week = lambda d, name: d.join(at, F.col("date").between(F.col("week_start_date"), F.col("week_end_date"))).groupBy(*keys, "year", "week").agg(F.count("*").alias(name))
-    out = rows.join(by_week(good, "good"), [*keys, "year", "week"], "left")
-    available = F.col("counted")
-    if taken is not None:
-        out = out.join(taken, [*keys, "year", "week"], "left")
-        available -= F.coalesce("blocked", F.lit(0))
-    if unusable is not None:
-        out = out.join(by_week(unusable, "bad"), [*keys, "year", "week"], "left")
-        available -= F.coalesce("bad", F.lit(0))
-    return out.select(*keys, "year", "week", F.coalesce("good", F.lit(0)).cast("long").alias("stocked_pairs"), available.cast("long").alias("available_days")).where("available_days > 0")
+        events = events.unionByName(transit.where("quantity > 0").select(*pair, "date", F.lit(True).alias("stocked"), F.lit(False).alias("unusable")))
+    events = events.groupBy(*pair, "date").agg(F.max("stocked").alias("stocked"), F.max("unusable").alias("unusable"))
+    sums = [events.select(*pair, "date", (F.col("stocked") & ~F.col("unusable")).cast("int").alias("stocked"), (-F.col("unusable").cast("int")).alias("available"))]
+    if intervals is not None:
+        closed = each_day(intervals).withColumnRenamed("location_id", "store_id")
+        sums = [sums[0].join(closed, [*pair, "date"], "left_anti"), closed.select(*pair, "date", F.lit(0).alias("stocked"), F.lit(-1).alias("available"))]
+    days = reduce(DataFrame.unionByName, sums).join(dates, "date").join(begun, pair).where("date >= opens_on")
+    length = F.datediff("week_to", F.greatest("week_from", "opens_on")) + 1
+    every = begun.join(F.broadcast(spans), F.col("week_to") >= F.col("opens_on")).select(*pair, "year", "week", F.lit(0).alias("stocked"), length.alias("available"))
+    both = every.unionByName(days.select(*pair, "year", "week", "stocked", "available"))
+    return both.groupBy(*pair, "year", "week").agg(F.sum("stocked").alias("stocked_pairs"), F.sum("available").alias("available_days")).where("available_days > 0")
 
 
 def first_of(sources: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -150,7 +135,7 @@ def ensemble(fast: DataFrame, slow: DataFrame, clusters: DataFrame, fast_cluster
     fields = ["lost_sales", "in_stock", "total_days"]
     named = lambda d, p: d.select(*keys, *[F.col(f).alias(f"{p}_{f}") for f in fields])
     one = clusters.groupBy("product_id").agg(F.min("attribute_value").alias("cluster"))
-    both = named(fast, "fast").join(named(slow, "slow"), keys, "full_outer").join(F.broadcast(one), "product_id", "left")
+    both = named(fast, "fast").join(named(slow, "slow"), keys, "full_outer").join(one, "product_id", "left")
     is_fast = F.coalesce(F.col("cluster").isin(list(fast_clusters)), F.lit(False))
     return both.select(*keys, *[F.when(is_fast, F.col(f"fast_{f}")).otherwise(F.col(f"slow_{f}")).alias(f) for f in fields]).where("total_days is not null")
 

@@ -79,7 +79,7 @@ def population(rows: DataFrame, rules: Rules, group: str, products: DataFrame |
     chosen = products
     for column, spec in specs[0].items():
         chosen = chosen.where(value_filter(column, spec))
-    return rows.join(F.broadcast(chosen.select("product_id")), "product_id", "left_semi")
+    return rows.join(chosen.select("product_id"), "product_id", "left_semi")
 
 
 def kpi_table(facts: Facts, slices: DataFrame, periods: DataFrame, rules: Rules = Rules(), products: DataFrame | None = None) -> DataFrame:  # noqa: B008
@@ -89,7 +89,7 @@ def kpi_table(facts: Facts, slices: DataFrame, periods: DataFrame, rules: Rules
     pair counts. ``slices``: ``slices.slice_bridge``; ``periods``: ``calendar.period_bridge`` (by year and week).
     """
     wanted = set(rules.metrics)
-    slices, periods = F.broadcast(slices), F.broadcast(periods)
+    periods = F.broadcast(periods)  # as many rows as the calendar has weeks and kinds
     spread = lambda rows, on=("year", "week"): rows.join(slices, "product_id").join(periods, list(on))
     gate = lambda metric, value: gated(value, metric in rules.gated)
     flags = ["product_id", "date", "year", "week", "week_days", "is_blocked", "has_daily_row", "has_sales_row", "has_stock_row"]

@@ -1,45 +1,49 @@
-"""The retail inputs as projections of the star-schema test tables, as SQL for Spark and for DuckDB."""
+"""The retail inputs as projections of the star-schema test tables, as SQL for Spark and for DuckDB.
+
+Every row of the tables goes in. Parts are folded to ``{M}`` products, a tenth of them and 40 at least, so that products and
+stores have days enough at every scale.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = {
-    "daily_data": """select cast(l_partkey % 40 as bigint) product_id, cast(l_suppkey % 5 as bigint) store_id, cast(l_shipdate as date) date,
+    "daily_data": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % 5 as bigint) store_id, cast(l_shipdate as date) date,
   cast(sum(cast(floor(l_extendedprice) as bigint)) as double) sales_revenue, cast(sum(l_quantity) as double) sales_quantity,
   cast(sum((l_partkey*7 + l_suppkey*13 + l_linenumber*3) % 41 - 5) as double) inventory,
   case when sum(l_partkey + l_linenumber) % 11 = 0 then 0 else 1 end usable
 from lineitem where l_shipdate >= timestamp '1998-02-01' and l_shipdate < timestamp '2001-07-19' group by 1, 2, 3""",
-    "products": """select p_partkey product_id, case when p_partkey % 10 = 9 then null else p_brand end brand, p_type category,
-  cast(p_size as double) cogs, floor(p_retailprice)*1.0e0 price_without_tax,
-  p_partkey % 13 <> 0 is_active, cast(floor(p_partkey/4.0) as bigint) option_code from part where p_partkey < 40""",
-    "item_family": """select p_partkey product_id, case when p_partkey % 10 = 7 then p_partkey - 1 end parent_id, p_partkey % 10 = 6 is_main
-from part where p_partkey < 40 and p_partkey % 10 in (6,7)""",
-    "transactional_sales": """select cast(l_partkey % 40 as bigint) product_id, cast(l_suppkey % 5 as bigint) store_id, cast(l_shipdate as date) date,
+    "products": """select p_partkey % {M} product_id, case when p_partkey % {M} % 10 = 9 then null else min_by(p_brand, p_partkey) end brand, min_by(p_type, p_partkey) category,
+  cast(max(p_size) as double) cogs, max(floor(p_retailprice))*1.0e0 price_without_tax,
+  p_partkey % {M} % 13 <> 0 is_active, cast(floor(p_partkey % {M} / 4.0) as bigint) option_code from part group by p_partkey % {M}""",
+    "item_family": """select p_partkey % {M} product_id, case when p_partkey % {M} % 10 = 7 then p_partkey % {M} - 1 end parent_id, p_partkey % {M} % 10 = 6 is_main
+from part group by p_partkey % {M} having p_partkey % {M} % 10 in (6,7)""",
+    "transactional_sales": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % 5 as bigint) store_id, cast(l_shipdate as date) date,
   case l_returnflag when 'R' then 'return' when 'A' then 'regular' else 'promo' end sales_type,
   cast(floor(l_extendedprice) as double) sales_revenue, cast(l_quantity as double) sales_quantity from lineitem""",
-    "scope": """select distinct cast(l_partkey % 40 as bigint) product_id, cast(l_suppkey % 5 as bigint) location_id, 21 solution_id,
-  {ADD}(date '1998-02-01', cast((l_partkey % 40 * 37 + l_suppkey % 5 * 11) % 400 as int)) start_date,
-  case when (l_partkey % 40 + l_suppkey % 5) % 29 = 0 then date '2000-06-30' end end_date, date '2001-07-15' run_date
-from lineitem where (l_partkey % 40 * 3 + l_suppkey % 5) % 7 <> 0""",
-    "blocks": """select 21 solution_id, cast(o_custkey % 40 as bigint) product_id, cast(o_orderkey % 5 as bigint) location_id, cast(o_orderdate as date) start_date,
-  case when o_custkey % 17 <> 0 then {ADD}(cast(o_orderdate as date), cast(o_custkey % 30 as int)) end end_date
-from orders where o_orderkey % 7 = 0""",
-    "inventory_warehouse": """select cast(o_custkey % 40 as bigint) product_id, cast(o_custkey % 2 as bigint) warehouse_id, cast(o_orderdate as date) date,
+    "scope": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % 5 as bigint) location_id, 21 solution_id,
+  {ADD}(date '1998-02-01', cast((l_partkey % {M} * 37 + l_suppkey % 5 * 11) % 400 as int)) start_date,
+  case when (l_partkey % {M} + l_suppkey % 5) % 29 = 0 then date '2000-06-30' end end_date, date '2001-07-15' run_date
+from lineitem group by l_partkey % {M}, l_suppkey % 5 having min(l_shipdate) < timestamp '1995-04-01'""",
+    "blocks": """select 21 solution_id, cast(o_custkey % {M} as bigint) product_id, cast(o_orderkey % 5 as bigint) location_id, cast(o_orderdate as date) start_date,
+  case when o_orderkey % 97 <> 0 then {ADD}(cast(o_orderdate as date), cast(o_custkey % 30 as int)) end end_date
+from orders""",
+    "inventory_warehouse": """select cast(o_custkey % {M} as bigint) product_id, cast(o_custkey % 2 as bigint) warehouse_id, cast(o_orderdate as date) date,
   cast(sum((o_orderkey*3) % 53) as double) inventory from orders group by 1, 2, 3""",
-    "goods_in_transit": """select cast(l_partkey % 40 as bigint) product_id, cast(case when l_linenumber % 2 = 0 then l_suppkey % 5 else l_suppkey % 2 end as bigint) destination_id,
+    "goods_in_transit": """select cast(l_partkey % {M} as bigint) product_id, cast(case when l_linenumber % 2 = 0 then l_suppkey % 5 else l_suppkey % 2 end as bigint) destination_id,
   cast(l_linenumber % 2 as bigint) destination_type, cast(l_shipdate as date) date, cast(l_quantity as double) quantity from lineitem where l_linestatus = 'O' and l_returnflag = 'N'""",
-    "lost_sales": """select cast(l_partkey % 40 as bigint) product_id, cast(l_suppkey % 5 as bigint) store_id, {WK} week_start_date,
+    "lost_sales": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % 5 as bigint) store_id, {WK} week_start_date,
   cast(sum(l_linenumber) % 9 as double) / 2.0e0 lost_sales, cast(sum(l_linenumber) % 8 as double) in_stock, cast(7 as double) total_days
 from lineitem group by 1, 2, 3""",
-    "speed_cluster": """select p_partkey product_id, 'sales_speed' attribute_name, cast(p_partkey % 5 + 1 as varchar(4)) attribute_value from part where p_partkey < 40 and p_partkey % 8 <> 0""",
+    "speed_cluster": """select p_partkey % {M} product_id, 'sales_speed' attribute_name, case when p_partkey % {M} % 8 <> 0 then cast(p_partkey % {M} % 5 + 1 as varchar(4)) end attribute_value from part group by p_partkey % {M}""",
     "fiscal_cal": """select date, cast(1998 + floor(n/364.0) as int) as year, cast(floor((n % 364)/7.0) as int) + 1 as week,
   concat('Q', cast(cast(floor((n % 364)/91.0) as int) + 1 as {STR})) as quarter,
   concat('M', cast(cast(floor((n % 364)/91.0) as int)*3 + case when n % 91 < 28 then 1 when n % 91 < 63 then 2 else 3 end as {STR})) as month
 from (select {ADD}(date '1998-02-01', cast(i as int)) as date, i as n from {RANGE}) t""",
 }
 SPARK = {"WK": "date_sub(cast(l_shipdate as date), dayofweek(l_shipdate)-1)", "STR": "string", "RANGE": "(select id i from range(1456))"}
-DUCKDB = {"WK": "cast(cast(l_shipdate as date) - cast(dayofweek(l_shipdate) as integer) as date)", "STR": "varchar", "RANGE": "(select range i from range(1456))"}
+DUCKDB = {"M": "(select greatest(40, count(*) // 10) from part)", "WK": "cast(cast(l_shipdate as date) - cast(dayofweek(l_shipdate) as integer) as date)", "STR": "varchar", "RANGE": "(select range i from range(1456))"}
 START, END = "1998-02-01", "2001-07-14"
 
 
@@ -66,6 +70,8 @@ def filled(sql: str, duckdb: bool) -> str:
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the retail inputs, from the star-schema tables in a folder."""
     sql = filled(TABLES[name], duckdb=False)
+    if "{M}" in sql:
+        sql = sql.replace("{M}", str(max(40, spark.read.parquet(f"{sf_dir}/part.parquet").count() // 10)))
     source = next(t for t in ("lineitem", "orders", "part", "") if f"from {t}" in sql)
     if name == "fiscal_cal":
         return spark.sql(sql)

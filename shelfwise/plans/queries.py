@@ -110,16 +110,15 @@ SHARED = {
     "sl2": """sl2 as (select product_id, root, dimension, case when dimension = 'overall' then 'overall' else brand end dimension_value
   from products, (values ('overall'), ('promo')) r(root), (values ('overall'), ('brand')) c(dimension) where root = 'overall' or category = 'PROMO')""",
     "pairs": """pairs as (select product_id, location_id, min(start_date) scope_start, true main_eligible from scope where solution_id = 21 and run_date = date '2001-07-15' and (end_date is null or end_date >= run_date) group by 1, 2)""",
-    "clip": """clip as (select distinct b.product_id, b.location_id, greatest(b.start_date, {START}) first_day, least(coalesce(b.end_date, {END}), {END}) last_day
-  from pairs p join blocks b on b.product_id = p.product_id and b.location_id = p.location_id where b.start_date >= scope_start and greatest(b.start_date, {START}) <= least(coalesce(b.end_date, {END}), {END}))""",
-    "iv": """iv as (select product_id, location_id, min(first_day) first_day, max(last_day) last_day from (
-  select *, sum(opens) over (partition by product_id, location_id order by first_day, last_day rows unbounded preceding) island from (
-  select *, case when reached is null or first_day > reached + 1 then 1 else 0 end opens from (
-  select *, max(last_day) over (partition by product_id, location_id order by first_day, last_day rows between unbounded preceding and 1 preceding) reached from clip))) group by product_id, location_id, island)""",
+    "iv": """iv as (select product_id, location_id, min(d) first_day, max(d) last_day from (
+  select *, d - cast(row_number() over (partition by product_id, location_id order by d) as integer) run from (
+  select distinct b.product_id, b.location_id, cast(unnest(generate_series(b.start_date, coalesce(b.end_date, {END}), interval 1 day)) as date) as d
+  from blocks b join pairs p on p.product_id = b.product_id and p.location_id = b.location_id and p.scope_start <= b.start_date)
+  where d between {START} and {END}) group by product_id, location_id, run)""",
     "ann": """ann as (select 'annual' period_type, cast(year as varchar) period, 'overall' root, 'overall' dimension, 'overall' dimension_value, sum(sales_quantity) total_sales_quantity, sum(sales_revenue) total_sales_revenue,
   sum(sales_revenue) / nullif(sum(sales_quantity), 0) "AUR" from sd group by year)""",
 }
-NEEDS = {"win": ["wk"], "cp": ["wk"], "ym": ["cp", "win"], "pb": ["win", "cp", "ym"], "sd": ["wk"], "clip": ["pairs"], "iv": ["clip"], "ann": ["sd"]}
+NEEDS = {"win": ["wk"], "cp": ["wk"], "ym": ["cp", "win"], "pb": ["win", "cp", "ym"], "sd": ["wk"], "iv": ["pairs"], "ann": ["sd"]}
 
 
 def needed(name: str, sql: str) -> bool:

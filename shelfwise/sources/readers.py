@@ -44,7 +44,7 @@ def by_product(df: DataFrame, levels: DataFrame) -> DataFrame:
     have a product stay as they are."""
     if "product_id" in df.columns:
         return df
-    return df.join(F.broadcast(levels.select("planning_level_id", "product_id").distinct()), "planning_level_id").drop("planning_level_id")
+    return df.join(levels.select("planning_level_id", "product_id").distinct(), "planning_level_id").drop("planning_level_id")
 
 
 def clusters(df: DataFrame, attribute: str = "sales_speed", column: str | None = None) -> DataFrame:

@@ -80,7 +80,9 @@ def save(df: DataFrame, root: str, table: str, run_date: str, keys: Sequence[str
         rows = merged(saved, rows, keys, overwrite, always)
     target, staged = f"{root}/{table}/run_date={run_date}", f"{root}/{table}/_staged-{run_date}"
     rows.write.mode("overwrite").parquet(staged)  # the merge may read what it replaces
-    spark.read.parquet(staged).write.mode("overwrite").parquet(target)
-    path = spark._jvm.org.apache.hadoop.fs.Path(staged)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(at(target), True)  # the staged rows are whole by now
+    if not files.rename(at(staged), at(target)):
+        raise OSError(f"{staged} could not be renamed to {target}; its rows are whole")
     return True

@@ -30,7 +30,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n != "civil_week"])
+@pytest.mark.parametrize("name", [n for n in QUERIES])
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
