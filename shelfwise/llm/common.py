@@ -16,10 +16,12 @@ BLOCK_BYTES = 24 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share; one of our own only where the session names none and runs locally."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="shelfwise-")
         spark.conf.set("spark.checkpoint.dir", found)
     if sc._jsc.sc().getCheckpointDir().isEmpty():

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
-ROUNDS = 60
+#: Rounds after which an error is raised; each about halves the longest path.
+ROUNDS = 100
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -32,4 +33,6 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
+    else:
+        raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -72,6 +72,13 @@ def test_katz_beats_the_base_where_words_follow_each_other(spark):
     assert held and sum(r["score"] for r in held) > 0.7 * sum(r["base_score"] for r in held)
 
 
+def test_katz_scores_do_not_depend_on_partitions(spark, documents, monkeypatch):
+    monkeypatch.setattr(katz, "FREQUENT", 300)  # far fewer than there are words
+    found = [{r["doc_id"]: r["score"] for r in katz.scores(documents.repartition(n)).collect()} for n in (1, 8, 40)]
+    for other in found[1:]:
+        assert found[0].keys() == other.keys() and all(abs(found[0][k] - other[k]) < 1e-6 for k in other)
+
+
 def test_katz_discounts():
     d = katz.discounts(np.array([100, 40, 20, 10, 5, 2]))
     assert d[0] == d[-1] == 1 and all(0 < x < 1 for x in d[1:6])
