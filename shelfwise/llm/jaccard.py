@@ -8,8 +8,8 @@ of a frequent shingle may be long, in pieces.
 Answers are derived from those of similar sets instead of being compared pair by pair: sets that were found to link have
 one component, and what one of them links with is an answer of all. In the first round a set is compared only with its
 neighbour in each list, in the same order everywhere; then, in lists that still hold several components, with its
-neighbours in ``ORDERS`` orders that differ from list to list (``chained``). Both make at most a few pairs for each entry
-of the index. What is left is compared across components only (``across``): a list is a row of
+``NEAREST`` neighbours in ``ORDERS`` orders that differ from list to list (``chained``). Both make at most a few pairs for
+each entry of the index. What is left is compared across components only (``across``): a list is a row of
 blocks of one size each, in order of position, and a block's entries past the last position that could still reach the
 needed overlap are skipped. Connected components come out exactly. A group of near copies costs its size; only a set
 that shares rare shingles with a group and links with none of it is held against each of the group's sets.
@@ -41,8 +41,9 @@ FREQUENT_IN_BLOCK, FREQUENT = 6, 1 << 17
 CHUNK = 200_000
 #: Sets of a list, or of two parts of one, that a task compares across components; sets of a chain. Longer ones are split.
 PIECE, CHAIN = 20_000, 256
-#: Orders of each list that are chained; what they leave is compared across components, so results do not depend on it.
-ORDERS = 3
+#: Orders of each list that are chained, and sets of a chain before a set that it is compared with. What they leave is
+#: compared across components, so results do not depend on it.
+ORDERS, NEAREST = 2, 4
 #: Ids that are sent to every task to pick their documents; more are joined by a shuffle of the texts.
 SENT = 500_000
 
@@ -249,10 +250,10 @@ def neighbours(index: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(run, "kind long, shingle long, a long, b long, c long, d long")
 
 
-def reaches(x: str, y: str, percent: int) -> Column:
+def reaches(x: Column, y: Column, percent: int) -> Column:
     """As ``possible``, of two structs of size (``n``) and position (``at``), in any order of size."""
-    least = f"least({x}.n - {x}.at, {y}.n - {y}.at) * {100 + percent} >= {percent} * ({x}.n + {y}.n)"
-    return F.expr(f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n) and {least}")
+    rest = F.least(x["n"] - x["at"], y["n"] - y["at"])
+    return (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])) & (rest * (100 + percent) >= percent * (x["n"] + y["n"]))
 
 
 def chained(lists: DataFrame, percent: int) -> DataFrame:
@@ -262,9 +263,12 @@ def chained(lists: DataFrame, percent: int) -> DataFrame:
     seeded = lists.withColumn("seed", F.explode(F.array(*map(F.lit, range(ORDERS))))).withColumn("mixed", F.xxhash64("shingle", "id", "seed"))
     order = Window.partitionBy("shingle", "seed", "chain").orderBy(F.floor(F.log("n") / math.log(100 / percent)), "mixed", "id")
     links = seeded.withColumn("chain", F.pmod("mixed", F.ceil(F.col("holders") / CHAIN)))
-    both = links.select(F.struct("n", "at", "id", "component").alias("y"), F.lag(F.struct("n", "at", "id", "component")).over(order).alias("x"))
-    near = both.where("x.component != y.component").where(reaches("x", "y", percent))
-    return near.select(F.least("x.id", "y.id").alias("x"), F.greatest("x.id", "y.id").alias("y")).distinct()
+    entry = F.struct("n", "at", "id", "component")
+    both = links.select(entry.alias("y"), F.array(*[F.lag(entry, k).over(order) for k in range(1, NEAREST + 1)]).alias("before"))
+    y = F.col("y")
+    near = F.filter("before", lambda x: x.isNotNull() & (x["component"] != y["component"]) & reaches(x, y, percent))
+    pairs = both.select(y["id"].alias("b"), F.explode(F.transform(near, lambda x: x["id"])).alias("a"))
+    return pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
 
 
 def across(lists: DataFrame, named: DataFrame, percent: int) -> DataFrame:
