@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,9 +39,14 @@ def scope_pairs(rows: DataFrame, family: DataFrame | None = None, products: Data
 
 
 def weekly_scope(dated: DataFrame, calendar: DataFrame, weeks: DataFrame, start: str, end: str, backfill: bool = True) -> DataFrame:
-    """Pair and week of scope rows that carry a ``date``. With ``backfill``, pairs that the source has in its earliest
-    week hold in the weeks of the window before it too."""
-    keys = dated.join(F.broadcast(calendar.select("date", "year", "week")), "date").select("product_id", "location_id", "year", "week").distinct()
+    """Pair and week of scope rows that carry a ``date``, or their own ``year`` and ``week`` where the calendar is civil
+    (such keys count in the weeks of the window only). With ``backfill``, pairs that the source has in its earliest week
+    hold in the weeks of the window before it too."""
+    if "date" in dated.columns:
+        placed = dated.join(F.broadcast(calendar.select("date", "year", "week")), "date")
+    else:
+        placed = dated.join(F.broadcast(within(weeks, start, end).select("year", "week")), ["year", "week"], "left_semi")
+    keys = placed.select("product_id", "location_id", "year", "week").distinct()
     if not backfill:
         return keys
     order = within(weeks, start, end).select("year", "week", "week_start_date")
@@ -51,6 +57,16 @@ def weekly_scope(dated: DataFrame, calendar: DataFrame, weeks: DataFrame, start:
     return keys.unionByName(early.join(F.broadcast(before)).select("product_id", "location_id", "year", "week"))
 
 
+def daily_scope(pairs: DataFrame, weeks: DataFrame, start: str, end: str) -> DataFrame:
+    """Every week of the window for every pair (or product, if ``pairs`` has no location); an error if there is none."""
+    keys = [c for c in ("product_id", "location_id") if c in pairs.columns]
+    inside = within(weeks, start, end).select("year", "week")
+    if pairs.isEmpty() or inside.isEmpty():
+        raise ValueError(f"no scope between {start} and {end}")
+    every = inside.agg(F.collect_list(F.struct("year", "week")).alias("weeks"))  # one row, as long as the calendar
+    return pairs.select(*keys).distinct().join(F.broadcast(every)).select(*keys, F.inline("weeks"))
+
+
 def score_scope(daily: DataFrame, calendar: DataFrame, quantile: float = 0.2, few_weeks: int = 2) -> DataFrame:
     """Pair-weeks whose sales and last stock both reach the pair's own quantile, and all of pairs with few weeks."""
     days = daily.join(F.broadcast(calendar.select("date", "year", "week")), "date")
@@ -92,6 +108,13 @@ def block_intervals(pairs: DataFrame, blocks: DataFrame, start: str, end: str, a
     return bounds.where("level > 0").select(*pair, F.col("day").alias("first_day"), F.date_sub("next_day", 1).alias("last_day"))
 
 
+def block_intervals_of(pairs: DataFrame, kinds: Sequence[DataFrame], start: str, end: str, after_scope_start: bool = True) -> DataFrame:
+    """``block_intervals`` of all kinds together: each kind is joined on its own keys, and what it blocks is swept once."""
+    pair = ["product_id", "location_id"]
+    rows = [pairs.join(k.select(*[c for c in pair if c in k.columns], "start_date", "end_date"), [c for c in pair if c in k.columns]).select(*pair, "start_date", "end_date") for k in kinds]
+    return block_intervals(pairs, reduce(DataFrame.unionByName, rows), start, end, after_scope_start)
+
+
 def each_day(intervals: DataFrame) -> DataFrame:
     """The days of disjoint intervals, one row each."""
     return intervals.select("product_id", "location_id", F.explode(F.sequence("first_day", "last_day")).alias("date"))

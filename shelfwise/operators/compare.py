@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.changes import change_pct, change_pp
+from .calendar import complete_periods
 from .metrics import unpivoted
 
 SLICE = ["root", "dimension", "dimension_value"]
@@ -35,6 +37,22 @@ def ytd(table: DataFrame, metrics: Iterable[str]) -> DataFrame:
     return links(table, metrics, "ytd", "ytd")
 
 
+def rebuilt(saved: DataFrame, metrics: Sequence[str], kind: str) -> DataFrame:
+    """The comparison of a like-for-like kind from saved rows, which may be those of many runs. A row says of which link
+    it is (``link_prior_year``, ``link_current_year``) and of which ``year``; each link has values of its own universe,
+    so a year may be there once per link. A link without either side is left out; ``number`` (of the half or quarter) is
+    kept where rows have it."""
+    own = [c for c in ("number",) if c in saved.columns]
+    rows = saved.where((F.col("comparison_type") == kind) & F.col("dimension_value").isNotNull())
+    keys = ["comparison_type", *own, *SLICE, "metric_key"]
+    rows = rows.select("comparison_type", *own, *SLICE, "period", "year", "link_prior_year", "link_current_year", F.explode(F.array(*[F.struct(F.lit(m).alias("metric_key"), F.col(m).cast("double").alias("value")) for m in metrics])).alias("m")).select("*", "m.*").drop("m")
+    side = lambda year: F.max(F.when(F.col("year") == F.col(year), F.struct("period", "value")))
+    both = rows.groupBy(*keys, "link_prior_year", "link_current_year").agg(side("link_prior_year").alias("p"), side("link_current_year").alias("c")).where("p is not null and c is not null")
+    out = both.select(*keys, F.col("p.period").alias("prior_period"), F.col("c.period").alias("current_period"), F.col("p.value").alias("prior_value"), F.col("c.value").alias("current_value"))
+    metric, prior, current = F.col("metric_key"), F.col("prior_value"), F.col("current_value")
+    return out.withColumns({"change_pct": change_pct(metric, prior, current), "change_pp": change_pp(metric, prior, current)})
+
+
 def scope_diff(one: DataFrame, other: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Annual values of two scopes side by side, for the years that both have."""
     def rows(table: DataFrame, name: str) -> DataFrame:
@@ -45,13 +63,29 @@ def scope_diff(one: DataFrame, other: DataFrame, metrics: Sequence[str]) -> Data
     return both.withColumns({"abs_diff": F.col("score") - F.col("scope"), "pct_diff": F.try_divide(F.col("score") - F.col("scope"), F.abs("scope")) * 100})
 
 
-def universe(rows: DataFrame, years: Sequence[int], key: Sequence[str] = ("product_id", "store_id")) -> DataFrame:
-    """Keys that have rows in every one of the years; where rows say so, only those of sales and of unblocked days count."""
-    chosen = rows.where(F.col("year").isin(list(years)))
-    if "has_sales_row" in rows.columns:
-        chosen = chosen.where("has_sales_row")
-    if "is_blocked" in rows.columns:
-        chosen = chosen.where("not is_blocked")
+def present(rows: DataFrame, unblocked: bool = True) -> DataFrame:
+    """Rows that show that a pair was there: of sales, of stock in a warehouse, and of unblocked days if asked; what the
+    rows do not tell is taken for given."""
+    rules = {"has_sales_row": "has_sales_row", "has_inventory_row": "has_inventory_row"} | ({"is_blocked": "not is_blocked", "dc_unblocked_days": "dc_unblocked_days > 0"} if unblocked else {})
+    return reduce(lambda d, rule: d.where(rule[1]) if rule[0] in rows.columns else d, rules.items(), rows)
+
+
+def qualifying_years(rows: DataFrame, weeks: DataFrame, start: str, end: str, kind: str = "annual", number: int | None = None, unblocked: bool = True) -> list[int]:
+    """Years in which pairs were present, for halves and quarters in the part of that number; all kinds but year-to-date
+    need the year, or its part, whole in the window by the unclipped calendar. At most as many as the calendar has."""
+    shown = present(rows, unblocked)
+    if number is not None:
+        shown = shown.join(F.broadcast(weeks.where(F.col(kind) == number).select("year", "week")), ["year", "week"], "left_semi")
+    years = shown.select("year").distinct()
+    if kind != "ytd":
+        whole = complete_periods(weeks, start, end).where((F.col("period_type") == kind) & F.col("is_complete") & (F.col("number") == (number or 0)))
+        years = years.join(F.broadcast(whole.select("year")), "year", "left_semi")
+    return sorted(r["year"] for r in years.collect())
+
+
+def universe(rows: DataFrame, years: Sequence[int], key: Sequence[str] = ("product_id", "store_id"), unblocked: bool = True) -> DataFrame:
+    """Keys that are present (``present``) in every one of the years."""
+    chosen = present(rows, unblocked).where(F.col("year").isin(list(years)))
     return chosen.groupBy(*key).agg(F.count_distinct("year").alias("n")).where(F.col("n") == len(set(years))).select(*key)
 
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.conditions import valued
+from ..functions.conditions import filtered, valued
 from .assortment import each_day
-from .calendar import within
+from .calendar import last_saturday, within
 
 KEY = ["product_id", "store_id", "date"]
 
@@ -25,23 +26,33 @@ def gross_basis(daily: DataFrame, sales: DataFrame, types: Sequence[str] | None
     return both.select(*KEY, F.coalesce("gross_revenue", F.lit(0.0)).alias("sales_revenue"), F.coalesce("gross_quantity", F.lit(0.0)).alias("sales_quantity"), F.coalesce("inventory", F.lit(0.0)).alias("inventory"), F.col("is_daily").isNull().alias("gross_only"))
 
 
-def with_transit(daily: DataFrame, transit: DataFrame, key: Sequence[str], row_flag: str) -> DataFrame:
+def with_transit(daily: DataFrame, transit: DataFrame, key: Sequence[str], row_flag: str, removed: DataFrame | None = None) -> DataFrame:
     """Rows of stock joined with goods in transit on the same day; a day with transit only has a row without stock,
-    whose ``row_flag`` is false."""
-    moving = transit.groupBy(*key).agg(F.sum("quantity").alias("git_quantity"))
+    whose ``row_flag`` is false. Days whose daily row an input filter took out (``removed``: the keys) have no transit
+    unless another daily row of theirs is left."""
+    moving = transit.where("quantity > 0").groupBy(*key).agg(F.sum("quantity").alias("git_quantity"))
     measures = [c for c in daily.columns if c not in key]
+    if removed is not None:
+        kept = daily.where("not gross_only") if "gross_only" in daily.columns else daily
+        moving = moving.join(removed.select(*key).join(kept.select(*key), list(key), "left_anti"), list(key), "left_anti")
     both = daily.withColumn(row_flag, F.lit(True)).join(moving, list(key), "full_outer")
     types = dict(daily.dtypes)
     fill = [F.coalesce(c, F.lit(False if types[c] == "boolean" else 0.0)).alias(c) for c in measures]
     return both.select(*key, *fill, F.coalesce("git_quantity", F.lit(0.0)).alias("git_quantity"), F.coalesce(row_flag, F.lit(False)).alias(row_flag))
 
 
-def store_transit(transit: DataFrame) -> DataFrame:
-    return transit.where("destination_type = 0").select("product_id", F.col("destination_id").alias("store_id"), "date", "quantity")
+def _moving(transit: DataFrame, kind: int, location: str, shift: int) -> DataFrame:
+    day = F.date_add("date", shift) if shift else F.col("date")
+    return transit.where(F.col("destination_type") == kind).select("product_id", F.col("destination_id").alias(location), day.alias("date"), "quantity")
 
 
-def warehouse_transit(transit: DataFrame) -> DataFrame:
-    return transit.where("destination_type = 1").select("product_id", F.col("destination_id").alias("warehouse_id"), "date", "quantity")
+def store_transit(transit: DataFrame, shift: int = 0) -> DataFrame:
+    """Goods on their way to stores; a snapshot tells of the day that comes ``shift`` days after its date."""
+    return _moving(transit, 0, "store_id", shift)
+
+
+def warehouse_transit(transit: DataFrame, shift: int = 0) -> DataFrame:
+    return _moving(transit, 1, "warehouse_id", shift)
 
 
 def scoped_daily(days: DataFrame, products: DataFrame, calendar: DataFrame, weeks: DataFrame) -> DataFrame:
@@ -128,6 +139,20 @@ def instock_weekly(sources: Sequence[DataFrame], calendar: DataFrame, start: str
     return rows.select("product_id", "store_id", "year", "week", "stocked_pairs", "available_days")
 
 
+def instock_of_lost(lost: DataFrame, calendar: DataFrame, weeks: DataFrame, start: str, end: str, full: DataFrame | None = None) -> DataFrame:
+    """In-stock days of the lost-sales rows themselves; where they do not say of how many days, those of the week count.
+    Without a ``store_id`` the rows are of products, and so must be ``full``."""
+    place = [c for c in ("store_id",) if c in lost.columns]
+    at = calendar.groupBy("year", "week").agg(F.min("date").alias("week_start_date")).join(weeks.select("year", "week", "week_days"), ["year", "week"])
+    window = F.col("week_start_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    summed = lost.where(window).groupBy("product_id", *place, "week_start_date").agg(F.sum("in_stock").alias("stocked_pairs"), F.sum("total_days").alias("total_days"))
+    rows = summed.join(F.broadcast(at), "week_start_date").withColumn("available_days", F.coalesce("total_days", F.col("week_days").cast("double"))).where("available_days > 0")
+    if full is not None:
+        keys = ["product_id", *place, "year", "week"]
+        rows = rows.join(full.withColumnRenamed("location_id", "store_id").select(*keys), keys, "left_anti")
+    return rows.select("product_id", *place, "year", "week", "stocked_pairs", "available_days")
+
+
 def ensemble(fast: DataFrame, slow: DataFrame, clusters: DataFrame, fast_clusters: Sequence[str]) -> DataFrame:
     """Of two lost-sales models, all fields of the fast one for products of fast clusters and of the slow one for all
     others, also those without a cluster. A key that the chosen model lacks drops out."""
@@ -140,9 +165,17 @@ def ensemble(fast: DataFrame, slow: DataFrame, clusters: DataFrame, fast_cluster
     return both.select(*keys, *[F.when(is_fast, F.col(f"fast_{f}")).otherwise(F.col(f"slow_{f}")).alias(f) for f in fields]).where("total_days is not null")
 
 
-def lost_base(lost: DataFrame, daily: DataFrame, calendar: DataFrame, start: str, end: str, by_store: bool = True) -> DataFrame:
+def lost_base(lost: DataFrame, daily: DataFrame, calendar: DataFrame, start: str, end: str, by_store: bool = True, sales_filter: Mapping | None = None, latest_day: bool = False) -> DataFrame:
     """Lost sales per product (and store) and week with the week's sales, and the floor of both: what could have been
-    sold. Weeks that do not start on a fiscal week drop out. Without stores, sales are summed over them."""
+    sold. Weeks that do not start on a fiscal week drop out. Without stores, sales are summed over them. ``sales_filter``
+    (value filters by column) narrows the sales only, for lost sales of fewer places than the daily rows have. A report
+    that ends on any day (``latest_day``) takes weeks up to its last Saturday. Daily rows that say so count on sales days
+    only."""
+    if latest_day:
+        lost = lost.where(F.date_add("week_start_date", 6) <= F.lit(last_saturday(dt.date.fromisoformat(end))))
+    if "has_sales_row" in daily.columns:
+        daily = daily.where("has_sales_row")
+    daily = filtered(daily, sales_filter or {})
     keys = ["product_id", *(["store_id"] if by_store else []), "year", "week"]
     at = calendar.select("date", "year", "week")
     starts = F.broadcast(at.groupBy("year", "week").agg(F.min("date").alias("week_start_date")))
@@ -153,17 +186,49 @@ def lost_base(lost: DataFrame, daily: DataFrame, calendar: DataFrame, start: str
     return both.withColumn("could_sell", F.floor(F.col("sales_quantity") + F.col("lost_sales")).cast("double"))
 
 
-def dc_instock(stock: DataFrame, calendar: DataFrame, start: str, end: str, transit: DataFrame | None = None, threshold: float = 0.0) -> DataFrame:
+def dc_daily(stock: DataFrame, calendar: DataFrame, start: str, end: str, pairs: DataFrame | None = None, product_weeks: DataFrame | None = None, intervals: DataFrame | None = None, transit: DataFrame | None = None) -> DataFrame:
+    """Warehouse days of the window with transit and whether they are blocked. ``product_weeks``: the products and weeks of
+    the stores' scope, which leads; ``pairs``: product_id and location_id of the warehouses' own scope."""
+    keys = ["product_id", "warehouse_id"]
+    window = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    if transit is not None:
+        days = with_transit(stock.where(window), transit.where(window), [*keys, "date"], "has_inventory_row")
+    else:
+        days = stock.where(window).withColumns({"git_quantity": F.lit(0.0), "has_inventory_row": F.lit(True)})
+    days = _scoped_warehouse(days.join(F.broadcast(calendar.select("date", "year", "week")), "date"), pairs, product_weeks)
+    return _blocked_warehouse(days, intervals)
+
+
+def _scoped_warehouse(days: DataFrame, pairs: DataFrame | None, product_weeks: DataFrame | None) -> DataFrame:
+    if product_weeks is not None:
+        days = days.join(product_weeks.select("product_id", "year", "week").distinct(), ["product_id", "year", "week"], "left_semi")
+    if pairs is not None:
+        days = days.join(pairs.select("product_id", F.col("location_id").alias("warehouse_id")).distinct(), ["product_id", "warehouse_id"], "left_semi")
+    return days
+
+
+def _blocked_warehouse(days: DataFrame, intervals: DataFrame | None) -> DataFrame:
+    if intervals is None:
+        return days.withColumn("is_blocked", F.lit(False))
+    closed = each_day(intervals).select("product_id", F.col("location_id").alias("warehouse_id"), "date", F.lit(True).alias("closed"))
+    return days.join(closed, ["product_id", "warehouse_id", "date"], "left").withColumn("is_blocked", F.coalesce("closed", F.lit(False))).drop("closed")
+
+
+def dc_instock(stock: DataFrame, calendar: DataFrame, start: str, end: str, transit: DataFrame | None = None, threshold: float = 0.0, pairs: DataFrame | None = None, product_weeks: DataFrame | None = None, intervals: DataFrame | None = None, drop_blocked: bool = True) -> DataFrame:
     """Warehouse days per product, warehouse and week, on a grid from the first row to the end of the window in which a
-    day without a row has no stock."""
+    day without a row has no stock. Scope as in ``dc_daily``. Blocked days leave both counts if ``drop_blocked``;
+    ``dc_unblocked_days`` leaves them out in any case. Weeks without days drop out."""
     keys = ["product_id", "warehouse_id"]
     window = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     days = stock.where(window).groupBy(*keys, "date").agg(F.sum("inventory").alias("inventory"))
     grid = days.groupBy(*keys).agg(F.min("date").alias("first")).select(*keys, F.explode(F.sequence("first", F.lit(end).cast("date"))).alias("date"))
-    rows = grid.join(days, [*keys, "date"], "left")
+    dated = grid.join(F.broadcast(calendar.select("date", "year", "week")), "date")
+    rows = _blocked_warehouse(_scoped_warehouse(dated, pairs, product_weeks).join(days, [*keys, "date"], "left"), intervals)
     stocked = F.coalesce("inventory", F.lit(0.0)) > threshold
     if transit is not None:
-        rows = rows.join(transit.groupBy(*keys, "date").agg(F.sum("quantity").alias("moving")), [*keys, "date"], "left")
+        rows = rows.join(transit.where("quantity > 0").groupBy(*keys, "date").agg(F.sum("quantity").alias("moving")), [*keys, "date"], "left")
         stocked |= F.coalesce("moving", F.lit(0.0)) > 0
-    rows = rows.join(F.broadcast(calendar.select("date", "year", "week")), "date")
-    return rows.groupBy(*keys, "year", "week").agg(F.sum(stocked.cast("int")).alias("dc_stocked_days"), F.count("*").alias("dc_available_days"))
+    free = ~F.col("is_blocked")
+    counted = free if drop_blocked else F.lit(True)
+    sums = [F.sum((counted & stocked).cast("int")).alias("dc_stocked_days"), F.sum(counted.cast("int")).alias("dc_available_days"), F.sum(F.when(free, 1)).alias("dc_unblocked_days")]
+    return rows.groupBy(*keys, "year", "week").agg(*sums).where("dc_available_days > 0")

@@ -36,8 +36,15 @@ def slice_bridge(products: DataFrame, roots: Mapping[str, Mapping], cuts: Sequen
     return reduce(DataFrame.unionByName, parts)
 
 
-def trim_recent(table: DataFrame, limits: Mapping[str, int]) -> DataFrame:
-    """The most recent periods of each kind that has a limit; other kinds whole."""
+def trim_recent(table: DataFrame, limits: Mapping[str, int], weeks: DataFrame | None = None) -> DataFrame:
+    """The most recent periods of each kind that has a limit; other kinds whole. With ``weeks``, those of the window, the
+    limit of weeks counts weeks of the calendar, whether they have rows or not."""
+    if weeks is not None and "week" in limits:
+        recent = F.broadcast(weeks.orderBy(F.desc("week_start_date")).limit(limits["week"]).select(F.lit("week").alias("period_type"), F.col("year_week").alias("period")))
+        others = {k: v for k, v in limits.items() if k != "week"}
+        return trim_recent(table.where("period_type <> 'week'"), others).unionByName(table.join(recent, ["period_type", "period"], "left_semi").select(*table.columns))
+    if not limits:
+        return table
     rank = F.dense_rank().over(Window.partitionBy("period_type").orderBy(F.desc("period")))
     limit = reduce(lambda a, item: F.when(F.col("period_type") == item[0], item[1]).otherwise(a), limits.items(), F.lit(2**31 - 1))
     return table.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")

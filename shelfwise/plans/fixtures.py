@@ -31,6 +31,12 @@ from lineitem group by l_partkey % {M}, l_suppkey % 5 having min(l_shipdate) < t
 from orders""",
     "inventory_warehouse": """select cast(o_custkey % {M} as bigint) product_id, cast(o_custkey % 2 as bigint) warehouse_id, cast(o_orderdate as date) date,
   cast(sum((o_orderkey*3) % 53) as double) inventory from orders group by 1, 2, 3""",
+    "dc_scope": """select cast(o_custkey % {M} as bigint) product_id, cast(o_custkey % 2 as bigint) location_id, 22 solution_id,
+  {ADD}(date '1998-02-01', cast(o_custkey % {M} * 13 % 300 as int)) start_date, cast(null as date) end_date, date '2001-07-15' run_date
+from orders group by o_custkey % {M}, o_custkey % 2 having count(*) % 5 <> 0""",
+    "dc_blocks": """select 22 solution_id, cast(o_custkey % {M} as bigint) product_id, cast(o_custkey % 2 as bigint) location_id, cast(o_orderdate as date) start_date,
+  {ADD}(cast(o_orderdate as date), cast(o_orderkey % 3 as int)) end_date from orders""",
+    "store_closures": """select cast(r_regionkey as bigint) location_id, {ADD}(date '1999-03-01', cast(r_regionkey * 40 as int)) start_date, {ADD}(date '1999-03-11', cast(r_regionkey * 40 as int)) end_date from region""",
     "goods_in_transit": """select cast(l_partkey % {M} as bigint) product_id, cast(case when l_linenumber % 2 = 0 then l_suppkey % 5 else l_suppkey % 2 end as bigint) destination_id,
   cast(l_linenumber % 2 as bigint) destination_type, cast(l_shipdate as date) date, cast(l_quantity as double) quantity from lineitem where l_linestatus = 'O' and l_returnflag = 'N'""",
     "lost_sales": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % 5 as bigint) store_id, {WK} week_start_date,
@@ -72,7 +78,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = filled(TABLES[name], duckdb=False)
     if "{M}" in sql:
         sql = sql.replace("{M}", str(max(40, spark.read.parquet(f"{sf_dir}/part.parquet").count() // 10)))
-    source = next(t for t in ("lineitem", "orders", "part", "") if f"from {t}" in sql)
+    source = next(t for t in ("lineitem", "orders", "part", "region", "") if f"from {t}" in sql)
     if name == "fiscal_cal":
         return spark.sql(sql)
     return spark.sql(sql.replace(f"from {source}", "from {source}"), source=spark.read.parquet(f"{sf_dir}/{source}.parquet"))

@@ -176,6 +176,11 @@ def ytd_day_k(x):
     return calendar.ytd_days(x.fiscal_cal, START, LATEST)
 
 
+@query("fiscal_cal", sql="select max(last_day) report_end from cp where period_type = 'month' and last_day <= {END}")
+def complete_month_cut(x):
+    return x.spark.createDataFrame([(calendar.complete_month_end(START, END, x.weeks()),)], "report_end date")
+
+
 # Filters and dimensions -----------------------------------------------------------------------------------------------
 
 
@@ -261,6 +266,17 @@ def git_dc_daily(x):
     return facts.with_transit(x.inventory_warehouse, facts.warehouse_transit(x.goods_in_transit), ["product_id", "warehouse_id", "date"], "has_inventory_row")
 
 
+@query("daily_data", "goods_in_transit", "transactional_sales", sql=f"""select product_id, store_id, date, sales_quantity, inventory, gross_only, case when removed and not daily then 0.0 else git_quantity end git_quantity, row_here has_daily_row from (
+  select coalesce(d.product_id, g.product_id) product_id, coalesce(d.store_id, g.store_id) store_id, coalesce(d.date, g.date) date, coalesce(sales_quantity, 0.0) sales_quantity, coalesce(inventory, 0.0) inventory, coalesce(gross_only, false) gross_only,
+    coalesce(git_quantity, 0.0) git_quantity, d.product_id is not null row_here, d.product_id is not null and not gross_only daily, r.product_id is not null removed
+  from ({GROSS}) d full outer join (select product_id, destination_id store_id, date + 1 date, sum(quantity) git_quantity from goods_in_transit where destination_type = 0 group by 1, 2, 3) g on g.product_id = d.product_id and g.store_id = d.store_id and g.date = d.date
+  left join (select product_id, store_id, date from daily_data where usable <> 1) r on r.product_id = coalesce(d.product_id, g.product_id) and r.store_id = coalesce(d.store_id, g.store_id) and r.date = coalesce(d.date, g.date)) where row_here or not removed""")
+def git_removed_days(x):
+    """Transit of a day after its snapshot; none on days whose daily row was filtered out."""
+    days, removed = gross_basis(x), x.daily_data.where("usable <> 1").select("product_id", "store_id", "date")
+    return facts.with_transit(days, facts.store_transit(x.goods_in_transit, 1), ["product_id", "store_id", "date"], "has_daily_row", removed).drop("sales_revenue")
+
+
 # Scope and blocks -----------------------------------------------------------------------------------------------------
 
 
@@ -283,6 +299,19 @@ def scope_weekly(x):
     return assortment.weekly_scope(x.scope.withColumn("date", F.col("start_date")), x.fiscal_cal, x.weeks(), START, END, backfill=False)
 
 
+@query("scope", "fiscal_cal", sql="select p.product_id, p.location_id, w.year, w.week from pairs p, win w")
+def scope_daily_keys(x):
+    return assortment.daily_scope(x.pairs(), x.weeks(), START, END)
+
+
+@query("scope", "daily_data", sql="""select distinct s.product_id, s.location_id, s.year, s.week from (select product_id, location_id, cast(extract(year from start_date) as int) as year, cast(extract(week from start_date) as int) as week from scope) s
+  join (select cast(extract(year from date) as int) as year, cast(extract(week from date) as int) as week from daily_data group by 1, 2 having max(date) >= {START} and min(date) <= {END}) w on w.year = s.year and w.week = s.week""")
+def scope_native_weeks(x):
+    """Scope rows with their own civil year and week."""
+    own = x.scope.select("product_id", "location_id", F.year("start_date").alias("year"), F.weekofyear("start_date").alias("week"))
+    return assortment.weekly_scope(own, None, civil_week(x), START, END, backfill=False)
+
+
 LATE = "(select product_id, location_id, c.year, c.week from (select distinct product_id, location_id, date '1998-02-01' + cast((product_id + location_id) % 3 * 7 + 28 as int) date from scope) s join fiscal_cal c on c.date = s.date)"
 
 
@@ -337,6 +366,23 @@ def blocked_flag(x):
     return assortment.flag_blocked(x.daily_data.select("product_id", "store_id", "date"), x.intervals())
 
 
+def _islands(rows: str) -> str:
+    return f"""select product_id, location_id, min(d) first_day, max(d) last_day from (
+  select *, d - cast(row_number() over (partition by product_id, location_id order by d) as integer) run from (
+  select distinct product_id, location_id, cast(unnest(generate_series(start_date, coalesce(end_date, {{END}}), interval 1 day)) as date) as d from {rows} where start_date >= scope_start)
+  where d between {{START}} and {{END}}) group by product_id, location_id, run"""
+
+
+KINDS = """(select p.*, b.start_date, b.end_date from pairs p join blocks b on b.product_id = p.product_id and b.location_id = p.location_id
+  union all select p.*, b.start_date, b.end_date from pairs p join dc_blocks b on b.product_id = p.product_id union all select p.*, b.start_date, b.end_date from pairs p join store_closures b on b.location_id = p.location_id)"""
+
+
+@query("scope", "blocks", "dc_blocks", "store_closures", sql=_islands(KINDS))
+def block_kinds(x):
+    """Blocks of a product in a store, of a product anywhere, and of a store."""
+    return assortment.block_intervals_of(x.pairs(), [x.blocks, x.dc_blocks.drop("location_id"), x.store_closures], START, END)
+
+
 FULL = """(select i.product_id, i.location_id, w.year, w.week from iv i join win w on i.first_day <= least(w.week_end_date, {END}) and i.last_day >= greatest(w.week_start_date, {START})
   group by 1, 2, 3, 4, w.week_start_date, w.week_end_date having sum(least(i.last_day, w.week_end_date, {END}) - greatest(i.first_day, w.week_start_date, {START}) + 1) >= least(w.week_end_date, {END}) - greatest(w.week_start_date, {START}) + 1)"""
 
@@ -393,6 +439,17 @@ def instock_daily_earliest(x):
     return _instock(x, "earliest")
 
 
+@query("scope", "blocks", "daily_data", "fiscal_cal", "goods_in_transit", sql="""select s.product_id, s.store_id, c.year, c.week, sum(case when coalesce(d.inventory > 0 or d.sales_quantity > 0, false) or g.product_id is not null then 1 else 0 end) stocked_pairs, count(*) available_days
+  from (select p.product_id, p.location_id store_id, greatest(min(date), {START}) opens_on from pairs p join daily_data f on f.product_id = p.product_id and f.store_id = p.location_id group by 1, 2) s
+  join fiscal_cal c on c.date between s.opens_on and {END} left join daily_data d on d.product_id = s.product_id and d.store_id = s.store_id and d.date = c.date
+  left join (select distinct product_id, destination_id, date from goods_in_transit where destination_type = 0) g on g.product_id = s.product_id and g.destination_id = s.store_id and g.date = c.date
+  where coalesce(d.usable, 1) = 1 and not exists (select 1 from iv i where i.product_id = s.product_id and i.location_id = s.store_id and c.date between i.first_day and i.last_day) group by 1, 2, 3, 4""")
+def instock_usable_transit(x):
+    """Unusable days leave both counts; goods in transit count as stock."""
+    pairs = x.pairs().withColumnRenamed("location_id", "store_id")
+    return facts.instock_daily(pairs, x.daily_data, x.weeks(), START, END, "first", x.intervals(), facts.store_transit(x.goods_in_transit), usable_only=True)
+
+
 INSTOCK = """(select l.product_id, l.store_id, c.year, c.week, in_stock stocked_pairs, total_days available_days from lost_sales l join fiscal_cal c on c.date = l.week_start_date where l.week_start_date between {START} and {END})"""
 
 
@@ -416,6 +473,31 @@ def lost_base(x):
     return facts.lost_base(x.lost_sales, x.usable(), x.fiscal_cal, START, END).groupBy("product_id", "year").agg(F.sum("lost_sales").alias("lost_sales"), F.sum("could_sell").alias("could_sell"))
 
 
+@query("lost_sales", "fiscal_cal", "scope", "blocks", sql=f"""select k.product_id, k.store_id, k.year, k.week, stocked_pairs, case when k.product_id % 5 = 0 then week_days else available_days end available_days from {INSTOCK} k join wk on wk.year = k.year and wk.week = k.week
+  where not exists (select 1 from {FULL} f where f.product_id = k.product_id and f.location_id = k.store_id and f.year = k.year and f.week = k.week)""", doubles="available_days")
+def instock_of_lost(x):
+    """In-stock days of the lost-sales rows, some of which do not tell of how many days."""
+    lost = x.lost_sales.withColumn("total_days", F.expr("case when product_id % 5 <> 0 then total_days end"))
+    return facts.instock_of_lost(lost, x.fiscal_cal, x.weeks(), START, END, fully_blocked_weeks(x))
+
+
+def _lost_sql(sales: str, weeks: str) -> str:
+    return f"""select l.product_id, l.store_id, l.year, l.week, lost_sales, coalesce(q, 0.0) sales_quantity, floor(coalesce(q, 0.0) + lost_sales) could_sell from (select product_id, store_id, c.year, c.week, sum(lost_sales) lost_sales from lost_sales l join wk c on c.week_start_date = l.week_start_date where {weeks} group by 1, 2, 3, 4) l
+  left join (select product_id, store_id, c.year, c.week, sum(sales_quantity) q from daily_data d join fiscal_cal c on c.date = d.date where usable = 1 and {sales} group by 1, 2, 3, 4) s on s.product_id = l.product_id and s.store_id = l.store_id and s.year = l.year and s.week = l.week"""
+
+
+@query("lost_sales", "daily_data", "fiscal_cal", sql=_lost_sql("store_id in (0, 2) and d.date between {START} and {END}", "l.week_start_date between {START} and {END}"))
+def lost_sales_filter(x):
+    return facts.lost_base(x.lost_sales, x.usable(), x.fiscal_cal, START, END, sales_filter={"store_id": [0, 2]})
+
+
+@query("lost_sales", "daily_data", "fiscal_cal", sql=_lost_sql(f"d.date between {{START}} and date '{LATEST}'", f"l.week_start_date >= {{START}} and l.week_start_date + 7 <= date '{LATEST}'"))
+def lost_latest_day(x):
+    """A report that ends on a Wednesday has lost sales up to the Saturday before it."""
+    days = readers.window(expressions(x.daily_data, ["usable = 1"]), "date", START, LATEST)
+    return facts.lost_base(x.lost_sales, days, x.fiscal_cal, START, LATEST, latest_day=True)
+
+
 @query("lost_sales", "daily_data", "fiscal_cal", sql="""select l.product_id, l.year, l.week, lost_sales, coalesce(q, 0.0) sales_quantity, floor(coalesce(q, 0.0) + lost_sales) could_sell from (select product_id, c.year, c.week, sum(lost_sales) lost_sales from lost_sales l join (select year, week, min(date) s from fiscal_cal group by 1, 2) c on c.s = l.week_start_date where l.week_start_date between {START} and {END} group by 1, 2, 3) l
   left join (select product_id, c.year, c.week, sum(sales_quantity) q from daily_data d join fiscal_cal c on c.date = d.date where usable = 1 and d.date between {START} and {END} group by 1, 2, 3) s on s.product_id = l.product_id and s.year = l.year and s.week = l.week""")
 def lost_storeless(x):
@@ -429,7 +511,7 @@ def lost_ensemble(x):
     return facts.ensemble(x.lost_sales, slow, x.speed_cluster, ["1", "2"])
 
 
-DC = """(select g.product_id, g.warehouse_id, c.year, c.week, sum(case when coalesce(inventory, 0) > 0 then 1 else 0 end) dc_stocked_days, count(*) dc_available_days from (select product_id, warehouse_id, min(date) s from inventory_warehouse where date between {START} and {END} group by 1, 2) g
+DC = """(select g.product_id, g.warehouse_id, c.year, c.week, sum(case when coalesce(inventory, 0) > 0 then 1 else 0 end) dc_stocked_days, count(*) dc_available_days, count(*) dc_unblocked_days from (select product_id, warehouse_id, min(date) s from inventory_warehouse where date between {START} and {END} group by 1, 2) g
   join fiscal_cal c on c.date between g.s and {END} left join inventory_warehouse i on i.product_id = g.product_id and i.warehouse_id = g.warehouse_id and i.date = c.date group by 1, 2, 3, 4)"""
 
 
@@ -438,6 +520,53 @@ def dc_instock(x):
     return facts.dc_instock(x.inventory_warehouse, x.fiscal_cal, START, END)
 
 
+DC_PAIRS = "(select product_id, location_id, min(start_date) scope_start from dc_scope group by 1, 2)"
+DC_BLOCKED = "(" + _islands(f"(select p.*, b.start_date, b.end_date from {DC_PAIRS} p join dc_blocks b on b.product_id = p.product_id and b.location_id = p.location_id)") + ")"
+PRODUCT_WEEKS = "(select distinct product_id, c.year, c.week from daily_data d join fiscal_cal c on c.date = d.date where usable = 1 and d.date between {START} and {END})"
+IN_DC_SCOPE = f"(g.product_id, g.warehouse_id) in (select (product_id, location_id) from {DC_PAIRS}) and (g.product_id, c.year, c.week) in (select (product_id, year, week) from {PRODUCT_WEEKS})"
+DC_SOURCES = ("inventory_warehouse", "fiscal_cal", "dc_scope", "dc_blocks", "daily_data")
+DC_DAYS = f"""(select g.*, c.year, c.week, b.first_day is not null is_blocked from (select * from inventory_warehouse where date between {{START}} and {{END}}) g join fiscal_cal c on c.date = g.date
+  left join {DC_BLOCKED} b on b.product_id = g.product_id and b.location_id = g.warehouse_id and g.date between b.first_day and b.last_day where {IN_DC_SCOPE})"""
+
+
+def _dc_grid_sql(counted: str) -> str:
+    return f"""(select * from (select g.product_id, g.warehouse_id, c.year, c.week, count(case when {counted} and coalesce(inventory, 0) > 0 then 1 end) dc_stocked_days, count(case when {counted} then 1 end) dc_available_days, nullif(count(case when b.first_day is null then 1 end), 0) dc_unblocked_days
+  from (select product_id, warehouse_id, min(date) s from inventory_warehouse where date between {{START}} and {{END}} group by 1, 2) g join fiscal_cal c on c.date between g.s and {{END}}
+  left join inventory_warehouse i on i.product_id = g.product_id and i.warehouse_id = g.warehouse_id and i.date = c.date
+  left join {DC_BLOCKED} b on b.product_id = g.product_id and b.location_id = g.warehouse_id and c.date between b.first_day and b.last_day where {IN_DC_SCOPE} group by 1, 2, 3, 4) where dc_available_days > 0)"""
+
+
+def _dc_scope(x) -> dict[str, DataFrame]:
+    pairs = assortment.scope_pairs(assortment.scope_rows(x.dc_scope, [22], RUN))
+    return {"pairs": pairs, "product_weeks": x.usable().join(F.broadcast(x.fiscal_cal), "date"), "intervals": assortment.block_intervals(pairs, x.dc_blocks, START, END)}
+
+
+@query(*DC_SOURCES, sql=f"select product_id, warehouse_id, date, inventory, year, week, is_blocked from {DC_DAYS}")
+def dc_daily_scoped(x):
+    return facts.dc_daily(x.inventory_warehouse, x.fiscal_cal, START, END, **_dc_scope(x)).drop("git_quantity", "has_inventory_row")
+
+
+@query(*DC_SOURCES, sql=f"select * from {_dc_grid_sql('b.first_day is null')}")
+def dc_instock_scoped(x):
+    return facts.dc_instock(x.inventory_warehouse, x.fiscal_cal, START, END, **_dc_scope(x))
+
+
+@query(*DC_SOURCES, sql=f"select * from {_dc_grid_sql('true')}")
+def dc_instock_with_blocked(x):
+    return facts.dc_instock(x.inventory_warehouse, x.fiscal_cal, START, END, **_dc_scope(x), drop_blocked=False)
+
+
+@query(*DC_SOURCES, sql=f"""select 'dc_daily' frame, product_id, warehouse_id from {DC_DAYS} where year in (1999, 2000) and not is_blocked group by 2, 3 having count(distinct year) = 2
+  union all select 'dc_inst', product_id, warehouse_id from {_dc_grid_sql('true')} where year in (1999, 2000) and dc_unblocked_days > 0 group by 2, 3 having count(distinct year) = 2""")
+def dc_universes(x):
+    """Products and warehouses of both years: of stock rows, and of the in-stock grid, which knows days without rows."""
+    key, rules = ["product_id", "warehouse_id"], _dc_scope(x)
+    days = facts.dc_daily(x.inventory_warehouse, x.fiscal_cal, START, END, **rules)
+    grid = facts.dc_instock(x.inventory_warehouse, x.fiscal_cal, START, END, **rules, drop_blocked=False)
+    both = [compare.universe(d, [1999, 2000], key).withColumn("frame", F.lit(name)) for name, d in (("dc_daily", days), ("dc_inst", grid))]
+    return both[0].unionByName(both[1])
+
+
 # Metrics --------------------------------------------------------------------------------------------------------------
 
 SALES = ["total_sales_quantity", "total_sales_revenue", "AUR", "AUC", "total_inventory", "distinct_product_count", "distinct_store_count", "distinct_pair_count"]
@@ -617,6 +746,7 @@ def _comparable(name: str, kind: str, years: list[int], number: int | None = Non
     table = "(" + _by('sum(sales_quantity) total_sales_quantity, sum(sales_revenue) total_sales_revenue, sum(sales_revenue) / nullif(sum(sales_quantity), 0) "AUR"', rows=rows, kinds=f"'{period_type}'", more=inside) + ")"
 
     def run(x):
+        years = compare.qualifying_years(x.scoped(), x.weeks(), START, END, period_type, number)
         periods = x.periods((period_type,)).where(F.col("year").isin(years))
         if number:
             periods = periods.where(F.col("period").endswith(f"-{'Q' if kind == 'quarter' else 'H'}{number}"))
@@ -640,6 +770,42 @@ def trim_recent(x):
     return slices.trim_recent(x.kpis(["total_sales_quantity"], ("annual", "week")), {"annual": 2, "week": 4})
 
 
+@query(*BASE, sql=_by("sum(sales_quantity) total_sales_quantity", kinds="'week', 'annual'", more="and pb.period <> '2001-W23' and (pb.period_type = 'annual' and pb.year >= 2000 or pb.period_type = 'week' and pb.year * 100 + pb.week >= (select max(year * 100 + week) - 3 from win))"))
+def trim_calendar_weeks(x):
+    """A week without rows takes one of the four places."""
+    table = x.kpis(["total_sales_quantity"], ("annual", "week")).where("period <> '2001-W23'")
+    return slices.trim_recent(table, {"annual": 2, "week": 4}, calendar.within(x.weeks(), START, END))
+
+
+SAVED = "(select period, case when period = '1999' then -total_sales_quantity else total_sales_quantity end total_sales_quantity, total_sales_revenue, \"AUR\" from ann)"
+
+
+@query(*BASE, sql=_links_sql(SAVED, "yoy", False), doubles="prior_value current_value change_pct")
+def recomputed_after_merge(x):
+    """Comparisons of the merged history, in which saved rows stay and reach back beyond the new ones."""
+    new = x.kpis(COMPARED)
+    saved = new.where("period < '2000'").withColumn("total_sales_quantity", F.expr("if(period = '1999', -total_sales_quantity, total_sales_quantity)"))
+    return compare.links(snapshots.merged(saved, new.where("period > '1998'"), snapshots.KEYS["kpi_long"]), COMPARED, "annual", "yoy")
+
+
+def _link_rows_sql(prior: int) -> str:
+    pairs = f"(select product_id, store_id from sd where year in ({prior}, {prior + 1}) group by 1, 2 having count(distinct year) = 2)"
+    rows = f"(select cast(s.year as varchar) period, sum(sales_quantity) total_sales_quantity, sum(sales_revenue) total_sales_revenue, sum(sales_revenue) / nullif(sum(sales_quantity), 0) \"AUR\" from sd s join {pairs} u on u.product_id = s.product_id and u.store_id = s.store_id where s.year in ({prior}, {prior + 1}) group by 1)"
+    return _links_sql(rows, "yoy", False)
+
+
+@query(*BASE, sql=f"{_link_rows_sql(1998)} union all {_link_rows_sql(1999)}", doubles="prior_value current_value change_pct")
+def rebuilt_comparison(x):
+    """Like-for-like comparisons from saved rows of two links, each with its own pairs."""
+    scoped, parts = x.scoped(), []
+    for prior in (1998, 1999):
+        years = [prior, prior + 1]
+        rows = compare.restricted(scoped.where(F.col("year").isin(years)), compare.universe(scoped, years))
+        table = metrics.kpi_table(metrics.Facts(rows), x.slices(), x.periods().where(F.col("year").isin(years)), metrics.Rules(tuple(COMPARED)))
+        parts.append(table.withColumns({"comparison_type": F.lit("yoy"), "link_prior_year": F.lit(prior), "link_current_year": F.lit(prior + 1), "year": F.col("period").cast("int")}))
+    return compare.rebuilt(parts[0].unionByName(parts[1]), COMPARED, "yoy")
+
+
 @query(*BASE, sql=f"""select period_type, period, root, dimension, dimension_value, case when period = '2000' or period like 'YTD%' then total_sales_quantity else -1 end total_sales_quantity from ({_by("sum(sales_quantity) total_sales_quantity", kinds="'annual', 'ytd'")}) where period <> '2001'""")
 def merge_incremental(x):
     new = x.kpis(["total_sales_quantity"], ("annual", "ytd"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +64,16 @@ def stamped(df: DataFrame, as_of: str, saved_at: str) -> DataFrame:
     return df
 
 
+def save_recomputed(df: DataFrame, root: str, table: str, run_date: str, keys: Sequence[str], comparisons: Mapping[str, Callable[[DataFrame], DataFrame]], overwrite: bool = False, always: str | None = None, saved_at: str = "") -> DataFrame | None:
+    """Merges a table onto its last run and saves what is compared anew from all its periods, whole, so that a comparison
+    can reach back beyond this run. ``comparisons``: table name to a function of the merged table, which is returned."""
+    save(df, root, table, run_date, keys, "incremental", overwrite, always, saved_at)
+    history = latest(df.sparkSession, root, table, run_date)
+    for name, compared in comparisons.items() if history is not None else ():
+        save(compared(history), root, name, run_date, KEYS["comparison"], "full_refresh", saved_at=saved_at)
+    return history
+
+
 def save(df: DataFrame, root: str, table: str, run_date: str, keys: Sequence[str], mode: str = "incremental", overwrite: bool = False, always: str | None = None, saved_at: str = "") -> bool:
     """Saves a table for a run date; whether it had rows (an empty one is never written). ``initial`` refuses if any
     run is there; ``incremental`` merges onto the last run up to this one; ``full_refresh`` writes the rows as they are."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.changes import display, display_change
 from shelfwise.functions.conditions import at_least_zero, ratio, value_filter
-from shelfwise.operators import assortment, calendar, facts, metrics
+from shelfwise.operators import assortment, calendar, compare, facts, metrics
 from shelfwise.sources import readers, snapshots
 
 day = dt.date.fromisoformat
@@ -136,3 +136,46 @@ def test_streamed_days(spark, tmp_path):
     for _ in range(2):
         ingest.append(ingest.daily_sales(ingest.transactions(spark, f"{tmp_path}/in", schema)), f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
     assert rows(spark.read.parquet(f"{tmp_path}/out").where("date < '2024-01-15'"), "sales_revenue", "sales_quantity") == [(5.0, 2.0)]
+
+
+def test_complete_month(spark):
+    weeks = lambda n: calendar.fiscal_weeks(spark.createDataFrame([(day("2024-01-07") + dt.timedelta(days=k), 2024, 1 + k // 7, "Q1", f"M{1 + k // 28}") for k in range(n)], "date date, year int, week int, quarter string, month string"))
+    assert calendar.complete_month_end("2024-01-07", "2024-02-10", weeks(84)) == day("2024-02-03")
+    assert calendar.complete_month_end("2024-01-07", "2024-02-03", weeks(84)) == day("2024-02-03")
+    assert calendar.complete_month_end("2024-01-01", "2024-02-10") == day("2024-01-31") == calendar.complete_month_end("2024-01-01", "2024-01-31")
+    for start, end, n in (("2024-01-07", "2024-02-10", 35), ("2024-01-07", "2024-01-20", 84), ("2024-01-14", "2024-02-10", 84)):  # calendar too short, no month ends, month began before
+        with pytest.raises(ValueError):
+            calendar.complete_month_end(start, end, weeks(n))
+    for start, end in (("2024-02-05", "2024-02-20"), ("2024-01-05", "2024-02-20")):
+        with pytest.raises(ValueError):
+            calendar.complete_month_end(start, end)
+
+
+def test_last_saturday():
+    assert [calendar.last_saturday(day(f"2024-01-{d}")) for d in ("13", "14", "19", "20")] == [day("2024-01-13")] * 3 + [day("2024-01-20")]
+
+
+def test_daily_scope_needs_keys(spark):
+    cal = spark.createDataFrame([(day("2024-01-07"), 2024, 1, "Q1", "M1")], "date date, year int, week int, quarter string, month string")
+    pairs = spark.createDataFrame([(1, 2)], "product_id long, location_id long")
+    assert rows(assortment.daily_scope(pairs.select("product_id"), calendar.fiscal_weeks(cal), "2024-01-07", "2024-01-13"), "product_id", "week") == [(1, 1)]
+    with pytest.raises(ValueError):
+        assortment.daily_scope(pairs, calendar.fiscal_weeks(cal), "2025-01-07", "2025-01-13")
+
+
+def test_comparisons_are_saved_anew_after_a_merge(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    frame = lambda *r: spark.createDataFrame([("annual", p, "overall", "overall", "overall", v) for p, v in r], "period_type string, period string, root string, dimension string, dimension_value string, AUR double")
+    for date, new in (("2024-01-01", frame(("2022", 1.0), ("2023", 2.0))), ("2024-01-08", frame(("2023", 9.0), ("2024", 3.0)))):
+        snapshots.save_recomputed(new, root, "kpi_long", date, snapshots.KEYS["kpi_long"], {"comparison_yoy": lambda t: compare.links(t, ["AUR"], "annual", "yoy")})
+    assert rows(snapshots.latest(spark, root, "comparison_yoy", "2024-02-01"), "prior_period", "current_period", "change_pct") == [("2022", "2023", 100.0), ("2023", "2024", 50.0)]
+
+
+def test_years_need_present_and_complete_parts(spark):
+    weeks = spark.createDataFrame([(y, w, day(f"{y}-01-0{w}"), day(f"{y}-01-0{w}"), w, 1, w) for y in (2021, 2022, 2023) for w in (1, 2)], "year int, week int, week_start_date date, week_end_date date, quarter int, half int, month int")
+    found = spark.createDataFrame([(1, 1, 2021, 1, True, False), (1, 1, 2022, 1, True, True), (1, 1, 2022, 2, True, False), (1, 1, 2023, 1, True, False)], "product_id long, store_id long, year int, week int, has_sales_row boolean, is_blocked boolean")
+    window = (weeks, "2021-01-01", "2023-01-01")
+    assert compare.qualifying_years(found, *window, "ytd") == [2021, 2022, 2023]
+    assert compare.qualifying_years(found, *window) == [2021, 2022]
+    assert compare.qualifying_years(found, *window, "quarter", 1) == [2021, 2023]
+    assert compare.qualifying_years(found, *window, "quarter", 1, unblocked=False) == [2021, 2022, 2023]
