@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from .common import over_blocks, whole, written
 from .quality_rules import estimated, measured, posteriors, voted
 
-#: Documents that the scorer is fitted on: the bound of the sample.
-SAMPLE = 6000
+#: Documents that the scorer is fitted on, and the characters of their words: the bounds of the sample.
+SAMPLE, CHARACTERS = 6000, 20_000_000
+#: Text bytes whose features are worked out together.
+TOGETHER = 8 << 20
 DIMENSIONS = 1 << 15
 STEPS = 120
 KEPT_FROM = 0.5
@@ -30,32 +32,33 @@ LETTERS = re.compile(r"[^\W\d_]+")
 DIGITS = re.compile(r"\d+")
 
 
-def features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of a whole text and their values, the square roots of their shares of all features."""
-    words = text.split()
-    counts: Counter[str] = Counter()
-    known: dict[str, str] = {}
-    previous = ""
-    seen: set[tuple[str, str]] = set()
-    for word in words:
-        shape = known.get(word)
-        if shape is None:
-            shape = known[word] = DIGITS.sub("0", LETTERS.sub("a", word))[:12]
-        counts[f"s:{shape}"] += 1
-        counts[f"w:{word.lower()}"] += 1
-        if word == previous:
-            counts["again"] += 1
-        if (previous, word) in seen:
-            counts["pair again"] += 1
-        seen.add((previous, word))
-        previous = word
-    lines = [line for line in text.split("\n") if line.strip()]
-    counts["line"] += len(lines)
-    counts["line again"] += len(lines) - len(set(lines))
-    counts[f"size:{len(words).bit_length()}"] += 1 + len(words)
-    total = sum(counts.values())
-    at = np.fromiter((zlib.crc32(k.encode("utf-8", "replace")) % DIMENSIONS for k in counts), np.int32, len(counts))
-    return at, np.sqrt(np.fromiter(counts.values(), np.float32, len(counts)) / max(total, 1))
+def features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashed features of whole texts and their values, the square roots of their shares of all features of the text.
+
+    Words are numbered over all the texts; what is known of a word (its lower case and its shape) is worked out once.
+    """
+    numbers: dict[str, int] = defaultdict()
+    numbers.default_factory = lambda: len(numbers)
+    tokens = []
+    for text in texts:
+        words = text.split()
+        tokens.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+    names: dict[str, int] = defaultdict()
+    names.default_factory = lambda: len(names)
+    lowered = np.fromiter((names[f"w:{w.lower()}"] for w in numbers), np.int64, len(numbers))
+    shaped = np.fromiter((names[f"s:{DIGITS.sub('0', LETTERS.sub('a', w))}"] for w in numbers), np.int64, len(numbers))
+    found = []
+    for text, token in zip(texts, tokens, strict=True):
+        kinds, counts = np.unique(np.concatenate([lowered[token], shaped[token]]), return_counts=True)
+        pairs = token[:-1] * len(numbers) + token[1:]
+        lines = [line for line in text.split("\n") if line.strip()]
+        more = {
+            "again": int((token[1:] == token[:-1]).sum()), "pair again": len(pairs) - len(np.unique(pairs)), "line": len(lines),
+            "line again": len(lines) - len(set(lines)), f"size:{len(token).bit_length()}": 1 + len(token),
+        }
+        found.append((np.append(kinds, [names[k] for k in more]), np.append(counts, list(more.values())).astype(np.float32)))
+    hashed = np.fromiter((zlib.crc32(k.encode("utf-8", "replace")) % DIMENSIONS for k in names), np.int32, len(names))
+    return [(hashed[at], np.sqrt(n / max(n.sum(), 1))) for at, n in found]
 
 
 def fit(at: list[np.ndarray], values: list[np.ndarray], target: np.ndarray) -> np.ndarray:
@@ -81,32 +84,36 @@ def scored(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``doc_id``, ``score`` (0 to 1, higher is better) and ``kept`` of every row.
 
     A null text is empty; empty texts are scored like any. Repeated rows are scored alike. Of an empty table nothing is
-    learned and nothing returned. Other columns than ``doc_id`` and ``text`` are not read.
+    learned and nothing returned. Other columns than ``doc_id`` and ``text`` are not read. Texts of any length are scored
+    whole; the sample takes documents in the order of their ids' hashes, ties by id, up to ``sample`` of them and
+    ``CHARACTERS``; a document that would go beyond is not learned from.
     """
     texts = whole(docs)
     votes = written(voted(measured(texts)).drop("text"), "labellers")
     shares, says = estimated(votes)
     picked = votes.where("doc_id is not null").withColumn("good", posteriors(shares, says)[0])
-    picked = picked.groupBy("doc_id").agg(F.min("good").alias("good")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
-    if not picked:
+    picked = picked.groupBy("doc_id").agg(F.min("good").alias("good"), F.sum(F.col("word_chars") + F.col("n_words")).alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
+    room, sampled = CHARACTERS, []
+    for r in picked:
+        if r["size"] <= room:
+            sampled.append((r["doc_id"], r["good"]))
+            room -= r["size"]
+    if not sampled:
         return texts.select("doc_id", F.lit(1.0).alias("score"), F.lit(True).alias("kept"))
-    chosen = texts.join(F.broadcast(docs.sparkSession.createDataFrame([(r["doc_id"], r["good"]) for r in picked], "doc_id long, good double")), "doc_id")
+    chosen = texts.join(F.broadcast(docs.sparkSession.createDataFrame(sampled, "doc_id long, good double")), "doc_id")
 
     def featured(block: pa.Table) -> Iterator[pa.RecordBatch]:
-        both = [features(t) for t in block["text"].to_pylist()]
+        both = features(block["text"].to_pylist())
         columns = [pa.array([a for a, _ in both], pa.list_(pa.int32())), pa.array([v for _, v in both], pa.list_(pa.float32()))]
         yield pa.RecordBatch.from_arrays([block["doc_id"].combine_chunks(), block["good"].combine_chunks(), *columns], names=["doc_id", "good", "at", "values"])
 
-    rows = over_blocks(chosen, featured, "doc_id long, good double, at array<int>, values array<float>").toArrow().sort_by("doc_id")
+    rows = over_blocks(chosen, featured, "doc_id long, good double, at array<int>, values array<float>", limit=TOGETHER).toArrow().sort_by("doc_id")
     at, values = ([np.array(x) for x in rows[k].to_pylist()] for k in ("at", "values"))
     weights = fit(at, values, rows["good"].to_numpy())
 
     def score(block: pa.Table) -> Iterator[pa.RecordBatch]:
-        out = []
-        for text in block["text"].to_pylist():
-            where, value = features(text)
-            out.append(weights[where] @ value + weights[-1])
-        p = 1 / (1 + np.exp(-np.clip(np.array(out), -30, 30)))
+        raw = np.array([weights[where] @ value + weights[-1] for where, value in features(block["text"].to_pylist())])
+        p = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
         yield pa.RecordBatch.from_arrays([block["doc_id"].combine_chunks(), pa.array(p), pa.array(p >= KEPT_FROM)], names=["doc_id", "score", "kept"])
 
-    return over_blocks(texts, score, "doc_id long, score double, kept boolean")
+    return over_blocks(texts, score, "doc_id long, score double, kept boolean", limit=TOGETHER)

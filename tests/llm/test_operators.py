@@ -381,6 +381,26 @@ def test_quality_agrees_with_labels(spark, documents, none):
     assert quality_rules.quality(none).count() == 0 and quality_classifier.scored(none).count() == 0
 
 
+def test_classifier_features_are_counts_of_words_shapes_and_repeats():
+    texts = ["", "a A b12 a\n\na A b12 a\nx", "one", "r r r r"]
+    for text, (at, value) in zip(texts, quality_classifier.features(texts), strict=True):
+        w, lines = text.split(), [x for x in text.split("\n") if x.strip()]
+        counts = collections.Counter([f"w:{x.lower()}" for x in w] + ["s:" + re.sub(r"\d+", "0", re.sub(r"[^\W\d_]+", "a", x)) for x in w])
+        pairs = list(zip(w, w[1:]))
+        counts.update({"again": sum(a == b for a, b in pairs), "pair again": len(pairs) - len(set(pairs)), "line": len(lines), "line again": len(lines) - len(set(lines)), f"size:{len(w).bit_length()}": 1 + len(w)})
+        dense, expected = np.zeros(quality_classifier.DIMENSIONS), np.zeros(quality_classifier.DIMENSIONS)
+        np.add.at(dense, at, value)
+        for k, n in counts.items():
+            expected[zlib.crc32(k.encode()) % quality_classifier.DIMENSIONS] += math.sqrt(n / sum(counts.values()))
+        assert np.allclose(dense, expected, atol=1e-6)
+
+
+def test_classifier_sample_is_bounded_by_characters(documents, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "CHARACTERS", 20_000)
+    rows = quality_classifier.scored(documents).collect()
+    assert len(rows) == documents.count() and all(0 <= r["score"] <= 1 for r in rows)
+
+
 def test_classifier_on_odd_rows(odd):
     rows = quality_classifier.scored(odd).collect()
     assert len(rows) == odd.count() and all(0 <= r["score"] <= 1 for r in rows)
