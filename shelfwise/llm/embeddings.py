@@ -44,12 +44,12 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def rotation(distinct: DataFrame) -> dict[int, np.ndarray]:
-    """Per length of vector, an orthogonal matrix whose columns are dealt to blocks in turns, widest spread first."""
+    """Per length of vector in the sample, an orthogonal matrix whose columns are dealt to blocks in turns, widest spread
+    first. Vectors of other lengths stay as they are: any rotation finds all links."""
     sample = distinct.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("v").toArrow()["v"].to_pylist()
-    lengths = [r["n"] for r in distinct.select(F.size("v").alias("n")).distinct().limit(1000).collect()]
     out = {}
-    for n in lengths:
-        rows = np.array([x for x in sample if len(x) == n] or [[1.0] + [0.0] * (n - 1)])
+    for n in {len(x) for x in sample}:
+        rows = np.array([x for x in sample if len(x) == n])
         rows /= np.linalg.norm(rows, axis=1, keepdims=True)
         _, axes = np.linalg.eigh(np.cov(rows.T).reshape(n, n) if len(rows) > 1 else np.eye(n))
         out[n] = axes[:, ::-1]
@@ -71,7 +71,8 @@ def dealt(distinct: DataFrame, cosine: float, axes) -> DataFrame:
             for rep, copies, label, v in zip(*(batch.column(k).to_pylist() for k in ("rep", "copies", "label", "v")), strict=True):
                 n = len(v)
                 u = np.array(v)
-                u = u / np.linalg.norm(u) @ axes.value[n]
+                u = u / np.linalg.norm(u)
+                u = u @ axes.value[n] if n in axes.value else u
                 for b, span in enumerate(spans(n)):
                     part = u[span]
                     reach = np.sqrt(squared * len(part) / n) + SLACK
@@ -111,7 +112,7 @@ def joined(cells: DataFrame, cosine: float, axes) -> DataFrame:
         rep, copies, b = group["rep"].to_numpy(), group["copies"].to_numpy(), group["block"][0].as_py()
         v = np.array(group["v"].to_pylist())
         u = v / np.linalg.norm(v, axis=1, keepdims=True)
-        turned = u @ axes.value[v.shape[1]]
+        turned = u @ axes.value[v.shape[1]] if v.shape[1] in axes.value else u
         hs, gs = np.flatnonzero(host), np.flatnonzero(~host)
         hs, gs = hs[np.argsort(rep[hs])], gs[np.argsort(rep[gs])]
         a_out, n_out, b_out = [], [], []

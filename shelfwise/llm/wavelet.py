@@ -18,7 +18,7 @@ import public_tokenizers
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import partitions, whole, written
@@ -152,14 +152,15 @@ class WaveletMatrix:
         return cls(n, bits, planes, [z for z, _ in sizes], [cls.directory(p) for p in planes])
 
 
-SHARDS = "part int, shard int, doc_ids binary, lengths binary, n_ids long, matrix binary"
+SHARDS = "part int, shard int, before long, null_ids int, doc_ids binary, lengths binary, n_ids long, matrix binary"
 
 
 def shards(docs: DataFrame, vocabulary: str | None = None, end: int = END, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Shards of the ids of all documents in ascending ``doc_id``, each document closed by the end id.
 
-    A null text is empty and has only the end id; a null id sorts first and is kept as the lowest long. Repeated rows
-    are written as often as they stand there, next to each other. An empty table gives no shards.
+    A null text is empty and has only the end id; null ids sort first, and a shard tells how many of its first
+    documents have none. Repeated rows are written as often as they stand there, next to each other. A text of any length
+    lies in one shard. ``before`` counts the ids of the writing task's earlier shards. An empty table gives no shards.
     """
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
@@ -168,25 +169,26 @@ def shards(docs: DataFrame, vocabulary: str | None = None, end: int = END, shard
         part, shard = (context.partitionId() if context else 0), 0
         names: list[int] = []
         held: list[np.ndarray] = []
-        size = 0
+        size = before = nulls = 0
 
         def close() -> pa.RecordBatch:
             row = {
-                "part": [part], "shard": [shard], "doc_ids": [np.array(names, "<i8").tobytes()],
+                "part": [part], "shard": [shard], "before": [before], "null_ids": [nulls], "doc_ids": [np.array(names, "<i8").tobytes()],
                 "lengths": [np.array([len(x) for x in held], "<i8").tobytes()], "n_ids": [size],
                 "matrix": [WaveletMatrix.build(np.concatenate(held)).blob()],
             }
-            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                names.append(-(2**63) if doc is None else doc)
+                names.append(0 if doc is None else doc)
+                nulls += doc is None
                 held.append(encoded(text.as_py(), path, end).astype(np.uint16 if end < 2**16 and path == public_tokenizers.path(VOCABULARY) else np.uint32))
                 size += len(held[-1])
                 if size >= shard_ids:
                     yield close()
-                    shard, size = shard + 1, 0
+                    shard, before, size, nulls = shard + 1, before + size, 0, 0
                     names.clear()
                     held.clear()
         if names:
@@ -207,12 +209,10 @@ def read(table: DataFrame) -> DataFrame:
     What is gathered on the driver is one sum per partition of the writer, whose number is the session's setting.
     """
     sums = {r["part"]: r["n"] for r in table.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
-    before, total = {}, 0
+    bases, total = {}, 0
     for part in sorted(sums):
-        before[part] = total
+        bases[part] = total
         total += sums[part]
-    bases = table.groupBy("part", "shard").agg(F.sum("n_ids").alias("n_ids"))
-    bases = bases.withColumn("base", F.coalesce(F.sum("n_ids").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,14 +222,14 @@ def read(table: DataFrame) -> DataFrame:
                 stops = np.cumsum(lengths)
                 starts = stops - lengths
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+                unnamed = np.arange(len(names)) < row["null_ids"]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names), pa.array(starts + (row["base"] + before[row["part"]])), pa.array(lengths), pa.array(crc, pa.int64())],
+                    [pa.array(names, mask=unnamed), pa.array(starts + (row["before"] + bases[row["part"]])), pa.array(lengths), pa.array(crc, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    columns = ["part", "base", "doc_ids", "lengths", "matrix"]
-    placed = table.join(bases.select("part", "shard", "base"), ["part", "shard"])
-    return placed.select(columns).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    columns = ["part", "before", "null_ids", "doc_ids", "lengths", "matrix"]
+    return table.select(columns).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def lookup(table: DataFrame, token: int) -> DataFrame:

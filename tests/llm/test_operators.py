@@ -499,6 +499,13 @@ def test_embeddings_are_brute_force(spark):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_lengths_beyond_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "SAMPLE", 1)
+    rows = [(2 * n + k, [1.0] * n + [0.01 * k], 1) for n in range(2, 12) for k in range(2)]
+    found = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == [(i, 1, i - i % 2) for i, _, _ in rows]
+
+
 # 10 wavelet
 
 
@@ -521,7 +528,7 @@ def test_shards_hold_the_documents(documents, odd, none):
         docs = sorted((-(2**63) if d is None else d, t or "") for d, t in texts_of(df))
         rows = sorted(wavelet.read(wavelet.write(df, shard_ids=5000)).collect(), key=lambda r: r["start"])
         at = 0
-        assert [r["doc_id"] for r in rows] == [d for d, _ in docs]
+        assert [r["doc_id"] for r in rows] == [None if d == -(2**63) else d for d, _ in docs]
         for r, (d, t) in zip(rows, docs, strict=True):
             assert r["start"] == at
             if sum(x == d for x, _ in docs) == 1:
