@@ -70,7 +70,7 @@ def once(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
 def measured(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with the measures behind its columns; a null text has no words."""
     body = F.coalesce(F.col(text), F.lit(""))
-    w, lines = f"{PREFIX}words", f"{PREFIX}all_lines"
+    w, lines = f"{prefix or PREFIX}words", f"{prefix or PREFIX}all_lines"
     parts = {w: F.array_remove(F.split(body, SPACE), ""), lines: F.filter(F.split(body, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))}
     split = once(docs, parts)
     words, kept_lines = F.col(w), F.col(lines)
@@ -146,8 +146,9 @@ def estimated(votes: DataFrame, rounds: int = ROUNDS, prefix: str = "") -> tuple
 def quality(docs: DataFrame) -> DataFrame:
     """One row per document with its measures, ``base_failed``, the ``posterior`` and ``kept``.
 
-    A null or empty text has no words and fails. Repeated rows are each measured; an empty table gives no rows. Other
-    columns than ``doc_id`` and ``text`` are not read.
+    A null or empty text has no words and fails; a text of any length is measured whole. Repeated rows are each measured,
+    also where their id is null; a posterior of exactly ``KEPT_FROM`` is kept. An empty table gives no rows. Other columns
+    than ``doc_id`` and ``text`` are not read, so they may have any names.
     """
     rows = written(measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text"), "quality")
     votes = voted(rows)
@@ -157,7 +158,14 @@ def quality(docs: DataFrame) -> DataFrame:
 
 
 def good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns."""
-    votes = voted(measured(docs, prefix=PREFIX), PREFIX)
-    shares, says = estimated(votes, prefix=PREFIX)
-    return votes.where(~base_failed(PREFIX) & (posteriors(shares, says, PREFIX)[0] >= KEPT_FROM)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that are kept, with their own columns.
+
+    Rows that ``quality`` keeps: a null or empty text goes, a text of any length is measured whole, repeated rows stay or
+    go together, also where ids are null, and a posterior of exactly ``KEPT_FROM`` is kept. An empty table gives no rows.
+    Measures bear names that no column of ``docs`` begins with, so its columns may have any names.
+    """
+    taken = [c.lower() for c in docs.columns]
+    prefix = next(p for p in (f"{PREFIX}{k}_" for k in range(len(taken) + 1)) if not any(c.startswith(p) for c in taken))
+    votes = voted(measured(docs, prefix=prefix), prefix)
+    shares, says = estimated(votes, prefix=prefix)
+    return votes.where(~base_failed(prefix) & (posteriors(shares, says, prefix)[0] >= KEPT_FROM)).select(*[F.col(f"`{c}`") for c in docs.columns])

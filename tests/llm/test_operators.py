@@ -12,6 +12,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -372,6 +373,67 @@ def test_quality_measures(request, which):
     assert quality_rules.good(df).columns == df.columns
 
 
+def plain_votes(text: str | None) -> list[int]:
+    """Votes of the rules, from the plain measures of a text."""
+    w, body = words(text), text or ""
+    n, chars, symbols, twice, repeated = measures(text)
+    lines = sum(bool(words(line)) for line in body.split("\n"))
+    stops = sum(body.count(c) for c in ".!?")
+    plain = sum(bool(regex.fullmatch(r"\p{L}+[.,;:!?]?", x)) for x in w)
+    distinct = len(set(w))
+    bad_good = [
+        (n < 20, n >= 80),
+        (stops * 60 < n, n <= stops * 30 and stops * 3 <= n),
+        (symbols * 10 > n, symbols * 50 <= n),
+        (plain * 10 < 7 * n, plain * 10 >= 9 * n),
+        (not 2 * n <= chars <= 12 * n, 3 * n <= chars <= 9 * n),
+        (twice * 5 > lines, not twice),
+        (repeated * 10 > 3 * n, repeated * 12 <= n),
+        (distinct * 5 < n, distinct * 3 >= n),
+    ]
+    return [-1 if bad else int(good) for bad, good in bad_good]
+
+
+def plain_posteriors(votes: np.ndarray) -> np.ndarray:
+    """Each document's probability of being good, by expectation-maximisation over single documents."""
+    own = np.array([[way == rule[1] for rule in quality_rules.RULES] for way in quality_rules.WAYS])
+    chances = np.vstack([np.full((1, len(own[0])), 0.95), np.where(own, 0.3, 0.85)])
+    low = np.vstack([np.full((1, len(own[0])), 0.9), np.where(own, 0.0001, 0.3)])
+    high = np.vstack([np.full((1, len(own[0])), 0.9999), np.where(own, 0.6, 0.98)])
+    shares = np.array([0.85, 0.05, 0.05, 0.05])
+
+    def posterior() -> np.ndarray:
+        chance = np.where(votes[:, None] > 0, chances, np.where(votes[:, None] < 0, 1 - chances, 1.0))
+        joint = shares * chance.prod(axis=2)
+        return joint / joint.sum(axis=1, keepdims=True)
+
+    for _ in range(quality_rules.ROUNDS):
+        p = posterior()
+        shares = (p.sum(axis=0) + 1) / (len(votes) + len(shares))
+        chances = np.clip((p.T @ (votes > 0) + 1) / (p.T @ (votes != 0) + 2), low, high)
+    return posterior()[:, 0]
+
+
+@pytest.mark.parametrize("which", ["documents", "odd"])
+def test_quality_posteriors_are_brute_force(request, which):
+    df = request.getfixturevalue(which)
+    texts = texts_of(df)
+    posterior = plain_posteriors(np.array([plain_votes(t) for _, t in texts]))
+    failed = [len(words(t)) < 50 or 100 * measures(t)[4] > 50 * len(words(t)) for _, t in texts]
+    kept = [not f and p >= 0.5 for f, p in zip(failed, posterior, strict=True)]
+    rows = quality_rules.quality(df).collect()
+    key = lambda r: (-1 if r[0] is None else r[0], round(r[1], 6), r[2])
+    got = sorted([(r["doc_id"], round(r["posterior"], 9), r["kept"]) for r in rows], key=key)
+    want = sorted([(d, round(float(p), 9), k) for (d, _), p, k in zip(texts, posterior, kept, strict=True)], key=key)
+    assert [(d, k) for d, _, k in got] == [(d, k) for d, _, k in want]
+    assert np.allclose([p for _, p, _ in got], [p for _, p, _ in want], atol=1e-8)
+    stay = sorted(r["doc_id"] or -1 for r in quality_rules.good(df).select("doc_id").collect())
+    assert stay == sorted(d or -1 for (d, _), k in zip(texts, kept, strict=True) if k)
+    clash = df.withColumns({"__quality_0_n_words": F.lit(1), "__quality_words": F.lit("x"), "n_words": F.lit(2), "votes": F.lit(3)})
+    found = quality_rules.good(clash)
+    assert found.columns == clash.columns and sorted(r["doc_id"] or -1 for r in found.collect()) == stay
+
+
 def test_quality_agrees_with_labels(spark, documents, none):
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
     rules = quality_rules.quality(documents).where("not base_failed").join(labels, "doc_id")
