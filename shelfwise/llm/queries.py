@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embeddings, jaccard, katz, packing, pii, quality_classifier, quality_rules, toxicity, wavelet
+from . import bpe, chat, divergence, embeddings, jaccard, katz, packing, periodic, pii, quality_classifier, quality_rules, toxicity, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,9 +55,22 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read(wavelet.write(table(spark, sf_dir, "documents")))
 
 
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic(table(spark, sf_dir, "documents"), prepare=periodic.planted)
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_marks(spark, table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.formatted(chat.turns(chat.turn_records(rows))))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_divergence": divergence.SQL}
