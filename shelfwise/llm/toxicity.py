@@ -200,15 +200,16 @@ class Model:
 
 @dataclass
 class Scorer:
-    """A model, sent to the executors once, and the weights of its curve."""
+    """A model, sent to the executors once, the weights of its curve, and the score that the curve rises to."""
 
     model: Broadcast
     weights: np.ndarray
+    ceiling: float = 1.0
 
     def probability(self, texts: list[str]) -> np.ndarray:
         if not texts:
             return np.empty(0)
-        return 1 / (1 + np.exp(-np.clip(self.weights[0] + self.model.value.evidence(texts) @ self.weights[1:], -30, 30)))
+        return self.ceiling / (1 + np.exp(-np.clip(self.weights[0] + self.model.value.evidence(texts) @ self.weights[1:], -30, 30)))
 
 
 def mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -291,7 +292,11 @@ def counts(sample: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_rows: int = CURVE_ROWS, characters: int = CHARACTERS) -> Scorer | None:
     """The model of ``labels.toxic``, learned from at most ``count_rows + curve_rows`` labelled rows of each class that
-    have at most ``characters``. None if no sampled document bears a label."""
+    have at most ``characters``. None if no sampled document bears a label.
+
+    A curve is fitted where both classes have rows for it. Where one has none, because it has fewer than five labels or
+    none at all, nothing tells how far apart the classes lie: texts are then ordered by the likelihood ratio of the whole
+    text, below the threshold, so none is predicted toxic."""
     sample, share = sampled(docs, labels, count_rows, curve_rows, characters)
     if sample is None:
         return None
@@ -304,10 +309,12 @@ def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_
 
     seen = over_blocks(sample.where("not counted"), judge, "toxic int, a double, b double", limit=2 * TOGETHER).toArrow()
     y = seen["toxic"].to_numpy().astype(float)
+    if len(set(y.tolist())) < 2:
+        return Scorer(shared, np.array([0.0, 1.0, 0.0]), THRESHOLD)
     order = np.lexsort([seen[k].to_numpy() for k in "ab"] + [y])
     x, y = np.stack([seen[k].to_numpy() for k in "ab"], axis=1)[order], y[order]
     weight = np.where(y == 1, share.get(1, 0) / max(y.sum(), 1), share.get(0, 0) / max((1 - y).sum(), 1))
-    return Scorer(shared, fit_curve(x, y, weight / max(weight.mean(), 1e-9)) if len(y) else np.zeros(3))
+    return Scorer(shared, fit_curve(x, y, weight / weight.mean()))
 
 
 def probability(docs: DataFrame, scorer: Scorer | None, text: str = "text") -> Column:
@@ -334,7 +341,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     A null or empty text is scored by its end alone. A text is judged as a whole however long it is. Rows that repeat a
     text have its score; of rows that share an id but not the text, each has its own. A null id is no label and not held
-    out. Score 0 if there is nothing to learn from. An empty table gives no rows. Of ``docs`` only ``doc_id`` and
+    out. Score 0 if there is nothing to learn from, and below the threshold if a class has too few labels (``fit``). An empty table gives no rows. Of ``docs`` only ``doc_id`` and
     ``text`` are read, of ``labels`` only ``doc_id`` and ``toxic``.
     """
     scored = whole(docs).withColumn("score", probability(docs, fit(docs, labels)))

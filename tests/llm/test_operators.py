@@ -120,6 +120,22 @@ def test_toxicity_learns_and_holds_out(spark, odd, none):
     assert toxicity.harmless(learned, labelled).count() < 330 and toxicity.harmless(odd, labelled.limit(0)).columns == odd.columns
 
 
+@pytest.mark.parametrize(("toxic", "ordinary"), [(1, 1), (2, 2), (4, 4), (5, 0), (0, 5), (40, 2)])
+def test_toxicity_of_few_labels_flags_nothing(spark, documents, toxic, ordinary):
+    ids = [r["doc_id"] for r in documents.select("doc_id").orderBy("doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2]
+    labels = spark.createDataFrame([(d, 1) for d in ids[:toxic]] + [(d, 0) for d in ids[toxic : toxic + ordinary]], "doc_id long, toxic int")
+    rows = toxicity.toxicity(documents, labels).collect()
+    assert len(rows) == documents.count() and not any(r["predicted"] for r in rows) and all(0 <= r["score"] < 0.3 for r in rows)
+    assert len({r["score"] for r in rows}) > 20  # still an order
+    assert toxicity.harmless(documents, labels).count() == len(rows)
+
+
+def test_toxicity_of_five_labels_each_keeps_the_corpus(spark, documents):
+    ids = [r["doc_id"] for r in documents.select("doc_id").orderBy("doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2]
+    labels = spark.createDataFrame([(d, k % 2) for k, d in enumerate(ids[:10])], "doc_id long, toxic int")
+    assert 0 < toxicity.harmless(documents, labels).count() <= documents.count()
+
+
 def test_toxicity_probabilities_are_kneser_ney(spark):
     """Evidence of the model against formulas over plain counts."""
     random.seed(22)
