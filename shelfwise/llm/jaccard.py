@@ -35,9 +35,9 @@ from .common import over_blocks, partitions, whole, written
 from .components import components
 
 WORDS, PERCENT = 4, 85
-#: A shingle held by this many documents of a block is reported as frequent; of the reports, the highest are kept: what
-#: is broadcast is bounded by it. Any order gives whole results, frequent shingles last only keeps lists short.
-FREQUENT_IN_BLOCK, FREQUENT = 6, 1 << 17
+#: A shingle held by this many different sets of a block is reported as frequent; of the reports' sums, the highest are
+#: kept: what is broadcast is bounded by it. Any order gives whole results, frequent shingles last only keeps lists short.
+FREQUENT_IN_BLOCK, FREQUENT = 2, 1 << 19
 CHUNK = 200_000
 #: Sets of a list, or of two parts of one, that a task compares across components; sets of a chain. Longer ones are split.
 PIECE, CHAIN = 20_000, 256
@@ -124,12 +124,13 @@ def hash_of(text: str) -> Column:
 
 def scanned(docs: DataFrame, words: int) -> DataFrame:
     """Kind 0: a document with the size, signature and bitmap of its set and its text's hash. Kind 1: a shingle (in ``a``) that is frequent in a
-    block, with the number of documents of the block (in ``n``)."""
+    block, with the number of different sets of the block that hold it (in ``n``)."""
 
     def run(block: pa.Table) -> Iterator[pa.RecordBatch]:
         sets = shingle_sets(block["text"].to_pylist(), words)
         signed = np.array([signature(s) for s in sets], np.int64).reshape(-1, 2)
-        shingles, counts = np.unique(np.concatenate(sets), return_counts=True)
+        once = np.unique(signed, axis=0, return_index=True)[1].tolist()
+        shingles, counts = np.unique(np.concatenate([sets[k] for k in once]), return_counts=True)
         often = counts >= FREQUENT_IN_BLOCK
         n, m = len(sets), int(often.sum())
         ids = pa.concat_arrays([block["doc_id"].combine_chunks(), pa.nulls(m, pa.int64())])
@@ -259,8 +260,9 @@ def reaches(x: Column, y: Column, percent: int) -> Column:
 def chained(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (``x``, ``y``) of neighbours of different components that may link. ``lists``: shingle, holders (entries of the
     list), n, at, id, component. Each list has orders of its own, among sets of about one size, in chains of about
-    ``CHAIN`` sets."""
-    seeded = lists.withColumn("seed", F.explode(F.array(*map(F.lit, range(ORDERS))))).withColumn("mixed", F.xxhash64("shingle", "id", "seed"))
+    ``CHAIN`` sets. A list of at most ``NEAREST + 1`` sets has one order, which already holds each against every other."""
+    orders = F.when(F.col("holders") <= NEAREST + 1, F.array(F.lit(0))).otherwise(F.array(*map(F.lit, range(ORDERS))))
+    seeded = lists.withColumn("seed", F.explode(orders)).withColumn("mixed", F.xxhash64("shingle", "id", "seed"))
     order = Window.partitionBy("shingle", "seed", "chain").orderBy(F.floor(F.log("n") / math.log(100 / percent)), "mixed", "id")
     links = seeded.withColumn("chain", F.pmod("mixed", F.ceil(F.col("holders") / CHAIN)))
     entry = F.struct("n", "at", "id", "component")
@@ -272,7 +274,8 @@ def chained(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def across(lists: DataFrame, named: DataFrame, percent: int) -> DataFrame:
-    """Pairs (``x``, ``y``) of sets of different components in one list that may link. ``lists``: as of ``chained``.
+    """Pairs (``x``, ``y``) of sets of different components in one list that may link. ``lists``: as of ``chained``, which
+    has held the sets of its shortest lists against each other already.
 
     A list of more than ``PIECE`` sets is split into parts, and every two of them meet in a task.
     """
@@ -335,7 +338,7 @@ def across(lists: DataFrame, named: DataFrame, percent: int) -> DataFrame:
         if len(rest):
             yield from lists_of(rest, left)
 
-    parts = F.ceil(F.col("holders") / PIECE).cast("long")
+    lists, parts = lists.where(F.col("holders") > NEAREST + 1), F.ceil(F.col("holders") / PIECE).cast("long")
     dealt = lists.withColumn("part", F.pmod(F.xxhash64("id"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     columns = ["shingle", "n", "at", "id", "component", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "bits"]
     dealt = dealt.join(named.select("id", "bits"), "id").select(columns)
