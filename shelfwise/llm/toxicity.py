@@ -39,7 +39,7 @@ THRESHOLD = 0.3
 DISCOUNT, SHARED_DISCOUNT = 0.75, 0.3
 STRONGEST = 4
 #: Words whose probabilities a task remembers; texts that are judged together, in characters.
-REMEMBERED, TOGETHER = 400_000, 2 << 20
+REMEMBERED, TOGETHER = 250_000, 1 << 20
 #: Letters of the longest letter n-gram.
 LETTERS = 3
 START = xxhash.xxh3_64_intdigest(b"\x00start")
