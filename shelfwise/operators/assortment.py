@@ -115,11 +115,6 @@ def block_intervals_of(pairs: DataFrame, kinds: Sequence[DataFrame], start: str,
     return block_intervals(pairs, reduce(DataFrame.unionByName, rows), start, end, after_scope_start)
 
 
-def each_day(intervals: DataFrame) -> DataFrame:
-    """The days of disjoint intervals, one row each."""
-    return intervals.select("product_id", "location_id", F.explode(F.sequence("first_day", "last_day")).alias("date"))
-
-
 def flag_blocked(days: DataFrame, intervals: DataFrame, location: str = "store_id") -> DataFrame:
     """``days`` with ``is_blocked``; the intervals are disjoint, so no row is multiplied."""
     spans = intervals.select("product_id", F.col("location_id").alias(location), "first_day", "last_day")

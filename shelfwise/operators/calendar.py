@@ -105,18 +105,21 @@ def within(weeks: DataFrame, start: str, end: str) -> DataFrame:
     return weeks.where((F.col("week_end_date") >= F.lit(start).cast("date")) & (F.col("week_start_date") <= F.lit(end).cast("date")))
 
 
-def period_bridge(weeks: DataFrame, start: str, end: str, kinds=PERIODS) -> DataFrame:
-    """``year``, ``week`` to ``period_type`` and ``period``: annual and week for all weeks of the window, the others for
-    complete ones, year-to-date for the months that the latest year has complete. At most one row per kind and week."""
+def period_bridge(weeks: DataFrame, start: str, end: str, kinds=PERIODS, whole_only: bool = False) -> DataFrame:
+    """``year``, ``week`` to ``period_type`` and ``period``: annual and week for all weeks of the window (``whole_only``: of
+    complete years, and complete weeks), the others for complete ones, year-to-date for the months that the latest year has
+    complete. At most one row per kind and week."""
     inside = within(weeks, start, end)
     complete = F.broadcast(complete_periods(weeks, start, end).where("is_complete"))
     label = {"half": "%d-H%d", "quarter": "%d-Q%d", "month": "%d-%02d"}
     parts = []
     for kind in kinds:
         if kind == "annual":
-            part = inside.select("year", "week", F.col("year").cast("string").alias("period"))
+            years = inside.join(complete.where("period_type = 'annual'").select("year"), "year") if whole_only else inside
+            part = years.select("year", "week", F.col("year").cast("string").alias("period"))
         elif kind == "week":
-            part = inside.select("year", "week", F.col("year_week").alias("period"))
+            rows = inside.where((F.col("week_start_date") >= F.lit(start).cast("date")) & (F.col("week_end_date") <= F.lit(end).cast("date"))) if whole_only else inside
+            part = rows.select("year", "week", F.col("year_week").alias("period"))
         elif kind == "ytd":
             part = inside.join(F.broadcast(ytd_months(weeks, start, end)), "month").select("year", "week", F.format_string("YTD-%d", "year").alias("period"))
         else:
@@ -141,3 +144,38 @@ def ytd_days(calendar: DataFrame, start: str, end: str) -> DataFrame:
     inside = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     years = days.groupBy("year").agg(F.count("*").alias("n"), F.sum(inside.cast("int")).alias("inside"), F.max("cut").alias("k")).where("n = k and inside = k")
     return days.join(F.broadcast(years.select("year")), "year").select("date", "year", "week", "day_index", F.format_string("YTD-%d", "year").alias("period"))
+
+
+def day_parts(calendar: DataFrame, end: str) -> DataFrame:
+    """For a report that ends on any day: every ``date`` with ``year``, ``week``, ``part`` and ``week_days``. Part 0 is the whole
+    week; in each year the week that the end's day number K lies in, unless it ends there, has a part 1 too: its days up to
+    K. A day of that part is there twice, so that whole weeks and parts are summed side by side."""
+    days = day_calendar(calendar, end)
+    ends = days.groupBy("year", "week").agg(F.max("day_index").alias("last"))
+    first = days.join(F.broadcast(ends), ["year", "week"]).where("last_day_index = cut and last > cut")
+    both = days.select("date", "year", "week", F.lit(0).alias("part")).unionByName(first.select("date", "year", "week", F.lit(1).alias("part")))
+    return both.withColumn("week_days", F.count("*").over(Window.partitionBy("year", "week", "part")))
+
+
+def parted(weeks: DataFrame, parts: DataFrame) -> DataFrame:
+    """``weeks`` with ``part``: whole weeks, and the parts of weeks that ``parts`` (``day_parts``) has."""
+    cut = parts.where("part = 1").groupBy("year", "week", "part").agg(F.min("date").alias("week_start_date"), F.max("date").alias("week_end_date"))
+    return weeks.select("year", "week", F.lit(0).alias("part"), "week_start_date", "week_end_date").unionByName(cut)
+
+
+def day_bridge(calendar: DataFrame, weeks: DataFrame, start: str, end: str, kinds=PERIODS) -> DataFrame:
+    """``period_bridge`` of a report that ends on any day, with ``part`` and ``family``: complete periods of all kinds, and years
+    to date by days 1 to K, of years that have them all in the window. There, frames of days take the first part of the week
+    that K lies in (family ``daily``), and lost sales (``lost``), which know whole weeks only, the weeks of that number up to
+    the last Saturday, none if it lies in the year before."""
+    whole = period_bridge(weeks, start, end, [k for k in kinds if k != "ytd"], whole_only=True) if set(kinds) - {"ytd"} else None
+    out = [] if whole is None else [whole.select("year", "week", F.lit(0).alias("part"), "period_type", "period", F.lit(None).cast("string").alias("family"))]
+    if "ytd" in kinds:
+        days = ytd_days(calendar, start, end).groupBy("year", "week", "period").agg(F.count("*").alias("days"))
+        label = [F.lit("ytd").alias("period_type"), "period"]
+        out.append(days.join(weeks.select("year", "week", "week_days"), ["year", "week"]).select("year", "week", (F.col("days") < F.col("week_days")).cast("int").alias("part"), *label, F.lit("daily").alias("family")))
+        on = lambda day: calendar.where(F.col("date") == F.lit(day).cast("date"))
+        saturday = on(last_saturday(dt.date.fromisoformat(end))).select(F.col("year").alias("last_year"), F.col("week").alias("last_week"))
+        reached = saturday.join(on(end).select(F.col("year").alias("last_year")), "last_year").select("last_week")
+        out.append(days.join(F.broadcast(reached)).where("week <= last_week").select("year", "week", F.lit(0).alias("part"), *label, F.lit("lost").alias("family")))
+    return reduce(DataFrame.unionByName, out)

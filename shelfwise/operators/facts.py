@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditions import filtered, valued
-from .assortment import each_day
+from .assortment import flag_blocked
 from .calendar import last_saturday, within
 
 KEY = ["product_id", "store_id", "date"]
@@ -27,16 +27,18 @@ def gross_basis(daily: DataFrame, sales: DataFrame, types: Sequence[str] | None
 
 
 def with_transit(daily: DataFrame, transit: DataFrame, key: Sequence[str], row_flag: str, removed: DataFrame | None = None) -> DataFrame:
-    """Rows of stock joined with goods in transit on the same day; a day with transit only has a row without stock,
-    whose ``row_flag`` is false. Days whose daily row an input filter took out (``removed``: the keys) have no transit
+    """Rows of stock, one for each key, joined with goods in transit on the same day; a day with transit only has a row
+    without stock, whose ``row_flag`` is false. Several rows of a key are summed first, so that its transit counts once; a
+    flag of theirs holds if it holds for all. Days whose daily row an input filter took out (``removed``: the keys) have no transit
     unless another daily row of theirs is left."""
     moving = transit.where("quantity > 0").groupBy(*key).agg(F.sum("quantity").alias("git_quantity"))
     measures = [c for c in daily.columns if c not in key]
     if removed is not None:
         kept = daily.where("not gross_only") if "gross_only" in daily.columns else daily
         moving = moving.join(removed.select(*key).join(kept.select(*key), list(key), "left_anti"), list(key), "left_anti")
-    both = daily.withColumn(row_flag, F.lit(True)).join(moving, list(key), "full_outer")
     types = dict(daily.dtypes)
+    summed = daily.groupBy(*key).agg(*[(F.bool_and(c) if types[c] == "boolean" else F.sum(c)).alias(c) for c in measures], F.lit(True).alias(row_flag))
+    both = summed.join(moving, list(key), "full_outer")
     fill = [F.coalesce(c, F.lit(False if types[c] == "boolean" else 0.0)).alias(c) for c in measures]
     return both.select(*key, *fill, F.coalesce("git_quantity", F.lit(0.0)).alias("git_quantity"), F.coalesce(row_flag, F.lit(False)).alias(row_flag))
 
@@ -58,7 +60,7 @@ def warehouse_transit(transit: DataFrame, shift: int = 0) -> DataFrame:
 def scoped_daily(days: DataFrame, products: DataFrame, calendar: DataFrame, weeks: DataFrame) -> DataFrame:
     """Daily rows with the product's attributes, the values of stock and cost rounded per row, and the fiscal week.
 
-    Rows of unknown products or dates drop out. Flags that the rows lack are those of net sales without blocks."""
+    Rows of unknown products or dates drop out. ``calendar`` may have parts of weeks (``calendar.day_parts``). Flags that the rows lack are those of net sales without blocks."""
     for name, default in (("gross_only", False), ("is_blocked", False), ("has_daily_row", True)):
         if name not in days.columns:
             days = days.withColumn(name, F.lit(default))
@@ -66,7 +68,10 @@ def scoped_daily(days: DataFrame, products: DataFrame, calendar: DataFrame, week
         days = days.withColumn("git_quantity", F.lit(0.0))
     days = days.withColumn("has_sales_row", F.col("has_daily_row") | F.col("gross_only"))
     days = days.withColumn("has_daily_row", F.col("has_daily_row") & ~F.col("gross_only")).withColumn("has_stock_row", ~(F.col("gross_only") & (F.col("git_quantity") == 0)))
-    at = calendar.select("date", "year", "week").join(weeks.select("year", "week", "week_start_date", "week_days"), ["year", "week"])
+    if "part" in calendar.columns:
+        at = calendar.select("date", "year", "week", "part", "week_days")
+    else:
+        at = calendar.select("date", "year", "week").join(weeks.select("year", "week", "week_start_date", "week_days"), ["year", "week"])
     dated = days.join(F.broadcast(at), "date").join(products, "product_id")
     price, cost = F.col("price_without_tax"), F.col("cogs")
     both = F.col("inventory") + F.col("git_quantity")
@@ -90,32 +95,37 @@ def instock_daily(pairs: DataFrame, daily: DataFrame, weeks: DataFrame, start: s
     is in stock with stock, with sales (``sales_count``) or with transit; a day without a row is out of stock. ``pairs``:
     product_id, store_id, scope_start.
 
-    All that happens on a day is brought to one row per pair and day; then three sums meet in one aggregation by pair and
-    week: the calendar days of the week, the blocked ones, and what the days' rows say.
+    Days of blocks are dropped before the pair's first row is taken. Three sums meet in one aggregation by pair and week: the
+    calendar days of the week, those of them that blocks overlap, by arithmetic on their bounds, and what the rows of the
+    remaining days say. ``weeks`` may have parts of weeks (``calendar.parted``).
     """
-    pair = ["product_id", "store_id"]
+    pair, grain = ["product_id", "store_id"], [c for c in ("year", "week", "part") if c in weeks.columns]
     window_start, window_end = F.lit(start).cast("date"), F.lit(end).cast("date")
-    scoped = daily.join(pairs.select(*pair), pair, "left_semi")
-    begun = pairs.join(scoped.groupBy(*pair).agg(F.min("date").alias("first_row")), pair, "inner" if require_daily_data else "left")
-    rule = {"first": F.col("first_row"), "scope": F.coalesce("scope_start", "first_row"), "earliest": F.least("scope_start", "first_row")}[count_start]
-    begun = begun.select(*pair, F.greatest(rule, window_start).alias("opens_on")).where(F.col("opens_on") <= window_end)
-    spans = within(weeks, start, end).select("year", "week", F.greatest("week_start_date", window_start).alias("week_from"), F.least("week_end_date", window_end).alias("week_to"))
-    dates = F.broadcast(spans.select("year", "week", F.explode(F.sequence("week_from", "week_to")).alias("date")))  # as many rows as the calendar has days
+    spans = within(weeks, start, end).select(*grain, F.greatest("week_start_date", window_start).alias("week_from"), F.least("week_end_date", window_end).alias("week_to"))
+    spans = F.broadcast(spans)  # as many rows as the calendar has weeks
+    dates = F.broadcast(spans.select(*grain, F.explode(F.sequence("week_from", "week_to")).alias("date")))
     has_stock = F.coalesce(F.col("inventory") > 0, F.lit(False)) | (F.coalesce(F.col("sales_quantity") > 0, F.lit(False)) if sales_count else F.lit(False))
     unusable = F.coalesce(F.col("usable") != 1, F.lit(True)) if usable_only else F.lit(False)
-    events = scoped.select(*pair, "date", has_stock.alias("stocked"), unusable.alias("unusable"))
+    events = daily.join(pairs.select(*pair), pair, "left_semi").select(*pair, "date", has_stock.alias("stocked"), unusable.alias("unusable"), F.lit(True).alias("is_row"))
     if transit is not None:
-        events = events.unionByName(transit.where("quantity > 0").select(*pair, "date", F.lit(True).alias("stocked"), F.lit(False).alias("unusable")))
-    events = events.groupBy(*pair, "date").agg(F.max("stocked").alias("stocked"), F.max("unusable").alias("unusable"))
-    sums = [events.select(*pair, "date", (F.col("stocked") & ~F.col("unusable")).cast("int").alias("stocked"), (-F.col("unusable").cast("int")).alias("available"))]
+        events = events.unionByName(transit.where("quantity > 0").select(*pair, "date", F.lit(True).alias("stocked"), F.lit(False).alias("unusable"), F.lit(False).alias("is_row")))
+    events = events.groupBy(*pair, "date").agg(*[F.max(c).alias(c) for c in ("stocked", "unusable", "is_row")])
     if intervals is not None:
-        closed = each_day(intervals).withColumnRenamed("location_id", "store_id")
-        sums = [sums[0].join(closed, [*pair, "date"], "left_anti"), closed.select(*pair, "date", F.lit(0).alias("stocked"), F.lit(-1).alias("available"))]
-    days = reduce(DataFrame.unionByName, sums).join(dates, "date").join(begun, pair).where("date >= opens_on")
+        events = flag_blocked(events, intervals).where("not is_blocked")
+    first = events.where("is_row").groupBy(*pair).agg(F.min("date").alias("first_row"))
+    rule = {"first": F.col("first_row"), "scope": F.coalesce("scope_start", "first_row"), "earliest": F.least("scope_start", "first_row")}[count_start]
+    begun = pairs.join(first, pair, "inner" if require_daily_data else "left").select(*pair, F.greatest(rule, window_start).alias("opens_on")).where(F.col("opens_on") <= window_end)
+
     length = F.datediff("week_to", F.greatest("week_from", "opens_on")) + 1
-    every = begun.join(F.broadcast(spans), F.col("week_to") >= F.col("opens_on")).select(*pair, "year", "week", F.lit(0).alias("stocked"), length.alias("available"))
-    both = every.unionByName(days.select(*pair, "year", "week", "stocked", "available"))
-    return both.groupBy(*pair, "year", "week").agg(F.sum("stocked").alias("stocked_pairs"), F.sum("available").alias("available_days")).where("available_days > 0")
+    sums = [begun.join(spans, F.col("week_to") >= F.col("opens_on")).select(*pair, *grain, F.lit(0).alias("stocked"), length.alias("available"))]
+    days = events.join(dates, "date").join(begun, pair).where("date >= opens_on")
+    sums.append(days.select(*pair, *grain, (F.col("stocked") & ~F.col("unusable")).cast("int").alias("stocked"), (-F.col("unusable").cast("int")).alias("available")))
+    if intervals is not None:
+        closed = begun.join(intervals.withColumnRenamed("location_id", "store_id"), pair).join(spans, (F.col("first_day") <= F.col("week_to")) & (F.col("last_day") >= F.col("week_from")))
+        overlap = F.datediff(F.least("last_day", "week_to"), F.greatest("first_day", "week_from", "opens_on")) + 1
+        sums.append(closed.select(*pair, *grain, F.lit(0).alias("stocked"), (-overlap).alias("available")).where("available < 0"))
+    both = reduce(DataFrame.unionByName, sums).groupBy(*pair, *grain)
+    return both.agg(F.sum("stocked").alias("stocked_pairs"), F.sum("available").alias("available_days")).where("available_days > 0")
 
 
 def first_of(sources: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -186,6 +196,10 @@ def lost_base(lost: DataFrame, daily: DataFrame, calendar: DataFrame, start: str
     return both.withColumn("could_sell", F.floor(F.col("sales_quantity") + F.col("lost_sales")).cast("double"))
 
 
+def _dates(calendar: DataFrame) -> DataFrame:
+    return calendar.select("date", *[c for c in ("year", "week", "part") if c in calendar.columns])
+
+
 def dc_daily(stock: DataFrame, calendar: DataFrame, start: str, end: str, pairs: DataFrame | None = None, product_weeks: DataFrame | None = None, intervals: DataFrame | None = None, transit: DataFrame | None = None) -> DataFrame:
     """Warehouse days of the window with transit and whether they are blocked. ``product_weeks``: the products and weeks of
     the stores' scope, which leads; ``pairs``: product_id and location_id of the warehouses' own scope."""
@@ -195,7 +209,7 @@ def dc_daily(stock: DataFrame, calendar: DataFrame, start: str, end: str, pairs:
         days = with_transit(stock.where(window), transit.where(window), [*keys, "date"], "has_inventory_row")
     else:
         days = stock.where(window).withColumns({"git_quantity": F.lit(0.0), "has_inventory_row": F.lit(True)})
-    days = _scoped_warehouse(days.join(F.broadcast(calendar.select("date", "year", "week")), "date"), pairs, product_weeks)
+    days = _scoped_warehouse(days.join(F.broadcast(_dates(calendar)), "date"), pairs, product_weeks)
     return _blocked_warehouse(days, intervals)
 
 
@@ -210,8 +224,7 @@ def _scoped_warehouse(days: DataFrame, pairs: DataFrame | None, product_weeks: D
 def _blocked_warehouse(days: DataFrame, intervals: DataFrame | None) -> DataFrame:
     if intervals is None:
         return days.withColumn("is_blocked", F.lit(False))
-    closed = each_day(intervals).select("product_id", F.col("location_id").alias("warehouse_id"), "date", F.lit(True).alias("closed"))
-    return days.join(closed, ["product_id", "warehouse_id", "date"], "left").withColumn("is_blocked", F.coalesce("closed", F.lit(False))).drop("closed")
+    return flag_blocked(days, intervals, "warehouse_id")
 
 
 def dc_instock(stock: DataFrame, calendar: DataFrame, start: str, end: str, transit: DataFrame | None = None, threshold: float = 0.0, pairs: DataFrame | None = None, product_weeks: DataFrame | None = None, intervals: DataFrame | None = None, drop_blocked: bool = True) -> DataFrame:
@@ -222,7 +235,7 @@ def dc_instock(stock: DataFrame, calendar: DataFrame, start: str, end: str, tran
     window = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     days = stock.where(window).groupBy(*keys, "date").agg(F.sum("inventory").alias("inventory"))
     grid = days.groupBy(*keys).agg(F.min("date").alias("first")).select(*keys, F.explode(F.sequence("first", F.lit(end).cast("date"))).alias("date"))
-    dated = grid.join(F.broadcast(calendar.select("date", "year", "week")), "date")
+    dated = grid.join(F.broadcast(_dates(calendar)), "date")
     rows = _blocked_warehouse(_scoped_warehouse(dated, pairs, product_weeks).join(days, [*keys, "date"], "left"), intervals)
     stocked = F.coalesce("inventory", F.lit(0.0)) > threshold
     if transit is not None:
@@ -231,4 +244,4 @@ def dc_instock(stock: DataFrame, calendar: DataFrame, start: str, end: str, tran
     free = ~F.col("is_blocked")
     counted = free if drop_blocked else F.lit(True)
     sums = [F.sum((counted & stocked).cast("int")).alias("dc_stocked_days"), F.sum(counted.cast("int")).alias("dc_available_days"), F.sum(F.when(free, 1)).alias("dc_unblocked_days")]
-    return rows.groupBy(*keys, "year", "week").agg(*sums).where("dc_available_days > 0")
+    return rows.groupBy(*keys, *[c for c in ("year", "week", "part") if c in rows.columns]).agg(*sums).where("dc_available_days > 0")

@@ -1,21 +1,24 @@
 """The 23 measures for every period and slice at once.
 
-Facts are summed over stores to product level, joined with the slice bridge and the period bridge, and aggregated by
-(period type, period, root, dimension, dimension value): one plan for all kinds of periods, roots and cuts. Averages of
-daily stock come from per-day sums of the slice, counts of pairs from distinct pairs, so nothing that doesn't add up is
-rolled up.
+Every family of metrics is brought to states that add up: sums, and days as bits of a mask, by product and week. The states
+of all families are one union with a column for each, which is summed by slice and week, joined with the bridge of periods
+and summed again: no family is joined to another, and each source is read once (daily rows once more for distinct counts).
+An average of daily stock is the sum of the stock over the number of days, which are bits that products' masks are or-ed
+to. States are labelled with slices after stores are summed away, unless a slice or population reads a place or a measure:
+then rows are labelled first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.conditions import at_least_zero, gated, ratio, value_filter
-from .facts import collapsed
+from ..functions.conditions import at_least_zero, filtered, gated, ratio, value_filter
+from .slices import SLICE, Slices
 
 METRICS = (
     "total_sales_quantity", "total_sales_revenue", "AUR", "AUC", "total_inventory", "distinct_product_count", "distinct_store_count",
@@ -47,7 +50,8 @@ class Facts:
 @dataclass(frozen=True)
 class Rules:
     """``metrics``: which are reported. ``gated``: those that leave out blocked days. ``transit``: those whose stock
-    includes goods in transit. ``populations``: value filters on product columns by metric, for its whole group."""
+    includes goods in transit. ``populations``: value filters by column for a metric, for its
+    whole group."""
 
     metrics: tuple[str, ...] = METRICS
     gated: frozenset[str] = frozenset()
@@ -61,152 +65,252 @@ class Rules:
                 raise ValueError(f"unknown metric {name}")
 
 
-#: Metrics that share rows: a population filter of one holds for all of its group.
+#: Metrics that are computed together: a population filter of one holds for all of its group.
 GROUPS = {
     "sales": ("total_sales_quantity", "total_sales_revenue", "AUR", "AUC", "total_inventory", "distinct_product_count", "distinct_store_count", "distinct_pair_count"),
-    "stock": ("mean_stock", "mean_stock_retail", "mean_stock_cost", "total_mean_stock", "inventory_turnover_rate"),
-    "dc_stock": ("dc_mean_stock",), "wos": tuple(SUPPLY), "instock": ("in_stock_rate", "weighted_instock_rate"), "dc_instock": ("dc_in_stock_rate",), "lost": ("lost_sales_pct",),
+    "wos": ("WOS", "wos_revenue", "wos_cost"), "wos_dc_total": ("WOS_DC", "WOS_TOTAL"), "mean_stock": tuple(STOCK), "dc_inventory": ("dc_mean_stock", "total_mean_stock"),
+    "turnover": ("inventory_turnover_rate",), "instock": ("in_stock_rate",), "weighted_instock": ("weighted_instock_rate",), "dc_instock": ("dc_in_stock_rate",), "lost_sales": ("lost_sales_pct",),
 }
+MEASURES = {"sales_revenue", "sales_quantity", "sales_cost", "inventory", "inventory_retail", "inventory_cost", "inventory_git", "inventory_retail_git", "inventory_cost_git"}
+WEEK = ["year", "week", "part"]
 
 
-def population(rows: DataFrame, rules: Rules, group: str, products: DataFrame | None) -> DataFrame:
-    """The rows of products that the group's population filter takes; an error if its metrics disagree."""
-    specs = [rules.populations[m] for m in GROUPS[group] if m in rules.populations]
-    if not specs:
-        return rows
-    if any(s != specs[0] for s in specs):
-        raise ValueError(f"metrics of the group {group} have different populations")
-    chosen = products
-    for column, spec in specs[0].items():
-        chosen = chosen.where(value_filter(column, spec))
-    return rows.join(chosen.select("product_id"), "product_id", "left_semi")
+def conditions(rules: Rules, group: str) -> dict[str, object]:
+    """The group's population filters by column; an error if two of its metrics filter a column differently."""
+    merged: dict[str, object] = {}
+    for metric in GROUPS[group]:
+        for column, spec in (rules.populations.get(metric) or {}).items():
+            if merged.setdefault(column, spec) != spec:
+                raise ValueError(f"metrics of the group {group} have different populations of {column}")
+    return merged
 
 
-def kpi_table(facts: Facts, slices: DataFrame, periods: DataFrame, rules: Rules = Rules(), products: DataFrame | None = None) -> DataFrame:  # noqa: B008
+def member(rules: Rules, group: str) -> Column:
+    """Whether a row is of the group's population."""
+    return reduce(lambda a, f: a & value_filter(*f), conditions(rules, group).items(), F.lit(True))
+
+
+def population(rows: DataFrame, rules: Rules, group: str, products: DataFrame) -> DataFrame:
+    """The rows of products that the group's population filters take."""
+    found = conditions(rules, group)
+    return rows.join(filtered(products, found).select("product_id"), "product_id", "left_semi") if found else rows
+
+
+def kpi_table(facts: Facts, slices: Slices, periods: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa: B008
     """One row per period and slice that has a sales row, with the reported metrics.
 
-    All other families are left-joined on equal keys, so a slice whose value is null has only the sales family and the
-    pair counts. ``slices``: ``slices.slice_bridge``; ``periods``: ``calendar.period_bridge`` (by year and week).
+    A slice whose value is null has only the sales family and the pair counts. Rows of products that the master lacks are
+    in slices that null attributes are in, but for sales, whose rows had to know their product. ``periods``:
+    ``calendar.period_bridge``; a frame without ``part`` has whole weeks. States of no rows are null, not 0.
     """
     wanted = set(rules.metrics)
-    periods = F.broadcast(periods)  # as many rows as the calendar has weeks and kinds
-    spread = lambda rows, on=("year", "week"): rows.join(slices, "product_id").join(periods, list(on))
-    gate = lambda metric, value: gated(value, metric in rules.gated)
-    flags = ["product_id", "date", "year", "week", "week_days", "is_blocked", "has_daily_row", "has_sales_row", "has_stock_row"]
-    base = collapsed(facts.daily, flags)
-    all_gated = wanted <= rules.gated
-    sold = F.col("has_sales_row") & (~F.col("is_blocked") if all_gated else F.lit(True))
-
-    # Sales: every row of the result comes from here.
-    rows = spread(population(base.where(sold), rules, "sales", products))
-    per_unit = lambda metric, value: ratio(F.sum(gate(metric, F.col(value))), F.sum(gate(metric, F.col("sales_quantity")))).alias(metric)
-    total = lambda metric, value: F.sum(gate(metric, F.col(value))).alias(metric)
-    out = rows.groupBy(*KEYS).agg(
-        total("total_inventory", "inventory"), total("total_sales_quantity", "sales_quantity"), total("total_sales_revenue", "sales_revenue"),
-        per_unit("AUR", "sales_revenue"), per_unit("AUC", "sales_cost"), F.count_distinct(gate("distinct_product_count", F.col("product_id"))).alias("distinct_product_count"),
-    )
-    if wanted & {"distinct_store_count", "distinct_pair_count"}:
-        pairs = facts.daily.where(sold).select("product_id", "store_id", "is_blocked", "year", "week").distinct()
-        pairs = spread(population(pairs, rules, "sales", products)).groupBy(*KEYS, "product_id", "store_id").agg(F.min("is_blocked").alias("is_blocked"))
-        store, product = (lambda m: gate(m, F.col("store_id"))), (lambda m: gate(m, F.col("product_id")))
-        counts = pairs.groupBy(*KEYS).agg(F.count_distinct(store("distinct_store_count")).alias("distinct_store_count"), F.count_distinct(product("distinct_pair_count"), store("distinct_pair_count")).alias("distinct_pair_count"))
-        renamed = counts.select(*[F.col(k).alias(f"_{k}") for k in KEYS], "distinct_store_count", "distinct_pair_count")
-        on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]
-        out = out.join(renamed, on, "left").drop(*[f"_{k}" for k in KEYS])
-    if "total_inventory" in rules.transit:
-        moving = spread(population(base, rules, "sales", products)).groupBy(*KEYS).agg(total("total_inventory", "inventory_git"))
-        out = out.drop("total_inventory").join(moving, KEYS, "left")
-
-    # Mean stock: sums of a day, averaged over the days that count.
-    def day_stock(metric: str, plain: str, moving: str) -> tuple[Column, Column]:
-        """Stock of a row and whether its day counts."""
-        if metric in rules.transit:
-            counts = F.col("has_stock_row")
-            value = F.col(moving)
-        else:
-            counts = F.col("has_daily_row")
-            value = F.when(counts, F.col(plain))
-        if metric in rules.gated:
-            counts &= ~F.col("is_blocked")
-            value = F.when(~F.col("is_blocked"), value)
-        return value, counts
-
-    dc = facts.dc_daily
-    if dc is not None:
-        moving = F.col("inventory") + F.col("git_quantity")
-        dc_base = dc.withColumn("inventory_git", moving).groupBy("product_id", "date", "year", "week", "is_blocked", "has_inventory_row").agg(F.sum("inventory").alias("inventory"), F.sum("inventory_git").alias("inventory_git"))
-
-    def dc_stock(metric: str) -> Column:
-        value = F.col("inventory_git") if metric in rules.transit else F.when(F.col("has_inventory_row"), F.col("inventory"))
-        return gate(metric, value)
-
-    stock = [m for m in STOCK if m in wanted or m == "mean_stock" and "inventory_turnover_rate" in wanted]
-    if stock or "total_mean_stock" in wanted:
-        day = spread(population(base, rules, "stock", products))
-        aggregates = []
-        for m in [*stock, *({"total_mean_stock"} & wanted), *({"inventory_turnover_rate"} & wanted)]:
-            value, counts = day_stock(m, *STOCK.get(m, STOCK["mean_stock"]))
-            aggregates += [F.sum(value).alias(m), F.max(counts).alias(f"{m}_day")]
-        day = day.groupBy(*KEYS, "date").agg(*aggregates)
-        average = lambda m: F.avg(F.when(F.col(f"{m}_day"), F.col(m)))
-        if "total_mean_stock" in wanted:
-            if dc is not None:
-                more = spread(dc_base).groupBy(*KEYS, "date").agg(F.sum(dc_stock("total_mean_stock")).alias("dc_stock"))
-                day = day.join(more, [*KEYS, "date"], "left").withColumn("total_mean_stock", F.col("total_mean_stock") + F.coalesce("dc_stock", F.lit(0.0)))
-        means = day.groupBy(*KEYS).agg(*[average(m).alias(m) for m in stock], *[average(m).alias(m) for m in {"total_mean_stock"} & wanted], *[average(m).alias("_turnover_stock") for m in {"inventory_turnover_rate"} & wanted])
-        if "inventory_turnover_rate" in wanted:
-            units = spread(population(base.where("has_sales_row"), rules, "stock", products)).groupBy(*KEYS).agg(F.sum(gate("inventory_turnover_rate", F.col("sales_quantity"))).alias("_units"))
-            means = means.join(units, KEYS, "left").withColumn("inventory_turnover_rate", ratio(F.col("_units"), F.col("_turnover_stock"))).drop("_units", "_turnover_stock")
-        out = out.join(means, KEYS, "left")
-    if dc is not None and "dc_mean_stock" in wanted:
-        day = spread(population(dc_base, rules, "dc_stock", products)).groupBy(*KEYS, "date").agg(F.sum(dc_stock("dc_mean_stock")).alias("s"))
-        out = out.join(day.groupBy(*KEYS).agg(F.avg("s").alias("dc_mean_stock")), KEYS, "left")
-
-    # Weeks of supply: per product and week the average daily stock, weighed by the share of the week that is in.
+    every = {c for g in GROUPS if wanted & set(GROUPS[g]) for c in conditions(rules, g)}
+    states = [_daily_states(facts.daily, slices, rules, wanted, every)]
+    if facts.dc_daily is not None and wanted & {"dc_mean_stock", "total_mean_stock", "WOS_DC", "WOS_TOTAL"}:
+        states.append(_warehouse_states(facts.dc_daily, slices, rules, wanted, every))
     supply = [m for m in SUPPLY if m in wanted]
+    whole, masks = _merged(states, [*SLICE, "product_id", *WEEK, "day"]) if len(states) > 1 and {"WOS_DC", "WOS_TOTAL"} & wanted else (_union(states), None)
     if supply:
-        daily, weekly, values = [], [F.max("week_days").alias("week_days")], {}
-        for m in supply:
+        whole = _weeks_of_supply(whole, supply, rules)
+    more = []
+    instock, dc_instock, lost = facts.instock, facts.dc_instock, facts.lost
+    if instock is not None and wanted & {"in_stock_rate", "weighted_instock_rate"}:
+        more.append(_summed(instock, slices, rules, every, {
+            "is_stocked": ("instock", "stocked_pairs"), "is_days": ("instock", "available_days"),
+            "wi_stocked": ("weighted_instock", "stocked_pairs"), "wi_days": ("weighted_instock", "available_days"),
+        }))
+    if dc_instock is not None and "dc_in_stock_rate" in wanted:
+        more.append(_summed(dc_instock, slices, rules, every, {"di_stocked": ("dc_instock", "dc_stocked_days"), "di_days": ("dc_instock", "dc_available_days")}))
+    if lost is not None and "lost_sales_pct" in wanted:
+        more.append(_summed(lost, slices, rules, every, {"lost": ("lost_sales", "lost_sales"), "could": ("lost_sales", "could_sell")}))
+    labelled = _union([whole, *more])
+    if "total_mean_stock" in wanted:  # the only one that needs a day's stores and warehouses together
+        labelled, _ = _merged([labelled], [*SLICE, *WEEK, "day"])
+        dc = F.coalesce("td_dc", F.lit(0.0)) if "td_dc" in labelled.columns else F.lit(0.0)
+        counts = F.coalesce(F.bit_count("td_mask") > 0, F.lit(False))
+        labelled = labelled.withColumns({"total_value": F.when(counts, F.col("td_stock") + dc), "total_days": F.when(counts, F.lit(1).cast("long"))}).drop("td_stock", "td_mask", "td_dc", "day")
+    weekly, masks = _merged([labelled], [*SLICE, *WEEK])
+    derived = {f"{m}_days" if m.endswith("_mask") else m: F.bit_count(m).cast("long") for m in masks}
+    if "wi_days" in weekly.columns:
+        rate = at_least_zero(ratio(F.col("wi_stocked"), F.col("wi_days")))
+        derived |= {"wi_value": F.when(F.col("wi_days").isNotNull(), rate * F.col("wi_units")), "wi_weight": F.when(F.col("wi_days").isNotNull(), F.col("wi_units"))}
+    weekly = weekly.withColumns(derived).drop(*masks, "wi_stocked", "wi_units")
+    bridge = periods.withColumns({c: F.lit(v).cast(t) for c, v, t in (("part", 0, "int"), ("family", None, "string")) if c not in periods.columns})
+    sums = [c for c in weekly.columns if c not in (*SLICE, *WEEK)]
+    of_lost = {"lost", "could"}
+    own = lambda c: F.when(F.col("family").isNull() | (F.col("family") == F.lit("lost" if c in of_lost else "daily")), F.col(c)).alias(c)
+    spread = weekly.join(F.broadcast(bridge), WEEK).select(*KEYS, *map(own, sums))  # the bridge has as many rows as the calendar has weeks and kinds
+    parts = [spread]
+    if wanted & {"distinct_product_count", "distinct_store_count", "distinct_pair_count"}:
+        parts += _distinct_counts(facts.daily, slices, rules, wanted, every, bridge)
+    table = _merged(parts, KEYS)[0].where("sold > 0")
+    return table.select(*KEYS, *[_final(m, table.columns).alias(m) for m in rules.metrics])
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _merged(parts: list[DataFrame], keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """States of all parts by the keys that they have: sums, and masks or-ed; and the names of the masks."""
+    rows = _union(parts)
+    keys = [k for k in keys if k in rows.columns]
+    masks = [c for c in rows.columns if c.endswith("_mask")]
+    sums = [c for c in rows.columns if c not in keys and c not in masks]
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], *[F.bit_or(c).alias(c) for c in masks]), masks
+
+
+def _framed(rows: DataFrame, slices: Slices, rules: Rules, every: set[str]) -> tuple[DataFrame, bool]:
+    """Rows with ``part`` and all that populations read, and whether they had to be labelled with slices before sums."""
+    if "part" not in rows.columns:
+        rows = rows.withColumn("part", F.lit(0))
+    places = {c for t in (slices.stores, slices.warehouses) if t is not None for c in t.columns}
+    first = bool((slices.reads() | every) & (MEASURES | places | {"store_id", "warehouse_id"}))
+    rows = slices.attached(rows, every)
+    return (slices.labelled(rows) if first else rows), first
+
+
+def _by_product(rows: DataFrame, first: bool, slices: Slices, aggregates: dict[str, Column], extra: tuple[str, ...] = ()) -> DataFrame:
+    """One aggregation to product and week, labelled with slices before or after."""
+    keys = [*(SLICE if first else []), *(["product_id"] if "product_id" in rows.columns else []), *WEEK, *extra]
+    summed = rows.groupBy(*keys).agg(*[c.alias(name) for name, c in aggregates.items()])
+    return (summed if first else slices.labelled(summed)).select(*SLICE, *keys[len(SLICE) if first else 0 :], *aggregates)
+
+
+def _day_bit() -> Column:
+    """A bit for the day; two days of a week have different bits."""
+    return F.expr("shiftleft(1L, cast(pmod(unix_date(date), 64) as int))")
+
+
+def _gate(rules: Rules, metric: str, value: Column) -> Column:
+    return gated(value, metric in rules.gated)
+
+
+def _day_stock(rules: Rules, metric: str, plain: str, moving: str) -> tuple[Column, Column]:
+    """Stock of a row and whether its day counts."""
+    transit = metric in rules.transit
+    counts = F.col("has_stock_row" if transit else "has_daily_row")
+    value = F.col(moving) if transit else F.when(counts, F.col(plain))
+    return _gate(rules, metric, value), counts & ~F.col("is_blocked") if metric in rules.gated else counts
+
+
+def _sold(rules: Rules, wanted: set[str]) -> Column:
+    return F.col("has_sales_row") & (~F.col("is_blocked") if wanted <= rules.gated else F.lit(True))
+
+
+def _daily_states(daily: DataFrame, slices: Slices, rules: Rules, wanted: set[str], every: set[str]) -> DataFrame:
+    rows, first = _framed(daily, slices, rules, every)
+    of, gate = (lambda group: member(rules, group)), (lambda m, c: _gate(rules, m, F.col(c)))
+    sold = _sold(rules, wanted) & of("sales")
+    states = {"sold": F.sum(F.when(sold, F.lit(1).cast("long")))}
+    for m, c in (("total_sales_quantity", "sales_quantity"), ("total_sales_revenue", "sales_revenue")):
+        states[m] = F.sum(F.when(sold, gate(m, c)))
+    if "total_inventory" in rules.transit:
+        states["total_inventory"] = F.sum(F.when(of("sales"), gate("total_inventory", "inventory_git")))
+    else:
+        states["total_inventory"] = F.sum(F.when(sold, gate("total_inventory", "inventory")))
+    for m, c in (("AUR", "sales_revenue"), ("AUC", "sales_cost")):
+        states |= {f"{m}_value": F.sum(F.when(sold, gate(m, c))), f"{m}_units": F.sum(F.when(sold, gate(m, "sales_quantity")))}
+    states = {n: c for n, c in states.items() if n == "sold" or n.rsplit("_", 1)[0] in wanted or n in wanted}
+    for m in (*STOCK, "inventory_turnover_rate"):
+        if m in wanted:
+            group = "turnover" if m == "inventory_turnover_rate" else "mean_stock"
+            value, counts = _day_stock(rules, m, *STOCK.get(m, STOCK["mean_stock"]))
+            states |= {f"{m}_stock": F.sum(F.when(of(group), value)), f"{m}_mask": F.bit_or(F.when(of(group) & counts, _day_bit()))}
+    units = lambda group, m: F.sum(F.when(F.col("has_sales_row") & of(group), gate(m, "sales_quantity")))
+    if "inventory_turnover_rate" in wanted:
+        states["turnover_units"] = units("turnover", "inventory_turnover_rate")
+    if "weighted_instock_rate" in wanted:
+        states["wi_units"] = units("weighted_instock", "weighted_instock_rate")
+    for m in SUPPLY:
+        if m in wanted:
             plain, moving, sales = SUPPLY[m]
-            daily.append(F.sum(gate(m, F.col(sales))).alias(f"{m}_sales"))
-            weekly.append(F.sum(f"{m}_sales").alias(f"{m}_sales"))
+            group = of("wos_dc_total" if m in GROUPS["wos_dc_total"] else "wos")
+            states[f"{m}_sales"] = F.sum(F.when(group, gate(m, sales)))
+            states["week_days"] = F.max("week_days")
             if plain:
-                value, counts = day_stock(m, plain, moving)
-                daily += [F.sum(value).alias(m), F.max(counts).alias(f"{m}_day")]
-                weekly.append(F.avg(F.when(F.col(f"{m}_day"), F.col(m))).alias(m))
-        grain = ["product_id", "year", "week"]
-        weeks = population(base, rules, "wos", products).groupBy(*grain, "date").agg(F.max("week_days").alias("week_days"), *daily).groupBy(*grain).agg(*weekly)
-        with_dc = [m for m in supply if m in ("WOS_DC", "WOS_TOTAL")]
-        if with_dc and dc is not None:
-            per_day = dc_base.groupBy(*grain, "date").agg(*[F.sum(dc_stock(m)).alias(f"{m}_dc") for m in with_dc])
-            weeks = weeks.join(per_day.groupBy(*grain).agg(*[F.avg(f"{m}_dc").alias(f"{m}_dc") for m in with_dc]), grain, "left")
-        for m in supply:
-            value = F.col(m) if SUPPLY[m][0] else F.lit(0.0)
-            if m in with_dc:
-                value += F.coalesce(F.col(f"{m}_dc"), F.lit(0.0)) if dc is not None else F.lit(0.0)
-            values[f"{m}_value"] = F.when(F.col(f"{m}_sales") > 0, value * F.col("week_days") / 7.0)
-        rows = spread(weeks.withColumns(values))
-        # The weekly value is weighed by the sales that it was divided by, so stock is summed where there were sales;
-        # the divisor is all sales, those of weeks without a positive sum too.
-        out = out.join(rows.groupBy(*KEYS).agg(*[ratio(F.sum(f"{m}_value"), F.sum(f"{m}_sales")).alias(m) for m in supply]), KEYS, "left")
-
-    if facts.instock is not None and wanted & {"in_stock_rate", "weighted_instock_rate"}:
-        rows = spread(population(facts.instock, rules, "instock", products))
-        if "in_stock_rate" in wanted:
-            rate = rows.groupBy(*KEYS).agg(at_least_zero(ratio(F.sum("stocked_pairs"), F.sum("available_days"))).alias("in_stock_rate"))
-            out = out.join(rate, KEYS, "left")
-        if "weighted_instock_rate" in wanted:
-            week = rows.groupBy(*KEYS, "year", "week").agg(ratio(F.sum("stocked_pairs"), F.sum("available_days")).alias("rate"))
-            units = spread(population(base.where("has_sales_row"), rules, "instock", products)).groupBy(*KEYS, "year", "week").agg(F.sum(gate("weighted_instock_rate", F.col("sales_quantity"))).alias("units"))
-            both = week.join(units, [*KEYS, "year", "week"], "left")
-            out = out.join(both.groupBy(*KEYS).agg(ratio(F.sum(F.col("rate") * F.col("units")), F.sum("units")).alias("weighted_instock_rate")), KEYS, "left")
-    if facts.dc_instock is not None and "dc_in_stock_rate" in wanted:
-        rows = spread(population(facts.dc_instock, rules, "dc_instock", products))
-        out = out.join(rows.groupBy(*KEYS).agg(at_least_zero(ratio(F.sum("dc_stocked_days"), F.sum("dc_available_days"))).alias("dc_in_stock_rate")), KEYS, "left")
-    if facts.lost is not None and "lost_sales_pct" in wanted:
-        rows = spread(population(facts.lost, rules, "lost", products))
-        out = out.join(rows.groupBy(*KEYS).agg((ratio(F.sum("lost_sales"), F.sum("could_sell")) * 100).alias("lost_sales_pct")), KEYS, "left")
-    return out.select(*KEYS, *[F.col(m) if m in out.columns else F.lit(None).cast("double").alias(m) for m in rules.metrics])
+                value, counts = _day_stock(rules, m, plain, moving)
+                states |= {f"{m}_stock": F.sum(F.when(group, value)), f"{m}_mask": F.bit_or(F.when(group & counts, _day_bit()))}
+    whole = _by_product(rows, first, slices, states)
+    if "total_mean_stock" not in wanted:
+        return whole
+    value, counts = _day_stock(rules, "total_mean_stock", *STOCK["mean_stock"])
+    group = of("dc_inventory")
+    days = _by_product(rows.withColumn("day", F.col("date")), first, slices, {"td_stock": F.sum(F.when(group, value)), "td_mask": F.bit_or(F.when(group & counts, _day_bit()))}, ("day",))
+    return _union([whole, days])
+
+
+def _warehouse_states(days: DataFrame, slices: Slices, rules: Rules, wanted: set[str], every: set[str]) -> DataFrame:
+    rows, first = _framed(days.withColumn("inventory_git", F.col("inventory") + F.col("git_quantity")), slices, rules, every)
+    stock = lambda m: _gate(rules, m, F.col("inventory_git") if m in rules.transit else F.when(F.col("has_inventory_row"), F.col("inventory")))
+    states = {}
+    for m in ("dc_mean_stock", "WOS_DC", "WOS_TOTAL"):
+        if m in wanted:
+            value = F.when(member(rules, "dc_inventory" if m == "dc_mean_stock" else "wos_dc_total"), stock(m))
+            states |= {f"{m}_dc": F.sum(value), f"{m}_dc_mask": F.bit_or(F.when(value.isNotNull(), _day_bit()))}
+    parts = [_by_product(rows, first, slices, states)] if states else []
+    if "total_mean_stock" in wanted:
+        parts.append(_by_product(rows.withColumn("day", F.col("date")), first, slices, {"td_dc": F.sum(F.when(member(rules, "dc_inventory"), stock("total_mean_stock")))}, ("day",)))
+    return _union(parts)
+
+
+def _weeks_of_supply(states: DataFrame, supply: list[str], rules: Rules) -> DataFrame:
+    """A product's average stock of a day, weighed by the share of the week that is in, where the week has sold anything."""
+    mean = lambda value, mask: F.try_divide(F.col(value), F.bit_count(mask))
+    values, gone = {}, ["week_days"]
+    for m in supply:
+        value = F.lit(0.0)
+        if SUPPLY[m][0]:
+            value = mean(f"{m}_stock", f"{m}_mask")
+            gone += [f"{m}_stock", f"{m}_mask"]
+        if f"{m}_dc" in states.columns:
+            value += F.coalesce(mean(f"{m}_dc", f"{m}_dc_mask"), F.lit(0.0))
+            gone += [f"{m}_dc", f"{m}_dc_mask"]
+        values[f"{m}_value"] = F.when(F.col(f"{m}_sales") > 0, value * F.col("week_days") / 7.0)
+    return states.withColumns(values).drop(*gone)
+
+
+def _summed(rows: DataFrame, slices: Slices, rules: Rules, every: set[str], columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """Sums of a frame's columns by product and week, each of its group's population."""
+    framed, first = _framed(rows, slices, rules, every)
+    return _by_product(framed, first, slices, {name: F.sum(F.when(member(rules, group), F.col(c))) for name, (group, c) in columns.items()})
+
+
+def _distinct_counts(daily: DataFrame, slices: Slices, rules: Rules, wanted: set[str], every: set[str], bridge: DataFrame) -> list[DataFrame]:
+    """Products, stores and pairs of each period and slice, as states that add up: pairs of a period once, then by product
+    and by store."""
+    rows, first = _framed(daily, slices, rules, every)
+    rows = rows.where(_sold(rules, wanted) & member(rules, "sales"))
+    keys = [*(SLICE if first else []), "product_id", "store_id"]
+    weeks = rows.groupBy(*keys, *WEEK).agg(F.min("is_blocked").alias("is_blocked"))
+    pairs = weeks.join(F.broadcast(bridge.where("family is null or family = 'daily'")), WEEK).groupBy(*keys, "period_type", "period").agg(F.min("is_blocked").alias("is_blocked"))
+    pairs = pairs if first else slices.labelled(pairs)
+    one = lambda m: F.when(_gate(rules, m, F.lit(True)).isNotNull(), F.lit(1).cast("long"))
+    out = []
+    if wanted & {"distinct_product_count", "distinct_pair_count"}:
+        products = pairs.groupBy(*KEYS, "product_id").agg(F.max(one("distinct_product_count")).alias("n_products"), F.sum(one("distinct_pair_count")).alias("n_pairs"))
+        out.append(products.select(*KEYS, "n_products", "n_pairs"))
+    if "distinct_store_count" in wanted:
+        out.append(pairs.groupBy(*KEYS, "store_id").agg(F.max(one("distinct_store_count")).alias("n_stores")).select(*KEYS, "n_stores"))
+    return out
+
+
+def _final(metric: str, known: list[str]) -> Column:
+    """A metric of a period's states; null where its frame was not there, and for slices of a null value unless it is of the
+    sales family."""
+    col = F.col
+    of = {
+        "AUR": ("AUR_value", lambda: ratio(col("AUR_value"), col("AUR_units"))), "AUC": ("AUC_value", lambda: ratio(col("AUC_value"), col("AUC_units"))),
+        "distinct_product_count": ("n_products", lambda: F.coalesce("n_products", F.lit(0))), "distinct_store_count": ("n_stores", lambda: F.coalesce("n_stores", F.lit(0))), "distinct_pair_count": ("n_pairs", lambda: F.coalesce("n_pairs", F.lit(0))),
+        "inventory_turnover_rate": ("turnover_units", lambda: ratio(col("turnover_units"), ratio(col("inventory_turnover_rate_stock"), col("inventory_turnover_rate_mask_days")))),
+        "dc_mean_stock": ("dc_mean_stock_dc", lambda: ratio(col("dc_mean_stock_dc"), col("dc_mean_stock_dc_mask_days"))), "total_mean_stock": ("total_value", lambda: ratio(col("total_value"), col("total_days"))),
+        "in_stock_rate": ("is_days", lambda: F.when(col("is_days").isNotNull(), at_least_zero(ratio(col("is_stocked"), col("is_days"))))), "weighted_instock_rate": ("wi_value", lambda: ratio(col("wi_value"), col("wi_weight"))),
+        "dc_in_stock_rate": ("di_days", lambda: F.when(col("di_days").isNotNull(), at_least_zero(ratio(col("di_stocked"), col("di_days"))))), "lost_sales_pct": ("lost", lambda: ratio(col("lost"), col("could")) * 100),
+    } | {m: (f"{m}_stock", lambda m=m: ratio(col(f"{m}_stock"), col(f"{m}_mask_days"))) for m in STOCK} | {m: (f"{m}_sales", lambda m=m: ratio(col(f"{m}_value"), col(f"{m}_sales"))) for m in SUPPLY}
+    needs, value = of.get(metric, (metric, lambda: col(metric)))
+    if needs not in known:
+        return F.lit(None).cast("double")
+    return value() if metric in GROUPS["sales"] else F.when(col("dimension_value").isNotNull(), value())
 
 
 def unpivoted(table: DataFrame, metrics: Iterable[str]) -> DataFrame:

@@ -1,14 +1,15 @@
-"""Roots (populations) and cuts (breakdowns) as one bridge from products to the slices that they are in."""
+"""Roots (populations) and cuts (breakdowns): the slices that rows are in."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.conditions import filtered
+from ..functions.conditions import value_filter
 
 SLICE = ["root", "dimension", "dimension_value"]
 
@@ -18,22 +19,50 @@ def derived(products: DataFrame, dimensions: Mapping[str, str]) -> DataFrame:
     return products.withColumns({name: F.expr(sql) for name, sql in dimensions.items()})
 
 
-def slice_bridge(products: DataFrame, roots: Mapping[str, Mapping], cuts: Sequence[str | None], cut_filters: Mapping[str, object] | None = None) -> DataFrame:
-    """``product_id`` to ``root``, ``dimension`` and ``dimension_value``: every root (value filters on product columns;
-    none for all products) by every cut (a string column; None for the whole). A product is in as many slices as roots
-    and cuts take it; a null value is a slice of its own unless a filter drops it."""
-    types = dict(products.dtypes)
-    for cut in cuts:
-        if cut is not None and types.get(cut) != "string":
-            raise ValueError(f"cut {cut} is not a string column of the products")
-    parts = []
-    for root, conditions in roots.items():
-        members = filtered(products, conditions)
-        for cut in cuts:
-            rows = filtered(members, {cut: cut_filters[cut]}) if cut and cut_filters and cut in cut_filters else members
-            value = F.lit("overall") if cut is None else F.col(cut)
-            parts.append(rows.select("product_id", F.lit(root).alias("root"), F.lit(cut or "overall").alias("dimension"), value.alias("dimension_value")))
-    return reduce(DataFrame.unionByName, parts)
+@dataclass(frozen=True)
+class Slices:
+    """Which slices a row is in: every root (value filters by column; none for all rows) by every cut (a string column; None
+    for the whole), where the cut's own filter keeps it. A null value is a slice of its own unless a filter drops it.
+
+    Columns are those of ``products`` (by product_id), of ``stores`` (by store_id) and of ``warehouses`` (by warehouse_id),
+    or the frame's own, a measure for instance. Attributes are looked up, so a row of an unknown product or place stays,
+    with nulls; a column that a frame cannot tell of, as a store's of a warehouse row, is null there too."""
+
+    products: DataFrame
+    roots: Mapping[str, Mapping] = field(default_factory=lambda: {"overall": {}})
+    cuts: Sequence[str | None] = (None,)
+    cut_filters: Mapping[str, object] = field(default_factory=dict)
+    stores: DataFrame | None = None
+    warehouses: DataFrame | None = None
+
+    def __post_init__(self):
+        types = dict(self.products.dtypes) | {c: t for place in (self.stores, self.warehouses) if place is not None for c, t in place.dtypes}
+        for cut in self.cuts:
+            if cut is not None and types.get(cut) != "string":
+                raise ValueError(f"cut {cut} is not a string column of the products, stores or warehouses")
+
+    def reads(self) -> set[str]:
+        """Columns that roots, cuts and their filters read."""
+        return {c for conditions in self.roots.values() for c in conditions} | {c for c in self.cuts if c}
+
+    def attached(self, rows: DataFrame, wanted: set[str]) -> DataFrame:
+        """``rows`` with these columns."""
+        for table, key in ((self.products, "product_id"), (self.stores, "store_id"), (self.warehouses, "warehouse_id")):
+            new = [c for c in sorted(wanted) if table is not None and c in table.columns and c not in rows.columns]
+            if new and key in rows.columns:
+                rows = rows.join(table.select(key, *new), key, "left")
+        return rows.withColumns({c: F.lit(None).cast("string") for c in sorted(wanted) if c not in rows.columns})
+
+    def labelled(self, rows: DataFrame) -> DataFrame:
+        """A copy of each row for every slice that it is in, named by ``root``, ``dimension`` and ``dimension_value``."""
+        rows, labels = self.attached(rows, self.reads()), []
+        for root, conditions in self.roots.items():
+            for cut in self.cuts:
+                filters = [*conditions.items(), *([(cut, self.cut_filters[cut])] if cut in self.cut_filters else [])]
+                keep = reduce(lambda a, f: a & value_filter(*f), filters, F.lit(True))
+                value = F.lit("overall") if cut is None else F.col(cut)
+                labels.append(F.when(keep, F.struct(F.lit(root).alias("root"), F.lit(cut or "overall").alias("dimension"), value.alias("dimension_value"))))
+        return rows.withColumn("_slice", F.explode(F.array_compact(F.array(*labels)))).select("*", *[F.col(f"_slice.{c}") for c in SLICE]).drop("_slice")
 
 
 def trim_recent(table: DataFrame, limits: Mapping[str, int], weeks: DataFrame | None = None) -> DataFrame:

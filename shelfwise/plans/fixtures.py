@@ -1,55 +1,67 @@
 """The retail inputs as projections of the star-schema test tables, as SQL for Spark and for DuckDB.
 
-Every row of the tables goes in. Parts are folded to ``{M}`` products, a tenth of them and 40 at least, so that products and
-stores have days enough at every scale.
+Every row of the tables goes in; report windows are the queries' own. Parts are folded to ``{M}`` products, a tenth of them
+and 40 at least, suppliers to ``{S}`` stores, a twentieth and 5 at least, and to ``{W}`` warehouses, a fiftieth and 2 at
+least, so that products and stores grow with the tables and have days enough at every scale. The calendar has the days from
+the first to the last order.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = {
-    "daily_data": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % 5 as bigint) store_id, cast(l_shipdate as date) date,
+    "daily_data": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % {S} as bigint) store_id, cast(l_shipdate as date) date,
   cast(sum(cast(floor(l_extendedprice) as bigint)) as double) sales_revenue, cast(sum(l_quantity) as double) sales_quantity,
   cast(sum((l_partkey*7 + l_suppkey*13 + l_linenumber*3) % 41 - 5) as double) inventory,
   case when sum(l_partkey + l_linenumber) % 11 = 0 then 0 else 1 end usable
-from lineitem where l_shipdate >= timestamp '1998-02-01' and l_shipdate < timestamp '2001-07-19' group by 1, 2, 3""",
+from lineitem group by 1, 2, 3""",
     "products": """select p_partkey % {M} product_id, case when p_partkey % {M} % 10 = 9 then null else min_by(p_brand, p_partkey) end brand, min_by(p_type, p_partkey) category,
   cast(max(p_size) as double) cogs, max(floor(p_retailprice))*1.0e0 price_without_tax,
   p_partkey % {M} % 13 <> 0 is_active, cast(floor(p_partkey % {M} / 4.0) as bigint) option_code from part group by p_partkey % {M}""",
     "item_family": """select p_partkey % {M} product_id, case when p_partkey % {M} % 10 = 7 then p_partkey % {M} - 1 end parent_id, p_partkey % {M} % 10 = 6 is_main
 from part group by p_partkey % {M} having p_partkey % {M} % 10 in (6,7)""",
-    "transactional_sales": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % 5 as bigint) store_id, cast(l_shipdate as date) date,
+    "transactional_sales": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % {S} as bigint) store_id, cast(l_shipdate as date) date,
   case l_returnflag when 'R' then 'return' when 'A' then 'regular' else 'promo' end sales_type,
   cast(floor(l_extendedprice) as double) sales_revenue, cast(l_quantity as double) sales_quantity from lineitem""",
-    "scope": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % 5 as bigint) location_id, 21 solution_id,
-  {ADD}(date '1998-02-01', cast((l_partkey % {M} * 37 + l_suppkey % 5 * 11) % 400 as int)) start_date,
-  case when (l_partkey % {M} + l_suppkey % 5) % 29 = 0 then date '2000-06-30' end end_date, date '2001-07-15' run_date
-from lineitem group by l_partkey % {M}, l_suppkey % 5 having min(l_shipdate) < timestamp '1995-04-01'""",
-    "blocks": """select 21 solution_id, cast(o_custkey % {M} as bigint) product_id, cast(o_orderkey % 5 as bigint) location_id, cast(o_orderdate as date) start_date,
+    "scope": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % {S} as bigint) location_id, 21 solution_id,
+  {ADD}(date '1998-02-01', cast((l_partkey % {M} * 37 + l_suppkey % {S} * 11) % 400 as int)) start_date,
+  case when (l_partkey % {M} + l_suppkey % {S}) % 29 = 0 then date '2000-06-30' end end_date, date '2001-07-15' run_date
+from lineitem group by l_partkey % {M}, l_suppkey % {S}""",
+    "blocks": """select 21 solution_id, cast(o_custkey % {M} as bigint) product_id, cast(o_orderkey % {S} as bigint) location_id, cast(o_orderdate as date) start_date,
   case when o_orderkey % 97 <> 0 then {ADD}(cast(o_orderdate as date), cast(o_custkey % 30 as int)) end end_date
 from orders""",
-    "inventory_warehouse": """select cast(o_custkey % {M} as bigint) product_id, cast(o_custkey % 2 as bigint) warehouse_id, cast(o_orderdate as date) date,
+    "inventory_warehouse": """select cast(o_custkey % {M} as bigint) product_id, cast(o_custkey % {W} as bigint) warehouse_id, cast(o_orderdate as date) date,
   cast(sum((o_orderkey*3) % 53) as double) inventory from orders group by 1, 2, 3""",
-    "dc_scope": """select cast(o_custkey % {M} as bigint) product_id, cast(o_custkey % 2 as bigint) location_id, 22 solution_id,
+    "dc_scope": """select cast(o_custkey % {M} as bigint) product_id, cast(o_custkey % {W} as bigint) location_id, 22 solution_id,
   {ADD}(date '1998-02-01', cast(o_custkey % {M} * 13 % 300 as int)) start_date, cast(null as date) end_date, date '2001-07-15' run_date
-from orders group by o_custkey % {M}, o_custkey % 2 having count(*) % 5 <> 0""",
-    "dc_blocks": """select 22 solution_id, cast(o_custkey % {M} as bigint) product_id, cast(o_custkey % 2 as bigint) location_id, cast(o_orderdate as date) start_date,
+from orders group by o_custkey % {M}, o_custkey % {W}""",
+    "dc_blocks": """select 22 solution_id, cast(o_custkey % {M} as bigint) product_id, cast(o_custkey % {W} as bigint) location_id, cast(o_orderdate as date) start_date,
   {ADD}(cast(o_orderdate as date), cast(o_orderkey % 3 as int)) end_date from orders""",
     "store_closures": """select cast(r_regionkey as bigint) location_id, {ADD}(date '1999-03-01', cast(r_regionkey * 40 as int)) start_date, {ADD}(date '1999-03-11', cast(r_regionkey * 40 as int)) end_date from region""",
-    "goods_in_transit": """select cast(l_partkey % {M} as bigint) product_id, cast(case when l_linenumber % 2 = 0 then l_suppkey % 5 else l_suppkey % 2 end as bigint) destination_id,
+    "goods_in_transit": """select cast(l_partkey % {M} as bigint) product_id, cast(case when l_linenumber % 2 = 0 then l_suppkey % {S} else l_suppkey % {W} end as bigint) destination_id,
   cast(l_linenumber % 2 as bigint) destination_type, cast(l_shipdate as date) date, cast(l_quantity as double) quantity from lineitem where l_linestatus = 'O' and l_returnflag = 'N'""",
-    "lost_sales": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % 5 as bigint) store_id, {WK} week_start_date,
+    "lost_sales": """select cast(l_partkey % {M} as bigint) product_id, cast(l_suppkey % {S} as bigint) store_id, {WK} week_start_date,
   cast(sum(l_linenumber) % 9 as double) / 2.0e0 lost_sales, cast(sum(l_linenumber) % 8 as double) in_stock, cast(7 as double) total_days
 from lineitem group by 1, 2, 3""",
     "speed_cluster": """select p_partkey % {M} product_id, 'sales_speed' attribute_name, case when p_partkey % {M} % 8 <> 0 then cast(p_partkey % {M} % 5 + 1 as varchar(4)) end attribute_value from part group by p_partkey % {M}""",
-    "fiscal_cal": """select date, cast(1998 + floor(n/364.0) as int) as year, cast(floor((n % 364)/7.0) as int) + 1 as week,
-  concat('Q', cast(cast(floor((n % 364)/91.0) as int) + 1 as {STR})) as quarter,
-  concat('M', cast(cast(floor((n % 364)/91.0) as int)*3 + case when n % 91 < 28 then 1 when n % 91 < 63 then 2 else 3 end as {STR})) as month
-from (select {ADD}(date '1998-02-01', cast(i as int)) as date, i as n from {RANGE}) t""",
+    "fiscal_cal": """select date, cast(1998 + floor(n/364.0) as int) as year, cast(floor((n - 364 * floor(n/364.0))/7.0) as int) + 1 as week,
+  concat('Q', cast(cast(floor((n - 364 * floor(n/364.0))/91.0) as int) + 1 as {STR})) as quarter,
+  concat('M', cast(cast(floor((n - 364 * floor(n/364.0))/91.0) as int)*3 + case when n - 91 * floor(n/91.0) < 28 then 1 when n - 91 * floor(n/91.0) < 63 then 2 else 3 end as {STR})) as month
+from (select date, {DAYS} as n from {EACH} t) t""",
+    "stores": """select cast(s_suppkey % {S} as bigint) store_id, case when s_suppkey % {S} % 5 < 4 then concat('district ', cast(min(s_nationkey) % 3 as {STR})) end district from supplier group by 1, s_suppkey % {S}""",
 }
-SPARK = {"WK": "date_sub(cast(l_shipdate as date), dayofweek(l_shipdate)-1)", "STR": "string", "RANGE": "(select id i from range(1456))"}
-DUCKDB = {"M": "(select greatest(40, count(*) // 10) from part)", "WK": "cast(cast(l_shipdate as date) - cast(dayofweek(l_shipdate) as integer) as date)", "STR": "varchar", "RANGE": "(select range i from range(1456))"}
+SPARK = {
+    "WK": "date_sub(cast(l_shipdate as date), dayofweek(l_shipdate)-1)", "STR": "string", "DAYS": "datediff(date, date '1998-02-01')",
+    "EACH": "(select explode(sequence(cast(min(o_orderdate) as date), cast(max(o_orderdate) as date))) date from orders)",
+}
+DUCKDB = {
+    "M": "(select greatest(40, count(*) // 10) from part)", "S": "(select greatest(5, count(*) // 20) from supplier)", "W": "(select greatest(2, count(*) // 50) from supplier)",
+    "WK": "cast(cast(l_shipdate as date) - cast(dayofweek(l_shipdate) as integer) as date)", "STR": "varchar", "DAYS": "(date - date '1998-02-01')",
+    "EACH": "(select cast(unnest(generate_series(cast(min(o_orderdate) as date), cast(max(o_orderdate) as date), interval 1 day)) as date) date from orders)",
+}
 START, END = "1998-02-01", "2001-07-14"
 
 
@@ -73,14 +85,20 @@ def filled(sql: str, duckdb: bool) -> str:
     return sql.replace("{ADD}", "date_add")
 
 
+@lru_cache(maxsize=64)
+def moduli(sf_dir: str) -> dict[str, int]:
+    """What keys are folded by, from the row counts of the files."""
+    spark = SparkSession.active()
+    parts, suppliers = (spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("part", "supplier"))
+    return {"M": max(40, parts // 10), "S": max(5, suppliers // 20), "W": max(2, suppliers // 50)}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the retail inputs, from the star-schema tables in a folder."""
     sql = filled(TABLES[name], duckdb=False)
-    if "{M}" in sql:
-        sql = sql.replace("{M}", str(max(40, spark.read.parquet(f"{sf_dir}/part.parquet").count() // 10)))
-    source = next(t for t in ("lineitem", "orders", "part", "region", "") if f"from {t}" in sql)
-    if name == "fiscal_cal":
-        return spark.sql(sql)
+    for key, value in moduli(sf_dir).items():
+        sql = sql.replace("{" + key + "}", str(value))
+    source = next(t for t in ("lineitem", "orders", "part", "region", "supplier") if f"from {t}" in sql)
     return spark.sql(sql.replace(f"from {source}", "from {source}"), source=spark.read.parquet(f"{sf_dir}/{source}.parquet"))
 
 

@@ -49,12 +49,12 @@ class Inputs:
     def periods(self, kinds=("annual",)) -> DataFrame:
         return calendar.period_bridge(self.weeks(), START, END, kinds)
 
-    def slices(self, roots=None, cuts=(None,)) -> DataFrame:
-        return slices.slice_bridge(self.products, roots or {"overall": {}}, cuts)
+    def slices(self, roots=None, cuts=(None,), **more) -> slices.Slices:
+        return slices.Slices(self.products, roots or {"overall": {}}, cuts, **more)
 
     def kpis(self, names, kinds=("annual",), roots=None, cuts=(None,), frames=None, **rules) -> DataFrame:
         frames = frames or metrics.Facts(self.scoped())
-        return metrics.kpi_table(frames, self.slices(roots, cuts), self.periods(kinds), metrics.Rules(tuple(names), **rules), self.products)
+        return metrics.kpi_table(frames, self.slices(roots, cuts), self.periods(kinds), metrics.Rules(tuple(names), **rules))
 
 
 def shaped(df: DataFrame) -> DataFrame:
@@ -344,13 +344,13 @@ def hybrid_scope(x):
     return _hybrid(x)
 
 
-@query("daily_data", "fiscal_cal", "scope", sql=f"""select scope_origin, count(*) keys, count(distinct product_id * 100 + store_id) pairs, count(distinct year * 100 + week) as "weeks" from {HYBRID} group by 1
-  union all select 'TOTAL', count(*), count(distinct product_id * 100 + store_id), count(distinct year * 100 + week) from {HYBRID}""")
+@query("daily_data", "fiscal_cal", "scope", sql=f"""select scope_origin, count(*) keys, count(distinct product_id * 1000003 + store_id) pairs, count(distinct year * 100 + week) as "weeks" from {HYBRID} group by 1
+  union all select 'TOTAL', count(*), count(distinct product_id * 1000003 + store_id), count(distinct year * 100 + week) from {HYBRID}""")
 def scope_summary(x):
     return assortment.scope_summary(_hybrid(x)).select("scope_origin", "keys", "pairs", "weeks")
 
 
-@query("scope", "daily_data", "products", sql="""select coalesce(brand, 'NULL') dimension_value, count(distinct case when s = 'daily' then q.product_id * 100 + store_id end) daily, count(distinct case when s = 'scoped' then q.product_id * 100 + store_id end) scoped
+@query("scope", "daily_data", "products", sql="""select coalesce(brand, 'NULL') dimension_value, count(distinct case when s = 'daily' then q.product_id * 1000003 + store_id end) daily, count(distinct case when s = 'scoped' then q.product_id * 1000003 + store_id end) scoped
   from (select 'daily' s, product_id, store_id from daily_data union all select 'scoped', product_id, location_id from pairs) q left join products p on p.product_id = q.product_id group by 1""")
 def scope_debug(x):
     return assortment.scope_debug({"daily": x.daily_data, "scoped": x.pairs().withColumnRenamed("location_id", "store_id")}, x.products, "brand")
@@ -410,10 +410,10 @@ def _instock_sql(begin: str) -> str:
     return f"""select g.product_id, g.store_id, g.year, g.week, coalesce(n, 0) stocked_pairs, counted - coalesce(blocked, 0) available_days from (
   select product_id, store_id, year, week, count(*) counted, sum(case when b then 1 else 0 end) blocked from (
     select s.product_id, s.store_id, c.year, c.week, exists (select 1 from iv i where i.product_id = s.product_id and i.location_id = s.store_id and c.date between i.first_day and i.last_day) b
-    from (select p.product_id, p.location_id store_id, greatest({begin}, {{START}}) count_from from pairs p join (select product_id, store_id, min(date) first_row from daily_data group by 1, 2) f on f.product_id = p.product_id and f.store_id = p.location_id) s
+    from (select p.product_id, p.location_id store_id, greatest({begin}, {{START}}) count_from from pairs p join (select product_id, store_id, min(date) first_row from daily_data d where not exists (select 1 from iv i where i.product_id = d.product_id and i.location_id = d.store_id and d.date between i.first_day and i.last_day) group by 1, 2) f on f.product_id = p.product_id and f.store_id = p.location_id) s
     join fiscal_cal c on c.date between s.count_from and {{END}}) group by 1, 2, 3, 4) g
   left join (select d.product_id, d.store_id, c.year, c.week, count(distinct d.date) n from daily_data d join fiscal_cal c on c.date = d.date
-    join (select p.product_id, p.location_id store_id, greatest({begin}, {{START}}) count_from from pairs p join (select product_id, store_id, min(date) first_row from daily_data group by 1, 2) f on f.product_id = p.product_id and f.store_id = p.location_id) s
+    join (select p.product_id, p.location_id store_id, greatest({begin}, {{START}}) count_from from pairs p join (select product_id, store_id, min(date) first_row from daily_data d where not exists (select 1 from iv i where i.product_id = d.product_id and i.location_id = d.store_id and d.date between i.first_day and i.last_day) group by 1, 2) f on f.product_id = p.product_id and f.store_id = p.location_id) s
     on s.product_id = d.product_id and s.store_id = d.store_id where d.date between count_from and {{END}} and (inventory > 0 or sales_quantity > 0)
     and not exists (select 1 from iv i where i.product_id = d.product_id and i.location_id = d.store_id and d.date between i.first_day and i.last_day) group by 1, 2, 3, 4) k
   on k.product_id = g.product_id and k.store_id = g.store_id and k.year = g.year and k.week = g.week where counted - coalesce(blocked, 0) > 0"""
@@ -440,7 +440,7 @@ def instock_daily_earliest(x):
 
 
 @query("scope", "blocks", "daily_data", "fiscal_cal", "goods_in_transit", sql="""select s.product_id, s.store_id, c.year, c.week, sum(case when coalesce(d.inventory > 0 or d.sales_quantity > 0, false) or g.product_id is not null then 1 else 0 end) stocked_pairs, count(*) available_days
-  from (select p.product_id, p.location_id store_id, greatest(min(date), {START}) opens_on from pairs p join daily_data f on f.product_id = p.product_id and f.store_id = p.location_id group by 1, 2) s
+  from (select p.product_id, p.location_id store_id, greatest(min(date), {START}) opens_on from pairs p join (select * from daily_data d where not exists (select 1 from iv i where i.product_id = d.product_id and i.location_id = d.store_id and d.date between i.first_day and i.last_day)) f on f.product_id = p.product_id and f.store_id = p.location_id group by 1, 2) s
   join fiscal_cal c on c.date between s.opens_on and {END} left join daily_data d on d.product_id = s.product_id and d.store_id = s.store_id and d.date = c.date
   left join (select distinct product_id, destination_id, date from goods_in_transit where destination_type = 0) g on g.product_id = s.product_id and g.destination_id = s.store_id and g.date = c.date
   where coalesce(d.usable, 1) = 1 and not exists (select 1 from iv i where i.product_id = s.product_id and i.location_id = s.store_id and c.date between i.first_day and i.last_day) group by 1, 2, 3, 4""")
@@ -571,7 +571,7 @@ def dc_universes(x):
 
 SALES = ["total_sales_quantity", "total_sales_revenue", "AUR", "AUC", "total_inventory", "distinct_product_count", "distinct_store_count", "distinct_pair_count"]
 SALES_SQL = """sum(sales_quantity) total_sales_quantity, sum(sales_revenue) total_sales_revenue, sum(sales_revenue) / nullif(sum(sales_quantity), 0) "AUR", sum(sales_cost) / nullif(sum(sales_quantity), 0) "AUC",
-  sum(inventory) total_inventory, count(distinct s.product_id) distinct_product_count, count(distinct store_id) distinct_store_count, count(distinct s.product_id * 100 + store_id) distinct_pair_count"""
+  sum(inventory) total_inventory, count(distinct s.product_id) distinct_product_count, count(distinct store_id) distinct_store_count, count(distinct s.product_id * 1000003 + store_id) distinct_pair_count"""
 
 
 def _by(measures: str, rows: str = "sd s", slices_: str = "sl", kinds: str = "'annual'", more: str = "") -> str:
