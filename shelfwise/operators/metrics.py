@@ -115,15 +115,13 @@ def kpi_table(facts: Facts, slices: Slices, periods: DataFrame, rules: Rules = R
     more = []
     instock, dc_instock, lost = facts.instock, facts.dc_instock, facts.lost
     if instock is not None and wanted & {"in_stock_rate", "weighted_instock_rate"}:
-        more.append(_summed(instock, slices, rules, every, {
-            "is_stocked": ("instock", "stocked_pairs"), "is_days": ("instock", "available_days"),
-            "wi_stocked": ("weighted_instock", "stocked_pairs"), "wi_days": ("weighted_instock", "available_days"),
-        }))
+        both = {"is": ("in_stock_rate", "instock"), "wi": ("weighted_instock_rate", "weighted_instock")}
+        more.append(_summed(instock, slices, rules, every, {f"{p}_{name}": (group, c) for p, (m, group) in both.items() if m in wanted for name, c in (("stocked", "stocked_pairs"), ("days", "available_days"))}))
     if dc_instock is not None and "dc_in_stock_rate" in wanted:
         more.append(_summed(dc_instock, slices, rules, every, {"di_stocked": ("dc_instock", "dc_stocked_days"), "di_days": ("dc_instock", "dc_available_days")}))
     if lost is not None and "lost_sales_pct" in wanted:
         more.append(_summed(lost, slices, rules, every, {"lost": ("lost_sales", "lost_sales"), "could": ("lost_sales", "could_sell")}))
-    labelled = _union([whole, *more])
+    labelled = _union([whole, *more]).drop("product_id")
     if "total_mean_stock" in wanted:  # the only one that needs a day's stores and warehouses together
         labelled, _ = _merged([labelled], [*SLICE, *WEEK, "day"])
         dc = F.coalesce("td_dc", F.lit(0.0)) if "td_dc" in labelled.columns else F.lit(0.0)

@@ -66,18 +66,19 @@ def shaped(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def query(*sources: str, sql: str, doubles: str = ""):
-    """Registers a query under its function's name, with SQL behind these inputs; ``doubles`` names the result's columns
-    that both sides give to six decimals."""
+def query(*sources: str, sql: str, doubles: str = "", own: str = ""):
+    """Registers a query under its function's name, with SQL behind these inputs and table expressions of its ``own``;
+    ``doubles`` names the result's columns that both sides give to six decimals."""
 
     def add(f: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
         QUERIES[f.__name__] = lambda spark, sf_dir: shaped(f(Inputs(spark, sf_dir)))
         body = sql.strip()
+        tables = [ctes(*sources)] if sources else []
+        tables += [SHARED[k].strip() for k in SHARED if needed(k, body + own)]
+        tables += [own] if own else []
         if doubles:
             rounded = ", ".join(f'round(cast("{c}" as double), 6) as "{c}"' for c in doubles.split())
             body = f"select * replace ({rounded}) from ({body})"
-        tables = [ctes(*sources)] if sources else []
-        tables += [SHARED[k].strip() for k in SHARED if needed(k, body)]
         text = ("with " + ",\n".join(tables) + "\n" if tables else "") + body
         SQL[f.__name__] = text.replace("{START}", f"date '{START}'").replace("{END}", f"date '{END}'")
         return f
@@ -687,6 +688,112 @@ def rates(x):
     return x.kpis(["in_stock_rate", "weighted_instock_rate", "dc_in_stock_rate", "lost_sales_pct"], frames=frames)
 
 
+# Reports that end on any day, slices by place or measure, products that the master lacks -----------------------------
+
+LD = f"date '{LATEST}'"
+#: Day by day: periods of a report that ends on any day, rows of sales, in-stock days, lost weeks.
+LATEST_PARTS = f"""ld_days as (select date, year, week, row_number() over (partition by year order by date) day_index from fiscal_cal),
+ld_k as (select day_index k, year y from ld_days where date = {LD}),
+ld as (select d.date, d.year, d.week, 'annual' period_type, cast(d.year as varchar) period from ld_days d join (select year from wk group by 1 having min(week_start_date) >= {{START}} and max(week_end_date) <= {LD}) y on y.year = d.year
+  union all select date, year, week, 'ytd', printf('YTD-%d', year) from ld_days where day_index <= (select k from ld_k) and year in (select year from ld_days where day_index <= (select k from ld_k) group by 1 having min(date) >= {{START}} and max(date) <= {LD})),
+ls as (select d.product_id, store_id, d.date, sales_revenue r, sales_quantity q, inventory i, round(sales_quantity * cogs, 2) k, round(inventory * price_without_tax, 2) ir, round(inventory * cogs, 2) ic, l.* exclude (date)
+  from daily_data d join products p on p.product_id = d.product_id join ld l on l.date = d.date where usable = 1 and d.date between {{START}} and {LD}),
+ldc as (select w.product_id, l.*, sum(inventory) i from inventory_warehouse w join ld l on l.date = w.date where w.date between {{START}} and {LD} group by all),
+lpd as (select period_type, period, product_id, year, week, date, sum(q) q, sum(r) r, sum(k) k, sum(i) i, sum(ir) ir, sum(ic) ic from ls group by all),
+lpw as (select p.*, d.i di, wd from (select period_type, period, product_id, year, week, sum(q) q, sum(r) r, sum(k) k, avg(i) i, avg(ir) ir, avg(ic) ic from lpd group by all) p
+  join (select period_type, period, year, week, count(*) wd from ld group by all) w using (period_type, period, year, week)
+  left join (select period_type, period, product_id, year, week, avg(i) i from ldc group by all) d using (period_type, period, product_id, year, week)),
+lday as (select s.*, w.i di from (select period_type, period, date, sum(i) i, sum(ir) ir, sum(ic) ic from ls group by all) s left join (select period_type, period, date, sum(i) i from ldc group by all) w using (period_type, period, date)),
+liv as (select product_id, location_id, min(d) first_day, max(d) last_day from (select *, d - cast(row_number() over (partition by product_id, location_id order by d) as integer) run from (
+  select distinct b.product_id, b.location_id, cast(unnest(generate_series(b.start_date, coalesce(b.end_date, {LD}), interval 1 day)) as date) as d from blocks b join pairs p on p.product_id = b.product_id and p.location_id = b.location_id and p.scope_start <= b.start_date)
+  where d between {{START}} and {LD}) group by product_id, location_id, run),
+lfree as (select d.* from daily_data d left join liv i on i.product_id = d.product_id and i.location_id = d.store_id and d.date between i.first_day and i.last_day where i.first_day is null),
+lin as (select l.period_type, l.period, l.year, l.week, count(*) b, count(case when d.inventory > 0 or d.sales_quantity > 0 then 1 end) a
+  from (select p.product_id, p.location_id store_id, greatest(min(date), {{START}}) o from pairs p join lfree f on f.product_id = p.product_id and f.store_id = p.location_id group by all) g join ld l on l.date between g.o and {LD}
+  left join daily_data d on d.product_id = g.product_id and d.store_id = g.store_id and d.date = l.date left join liv i on i.product_id = g.product_id and i.location_id = g.store_id and l.date between i.first_day and i.last_day where i.first_day is null group by all),
+ldi as (select l.period_type, l.period, count(*) b, count(case when w.inventory > 0 then 1 end) a from (select product_id, warehouse_id, min(date) s from inventory_warehouse where date between {{START}} and {LD} group by all) g
+  join ld l on l.date between g.s and {LD} left join inventory_warehouse w on w.product_id = g.product_id and w.warehouse_id = g.warehouse_id and w.date = l.date group by all),
+lweek as (select distinct period_type, period, year, week from ld where period_type = 'annual' or week <= (select week from fiscal_cal where date = date '2001-07-14' and year = (select y from ld_k)))"""
+
+
+@query("daily_data", "products", "fiscal_cal", "scope", "blocks", "inventory_warehouse", "lost_sales", own=LATEST_PARTS, sql=f"""select period_type, period, 'overall' root, 'overall' dimension, 'overall' dimension_value, * exclude (period_type, period) from (select period_type, period, sum(q) total_sales_quantity, sum(r) total_sales_revenue, sum(r) / nullif(sum(q), 0) "AUR", sum(k) / nullif(sum(q), 0) "AUC", sum(i) total_inventory,
+    count(distinct product_id) distinct_product_count, count(distinct store_id) distinct_store_count, count(distinct product_id * 1000003 + store_id) distinct_pair_count from ls group by all)
+  left join (select period_type, period, avg(i) mean_stock, avg(ir) mean_stock_retail, avg(ic) mean_stock_cost, avg(i + coalesce(di, 0)) total_mean_stock from lday group by all) using (period_type, period)
+  left join (select period_type, period, avg(i) dc_mean_stock from (select period_type, period, date, sum(i) i from ldc group by all) group by all) using (period_type, period)
+  left join (select period_type, period, sum(case when q > 0 then i * wd / 7.0 end) / nullif(sum(q), 0) "WOS", sum(case when r > 0 then ir * wd / 7.0 end) / nullif(sum(r), 0) wos_revenue, sum(case when k > 0 then ic * wd / 7.0 end) / nullif(sum(k), 0) wos_cost,
+    sum(case when q > 0 then coalesce(di, 0) * wd / 7.0 end) / nullif(sum(q), 0) "WOS_DC", sum(case when q > 0 then (i + coalesce(di, 0)) * wd / 7.0 end) / nullif(sum(q), 0) "WOS_TOTAL" from lpw group by all) using (period_type, period)
+  left join (select period_type, period, units / nullif(stock, 0) inventory_turnover_rate from (select period_type, period, sum(q) units from ls group by all) join (select period_type, period, avg(i) stock from lday group by all) using (period_type, period)) using (period_type, period)
+  left join (select period_type, period, sum(a) * 1.0 / sum(b) in_stock_rate, sum(a * 1.0 / b * u) / nullif(sum(u), 0) weighted_instock_rate from lin left join (select period_type, period, year, week, sum(q) u from ls group by all) using (period_type, period, year, week) group by all) using (period_type, period)
+  left join (select period_type, period, a * 1.0 / b dc_in_stock_rate from ldi) using (period_type, period)
+  left join (select period_type, period, 100 * sum(lost_sales) / nullif(sum(could_sell), 0) lost_sales_pct from ({_lost_sql(f"d.date between {{START}} and {LD}", f"l.week_start_date >= {{START}} and l.week_start_date + 7 <= {LD}")}) join lweek using (year, week) group by all) using (period_type, period)""",
+  doubles="AUR AUC mean_stock mean_stock_retail mean_stock_cost dc_mean_stock total_mean_stock WOS wos_revenue wos_cost WOS_DC WOS_TOTAL inventory_turnover_rate in_stock_rate weighted_instock_rate dc_in_stock_rate lost_sales_pct")
+def latest_day_measures(x):
+    """All measures of complete years and of years to date by days, for a report that ends on a Wednesday."""
+    weeks, parts = x.weeks(), calendar.day_parts(x.fiscal_cal, LATEST)
+    days = readers.window(expressions(x.daily_data, ["usable = 1"]), "date", START, LATEST).drop("usable")
+    intervals = assortment.block_intervals(x.pairs(), x.blocks, START, LATEST)
+    frames = metrics.Facts(
+        facts.scoped_daily(days, x.products, parts, weeks), facts.instock_daily(x.pairs().withColumnRenamed("location_id", "store_id"), x.daily_data, calendar.parted(weeks, parts), START, LATEST, "first", intervals),
+        facts.dc_daily(x.inventory_warehouse, parts, START, LATEST), facts.dc_instock(x.inventory_warehouse, parts, START, LATEST), facts.lost_base(x.lost_sales, days, x.fiscal_cal, START, LATEST, latest_day=True),
+    )
+    return metrics.kpi_table(frames, x.slices(), calendar.day_bridge(x.fiscal_cal, weeks, START, LATEST, ("annual", "ytd")))
+
+
+PLACE_ROOTS = {"overall": {}, "near": {"district": ["district 0", "district 1"]}, "stocked": {"inventory": {"exclude": [0.0]}}}
+
+
+def _placed(rows: str, stocked: str = "true") -> str:
+    """SQL of rows with product_id and store_id, labelled with the slices by district and brand."""
+    return f"""(select t.*, root, dimension, case dimension when 'overall' then 'overall' when 'district' then district else p.brand end dimension_value from {rows} t left join stores using (store_id) left join products p on p.product_id = t.product_id,
+    (values ('overall'), ('near'), ('stocked')) a(root), (values ('overall'), ('district'), ('brand')) b(dimension) where root = 'overall' or root = 'near' and district in ('district 0', 'district 1') or root = 'stocked' and {stocked})"""
+
+
+SLICED = "year, root, dimension, dimension_value"
+PLACED_SALES = _placed("(select * exclude (brand) from sd)", "t.inventory <> 0")
+
+
+@query(*BASE, "stores", "lost_sales", sql=f"""select 'annual' period_type, cast(s.year as varchar) period, s.root, s.dimension, s.dimension_value, s.* exclude ({SLICED}), mean_stock, "WOS", in_stock_rate, lost_sales_pct
+  from (select {SLICED}, sum(sales_quantity) total_sales_quantity, sum(sales_revenue) / nullif(sum(sales_quantity), 0) "AUR", count(distinct product_id) distinct_product_count, count(distinct store_id) distinct_store_count, count(distinct product_id * 1000003 + store_id) distinct_pair_count from {PLACED_SALES} group by all) s
+  left join (select {SLICED}, avg(i) mean_stock from (select {SLICED}, date, sum(inventory) i from {PLACED_SALES} group by all) group by all) using ({SLICED})
+  left join (select {SLICED}, sum(case when q > 0 then i * wd / 7.0 end) / nullif(sum(q), 0) "WOS" from (select {SLICED}, product_id, week, max(wd) wd, sum(q) q, avg(i) i from (select {SLICED}, product_id, week, date, max(week_days) wd, sum(sales_quantity) q, sum(inventory) i from {PLACED_SALES} group by all) group by all) group by all) using ({SLICED})
+  left join (select {SLICED}, sum(stocked_pairs) / sum(available_days) in_stock_rate from {_placed(INSTOCK)} group by all) using ({SLICED})
+  left join (select {SLICED}, 100 * sum(lost_sales) / nullif(sum(could_sell), 0) lost_sales_pct from {_placed(LOST)} group by all) using ({SLICED})""", doubles="AUR mean_stock WOS in_stock_rate lost_sales_pct")
+def store_slices(x):
+    """Roots and cuts by an attribute of stores, and a root by a measure of the rows."""
+    frames = metrics.Facts(x.scoped(), facts.instock_weekly([x.lost_sales], x.fiscal_cal, START, END), lost=facts.lost_base(x.lost_sales, x.usable(), x.fiscal_cal, START, END))
+    by = x.slices(PLACE_ROOTS, (None, "district", "brand"), stores=x.stores)
+    names = ("total_sales_quantity", "AUR", "distinct_product_count", "distinct_store_count", "distinct_pair_count", "mean_stock", "WOS", "in_stock_rate", "lost_sales_pct")
+    return metrics.kpi_table(frames, by, x.periods(), metrics.Rules(names))
+
+
+def _known(rows: str) -> str:
+    """SQL of rows labelled with the slices of a master that lacks products: those are in what takes nulls."""
+    return f"""(select t.*, root, dimension, case dimension when 'overall' then 'overall' else p.brand end dimension_value from {rows} t left join (select * from products where option_code % 7 <> 3) p on p.product_id = t.product_id,
+    (values ('overall'), ('promo')) a(root), (values ('overall'), ('brand')) b(dimension) where root = 'overall' or p.category = 'PROMO')"""
+
+
+KNOWN_SALES = _known("(select * exclude (brand, category) from sd where product_id in (select product_id from products where option_code % 7 <> 3))")
+
+
+@query(*BASE, "inventory_warehouse", "lost_sales", sql=f"""select 'annual' period_type, cast(s.year as varchar) period, s.root, s.dimension, s.dimension_value, s.* exclude ({SLICED}), in_stock_rate, weighted_instock_rate, dc_in_stock_rate, dc_mean_stock, total_mean_stock, lost_sales_pct
+  from (select {SLICED}, sum(sales_quantity) total_sales_quantity from {KNOWN_SALES} group by all) s
+  left join (select {SLICED}, sum(a) / sum(b) in_stock_rate, sum(a / b * u) / nullif(sum(u), 0) weighted_instock_rate from (select {SLICED}, week, sum(stocked_pairs) a, sum(available_days) b from {_known(INSTOCK)} group by all) left join (select {SLICED}, week, sum(sales_quantity) u from {KNOWN_SALES} group by all) using ({SLICED}, week) group by all) using ({SLICED})
+  left join (select {SLICED}, sum(dc_stocked_days) * 1.0 / sum(dc_available_days) dc_in_stock_rate from {_known(DC)} group by all) using ({SLICED})
+  left join (select {SLICED}, avg(i) dc_mean_stock from (select {SLICED}, date, sum(inventory) i from {_known("(select w.*, c.year from inventory_warehouse w join fiscal_cal c on c.date = w.date where w.date between {START} and {END})")} group by all) group by all) using ({SLICED})
+  left join (select {SLICED}, avg(a + coalesce(i, 0)) total_mean_stock from (select {SLICED}, date, sum(inventory) a from {KNOWN_SALES} group by all) left join (select {SLICED}, date, sum(inventory) i from {_known("(select w.*, c.year from inventory_warehouse w join fiscal_cal c on c.date = w.date where w.date between {START} and {END})")} group by all) using ({SLICED}, date) group by all) using ({SLICED})
+  left join (select {SLICED}, 100 * sum(lost_sales) / nullif(sum(could_sell), 0) lost_sales_pct from {_known(LOST)} group by all) using ({SLICED})""", doubles="in_stock_rate weighted_instock_rate dc_in_stock_rate dc_mean_stock total_mean_stock lost_sales_pct")
+def unknown_products(x):
+    """A master that lacks some products: their sales drop out, their in-stock days, warehouse stock and lost sales stay in
+    the whole."""
+    master = x.products.where("option_code % 7 <> 3")
+    frames = metrics.Facts(
+        facts.scoped_daily(x.usable(), master, x.fiscal_cal, x.weeks()), facts.instock_weekly([x.lost_sales], x.fiscal_cal, START, END), facts.dc_daily(x.inventory_warehouse, x.fiscal_cal, START, END),
+        dc_instock(x), facts.lost_base(x.lost_sales, x.usable(), x.fiscal_cal, START, END),
+    )
+    names = ("total_sales_quantity", "in_stock_rate", "weighted_instock_rate", "dc_in_stock_rate", "dc_mean_stock", "total_mean_stock", "lost_sales_pct")
+    return metrics.kpi_table(frames, slices.Slices(master, ROOTS, (None, "brand")), x.periods(), metrics.Rules(names))
+
+
 # Comparisons ----------------------------------------------------------------------------------------------------------
 
 COMPARED = ["total_sales_quantity", "total_sales_revenue", "AUR"]
