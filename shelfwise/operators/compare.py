@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.changes import change_pct, change_pp
-from .calendar import complete_periods
-from .metrics import unpivoted
+from .calendar import complete_periods, period_bridge
+from .metrics import Facts, Rules, kpi_table, unpivoted
+from .slices import Slices
 
 SLICE = ["root", "dimension", "dimension_value"]
 
@@ -93,3 +95,46 @@ def restricted(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """The rows of these pairs; of their products if the rows know no store."""
     key = [c for c in pairs.columns if c in rows.columns]
     return rows.join(pairs.select(*key).distinct(), key, "left_semi")
+
+
+#: Kinds of like-for-like comparisons and the periods that they compare.
+KINDS = {"yoy": "annual", "ytd": "ytd", "quarter": "quarter", "half": "half"}
+
+
+def like_for_like(facts: Facts, slices: Slices, weeks: DataFrame, start: str, end: str, kind: str, rules: Rules, unblocked: bool = True) -> DataFrame:
+    """The metrics of what was there in every qualifying year, each year's rows once for each link of neighbouring years that
+    it is a side of: ``comparison_type``, ``number`` (of the quarter or half, else 0), ``link_prior_year``,
+    ``link_current_year``, ``comparable_pair_count``, the slice, ``period``, ``year`` and the metrics, as ``rebuilt`` takes them.
+
+    Every number of a kind has years and universes of its own, all in one plan: years whose period lies whole in the window
+    (years to date: those that have one) and has daily rows; pairs that are present in each of them; and for the warehouse
+    frames pairs of theirs. Frames without stores keep the products of the pairs. A number with one year has no link."""
+    if kind not in KINDS:
+        raise ValueError(f"unknown kind {kind}")
+    number = F.col(kind) if kind in ("quarter", "half") else F.lit(0)
+    bridge = period_bridge(weeks, start, end, (KINDS[kind],), whole_only=True).join(weeks.select("year", "week", number.alias("number")), ["year", "week"])
+    placed = F.broadcast(bridge.select("year", "week", "number"))  # as many rows as the calendar has weeks
+    frames = {name: df.join(placed, ["year", "week"]) for name in ("daily", "instock", "dc_daily", "dc_instock", "lost") if (df := getattr(facts, name)) is not None}
+
+    def every_year(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+        """Keys, by number, of all the number's years."""
+        shown = present(rows, unblocked).select("number", *key, "year").distinct().join(years, ["number", "year"], "left_semi")
+        return shown.groupBy("number", *key).agg(F.count("*").alias("n")).join(counts, ["number", "n"], "left_semi").select("number", *key)
+
+    years = F.broadcast(present(frames["daily"], unblocked).select("number", "year").distinct())
+    counts = F.broadcast(years.groupBy("number").agg(F.count("*").alias("n")))
+    pairs = every_year(frames["daily"], ["product_id", "store_id"])
+    of_warehouse = {name: every_year(frames[name], ["product_id", "warehouse_id"]) for name in ("dc_daily", "dc_instock") if name in frames}
+    kept = {}
+    for name, rows in frames.items():
+        keys = of_warehouse.get(name, pairs)
+        key = [c for c in keys.columns if c in rows.columns]
+        kept[name] = rows.join(keys.select(*key).distinct(), key, "left_semi").join(years, ["number", "year"], "left_semi").drop("number")
+    table = kpi_table(replace(facts, **kept), slices, bridge.drop("number"), rules)
+
+    order = Window.partitionBy("number").orderBy("year")
+    ends = years.withColumns({"prior": F.lag("year").over(order), "current": F.col("year")}).where("prior is not null")
+    sides = ends.select("number", F.col("prior").alias("link_prior_year"), F.col("current").alias("link_current_year"), F.explode(F.array("prior", "current")).alias("year"))
+    tagged = table.join(F.broadcast(bridge.select("period", "year", "number").distinct()), "period").join(F.broadcast(sides), ["number", "year"])
+    size = F.broadcast(pairs.groupBy("number").agg(F.count("*").alias("comparable_pair_count")))
+    return tagged.join(size, "number").select(F.lit(kind).alias("comparison_type"), "number", "link_prior_year", "link_current_year", "comparable_pair_count", *SLICE, "period", "year", *rules.metrics)

@@ -691,32 +691,41 @@ def rates(x):
 # Reports that end on any day, slices by place or measure, products that the master lacks -----------------------------
 
 LD = f"date '{LATEST}'"
-#: Day by day: periods of a report that ends on any day, rows of sales, in-stock days, lost weeks.
-LATEST_PARTS = f"""ld_days as (select date, year, week, row_number() over (partition by year order by date) day_index from fiscal_cal),
+#: Periods of a report that ends on any day, by date, and by week for lost sales.
+LATEST_DAYS = f"""ld_days as (select date, year, week, row_number() over (partition by year order by date) day_index from fiscal_cal),
 ld_k as (select day_index k, year y from ld_days where date = {LD}),
 ld as (select d.date, d.year, d.week, 'annual' period_type, cast(d.year as varchar) period from ld_days d join (select year from wk group by 1 having min(week_start_date) >= {{START}} and max(week_end_date) <= {LD}) y on y.year = d.year
-  union all select date, year, week, 'ytd', printf('YTD-%d', year) from ld_days where day_index <= (select k from ld_k) and year in (select year from ld_days where day_index <= (select k from ld_k) group by 1 having min(date) >= {{START}} and max(date) <= {LD})),
+  union all select date, year, week, 'ytd', printf('YTD-%d', year) from ld_days where day_index <= (select k from ld_k) and year in (select year from ld_days where day_index <= (select k from ld_k) group by 1 having min(date) >= {{START}} and max(date) <= {LD}))"""
+LATEST_WEEKS = "(select distinct period_type, period, year, week from ld where period_type = 'annual' or week <= (select week from fiscal_cal where date = date '2001-07-14' and year = (select y from ld_k)))"
+
+
+def _measure_parts(days: str, weeks: str, end: str, sold: str = "", stored: str = "", counted: str = "", gridded: str = "") -> str:
+    """Table expressions of all measures: ``days`` makes ``ld``, the periods of each date; ``weeks``, those of lost sales; further
+    conditions on rows of sales, warehouse stock, in-stock days and warehouse days."""
+    return f"""{days},
 ls as (select d.product_id, store_id, d.date, sales_revenue r, sales_quantity q, inventory i, round(sales_quantity * cogs, 2) k, round(inventory * price_without_tax, 2) ir, round(inventory * cogs, 2) ic, l.* exclude (date)
-  from daily_data d join products p on p.product_id = d.product_id join ld l on l.date = d.date where usable = 1 and d.date between {{START}} and {LD}),
-ldc as (select w.product_id, l.*, sum(inventory) i from inventory_warehouse w join ld l on l.date = w.date where w.date between {{START}} and {LD} group by all),
+  from daily_data d join products p on p.product_id = d.product_id join ld l on l.date = d.date where usable = 1 and d.date between {{START}} and {end} {sold}),
+ldc as (select w.product_id, l.*, sum(inventory) i from inventory_warehouse w join ld l on l.date = w.date where w.date between {{START}} and {end} {stored} group by all),
 lpd as (select period_type, period, product_id, year, week, date, sum(q) q, sum(r) r, sum(k) k, sum(i) i, sum(ir) ir, sum(ic) ic from ls group by all),
 lpw as (select p.*, d.i di, wd from (select period_type, period, product_id, year, week, sum(q) q, sum(r) r, sum(k) k, avg(i) i, avg(ir) ir, avg(ic) ic from lpd group by all) p
   join (select period_type, period, year, week, count(*) wd from ld group by all) w using (period_type, period, year, week)
   left join (select period_type, period, product_id, year, week, avg(i) i from ldc group by all) d using (period_type, period, product_id, year, week)),
 lday as (select s.*, w.i di from (select period_type, period, date, sum(i) i, sum(ir) ir, sum(ic) ic from ls group by all) s left join (select period_type, period, date, sum(i) i from ldc group by all) w using (period_type, period, date)),
 liv as (select product_id, location_id, min(d) first_day, max(d) last_day from (select *, d - cast(row_number() over (partition by product_id, location_id order by d) as integer) run from (
-  select distinct b.product_id, b.location_id, cast(unnest(generate_series(b.start_date, coalesce(b.end_date, {LD}), interval 1 day)) as date) as d from blocks b join pairs p on p.product_id = b.product_id and p.location_id = b.location_id and p.scope_start <= b.start_date)
-  where d between {{START}} and {LD}) group by product_id, location_id, run),
+  select distinct b.product_id, b.location_id, cast(unnest(generate_series(b.start_date, coalesce(b.end_date, {end}), interval 1 day)) as date) as d from blocks b join pairs p on p.product_id = b.product_id and p.location_id = b.location_id and p.scope_start <= b.start_date)
+  where d between {{START}} and {end}) group by product_id, location_id, run),
 lfree as (select d.* from daily_data d left join liv i on i.product_id = d.product_id and i.location_id = d.store_id and d.date between i.first_day and i.last_day where i.first_day is null),
 lin as (select l.period_type, l.period, l.year, l.week, count(*) b, count(case when d.inventory > 0 or d.sales_quantity > 0 then 1 end) a
-  from (select p.product_id, p.location_id store_id, greatest(min(date), {{START}}) o from pairs p join lfree f on f.product_id = p.product_id and f.store_id = p.location_id group by all) g join ld l on l.date between g.o and {LD}
-  left join daily_data d on d.product_id = g.product_id and d.store_id = g.store_id and d.date = l.date left join liv i on i.product_id = g.product_id and i.location_id = g.store_id and l.date between i.first_day and i.last_day where i.first_day is null group by all),
-ldi as (select l.period_type, l.period, count(*) b, count(case when w.inventory > 0 then 1 end) a from (select product_id, warehouse_id, min(date) s from inventory_warehouse where date between {{START}} and {LD} group by all) g
-  join ld l on l.date between g.s and {LD} left join inventory_warehouse w on w.product_id = g.product_id and w.warehouse_id = g.warehouse_id and w.date = l.date group by all),
-lweek as (select distinct period_type, period, year, week from ld where period_type = 'annual' or week <= (select week from fiscal_cal where date = date '2001-07-14' and year = (select y from ld_k)))"""
+  from (select p.product_id, p.location_id store_id, greatest(min(date), {{START}}) o from pairs p join lfree f on f.product_id = p.product_id and f.store_id = p.location_id group by all) g join ld l on l.date between g.o and {end}
+  left join daily_data d on d.product_id = g.product_id and d.store_id = g.store_id and d.date = l.date left join liv i on i.product_id = g.product_id and i.location_id = g.store_id and l.date between i.first_day and i.last_day where i.first_day is null {counted} group by all),
+ldi as (select l.period_type, l.period, count(*) b, count(case when w.inventory > 0 then 1 end) a from (select product_id, warehouse_id, min(date) s from inventory_warehouse where date between {{START}} and {end} group by all) g
+  join ld l on l.date between g.s and {end} left join inventory_warehouse w on w.product_id = g.product_id and w.warehouse_id = g.warehouse_id and w.date = l.date where true {gridded} group by all),
+lweek as {weeks}"""
 
 
-@query("daily_data", "products", "fiscal_cal", "scope", "blocks", "inventory_warehouse", "lost_sales", own=LATEST_PARTS, sql=f"""select period_type, period, 'overall' root, 'overall' dimension, 'overall' dimension_value, * exclude (period_type, period) from (select period_type, period, sum(q) total_sales_quantity, sum(r) total_sales_revenue, sum(r) / nullif(sum(q), 0) "AUR", sum(k) / nullif(sum(q), 0) "AUC", sum(i) total_inventory,
+def _measures_sql(lost: str) -> str:
+    """All measures of the whole, from ``_measure_parts`` and the SQL of lost sales by pair and week."""
+    return f"""select period_type, period, 'overall' root, 'overall' dimension, 'overall' dimension_value, * exclude (period_type, period) from (select period_type, period, sum(q) total_sales_quantity, sum(r) total_sales_revenue, sum(r) / nullif(sum(q), 0) "AUR", sum(k) / nullif(sum(q), 0) "AUC", sum(i) total_inventory,
     count(distinct product_id) distinct_product_count, count(distinct store_id) distinct_store_count, count(distinct product_id * 1000003 + store_id) distinct_pair_count from ls group by all)
   left join (select period_type, period, avg(i) mean_stock, avg(ir) mean_stock_retail, avg(ic) mean_stock_cost, avg(i + coalesce(di, 0)) total_mean_stock from lday group by all) using (period_type, period)
   left join (select period_type, period, avg(i) dc_mean_stock from (select period_type, period, date, sum(i) i from ldc group by all) group by all) using (period_type, period)
@@ -725,8 +734,15 @@ lweek as (select distinct period_type, period, year, week from ld where period_t
   left join (select period_type, period, units / nullif(stock, 0) inventory_turnover_rate from (select period_type, period, sum(q) units from ls group by all) join (select period_type, period, avg(i) stock from lday group by all) using (period_type, period)) using (period_type, period)
   left join (select period_type, period, sum(a) * 1.0 / sum(b) in_stock_rate, sum(a * 1.0 / b * u) / nullif(sum(u), 0) weighted_instock_rate from lin left join (select period_type, period, year, week, sum(q) u from ls group by all) using (period_type, period, year, week) group by all) using (period_type, period)
   left join (select period_type, period, a * 1.0 / b dc_in_stock_rate from ldi) using (period_type, period)
-  left join (select period_type, period, 100 * sum(lost_sales) / nullif(sum(could_sell), 0) lost_sales_pct from ({_lost_sql(f"d.date between {{START}} and {LD}", f"l.week_start_date >= {{START}} and l.week_start_date + 7 <= {LD}")}) join lweek using (year, week) group by all) using (period_type, period)""",
-  doubles="AUR AUC mean_stock mean_stock_retail mean_stock_cost dc_mean_stock total_mean_stock WOS wos_revenue wos_cost WOS_DC WOS_TOTAL inventory_turnover_rate in_stock_rate weighted_instock_rate dc_in_stock_rate lost_sales_pct")
+  left join (select period_type, period, 100 * sum(lost_sales) / nullif(sum(could_sell), 0) lost_sales_pct from ({lost}) join lweek using (year, week) group by all) using (period_type, period)"""
+
+
+MEASURE_SOURCES = ("daily_data", "products", "fiscal_cal", "scope", "blocks", "inventory_warehouse", "lost_sales")
+MEASURE_DOUBLES = "AUR AUC mean_stock mean_stock_retail mean_stock_cost dc_mean_stock total_mean_stock WOS wos_revenue wos_cost WOS_DC WOS_TOTAL inventory_turnover_rate in_stock_rate weighted_instock_rate dc_in_stock_rate lost_sales_pct"
+LATEST_LOST = _lost_sql(f"d.date between {{START}} and {LD}", f"l.week_start_date >= {{START}} and l.week_start_date + 7 <= {LD}")
+
+
+@query(*MEASURE_SOURCES, own=_measure_parts(LATEST_DAYS, LATEST_WEEKS, LD), sql=_measures_sql(LATEST_LOST), doubles=MEASURE_DOUBLES)
 def latest_day_measures(x):
     """All measures of complete years and of years to date by days, for a report that ends on a Wednesday."""
     weeks, parts = x.weeks(), calendar.day_parts(x.fiscal_cal, LATEST)
@@ -872,6 +888,34 @@ _comparable("comparable_quarter", "quarter", [1998, 1999, 2000, 2001], 1)
 _comparable("comparable_half", "half", [1998, 1999, 2000], 2)
 
 
+LIKE_QUARTERS = """ld as (select c.date, c.year, c.week, 'quarter' period_type, printf('%d-Q%d', c.year, wk.quarter) period, wk.quarter number from fiscal_cal c join wk using (year, week) join cp on cp.period_type = 'quarter' and is_complete and cp.year = c.year and cp.number = wk.quarter),
+ly as (select number, year from sd join ld using (date, year, week) group by all),
+ln as (select number, count(*) n from ly group by 1),
+lpairs as (select number, product_id, store_id from (select number, product_id, store_id, count(distinct year) y from sd join ld l using (date, year, week) group by all) join ln using (number) where y = n),
+lstored as (select number, product_id, warehouse_id from (select number, product_id, warehouse_id, count(distinct year) y from inventory_warehouse join ld l using (date) join ly using (number, year) where date between {START} and {END} group by all) join ln using (number) where y = n),
+lgrid as (select number, product_id, warehouse_id from (select number, product_id, warehouse_id, count(distinct year) y from (select product_id, warehouse_id, min(date) s from inventory_warehouse where date between {START} and {END} group by all) g join ld l on l.date between g.s and {END} join ly using (number, year) group by all) join ln using (number) where y = n)"""
+LIKE_PARTS = _measure_parts(
+    LIKE_QUARTERS, "(select distinct period_type, period, year, week, number from ld)", "{{END}}", "and (l.number, d.product_id, d.store_id) in (select (number, product_id, store_id) from lpairs)",
+    "and (l.number, w.product_id, w.warehouse_id) in (select (number, product_id, warehouse_id) from lstored)", "and (l.number, g.product_id, g.store_id) in (select (number, product_id, store_id) from lpairs)",
+    "and (l.number, g.product_id, g.warehouse_id) in (select (number, product_id, warehouse_id) from lgrid)",
+).replace("{{", "{").replace("}}", "}")
+LIKE_LOST = f"select * from {LOST} z join lweek using (year, week) where (number, product_id, store_id) in (select (number, product_id, store_id) from lpairs)"
+
+
+@query(*MEASURE_SOURCES, own=LIKE_PARTS, sql=f"""select 'quarter' comparison_type, k.number, k.prior link_prior_year, k.current link_current_year, c.comparable_pair_count, root, dimension, dimension_value, period, y.year, m.* exclude (period_type, period, root, dimension, dimension_value)
+  from ({_measures_sql(LIKE_LOST).replace("join lweek using (year, week) group by all", "group by all")}) m join (select distinct period, year, number from ld) y using (period)
+  join (select number, year "current", lag(year) over (partition by number order by year) prior from ly) k on k.number = y.number and k.prior is not null and y.year in (k.prior, k.current)
+  join (select number, count(*) comparable_pair_count from lpairs group by 1) c on c.number = k.number""", doubles=MEASURE_DOUBLES)
+def comparable_quarters(x):
+    """All measures, like for like, of every quarter number: each year's rows once per link."""
+    pairs = x.pairs().withColumnRenamed("location_id", "store_id")
+    frames = metrics.Facts(
+        x.scoped(), facts.instock_daily(pairs, x.daily_data, x.weeks(), START, END, "first", x.intervals()), facts.dc_daily(x.inventory_warehouse, x.fiscal_cal, START, END),
+        dc_instock(x), facts.lost_base(x.lost_sales, x.usable(), x.fiscal_cal, START, END),
+    )
+    return compare.like_for_like(frames, x.slices(), x.weeks(), START, END, "quarter", metrics.Rules())
+
+
 @query(*BASE, sql=_by("sum(sales_quantity) total_sales_quantity", kinds="'week', 'annual'", more="and (pb.period_type = 'annual' and pb.year >= 2000 or pb.period_type = 'week' and pb.year * 100 + pb.week >= (select max(year * 100 + week) - 3 from win))"))
 def trim_recent(x):
     return slices.trim_recent(x.kpis(["total_sales_quantity"], ("annual", "week")), {"annual": 2, "week": 4})
