@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.conditions import value_filter
 from .calendar import within
 
 
@@ -156,3 +157,27 @@ def scope_debug(stages: dict[str, DataFrame], products: DataFrame, column: str)
         rows = rows.unionByName(part)
     valued = rows.join(products.select("product_id", column), "product_id", "left").withColumn("dimension_value", F.coalesce(F.col(column), F.lit("NULL")))
     return valued.groupBy("dimension_value").pivot("stage", list(stages)).count().na.fill(0)
+
+
+def scope_audit(stages: Mapping[str, DataFrame], products: DataFrame, dimensions: Sequence[str], filters: Mapping[str, object] | None = None) -> DataFrame:
+    """Distinct products, stores and pairs of each stage (``<stage>_product_count`` and so on): of the whole (dimension
+    ``overall``, value ``ALL``) and by each value of product columns, under a column's value filter if there is one; a null
+    value is ``NULL``, and so is that of an unknown product. A stage without a value's pairs has 0.
+
+    Pairs of all stages are one union with a bit for each stage; each pair is expanded once to its dimensions, summed by
+    product and by store, and these sums once more."""
+    names = list(stages)
+    pairs = reduce(DataFrame.unionByName, [df.select("product_id", "store_id", F.lit(1 << k).cast("long").alias("in_stages")) for k, df in enumerate(stages.values())])
+    pairs = pairs.groupBy("product_id", "store_id").agg(F.bit_or("in_stages").alias("in_stages"))
+    rows = pairs.join(products.select("product_id", *dimensions), "product_id", "left")
+    label = lambda d, v: F.struct(F.lit(d).alias("dimension"), v.alias("dimension_value"))
+    of = [label("overall", F.lit("ALL"))] + [F.when(value_filter(d, filters[d]) if filters and d in filters else F.lit(True), label(d, F.coalesce(F.col(d).cast("string"), F.lit("NULL")))) for d in dimensions]
+    rows = rows.select("product_id", "store_id", "in_stages", F.explode(F.array_compact(F.array(*of))).alias("slice")).select("slice.*", "product_id", "store_id", "in_stages")
+    key, stage = ["dimension", "dimension_value"], lambda k: F.getbit("in_stages", F.lit(k)).cast("long")
+    by = lambda column, counts: rows.groupBy(*key, column).agg(F.bit_or("in_stages").alias("in_stages"), *counts).drop(column)
+    products_, stores = by("product_id", [F.sum(stage(k)).alias(f"{n}_pair_count") for k, n in enumerate(names)]), by("store_id", [])
+    products_ = products_.select(*key, *[stage(k).alias(f"{n}_product_count") for k, n in enumerate(names)], *[f"{n}_pair_count" for n in names])
+    stores = stores.select(*key, *[stage(k).alias(f"{n}_store_count") for k, n in enumerate(names)])
+    both = products_.unionByName(stores, allowMissingColumns=True)
+    columns = [f"{n}_{what}_count" for n in names for what in ("product", "store", "pair")]
+    return both.groupBy(*key).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])

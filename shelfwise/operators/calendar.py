@@ -179,3 +179,16 @@ def day_bridge(calendar: DataFrame, weeks: DataFrame, start: str, end: str, kind
         reached = saturday.join(on(end).select(F.col("year").alias("last_year")), "last_year").select("last_week")
         out.append(days.join(F.broadcast(reached)).where("week <= last_week").select("year", "week", F.lit(0).alias("part"), *label, F.lit("lost").alias("family")))
     return reduce(DataFrame.unionByName, out)
+
+
+MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
+
+def month_labels(calendar: DataFrame, name: str | None = None) -> DataFrame:
+    """``year``, ``month`` and the ``label`` of every fiscal month: the name that the calendar's column ``name`` gives it, the
+    first by its text if weeks differ, else that of the civil month that most of its days lie in, the earlier of two."""
+    days = calendar.withColumns({"number": number("month"), "civil": F.month("date"), "given": F.col(name) if name else F.lit(None).cast("string")})
+    counted = days.groupBy("year", "number", "civil").agg(F.count("*").alias("days"), F.min("given").alias("given"))
+    most = counted.groupBy("year", "number").agg(F.max(F.struct("days", (-F.col("civil")).alias("before"))).alias("most"), F.min("given").alias("given"))
+    derived = F.element_at(F.array(*map(F.lit, MONTH_NAMES)), -F.col("most.before"))
+    return most.select("year", F.col("number").alias("month"), F.concat_ws("-", F.col("year").cast("string"), F.coalesce("given", derived)).alias("label"))

@@ -128,6 +128,22 @@ def instock_daily(pairs: DataFrame, daily: DataFrame, weeks: DataFrame, start: s
     return both.agg(F.sum("stocked").alias("stocked_pairs"), F.sum("available").alias("available_days")).where("available_days > 0")
 
 
+def instock_pairs(pairs: DataFrame, main_only: bool = False, excluded: DataFrame | None = None) -> DataFrame:
+    """The pairs whose in-stock days count: with ``main_only`` those where the product itself is in scope and not only a
+    member of its family (``main_eligible``), and without products of ``excluded`` (``assortment.unsuperseded_sizes``)."""
+    kept = pairs.where("main_eligible") if main_only else pairs
+    return kept if excluded is None else kept.join(excluded.select("product_id"), "product_id", "left_anti")
+
+
+def up_to_date(daily: DataFrame, pairs: DataFrame, end: str) -> DataFrame:
+    """``pairs``, as long as their daily rows reach the end of the report; else the job that reads them fails, as days after
+    the last row would count as out of stock. The check is part of the plan: one row that says the last day."""
+    last = daily.join(pairs.select("product_id", "store_id"), ["product_id", "store_id"], "left_semi").agg(F.max("date").alias("last"))
+    message = F.concat(F.lit("daily rows end on "), F.coalesce(F.col("last").cast("string"), F.lit("no day")), F.lit(f", before the report does on {end}"))
+    reaches = F.when(F.col("last") >= F.lit(end).cast("date"), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return pairs.join(F.broadcast(last.where(reaches).select(F.lit(True).alias("_up_to_date")))).drop("_up_to_date")
+
+
 def first_of(sources: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """The first source's rows, and of each further one those whose keys none before it has."""
     found = sources[0]

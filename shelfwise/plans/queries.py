@@ -177,6 +177,13 @@ def ytd_day_k(x):
     return calendar.ytd_days(x.fiscal_cal, START, LATEST)
 
 
+@query("fiscal_cal", sql="""select year, "month", printf('%d-%s', year, coalesce(given, ['Jan', 'Feb', 'Mar', 'Apr', 'May', 'Jun', 'Jul', 'Aug', 'Sep', 'Oct', 'Nov', 'Dec'][civil])) as "label" from (
+  select year, "month", arg_max(civil, n_days * 100 - civil) civil, min(given) given from (select year, cast(substr(month, 2) as int) as "month", cast(extract(month from date) as int) civil, count(*) n_days, min(case when quarter = 'Q3' then concat('late ', month) end) given from fiscal_cal group by 1, 2, 3) group by 1, 2)""")
+def month_labels(x):
+    """Fiscal months by the civil month of most of their days; those of the third quarter have names of their own."""
+    return calendar.month_labels(x.fiscal_cal.withColumn("named", F.expr("case when quarter = 'Q3' then concat('late ', month) end")), "named")
+
+
 @query("fiscal_cal", sql="select max(last_day) report_end from cp where period_type = 'month' and last_day <= {END}")
 def complete_month_cut(x):
     return x.spark.createDataFrame([(calendar.complete_month_end(START, END, x.weeks()),)], "report_end date")
@@ -210,6 +217,24 @@ def coverage_spans(x):
     return readers.coverage("daily", x.daily_data, "date", ["usable = 1", "inventory > 0"])
 
 
+COVERED = {
+    "daily": ("daily_data", {"every row": ("date", []), "kept": ("date", ["usable = 1"]), "sales": ("date", ["usable = 1", "sales_quantity > 0"]), "stock": ("date", ["usable = 1", "inventory > 0"])}),
+    "transactions": ("transactional_sales", {"every row": ("date", []), "regular": ("date", ["sales_type = 'regular'"])}),
+    "lost sales": ("lost_sales", {"every row": ("week_start_date", []), "with a value": ("week_start_date", ["lost_sales > 0"])}),
+    "warehouses": ("inventory_warehouse", {"every row": ("date", []), "stock": ("date", ["inventory > 0"])}),
+    "transit": ("goods_in_transit", {"to stores": ("date", ["destination_type = 0", "quantity > 0"]), "to warehouses": ("date", ["destination_type = 1", "quantity > 0"])}),
+    "scope": ("scope", {"starts": ("start_date", []), "ends": ("end_date", ["end_date is not null"])}), "blocks": ("blocks", {"open": ("start_date", ["end_date is null"]), "closed": ("end_date", ["end_date is not null"])}),
+}
+
+
+@query("daily_data", "transactional_sales", "lost_sales", "inventory_warehouse", "goods_in_transit", "scope", "blocks", sql=" union all ".join(
+    f"select '{source}' source, '{label}' as \"label\", min({column}) first_day, max({column}) last_day, count(*) n_rows from {table} where {' and '.join(conditions) or 'true'}" for source, (table, labels) in COVERED.items() for label, (column, conditions) in labels.items()
+))
+def coverage_table(x):
+    """What every source offers, over whole tables, each read once."""
+    return readers.coverage_table({source: (getattr(x, table), labels) for source, (table, labels) in COVERED.items()})
+
+
 # Facts ----------------------------------------------------------------------------------------------------------------
 
 
@@ -357,6 +382,17 @@ def scope_debug(x):
     return assortment.scope_debug({"daily": x.daily_data, "scoped": x.pairs().withColumnRenamed("location_id", "store_id")}, x.products, "brand")
 
 
+AUDITED = """(select 'scope' stage, product_id, location_id from pairs union all select 'unblocked', product_id, location_id from pairs where (product_id, location_id) not in (select (product_id, location_id) from ({BLOCKED}))
+  union all select 'instock', product_id, location_id from pairs where product_id not in (select product_id from item_family where not is_main))"""
+
+
+def _audit_sql(blocked: str) -> str:
+    rows = AUDITED.replace("{BLOCKED}", blocked)
+    counts = ", ".join(f"count(distinct case when stage = '{s}' then {c} end) {s}_{n}_count" for s in ("scope", "unblocked", "instock") for n, c in (("product", "product_id"), ("store", "location_id"), ("pair", "product_id * 1000003 + location_id")))
+    of = lambda d, v, where: f"select '{d}' dimension, {v} dimension_value, {counts} from {rows} left join products using (product_id) where {where} group by 1, 2"
+    return f"{of('overall', chr(39) + 'ALL' + chr(39), 'true')} union all {of('brand', 'coalesce(brand, ' + chr(39) + 'NULL' + chr(39) + ')', 'true')} union all {of('category', 'category', chr(39) + 'PROMO' + chr(39) + ' <> category')}"
+
+
 @query("scope", "blocks", sql="select product_id, location_id, first_day, last_day from iv")
 def block_islands(x):
     return x.intervals()
@@ -398,6 +434,19 @@ def fully_blocked_pairs(x):
     return assortment.fully_blocked_pairs(scope_weekly(x), x.intervals(), x.weeks(), START, END)
 
 
+PAIRS_BLOCKED = f"""select k.product_id, k.location_id from {WEEKLY} k left join {FULL} f on f.product_id = k.product_id and f.location_id = k.location_id and f.year = k.year and f.week = k.week group by 1, 2 having bool_and(f.year is not null)"""
+
+
+@query("scope", "blocks", "fiscal_cal", "products", "item_family", sql=_audit_sql(PAIRS_BLOCKED))
+def scope_audit(x):
+    """Products, stores and pairs of three stages of the scope: of all, by brand, and by category under a filter."""
+    name = lambda d: d.withColumnRenamed("location_id", "store_id")
+    pairs = name(x.pairs())
+    unblocked = pairs.join(name(fully_blocked_pairs(x)), ["product_id", "store_id"], "left_anti")
+    stages = {"scope": pairs, "unblocked": unblocked, "instock": facts.instock_pairs(pairs, excluded=x.item_family.where("not is_main"))}
+    return assortment.scope_audit(stages, x.products, ["brand", "category"], {"category": {"exclude": ["PROMO"]}})
+
+
 @query("products", "item_family", sql="""select product_id from products p where option_code in (select option_code from products where product_id in (select product_id from item_family union select parent_id from item_family where parent_id is not null))
   and product_id not in (select product_id from item_family union select parent_id from item_family where parent_id is not null)""")
 def unsuperseded_sizes(x):
@@ -440,6 +489,24 @@ def instock_daily_earliest(x):
     return _instock(x, "earliest")
 
 
+ELIGIBLE = """(select coalesce(f.parent_id, s.product_id) product_id, location_id, min(start_date) scope_start from scope s left join (select * from item_family where not is_main) f on f.product_id = s.product_id where end_date is null or end_date >= run_date group by 1, 2
+  having bool_or(coalesce(f.parent_id, s.product_id) = s.product_id)) p"""
+UNSUPERSEDED = "select product_id from products where option_code in (select option_code from products where product_id in (select product_id from item_family union select parent_id from item_family)) and product_id not in (select product_id from item_family union select parent_id from item_family where parent_id is not null)"
+
+
+@query("scope", "daily_data", "fiscal_cal", "item_family", "products", sql=f"""select s.product_id, s.store_id, c.year, c.week, count(case when d.inventory > 0 or d.sales_quantity > 0 then 1 end) stocked_pairs, count(*) available_days
+  from (select p.product_id, p.location_id store_id, greatest(min(date), {{START}}) opens_on from {ELIGIBLE} join daily_data f on f.product_id = p.product_id and f.store_id = p.location_id where p.product_id not in ({UNSUPERSEDED}) group by 1, 2) s
+  join fiscal_cal c on c.date between s.opens_on and {{END}} left join daily_data d on d.product_id = s.product_id and d.store_id = s.store_id and d.date = c.date
+  where (s.product_id, s.store_id, c.year, c.week) in (select (product_id, location_id, v.year, v.week) from scope join fiscal_cal v on v.date = start_date) group by 1, 2, 3, 4""")
+def instock_eligible(x):
+    """In-stock days of pairs whose main product is in scope and whose size is superseded, in the weeks of the scope, of daily
+    rows that reach the end of the report."""
+    pairs = assortment.scope_pairs(assortment.scope_rows(x.scope, [21], RUN), x.item_family).withColumnRenamed("location_id", "store_id")
+    pairs = facts.instock_pairs(pairs, main_only=True, excluded=assortment.unsuperseded_sizes(x.products, x.item_family))
+    rows = facts.instock_daily(facts.up_to_date(x.daily_data, pairs, END), x.daily_data, x.weeks(), START, END)
+    return rows.join(scope_weekly(x).withColumnRenamed("location_id", "store_id"), ["product_id", "store_id", "year", "week"], "left_semi")
+
+
 @query("scope", "blocks", "daily_data", "fiscal_cal", "goods_in_transit", sql="""select s.product_id, s.store_id, c.year, c.week, sum(case when coalesce(d.inventory > 0 or d.sales_quantity > 0, false) or g.product_id is not null then 1 else 0 end) stocked_pairs, count(*) available_days
   from (select p.product_id, p.location_id store_id, greatest(min(date), {START}) opens_on from pairs p join (select * from daily_data d where not exists (select 1 from iv i where i.product_id = d.product_id and i.location_id = d.store_id and d.date between i.first_day and i.last_day)) f on f.product_id = p.product_id and f.store_id = p.location_id group by 1, 2) s
   join fiscal_cal c on c.date between s.opens_on and {END} left join daily_data d on d.product_id = s.product_id and d.store_id = s.store_id and d.date = c.date

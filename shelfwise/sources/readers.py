@@ -59,6 +59,20 @@ def coverage(label: str, df: DataFrame, column: str = "date", conditions: Sequen
     return df.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"), F.min(F.when(keep, day)).alias("kept_first_day"), F.max(F.when(keep, day)).alias("kept_last_day"), F.count("*").alias("n_rows"), F.count(F.when(keep, 1)).alias("kept_rows")).withColumn("source", F.lit(label))
 
 
+def coverage_table(sources: Mapping[str, tuple[DataFrame, Mapping[str, tuple[str, Sequence[str]]]]]) -> DataFrame:
+    """``source``, ``label``, ``first_day``, ``last_day`` and ``n_rows``: by source the labels of what it offers, each with a date
+    column and conditions (null counts as not met). A source is read once for all of its labels; a label without rows has
+    null dates and 0."""
+    out = []
+    for source, (df, labels) in sources.items():
+        spans = []
+        for label, (column, conditions) in labels.items():
+            keep, day = kept(conditions), F.col(column).cast("date")
+            spans.append(F.struct(F.lit(label).alias("label"), F.min(F.when(keep, day)).alias("first_day"), F.max(F.when(keep, day)).alias("last_day"), F.count(F.when(keep, 1)).alias("n_rows")))
+        out.append(df.agg(F.array(*spans).alias("spans")).select(F.lit(source).alias("source"), F.inline("spans")))
+    return reduce(DataFrame.unionByName, out)
+
+
 def preview(df: DataFrame, column: str, start: str, end: str, rows: int = 20) -> tuple[int, DataFrame]:
     """How many rows a window has, and the first few of them."""
     inside = window(df, column, start, end)
