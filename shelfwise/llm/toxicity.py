@@ -21,9 +21,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import over_blocks, remainder, whole, written
@@ -39,7 +40,7 @@ THRESHOLD = 0.3
 DISCOUNT, SHARED_DISCOUNT = 0.75, 0.3
 STRONGEST = 4
 #: Words whose probabilities a task remembers; texts that are judged together, in characters.
-REMEMBERED, TOGETHER = 250_000, 1 << 20
+REMEMBERED, TOGETHER = 100_000, 1 << 20
 #: Letters of the longest letter n-gram.
 LETTERS = 3
 START = xxhash.xxh3_64_intdigest(b"\x00start")
@@ -317,23 +318,13 @@ def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_
     return Scorer(shared, fit_curve(x, y, weight / weight.mean()))
 
 
-def probability(docs: DataFrame, scorer: Scorer | None, text: str = "text") -> Column:
-    """The toxicity of a text column, 0 to 1; 0 for all if there is no model. A null text counts as empty."""
-    if scorer is None:
-        return F.lit(0.0)
-
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        values, size, at = [], 0, 0
-        whole_texts = texts.fillna("").tolist()
-        for k, one in enumerate(whole_texts):
-            size += len(one)
-            if size >= TOGETHER or k == len(whole_texts) - 1:
-                values.append(scorer.probability(whole_texts[at : k + 1]))
-                at, size = k + 1, 0
-        return pd.Series(np.concatenate(values) if values else np.empty(0))
-
-    return score(F.col(text))
+def judged(texts: pa.Array, scorer: Scorer) -> np.ndarray:
+    """The toxicity of each text, 0 to 1, some ``TOGETHER`` characters at a time. A null text counts as empty."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
+    group = np.cumsum(sizes) // TOGETHER
+    cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(texts)]
+    parts = [scorer.probability(pc.fill_null(texts.slice(x, y - x), "").to_pylist()) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+    return np.concatenate(parts) if parts else np.empty(0)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -344,7 +335,16 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     out. Score 0 if there is nothing to learn from, and below the threshold if a class has too few labels (``fit``). An empty table gives no rows. Of ``docs`` only ``doc_id`` and
     ``text`` are read, of ``labels`` only ``doc_id`` and ``toxic``.
     """
-    scored = whole(docs).withColumn("score", probability(docs, fit(docs, labels)))
+    scorer = fit(docs, labels)
+    if scorer is None:
+        scored = whole(docs).select("doc_id", F.lit(0.0).alias("score"))
+    else:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(judged(batch.column("text"), scorer))], names=["doc_id", "score"])
+
+        scored = whole(docs).mapInArrow(run, "doc_id long, score double")
     modulus, left_out = HELD_OUT
     return scored.select("doc_id", (remainder(F.col("doc_id"), modulus) == left_out).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
@@ -352,4 +352,13 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def harmless(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` below the threshold, with their own columns, whatever their names. Nulls, empty and repeated
     rows as of ``toxicity``."""
-    return docs.where(probability(docs, fit(docs, labels)) < THRESHOLD)
+    scorer = fit(docs, labels)
+    if scorer is None:
+        return docs
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(judged(batch.column(at), scorer) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
