@@ -14,6 +14,8 @@ sample bounds them, in rows and in characters.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -199,6 +201,15 @@ class Model:
         return np.stack([np.add.reduceat(ratio, starts) / sizes, np.add.reduceat(best, starts) / np.minimum(sizes, STRONGEST)], axis=1)
 
 
+def make_room() -> None:
+    """Gives back to the system what a reused worker has freed of earlier tasks but keeps."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 @dataclass
 class Scorer:
     """A model, sent to the executors once, the weights of its curve, and the score that the curve rises to."""
@@ -265,6 +276,7 @@ def counts(sample: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The class bigrams and the shared letter n-grams of distinct words, as ``Model.counted`` takes them."""
 
     def words_in(block: pa.Table) -> Iterator[pa.RecordBatch]:
+        make_room()
         vocabulary, word, sizes = tokens(block["text"].to_pylist())
         hashes = np.append(hashed(vocabulary), np.uint64(START))
         label = np.repeat(block["toxic"].to_numpy(), sizes)
@@ -305,6 +317,7 @@ def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_
     shared = docs.sparkSession.sparkContext.broadcast(Model.counted(pairs, spelled))
 
     def judge(block: pa.Table) -> Iterator[pa.RecordBatch]:
+        make_room()
         x = shared.value.evidence(block["text"].to_pylist())
         yield pa.RecordBatch.from_arrays([block["toxic"].combine_chunks(), *(pa.array(np.ascontiguousarray(x[:, k])) for k in range(2))], names=["toxic", "a", "b"])
 
@@ -341,6 +354,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     else:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            make_room()
             for batch in batches:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(judged(batch.column("text"), scorer))], names=["doc_id", "score"])
 
@@ -358,6 +372,7 @@ def harmless(docs: DataFrame, labels: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in batches:
             yield batch.filter(pa.array(judged(batch.column(at), scorer) < THRESHOLD))
 
