@@ -109,9 +109,9 @@ def kpi_table(facts: Facts, slices: Slices, periods: DataFrame, rules: Rules = R
     if facts.dc_daily is not None and wanted & {"dc_mean_stock", "total_mean_stock", "WOS_DC", "WOS_TOTAL"}:
         states.append(_warehouse_states(facts.dc_daily, slices, rules, wanted, every))
     supply = [m for m in SUPPLY if m in wanted]
-    whole, masks = _merged(states, [*SLICE, "product_id", *WEEK, "day"]) if len(states) > 1 and {"WOS_DC", "WOS_TOTAL"} & wanted else (_union(states), None)
+    whole = _merged(states, [*SLICE, "product_id", *WEEK, "day"])[0] if len(states) > 1 and {"WOS_DC", "WOS_TOTAL"} & wanted else _union(states)
     if supply:
-        whole = _weeks_of_supply(whole, supply, rules)
+        whole = _weeks_of_supply(whole, supply)
     more = []
     instock, dc_instock, lost = facts.instock, facts.dc_instock, facts.lost
     if instock is not None and wanted & {"in_stock_rate", "weighted_instock_rate"}:
@@ -252,7 +252,7 @@ def _warehouse_states(days: DataFrame, slices: Slices, rules: Rules, wanted: set
     return _union(parts)
 
 
-def _weeks_of_supply(states: DataFrame, supply: list[str], rules: Rules) -> DataFrame:
+def _weeks_of_supply(states: DataFrame, supply: list[str]) -> DataFrame:
     """A product's average stock of a day, weighed by the share of the week that is in, where the week has sold anything."""
     mean = lambda value, mask: F.try_divide(F.col(value), F.bit_count(mask))
     values, gone = {}, ["week_days"]
