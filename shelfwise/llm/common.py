@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes that a Python task gathers before it works on them as one block.
 BLOCK_BYTES = 24 << 20
+#: Setting of the bytes after which the JVM sends a batch of rows to a Python task, and its value for texts.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,6 +45,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of ``BATCH_BYTES`` in this session unless it names a size of its own. The JVM holds a batch outside its
+    heap, in buffers that double as they grow, on the way to Python and back; 10,000 texts of a few thousand characters,
+    as by default, are well over 100 MB of it for each running task."""
+    key, limit = BATCH_BYTES
+    spark.conf.set(key, spark.conf.get(key, limit))
+
+
 def whole(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` of a documents table; a null text is empty. Other columns are left behind."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import over_blocks, remainder, whole, written
+from .common import over_blocks, remainder, small_batches, whole, written
 
 #: Rows of each class that the models are counted on, and that the curve is fitted on, and characters of these rows: the
 #: bound of the sample. Rows that would exceed the characters are passed over, never cut.
@@ -310,6 +310,7 @@ def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_
     A curve is fitted where both classes have rows for it. Where one has none, because it has fewer than five labels or
     none at all, nothing tells how far apart the classes lie: texts are then ordered by the likelihood ratio of the whole
     text, below the threshold, so none is predicted toxic."""
+    small_batches(docs.sparkSession)
     sample, share = sampled(docs, labels, count_rows, curve_rows, characters)
     if sample is None:
         return None
