@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import itertools
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,7 +43,7 @@ THRESHOLD = 0.3
 DISCOUNT, SHARED_DISCOUNT = 0.75, 0.3
 STRONGEST = 4
 #: Words whose probabilities a task remembers; texts that are judged together, in characters.
-REMEMBERED, TOGETHER = 100_000, 1 << 20
+REMEMBERED, TOGETHER = 100_000, 1 << 18
 #: Letters of the longest letter n-gram.
 LETTERS = 3
 START = xxhash.xxh3_64_intdigest(b"\x00start")
@@ -51,8 +52,7 @@ START = xxhash.xxh3_64_intdigest(b"\x00start")
 def tokens(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct lower-cased words (the first stands for the end of a text), the words of all texts as places in them
     with an end behind each text, and how many tokens each text has."""
-    numbers: dict[bytes, int] = defaultdict()
-    numbers.default_factory = numbers.__len__
+    numbers: dict[bytes, int] = defaultdict(itertools.count().__next__)  # its own __len__ would be a cycle that outlives the call
     numbers[b"\x00"]
     parts, sizes, stop = [], [], np.zeros(1, np.int64)
     for text in texts:
@@ -296,10 +296,10 @@ def counts(sample: DataFrame) -> tuple[DataFrame, DataFrame]:
             columns = [np.full(len(found), order), context[first].view(np.int64), found.view(np.int64), n.astype(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["order", "context", "gram", "n"])
 
-    pairs = over_blocks(sample, words_in, "h long, w long, key long, toxic long, ordinary long", limit=2 * TOGETHER)
+    pairs = over_blocks(sample, words_in, "h long, w long, key long, toxic long, ordinary long", limit=8 * TOGETHER)
     pairs = written(pairs.groupBy("h", "w", "key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "toxicity-bigrams")
     words = over_blocks(sample, distinct, "word binary").distinct()
-    spelled = over_blocks(words, spellings, "order long, context long, gram long, n long", sized_by="word", limit=TOGETHER)
+    spelled = over_blocks(words, spellings, "order long, context long, gram long, n long", sized_by="word", limit=4 * TOGETHER)
     return pairs, written(spelled.groupBy("order", "context", "gram").agg(F.sum("n").alias("n")), "toxicity-letters")
 
 
@@ -322,7 +322,7 @@ def fit(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS, curve_
         x = shared.value.evidence(block["text"].to_pylist())
         yield pa.RecordBatch.from_arrays([block["toxic"].combine_chunks(), *(pa.array(np.ascontiguousarray(x[:, k])) for k in range(2))], names=["toxic", "a", "b"])
 
-    seen = over_blocks(sample.where("not counted"), judge, "toxic int, a double, b double", limit=2 * TOGETHER).toArrow()
+    seen = over_blocks(sample.where("not counted"), judge, "toxic int, a double, b double", limit=8 * TOGETHER).toArrow()
     y = seen["toxic"].to_numpy().astype(float)
     if len(set(y.tolist())) < 2:
         return Scorer(shared, np.array([0.0, 1.0, 0.0]), THRESHOLD)
