@@ -21,6 +21,7 @@ for which only their documents' texts are read again.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import defaultdict
 from collections.abc import Iterator
@@ -54,8 +55,7 @@ def ceil(a, b):
 
 def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; a text with fewer words is one shingle, one without words has none."""
-    numbers: dict[bytes, int] = defaultdict()
-    numbers.default_factory = numbers.__len__
+    numbers: dict[bytes, int] = defaultdict(itertools.count().__next__)  # no reference cycle, which would outlive the call
     parts = []
     for text in texts:
         found = text.encode().lower().split()
