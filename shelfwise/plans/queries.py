@@ -745,14 +745,32 @@ def mean_stock_transit(x):
 RATE = "(select year, week, sum(stocked_pairs) a, sum(available_days) b from k where product_id in (select product_id from products) group by 1, 2)"
 
 
-@query(*BASE, "lost_sales", "inventory_warehouse", sql=f"""select r.period_type, r.period, r.root, r.dimension, r.dimension_value, in_stock_rate, weighted_instock_rate, dc_in_stock_rate, lost_sales_pct from (
+RATES = ["in_stock_rate", "weighted_instock_rate", "dc_in_stock_rate", "lost_sales_pct"]
+
+
+def _rate_frames(x):
+    return metrics.Facts(x.scoped(), facts.instock_weekly([x.lost_sales], x.fiscal_cal, START, END), None, dc_instock(x), facts.lost_base(x.lost_sales, x.usable(), x.fiscal_cal, START, END))
+
+
+RATES_SQL = f"""select r.period_type, r.period, r.root, r.dimension, r.dimension_value, in_stock_rate, weighted_instock_rate, dc_in_stock_rate, lost_sales_pct from (
   select 'annual' period_type, cast(r.year as varchar) period, 'overall' root, 'overall' dimension, 'overall' dimension_value, greatest(0, sum(a) / sum(b)) in_stock_rate, sum(a / b * u) / sum(u) weighted_instock_rate
   from {RATE.replace("from k", f"from {INSTOCK}")} r left join (select year, week, sum(sales_quantity) u from sd group by 1, 2) u on u.year = r.year and u.week = r.week group by r.year) r
   join (select cast(year as varchar) period, sum(dc_stocked_days) * 1.0 / sum(dc_available_days) dc_in_stock_rate from {DC} group by 1) d on d.period = r.period
-  join (select cast(year as varchar) period, 100 * sum(lost_sales) / nullif(sum(could_sell), 0) lost_sales_pct from {LOST} group by 1) l on l.period = r.period where r.period in (select cast(year as varchar) from sd)""", doubles="in_stock_rate weighted_instock_rate dc_in_stock_rate lost_sales_pct")
+  join (select cast(year as varchar) period, 100 * sum(lost_sales) / nullif(sum(could_sell), 0) lost_sales_pct from {LOST} group by 1) l on l.period = r.period where r.period in (select cast(year as varchar) from sd)"""
+
+
+@query(*BASE, "lost_sales", "inventory_warehouse", sql=RATES_SQL, doubles="in_stock_rate weighted_instock_rate dc_in_stock_rate lost_sales_pct")
 def rates(x):
-    frames = metrics.Facts(x.scoped(), facts.instock_weekly([x.lost_sales], x.fiscal_cal, START, END), None, dc_instock(x), facts.lost_base(x.lost_sales, x.usable(), x.fiscal_cal, START, END))
-    return x.kpis(["in_stock_rate", "weighted_instock_rate", "dc_in_stock_rate", "lost_sales_pct"], frames=frames)
+    return x.kpis(RATES, frames=_rate_frames(x))
+
+
+@query("lost_sales", "products", sql="""select v.product_id, sum(p.lost) lost_sales, count(*) level_weeks from (select floor(product_id / 4.0) level, week_start_date, sum(lost_sales) lost from lost_sales group by 1, 2) p
+  join (select product_id, option_code from products where option_code % 5 <> 4) v on v.option_code = p.level group by 1""", doubles="lost_sales")
+def planning_levels(x):
+    """Lost sales given by planning level and week, as rows of the level's products; a fifth of the levels is unknown."""
+    levels = x.products.where("option_code % 5 <> 4").select(F.col("option_code").alias("planning_level_id"), "product_id")
+    given = x.lost_sales.groupBy(F.floor(F.col("product_id") / 4).alias("planning_level_id"), "week_start_date").agg(F.sum("lost_sales").alias("lost_sales"))
+    return readers.by_product(given, levels).groupBy("product_id").agg(F.sum("lost_sales").alias("lost_sales"), F.count("*").alias("level_weeks"))
 
 
 # Reports that end on any day, slices by place or measure, products that the master lacks -----------------------------
@@ -901,6 +919,24 @@ def ytd_links(x):
     return compare.ytd(x.kpis(COMPARED, ("ytd",)), COMPARED)
 
 
+#: Annual weeks of supply and rates in long form.
+CHANGING = (
+    f"""(select period, 'WOS' metric_key, "WOS" as value from ({WOS_SQL.replace("{more}", "").replace("{join}", "")}) where period_type = 'annual'"""
+    + "".join(f" union all select period, '{name}', {name} from ({RATES_SQL})" for name in RATES)
+    + ")"
+)
+
+
+@query(*BASE, "lost_sales", "inventory_warehouse", sql=f"""select 'yoy' comparison_type, 'overall' root, 'overall' dimension, 'overall' dimension_value, metric_key, prior_period, current_period, prior_value, current_value,
+  case when metric_key = 'WOS' then (floor(current_value) - floor(prior_value)) / nullif(abs(floor(prior_value)), 0) * 100 end change_pct,
+  case metric_key when 'WOS' then null when 'lost_sales_pct' then current_value - prior_value else (current_value - prior_value) * 100 end change_pp from (
+  select metric_key, lag(period) over w prior_period, period current_period, lag(value) over w prior_value, value current_value, lead(period) over w n from {CHANGING} window w as (partition by metric_key order by period)) where prior_period is not null and n is null""", doubles="prior_value current_value change_pct change_pp")
+def yoy_rates(x):
+    """Weeks of supply change in percent of whole weeks, rates in points."""
+    names = ["WOS", *RATES]
+    return compare.yoy(x.kpis(names, frames=_rate_frames(x)), names)
+
+
 @query(*BASE, sql="""select year, metric, scope, score, score - scope abs_diff, (score - scope) / nullif(abs(scope), 0) * 100 pct_diff from (
   select cast(year as varchar) as year, 'total_sales_quantity' metric, sum(sales_quantity) scope, sum(case when store_id < 3 then sales_quantity end) score from sd group by 1
   union all select cast(year as varchar), 'total_sales_revenue', sum(sales_revenue), sum(case when store_id < 3 then sales_revenue end) from sd group by 1)""", doubles="pct_diff")
