@@ -67,21 +67,29 @@ def complete_periods(weeks: DataFrame, start: str, end: str) -> DataFrame:
     return spans.withColumn("is_complete", (F.col("first_day") >= F.lit(start).cast("date")) & (F.col("last_day") <= F.lit(end).cast("date")))
 
 
+def civil_months(first: dt.date, last: dt.date) -> list[tuple[dt.date, dt.date]]:
+    """First and last day of the civil months from that of ``first`` to the one after ``last``."""
+    months, opens = [], first.replace(day=1)
+    while opens <= last + dt.timedelta(days=1):
+        following = (opens + dt.timedelta(days=31)).replace(day=1)
+        months.append((opens, following - dt.timedelta(days=1)))
+        opens = following
+    return months
+
+
 def complete_month_end(start: str, end: str, weeks: DataFrame | None = None) -> dt.date:
     """The end of the last month that lies whole in the window: by the unclipped ``weeks``, or by civil months. An error
     if the calendar does not reach beyond the window, if no month ends in it, or if that month began before it."""
     first, last = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
     if weeks is None:
-        cut = last if (last + dt.timedelta(days=1)).day == 1 else last.replace(day=1) - dt.timedelta(days=1)
-        opened = cut.replace(day=1)
-    else:
-        months = complete_periods(weeks, start, end).where("period_type = 'month'")
-        ended = F.struct("last_day", "first_day")
-        found = months.agg(F.max("last_day").alias("reach"), F.max(F.when(F.col("last_day") <= F.lit(end).cast("date"), ended)).alias("month")).first()
-        if found["reach"] is None or found["reach"] <= last:
-            raise ValueError(f"the calendar ends on {found['reach']}; to tell whether the month of {end} is complete it must go on")
-        cut, opened = found["month"] or (None, None)
-    if cut is None or cut < first:
+        months = civil_months(first, last)
+    else:  # a dozen a year
+        months = [tuple(r) for r in complete_periods(weeks, start, end).where("period_type = 'month'").select("first_day", "last_day").collect()]
+    reach = max((closes for _, closes in months), default=None)
+    if reach is None or reach <= last:
+        raise ValueError(f"the calendar ends on {reach}; to tell whether the month of {end} is complete it must go on")
+    cut, opened = max(((closes, opens) for opens, closes in months if first <= closes <= last), default=(None, None))
+    if cut is None:
         raise ValueError(f"no month ends between {start} and {end}")
     if opened < first:
         raise ValueError(f"the month that ends on {cut} began on {opened}, before the window")

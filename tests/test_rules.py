@@ -138,6 +138,17 @@ def test_streamed_days(spark, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/out").where("date < '2024-01-15'"), "sales_revenue", "sales_quantity") == [(5.0, 2.0)]
 
 
+def test_preview_and_planning_levels(spark):
+    days = spark.sql("select id, date_add(date '2024-01-01', cast(id as int)) date from range(40)")
+    n, shown = readers.preview(days, "date", "2024-01-05", "2024-01-20", rows=3)
+    assert n == 16 and shown.count() == 3 and shown.where("date < '2024-01-05' or date > '2024-01-20'").isEmpty()
+    levels = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), ("b", 3)], "planning_level_id string, product_id long")
+    given = spark.createDataFrame([("a", 5.0), ("c", 1.0), (None, 2.0)], "planning_level_id string, lost_sales double")
+    rows = readers.by_product(given, levels)
+    assert sorted((r.product_id, r.lost_sales) for r in rows.collect()) == [(1, 5.0), (2, 5.0)]
+    assert readers.by_product(rows, levels) is rows
+
+
 def test_complete_month(spark):
     weeks = lambda n: calendar.fiscal_weeks(spark.createDataFrame([(day("2024-01-07") + dt.timedelta(days=k), 2024, 1 + k // 7, "Q1", f"M{1 + k // 28}") for k in range(n)], "date date, year int, week int, quarter string, month string"))
     assert calendar.complete_month_end("2024-01-07", "2024-02-10", weeks(84)) == day("2024-02-03")
