@@ -584,6 +584,25 @@ def test_embeddings_of_lengths_beyond_the_sample(spark, monkeypatch):
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == [(i, 1, i - i % 2) for i, _, _ in rows]
 
 
+def test_embeddings_in_cells_of_many_pieces(spark, monkeypatch):
+    """Clusters whose vectors lie in adjacent cells, cells cut into pieces, equal vectors, doubles."""
+    monkeypatch.setattr(embeddings, "PIECE", 5)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(4, 24))
+    vectors = np.array([centres[k % 4] + rng.normal(size=24) * (0.09 + 0.05 * (k % 3)) for k in range(160)])
+    vectors[120:140] = vectors[7]
+    rows = [(k, v.tolist(), 3) for k, v in enumerate(vectors)]
+    found = {r["vec_id"]: r for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    size = np.linalg.norm(vectors, axis=1)
+    near = ((vectors @ vectors.T) / size[:, None] / size[None, :] >= 0.98) & ~np.eye(160, dtype=bool)
+    component = np.arange(160)
+    for _ in range(160):
+        for i, j in zip(*np.nonzero(near), strict=True):
+            component[i] = min(component[i], component[j])
+    assert near.any() and len(set(component)) > 4
+    assert [(found[k]["n_links"], found[k]["component_id"]) for k in range(160)] == [(near[k].sum(), component[k]) for k in range(160)]
+
+
 # 10 wavelet
 
 
