@@ -35,3 +35,17 @@ def test_only_the_weeks_that_are_wanted_are_made(spark):
     found = facts.instock_daily(pairs, daily, weeks, "2024-01-07", "2024-02-03", only=wanted)
     assert "BroadcastNestedLoopJoin BuildRight, Inner" not in plan(found)  # of all weeks
     assert sorted(tuple(r) for r in found.collect()) == [(1, 1, 2024, 2, 1, 6), (1, 1, 2024, 4, 0, 7)]
+
+
+def test_weeks_of_warehouses_are_made_after_the_last_shuffle(spark):
+    cal, _ = weeks_of(spark, "2024-01-07", 21)
+    stock = spark.createDataFrame([(1, 1, day("2024-01-09"), 1.0), (1, 1, day("2024-01-10"), 0.0)], "product_id long, warehouse_id long, date date, inventory double")
+    transit = spark.createDataFrame([(1, 1, day("2024-01-08"), 1.0), (1, 1, day("2024-01-16"), 1.0)], "product_id long, warehouse_id long, date date, quantity double")
+    closed = spark.createDataFrame([(1, 1, day("2024-01-16"), day("2024-01-17"))], "product_id long, location_id long, first_day date, last_day date")
+    found = lambda **more: facts.dc_instock(stock, cal, "2024-01-07", "2024-01-20", **more)
+    assert "BroadcastNestedLoopJoin" in plan(found()).split("Exchange hashpartitioning")[0]
+    told = lambda df: sorted(tuple(r)[3:] for r in df.collect())
+    assert told(found()) == [(1, 1, 5, 5), (2, 0, 7, 7)]
+    assert told(found(transit=transit, threshold=-1.0)) == [(1, 5, 5, 5), (2, 7, 7, 7)]
+    assert told(found(transit=transit, intervals=closed)) == [(1, 1, 5, 5), (2, 0, 5, 5)]
+    assert told(found(transit=transit, intervals=closed, drop_blocked=False)) == [(1, 1, 5, 5), (2, 1, 7, 5)]
