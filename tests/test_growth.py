@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from shelfwise.operators import calendar, facts
+from shelfwise.operators import calendar, compare, facts
 
 day = dt.date.fromisoformat
 
@@ -49,3 +49,12 @@ def test_weeks_of_warehouses_are_made_after_the_last_shuffle(spark):
     assert told(found(transit=transit, threshold=-1.0)) == [(1, 5, 5, 5), (2, 7, 7, 7)]
     assert told(found(transit=transit, intervals=closed)) == [(1, 1, 5, 5), (2, 0, 5, 5)]
     assert told(found(transit=transit, intervals=closed, drop_blocked=False)) == [(1, 1, 5, 5), (2, 1, 7, 5)]
+
+
+def test_pairs_are_picked_before_their_weeks_are_made(spark):
+    _, weeks = weeks_of(spark, "2024-01-07", 28)
+    pairs = spark.createDataFrame([(p, 1, day("2024-01-01")) for p in (1, 2)], "product_id long, store_id long, scope_start date")
+    daily = spark.createDataFrame([(p, 1, day("2024-01-15"), 1.0, 0.0) for p in (1, 2)], "product_id long, store_id long, date date, inventory double, sales_quantity double")
+    found = compare.restricted(facts.instock_daily(pairs, daily, weeks, "2024-01-07", "2024-02-03"), spark.createDataFrame([(2, 1)], "product_id long, store_id long"))
+    assert "LeftSemi" not in plan(found).split("BroadcastNestedLoopJoin BuildRight, Inner")[0]
+    assert {r["product_id"] for r in found.collect()} == {2}
