@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from shelfwise.operators import calendar, facts
+from shelfwise.operators import assortment, calendar, facts
 
 day = dt.date.fromisoformat
 
@@ -49,3 +49,23 @@ def test_weeks_of_warehouses_are_made_after_the_last_shuffle(spark):
     assert told(found(transit=transit, threshold=-1.0)) == [(1, 5, 5, 5), (2, 7, 7, 7)]
     assert told(found(transit=transit, intervals=closed)) == [(1, 1, 5, 5), (2, 0, 5, 5)]
     assert told(found(transit=transit, intervals=closed, drop_blocked=False)) == [(1, 1, 5, 5), (2, 1, 7, 5)]
+
+
+def test_kinds_of_blocks_are_merged_before_pairs_see_them(spark):
+    on = lambda k: None if k is None else dt.date(2024, 1, 1) + dt.timedelta(k)
+    pairs = [(p, s, on((p * 7 + s * 5) % 30 - 5 if p % 9 else None)) for p in range(20) for s in range(3)]
+    spread = lambda n, *keys: [(*[k * 7 % m for m in keys], on(k * 11 % 43 - 6), on(k * 11 % 43 - 7 + k % 6) if k % 17 else None) for k in range(n)]
+    named = {("product_id", "location_id"): spread(50, 20, 3), ("product_id",): spread(130, 20), ("location_id",): spread(4, 3)}
+    kinds = [spark.createDataFrame(rows, ", ".join(f"{k} long" for k in key) + ", start_date date, end_date date") for key, rows in named.items()]
+    frame = spark.createDataFrame(pairs, "product_id long, location_id long, scope_start date")
+    for after in (True, False):
+        want = []
+        for p, s, begun in pairs:
+            own = {"product_id": p, "location_id": s}
+            rows = [r[-2:] for key, found in named.items() for r in found if all(own[k] == v for k, v in zip(key, r, strict=False)) and (not after or begun is not None and r[-2] >= begun)]
+            days = {k for k in range(2, 31) if any(a <= on(k) and (b is None or on(k) <= b) for a, b in rows)}
+            starts, ends = sorted(k for k in days if k - 1 not in days), sorted(k for k in days if k + 1 not in days)
+            want += [(p, s, on(a), on(b)) for a, b in zip(starts, ends, strict=True)]
+        found = assortment.block_intervals_of(frame, kinds, "2024-01-03", "2024-01-31", after)
+        assert "Window" not in plan(found)  # nothing is sorted by pair and day
+        assert sorted(tuple(r) for r in found.collect()) == sorted(want) and want
