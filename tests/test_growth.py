@@ -2,7 +2,9 @@
 
 import datetime as dt
 
-from shelfwise.operators import assortment, calendar, facts
+from pyspark.sql import functions as F
+
+from shelfwise.operators import assortment, calendar, facts, metrics, slices
 
 day = dt.date.fromisoformat
 
@@ -69,3 +71,17 @@ def test_kinds_of_blocks_are_merged_before_pairs_see_them(spark):
         found = assortment.block_intervals_of(frame, kinds, "2024-01-03", "2024-01-31", after)
         assert "Window" not in plan(found)  # nothing is sorted by pair and day
         assert sorted(tuple(r) for r in found.collect()) == sorted(want) and want
+
+
+def test_rows_are_summed_before_they_are_copied_for_slices(spark):
+    products = spark.createDataFrame([(1, "A"), (2, None)], "product_id long, brand string")
+    by = slices.Slices(products, {"overall": {}, "stocked": {"inventory": {"exclude": [0.0]}}}, (None, "brand"))
+    data = [(p, s, 2024, 1, 0, day("2024-01-08"), float(s % 2), 1.0) for p in (1, 2) for s in range(4)]
+    rows = spark.createDataFrame(data, "product_id long, store_id long, year int, week int, part int, date date, inventory double, units double")
+    framed, first = metrics._framed(rows, by, metrics.Rules(), set())
+    found = metrics._by_product(framed, first, by, {"units": F.sum("units")})
+    below = plan(found).split("Generate explode")[1]
+    assert "HashAggregate" in below  # was not there: rows were copied for every slice first
+    assert sorted((r["root"], str(r["dimension_value"]), r["product_id"], r["units"]) for r in found.collect()) == sorted(
+        (root, value, p, n) for root, n in (("overall", 4.0), ("stocked", 2.0)) for p, brand in ((1, "A"), (2, "None")) for value in ("overall", brand)
+    )
