@@ -5,6 +5,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from shelfwise.operators import assortment, calendar, facts, metrics, slices
+from shelfwise.plans import fixtures
+from shelfwise.plans.queries import QUERIES
+
+from .conftest import SF
 
 day = dt.date.fromisoformat
 
@@ -85,3 +89,24 @@ def test_rows_are_summed_before_they_are_copied_for_slices(spark):
     assert sorted((r["root"], str(r["dimension_value"]), r["product_id"], r["units"]) for r in found.collect()) == sorted(
         (root, value, p, n) for root, n in (("overall", 4.0), ("stocked", 2.0)) for p, brand in ((1, "A"), (2, "None")) for value in ("overall", brand)
     )
+
+
+def test_products_are_dealt_once_over_tasks_that_grow_with_the_lines(spark, monkeypatch):
+    names = ("daily_data", "scope", "lost_sales", "blocks", "inventory_warehouse")
+    whole = {n: fixtures.load(spark, SF, n).count() for n in names}
+    monkeypatch.setattr(fixtures, "LINES", 500)
+    fixtures.tasks.cache_clear()
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    for n in names:
+        rows = fixtures.load(spark, SF, n)
+        assert rows.rdd.getNumPartitions() == -(-lines // 500)  # was what the session sets, however many lines
+        held = rows.select("product_id", F.spark_partition_id().alias("at")).groupBy("product_id").agg(F.count_distinct("at").alias("n")).agg(F.max("n")).first()
+        assert held[0] == 1 and rows.count() == whole[n]
+    for n in ("scope_weekly", "score_scope", "scope_native_weeks"):
+        assert "hashpartitioning(product_id" not in plan(QUERIES[n](spark, SF))  # pairs were shuffled by pair and week again
+    fixtures.tasks.cache_clear()
+
+
+def test_daily_rows_are_summed_to_pairs_before_they_meet_the_scope(spark):
+    text = plan(QUERIES["scope_semi"](spark, SF))
+    assert "Join" in text.split("partial_sum(sales_quantity")[0]  # was below the sum
