@@ -3,14 +3,14 @@
 A token is scored recursively: by its Good-Turing discounted bigram if training has seen it behind its history, else by
 the history's backoff weight times the token's own discounted probability, else by the mass that discounting leaves for
 unknown tokens. Backoff weights are exact: over the known tokens and the unknown one each history's probabilities sum
-to 1. Histories are the ``FREQUENT`` most frequent words each for itself and all rarer ones in ``CLASSES - FREQUENT``
-classes by hash, which bounds the table of backoff weights so that it can be sent to every task; the words that are
-predicted are never pooled.
+to 1. Each word is a history for itself. Weights of the ``FREQUENT`` most frequent ones are a table that is sent to every
+task, of bounded size; those of all rarer ones are rows, joined by history to the documents that the history occurs in.
 
 Counting and scoring are one exchange each. A task turns a block of documents into packets, one per partition of the
 predicted word, with its distinct (word, history) pairs and the documents that hold them. A partition merges its packets
 into a table of counts, so it knows all counts of its words, and keeps the documents beside them; these blobs are
-written, one row per partition. The second exchange brings each block's sums back together.
+written, one row per partition. The second exchange brings each block's sums back together; what weights of rare histories
+add to a document is summed beside it and joined last.
 """
 
 from __future__ import annotations
@@ -34,7 +34,11 @@ from .common import blocks, over_blocks, partitions, remainder, written
 #: Rows with this remainder of crc32(doc_id) by 7 are not learned from.
 HELD_OUT = (7, 2)
 FREQUENT, CLASSES = 1 << 15, 1 << 16
-START = CLASSES - 1
+START, RARE = CLASSES - 1, CLASSES - 2
+#: Text bytes that a task works on as one block.
+BLOCK = 12 << 20
+#: Rows of a batch that a task gives back.
+BATCH = 100_000
 #: Counts up to this are discounted.
 LARGE = 5
 END = np.uint64(xxhash.xxh3_64_intdigest(b"", seed=1))
@@ -80,16 +84,15 @@ def reports(docs: DataFrame) -> DataFrame:
         held = counts > 0
         yield pa.RecordBatch.from_arrays([pa.array(hashes[held].view(np.int64)), pa.array(counts[held].astype(np.int64))], names=["word", "n"])
 
-    return over_blocks(docs, run, "word long, n long")
+    return over_blocks(docs, run, "word long, n long", limit=BLOCK)
 
 
 def history_classes(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The class of each word as a history; ``frequent`` is sorted."""
-    rare = FREQUENT + (hashes % np.uint64(START - FREQUENT)).astype(np.int64)
+    """The number of each word as a history, ``RARE`` if it is not among ``frequent``, which is sorted."""
     if not len(frequent):
-        return rare
+        return np.full(len(hashes), RARE, np.int64)
     at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-    return np.where(frequent[at] == hashes, at, rare)
+    return np.where(frequent[at] == hashes, at, RARE)
 
 
 PACKETS = "kind int, part int, block long, payload binary"
@@ -102,16 +105,17 @@ def packets(docs: DataFrame, frequent: np.ndarray, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 32
-        for block in blocks(batches):
+        for block in blocks(batches, limit=BLOCK):
             yield from one(block, number)
             number += 1
 
     def one(block: pa.Table, number: int) -> Iterator[pa.RecordBatch]:
         hashes, token, sizes = words_of(block["text"].to_pylist())
         held = block["held_out"].to_numpy()
-        classes = history_classes(hashes, shared.value).astype(np.uint16)
-        history = np.empty(len(token), np.uint16)
-        history[1:] = classes[token[:-1]]
+        classes, width = history_classes(hashes, shared.value), CLASSES + len(hashes)
+        own = np.where(classes == RARE, CLASSES + np.arange(len(hashes)), classes).astype(np.int32)  # a rare history by its place here
+        history = np.empty(len(token), np.int32)
+        history[1:] = own[token[:-1]]
         history[np.cumsum(sizes) - sizes] = START
         dealt = np.min_scalar_type(parts)
         part = ((hashes >> np.uint64(17)) % np.uint64(parts)).astype(dealt)
@@ -124,13 +128,14 @@ def packets(docs: DataFrame, frequent: np.ndarray, parts: int) -> DataFrame:
         for p in range(parts):  # one at a time, so that wide arrays are those of one partition
             at = order[cuts[p] : cuts[p + 1]]
             if len(at):
-                at = at[np.argsort(place[token[at]] * CLASSES + history[at], kind="stable")]
+                at = at[np.argsort(place[token[at]] * width + history[at], kind="stable")]
                 w, h = token[at], history[at]
                 pair = np.flatnonzero(np.append([True], (w[1:] != w[:-1]) | (h[1:] != h[:-1])))
-                first = w[pair]
+                first, before = w[pair], h[pair]
+                rare = before >= CLASSES
                 starts = np.flatnonzero(np.append([True], first[1:] != first[:-1]))
                 times = np.diff(np.append(pair, len(w)))
-                yield packet(0, p, number, packed(word=hashes[first[starts]], kinds=np.diff(np.append(starts, len(first))).astype(np.uint32), history=h[pair], times=times.astype(np.uint32), doc=doc[at], held=flags))
+                yield packet(0, p, number, packed(word=hashes[first[starts]], kinds=np.diff(np.append(starts, len(first))).astype(np.uint32), history=np.where(rare, RARE, before).astype(np.uint16), rare=hashes[before[rare] - CLASSES], times=times.astype(np.uint32), doc=doc[at], held=flags))
         known = block["doc_id"].is_valid().to_numpy()
         yield packet(1, number % parts, number, packed(doc_id=block["doc_id"].fill_null(0).to_numpy(), known=known, tokens=sizes, held=held))
 
@@ -152,23 +157,27 @@ def merged(found: DataFrame, parts: int) -> DataFrame:
 
     def close(part: int, held: list[tuple[int, dict]]) -> pa.RecordBatch:
         word = np.concatenate([np.repeat(x["word"], x["kinds"]) for _, x in held])
-        history = np.concatenate([x["history"] for _, x in held])
+        history = np.concatenate([x["history"] for _, x in held]).astype(np.int64)
+        names, number = np.unique(np.concatenate([x["rare"] for _, x in held]), return_inverse=True)
+        history[history == RARE] = CLASSES + number
+        width = CLASSES + len(names)
         times = np.concatenate([x["times"] for _, x in held]).astype(np.int64)
         words, word = np.unique(word, return_inverse=True)
-        pair, which = np.unique(word * CLASSES + history, return_inverse=True)
+        pair, which = np.unique(word * width + history, return_inverse=True)
         which = np.repeat(which, times)
         doc = np.concatenate([x["doc"].astype(np.uint32) for _, x in held])
         block = np.repeat(np.arange(len(held)), [len(x["doc"]) for _, x in held])
         left_out = np.concatenate([np.unpackbits(x["held"])[x["doc"]] for _, x in held]).astype(bool)
         order = np.argsort(which, kind="stable")
         count = np.bincount(which[~left_out], minlength=len(pair))
-        owner = pair // CLASSES
+        owner, before = pair // width, pair % width
+        rare = before >= CLASSES
         uni = np.bincount(owner, count, len(words)).astype(np.int64)
         both = [np.bincount(np.minimum(x, LARGE + 2), minlength=LARGE + 3)[1 : LARGE + 2] for x in (count, uni)]
         stats = np.concatenate([*both, [uni.sum(), (uni > 0).sum()]]).astype(np.int64)
         shrunk = lambda x: x.astype(np.uint16 if not len(x) or x.max() < 2**16 else np.uint32)
         payload = packed(
-            word=words, uni=uni, kinds=shrunk(np.bincount(owner, minlength=len(words))), history=(pair % CLASSES).astype(np.uint16), count=shrunk(count),
+            word=words, uni=uni, kinds=shrunk(np.bincount(owner, minlength=len(words))), history=np.where(rare, RARE, before).astype(np.uint16), rare=names[before[rare] - CLASSES], count=shrunk(count),
             times=shrunk(np.bincount(which, minlength=len(pair))), doc=shrunk(doc[order]), block=shrunk(block[order]), blocks=np.array([b for b, _ in held], np.int64),
         )
         return row(0, part, -1, payload, stats)
@@ -230,7 +239,7 @@ class Unigrams:
 
 
 def weighed(model: DataFrame, ratios: np.ndarray, unigrams: Unigrams) -> tuple[np.ndarray, np.ndarray]:
-    """Per history class, log10 of what a discounted count is multiplied by, and of the backoff weight."""
+    """Per frequent history, log10 of what a discounted count is multiplied by, and of the backoff weight; 0 for ``RARE``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((3, CLASSES))
@@ -250,17 +259,50 @@ def weighed(model: DataFrame, ratios: np.ndarray, unigrams: Unigrams) -> tuple[n
     h, n, kept, single = (table[k].to_numpy() for k in ("h", "n", "kept", "single"))
     left = np.maximum(1 - kept / n, 1 / (n + 2))  # never nothing, or an unseen token would have no probability
     factor, backoff = np.zeros(CLASSES), np.zeros(CLASSES)
+    n, kept, single, left, h = (x[h != RARE] for x in (n, kept, single, left, h))
     factor[h] = np.log10((1 - left) / kept)
     backoff[h] = np.log10(left / np.maximum(1 - single, unigrams.unknown / 2))
     return factor, backoff
 
 
+def of_rare(model: DataFrame, ratios: np.ndarray, unigrams: Unigrams) -> DataFrame:
+    """What weights of rare histories add to the score of each document (``block``, ``doc``)."""
+
+    def rows(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(columns["history"]), BATCH):
+            yield pa.RecordBatch.from_pydict({name: pa.array(x[k : k + BATCH]) for name, x in columns.items()})
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                x = unpacked(blob)
+                at = x["history"] == RARE
+                count, (names, of) = x["count"][at].astype(np.int64), np.unique(x["rare"], return_inverse=True)
+                single = np.where(count > 0, np.repeat(unigrams(x["uni"]), x["kinds"])[at], 0.0)
+                n = np.bincount(of, count, len(names)).astype(np.int64)
+                yield from rows({"history": names.view(np.int64), "n": n, "kept": np.bincount(of, ratios[np.minimum(count, LARGE + 1)] * count, len(names)), "single": np.bincount(of, single, len(names))})
+
+    def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                x = unpacked(blob)
+                at, times = x["history"] == RARE, x["times"]
+                token = np.repeat(at, times)
+                yield from rows({"history": np.repeat(x["rare"].view(np.int64), times[at]), "block": x["blocks"][x["block"][token]], "doc": x["doc"][token].astype(np.int32), "seen": np.repeat(x["count"][at] > 0, times[at])})
+
+    payload = model.select("payload")
+    sums = payload.mapInArrow(counted, "history long, n long, kept double, single double").groupBy("history").agg(*[F.sum(c).alias(c) for c in ("n", "kept", "single")]).where("n > 0")
+    left = F.greatest(1 - F.col("kept") / F.col("n"), 1 / (F.col("n") + 2))
+    weights = sums.select("history", F.log10((1 - left) / F.col("kept")).alias("factor"), F.log10(left / F.greatest(1 - F.col("single"), F.lit(unigrams.unknown / 2))).alias("backoff"))
+    uses = payload.mapInArrow(used, "history long, block long, doc int, seen boolean")
+    return uses.join(weights, "history").groupBy("block", "doc").agg(F.sum(F.when(F.col("seen"), F.col("factor")).otherwise(F.col("backoff"))).alias("of_rare"))
+
+
 def scores(docs: DataFrame) -> DataFrame:
     """Every document's log10 probability under the Katz model (``score``) and under add-one unigrams (``base_score``).
 
     A null or empty text is its end alone; a text of any length is scored whole. A row with a null id is learned from and
-    scored with a null id. Repeated rows are counted and scored as often as they stand there; of words that are equally
-    frequent, those with the lower hash are histories of their own. Without training rows every token is unknown. An
+    scored with a null id. Repeated rows are counted and scored as often as they stand there. Without training rows every token is unknown. An
     empty table gives no rows. Other columns than ``doc_id`` and ``text`` are not read. How the rows are dealt over
     partitions changes a score by no more than the rounding of its sum.
     """
@@ -305,7 +347,7 @@ def scores(docs: DataFrame) -> DataFrame:
                     payload = packed(doc=doc.astype(np.uint32), score=np.bincount(inverse, pair[w]), base=np.bincount(inverse, base[w]), known=np.bincount(inverse, known[w]).astype(np.uint32))
                     yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([0], pa.int32()), pa.array([payload])], names=["block", "kind", "payload"])
 
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "block", "doc"]
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, number = None, None
@@ -314,7 +356,7 @@ def scores(docs: DataFrame) -> DataFrame:
                 y = unpacked(x["payload"])
                 if x["block"] != number:
                     if sums is not None:
-                        yield told(*sums)
+                        yield told(number, *sums)
                     number, n = x["block"], len(y["tokens"])
                     sums = (y, np.zeros(n), np.zeros(n), np.zeros(n, np.int64))
                 else:
@@ -322,13 +364,15 @@ def scores(docs: DataFrame) -> DataFrame:
                     sums[2][y["doc"]] += y["base"]
                     sums[3][y["doc"]] += y["known"]
         if sums is not None:
-            yield told(*sums)
+            yield told(number, *sums)
 
-    def told(y: dict, score: np.ndarray, base: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
+    def told(number: int, y: dict, score: np.ndarray, base: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
         n = len(score)
-        columns = [pa.array(y["doc_id"], pa.int64(), mask=~y["known"]), pa.array(y["held"]), pa.array(y["tokens"]), pa.array(known), pa.array(np.full(n, tokens)), pa.array(base - y["tokens"] * base_floor), pa.array(score)]
+        columns = [pa.array(y["doc_id"], pa.int64(), mask=~y["known"]), pa.array(y["held"]), pa.array(y["tokens"]), pa.array(known), pa.array(np.full(n, tokens)), pa.array(base - y["tokens"] * base_floor), pa.array(score), pa.array(np.full(n, number, np.int64)), pa.array(np.arange(n, dtype=np.int32))]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     sums = model.select("payload").mapInArrow(partial, "block long, kind int, payload binary").unionByName(tables.where("kind = 1").select("block", "kind", "payload"))
     ordered = sums.repartition(parts, "block").sortWithinPartitions("block", F.desc("kind"))
-    return ordered.mapInArrow(together, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    found = ordered.mapInArrow(together, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, block long, doc int")
+    found = found.join(of_rare(model, ratios, unigrams), ["block", "doc"], "left")
+    return found.select(*names[:6], (F.col("score") + F.coalesce("of_rare", F.lit(0.0))).alias("score"))
