@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, over_blocks, partitions, remainder, written
+from .common import blocks, over_blocks, partitions, remainder, small_batches, written
 
 #: Rows with this remainder of crc32(doc_id) by 7 are not learned from.
 HELD_OUT = (7, 2)
@@ -307,6 +307,7 @@ def scores(docs: DataFrame) -> DataFrame:
     partitions changes a score by no more than the rounding of its sum.
     """
     spark, parts = docs.sparkSession, partitions(docs.sparkSession)
+    small_batches(spark)
     modulus, left_out = HELD_OUT
     doc_id = F.col("doc_id").cast("long")
     texts = docs.select(doc_id.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), (remainder(doc_id, modulus) == left_out).alias("held_out"))

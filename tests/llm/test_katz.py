@@ -41,9 +41,9 @@ def test_every_word_is_a_history_of_its_own(spark, monkeypatch):
         classes[xxhash.xxh3_64_intdigest(w.encode()) % 32767].append(w)
     same = next(ws for ws in classes.values() if len(ws) > 1)[:2]  # were pooled
     random.seed(5)
-    names = [*same, *words[:25]]
-    texts = [(k, " ".join(random.choices(names, [40, 40, *range(1, 26)], k=k % 12))) for k in range(150)]
-    texts += [(1000 + k, f"{same[0]} {names[5]} {same[0]} {names[6]}") for k in range(20)] + [(2000 + k, f"{same[1]} {names[7]} new {same[1]} {names[5]}") for k in range(20)]
+    names = ["often", "oftener", *same, *words[:23]]
+    texts = [(k, " ".join(random.choices(names, [90, 90, 20, 20, *range(1, 24)], k=k % 30))) for k in range(150)]
+    texts += [(1000 + k, f"{same[0]} {names[5]} {same[0]} {names[6]}") for k in range(9)] + [(2000 + k, f"{same[1]} {names[7]} new {same[1]} {names[5]}") for k in range(9)]
     want = plain(texts)
     found = {r["doc_id"]: r["score"] for r in katz.scores(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect()}
     assert found.keys() == want.keys() and all(abs(found[k] - want[k]) < 1e-9 * max(1, -want[k]) for k in want)
