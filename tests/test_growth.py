@@ -110,3 +110,37 @@ def test_products_are_dealt_once_over_tasks_that_grow_with_the_lines(spark, monk
 def test_daily_rows_are_summed_to_pairs_before_they_meet_the_scope(spark):
     text = plan(QUERIES["scope_semi"](spark, SF))
     assert "Join" in text.split("partial_sum(sales_quantity")[0]  # was below the sum
+
+
+def test_weeks_of_products_are_the_sums_of_their_pairs(spark):
+    on = lambda k: dt.date(2024, 1, 1) + dt.timedelta(k)
+    cal, weeks = weeks_of(spark, "2024-01-07", 28)
+    parts = calendar.day_parts(cal, "2024-01-31")
+    pairs = [(p, s, on((p * 7 + s * 5) % 30 - 5)) for p in range(6) for s in range(4)]
+    daily = [(p, s, on(k), float((p + k) % 2), float(k % 3 == 0), (p + s + k) % 5 and 1) for p, s, _ in pairs for k in range((p * 5 + s * 3) % 33, 40, 1 + (p + s) % 4) if (p, s) != (5, 3)]
+    moving = [(p, s, on((p * 3 + s * 11) % 40), 1.0) for p, s, _ in pairs]
+    closed = [(p, s, on(2 + p + s), on(2 + p + 4 * s)) for p, s, _ in pairs if (p + s) % 2] + [(1, 1, on(0), on(60))]
+    pairs, daily = spark.createDataFrame(pairs, "product_id long, store_id long, scope_start date"), spark.createDataFrame(daily, "product_id long, store_id long, date date, inventory double, sales_quantity double, usable int")
+    moving, closed = spark.createDataFrame(moving, "product_id long, store_id long, date date, quantity double"), spark.createDataFrame(closed, "product_id long, location_id long, first_day date, last_day date")
+    told = lambda df, *c: sorted(tuple(r) for r in df.groupBy("product_id", "year", "week", *(["part"] if "part" in df.columns else [])).agg(*[F.sum(x) for x in c]).collect())
+    for grain in (weeks, calendar.parted(weeks, parts)):
+        for more in ({}, {"intervals": closed}, {"intervals": closed, "transit": moving, "usable_only": True, "count_start": "scope", "require_daily_data": False}):
+            made = [facts.instock_daily(pairs, daily, grain, "2024-01-07", "2024-01-31", by_store=by, **more) for by in (True, False)]
+            assert "store_id" not in made[1].columns
+            assert told(made[0], "stocked_pairs", "available_days") == sorted(tuple(r) for r in made[1].collect()) != []
+    stock, moving = daily.select("product_id", F.col("store_id").alias("warehouse_id"), "date", "inventory"), moving.withColumnRenamed("store_id", "warehouse_id")
+    for source in (cal, parts):
+        for more in ({}, {"intervals": closed, "transit": moving, "threshold": -1.0, "drop_blocked": False}):
+            made = [facts.dc_instock(stock, source, "2024-01-07", "2024-01-31", by_warehouse=by, **more) for by in (True, False)]
+            columns = ("dc_stocked_days", "dc_available_days", "dc_unblocked_days")
+            assert told(made[0], *columns) == told(made[1], *columns) != []
+
+
+def test_lines_are_shuffled_once_for_all_measures(spark):
+    days = fixtures.days_of_lines(spark, SF)
+    for n in fixtures.OF_DAYS:
+        one, other = fixtures.load(spark, SF, n), fixtures.load(spark, SF, n, days)
+        assert one.dtypes == other.dtypes and one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+        assert "Exchange" not in plan(other)
+    text = plan(QUERIES["latest_day_measures"](spark, SF))
+    assert "lineitem.parquet" not in text  # was shuffled for each source and use
