@@ -51,11 +51,17 @@ def packed(**arrays: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(out.getvalue())
 
 
-def unpacked(blob: bytes) -> dict[str, np.ndarray]:
+def unpacked(blob: bytes | pa.Buffer) -> dict[str, np.ndarray]:
     with np.load(io.BytesIO(zstandard.ZstdDecompressor().decompress(blob, max_output_size=2**31 - 1))) as found:
         return {k: found[k] for k in found.files}
 
 
+def blobs(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
+    """What the first column's rows hold, one at a time and not copied before it is unpacked."""
+    for blob in batch.column(0):
+        yield unpacked(blob.as_buffer())
+
+
 def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the distinct lower-cased words (the end first), all tokens as places in them with an end behind each
     text, tokens of each text."""
@@ -164,9 +170,9 @@ def merged(found: DataFrame, parts: int) -> DataFrame:
         times = np.concatenate([x["times"] for _, x in held]).astype(np.int64)
         words, word = np.unique(word, return_inverse=True)
         pair, which = np.unique(word * width + history, return_inverse=True)
-        which = np.repeat(which, times)
+        which = np.repeat(which.astype(np.int32), times)
         doc = np.concatenate([x["doc"].astype(np.uint32) for _, x in held])
-        block = np.repeat(np.arange(len(held)), [len(x["doc"]) for _, x in held])
+        block = np.repeat(np.arange(len(held), dtype=np.int32), [len(x["doc"]) for _, x in held])
         left_out = np.concatenate([np.unpackbits(x["held"])[x["doc"]] for _, x in held]).astype(bool)
         order = np.argsort(which, kind="stable")
         count = np.bincount(which[~left_out], minlength=len(pair))
@@ -244,8 +250,7 @@ def weighed(model: DataFrame, ratios: np.ndarray, unigrams: Unigrams) -> tuple[n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((3, CLASSES))
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                x = unpacked(blob)
+            for x in blobs(batch):
                 history, count = x["history"], x["count"].astype(np.int64)
                 single = np.repeat(unigrams(x["uni"]), x["kinds"])
                 seen = count > 0
@@ -274,8 +279,7 @@ def of_rare(model: DataFrame, ratios: np.ndarray, unigrams: Unigrams) -> DataFra
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                x = unpacked(blob)
+            for x in blobs(batch):
                 at = x["history"] == RARE
                 count, (names, of) = x["count"][at].astype(np.int64), np.unique(x["rare"], return_inverse=True)
                 single = np.where(count > 0, np.repeat(unigrams(x["uni"]), x["kinds"])[at], 0.0)
@@ -284,11 +288,14 @@ def of_rare(model: DataFrame, ratios: np.ndarray, unigrams: Unigrams) -> DataFra
 
     def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                x = unpacked(blob)
+            for x in blobs(batch):
                 at, times = x["history"] == RARE, x["times"]
-                token = np.repeat(at, times)
-                yield from rows({"history": np.repeat(x["rare"].view(np.int64), times[at]), "block": x["blocks"][x["block"][token]], "doc": x["doc"][token].astype(np.int32), "seen": np.repeat(x["count"][at] > 0, times[at])})
+                ends, rare = np.append([0], np.cumsum(times, dtype=np.int64)), np.append([0], np.cumsum(at))
+                for a in range(0, len(times), BATCH):  # so that wide arrays are those of some pairs
+                    b = min(a + BATCH, len(times))
+                    mine, n, held = at[a:b], times[a:b][at[a:b]], slice(ends[a], ends[b])
+                    token = np.repeat(mine, times[a:b])
+                    yield from rows({"history": np.repeat(x["rare"][rare[a] : rare[b]].view(np.int64), n), "block": x["blocks"][x["block"][held][token]], "doc": x["doc"][held][token].astype(np.int32), "seen": np.repeat(x["count"][a:b][mine] > 0, n)})
 
     payload = model.select("payload")
     sums = payload.mapInArrow(counted, "history long, n long, kept double, single double").groupBy("history").agg(*[F.sum(c).alias(c) for c in ("n", "kept", "single")]).where("n > 0")
@@ -328,8 +335,7 @@ def scores(docs: DataFrame) -> DataFrame:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factor, backoff = weights.value
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                x = unpacked(blob)
+            for x in blobs(batch):
                 history, count, kinds = x["history"], x["count"].astype(np.int64), x["kinds"]
                 single = np.repeat(np.log10(unigrams(x["uni"])), kinds)
                 with np.errstate(divide="ignore"):
@@ -337,14 +343,13 @@ def scores(docs: DataFrame) -> DataFrame:
                 pair = np.where(count > 0, seen, single + backoff[history])
                 known, base = np.repeat(x["uni"] > 0, kinds), np.repeat(np.log10(x["uni"] + 1), kinds)
                 times = x["times"]
-                cells = x["doc"].astype(np.int64) + (x["block"].astype(np.int64) << 32)
-                order = np.argsort(cells, kind="stable")
-                which = np.repeat(np.arange(len(times)), times)[order]
-                cells = cells[order]
-                cuts = np.searchsorted(cells >> 32, np.arange(len(x["blocks"]) + 1))
+                which = np.repeat(np.arange(len(times), dtype=np.int32), times)
+                order = np.argsort(x["block"], kind="stable")
+                cuts = np.append([0], np.cumsum(np.bincount(x["block"], minlength=len(x["blocks"]))))
                 for k, number in enumerate(x["blocks"].tolist()):
-                    at, w = (cells[cuts[k] : cuts[k + 1]] & 0xFFFFFFFF), which[cuts[k] : cuts[k + 1]]
-                    doc, inverse = np.unique(at, return_inverse=True)
+                    at = order[cuts[k] : cuts[k + 1]]
+                    w = which[at]
+                    doc, inverse = np.unique(x["doc"][at], return_inverse=True)
                     payload = packed(doc=doc.astype(np.uint32), score=np.bincount(inverse, pair[w]), base=np.bincount(inverse, base[w]), known=np.bincount(inverse, known[w]).astype(np.uint32))
                     yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([0], pa.int32()), pa.array([payload])], names=["block", "kind", "payload"])
 
