@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators import assortment, calendar, facts, metrics, slices
@@ -144,3 +145,48 @@ def test_lines_are_shuffled_once_for_all_measures(spark):
         assert "Exchange" not in plan(other)
     text = plan(QUERIES["latest_day_measures"](spark, SF))
     assert "lineitem.parquet" not in text  # was shuffled for each source and use
+
+
+@pytest.mark.parametrize("count_start", ["earliest", "first", "scope"])
+def test_blocks_are_merged_as_a_pairs_days_are_gone_through(spark, count_start):
+    on = lambda k: None if k is None else dt.date(2024, 1, 1) + dt.timedelta(k)
+    _, weeks = weeks_of(spark, "2024-01-07", 28)
+    start, end = 6, 30  # Sunday of week 1, Wednesday of week 4
+    pairs = {(p, s): None if (p, s) == (3, 1) else (p * 7 + s * 5) % 30 - 5 for p in range(8) for s in range(3)}
+    daily = {(p, s, k): ((p + k) % 2, k % 3 == 0, None if k % 13 == 0 else int((p + s + k) % 5 > 0)) for p in range(9) for s in range(3) for k in range((p * 5 + s * 3) % 33, 40, 1 + (p + s) % 4) if (p, s) not in ((5, 2), (6, 0))}
+    moving = {(p, s, (p * 3 + s * 11) % 40) for p, s in pairs}
+    blocks = [(p, s, (p * 5 + s * 7 + n * 9) % 40 - 4, None if (p + n) % 7 == 0 else (p * 5 + s * 7 + n * 9) % 40 - 5 + (p + n * 3) % 8) for p in range(9) for s in range(3) for n in range((p + s) % 4)]
+    blocks += [(1, 1, 10, 12), (1, 1, 10, 15), (1, 1, 16, 16), (2, 2, 9, 20), (2, 2, 11, 13), (4, 0, -5, 60), (7, 1, None, 20)]
+    frames = {
+        "pairs": spark.createDataFrame([(*k, on(v)) for k, v in pairs.items()], "product_id long, store_id long, scope_start date"),
+        "daily": spark.createDataFrame([(*k[:2], on(k[2]), float(a), float(b), u) for k, (a, b, u) in daily.items()], "product_id long, store_id long, date date, inventory double, sales_quantity double, usable int"),
+        "blocks": spark.createDataFrame([(p, s, on(a), on(b)) for p, s, a, b in blocks], "product_id long, location_id long, start_date date, end_date date"),
+        "transit": spark.createDataFrame([(p, s, on(k), 1.0) for p, s, k in moving], "product_id long, store_id long, date date, quantity double"),
+    }
+    merged = assortment.block_intervals(frames["pairs"].withColumnRenamed("store_id", "location_id"), frames["blocks"], str(on(start)), str(on(end)))
+    for usable_only, transit, need in ((False, False, True), (True, True, True), (True, True, False)):
+        want = []
+        for (p, s), scope in pairs.items():
+            closed = {k for q, t, a, b in blocks if (q, t) == (p, s) and a is not None and scope is not None and a >= scope for k in range(a, (end if b is None else b) + 1)} & set(range(start, end + 1))
+            days = {k: v for (q, t, k), v in daily.items() if (q, t) == (p, s) and k not in closed}
+            first = min(days, default=None)
+            if first is None and need:
+                continue
+            known = [d for d in (scope, first) if d is not None]
+            rule = {"first": first, "scope": first if scope is None else scope, "earliest": min(known, default=None)}[count_start]
+            begins = max(start, start if rule is None else rule)
+            for w in range(4):
+                counted = [k for k in range(start + 7 * w, min(start + 7 * w + 6, end) + 1) if k >= begins and k not in closed and not (usable_only and k in days and days[k][2] != 1)]
+                if counted:
+                    want.append((p, s, 2024, w + 1, sum(1 for k in counted if k in days and (days[k][0] > 0 or days[k][1] > 0) or transit and (p, s, k) in moving), len(counted)))
+        more = {"usable_only": usable_only, "require_daily_data": need, "transit": frames["transit"] if transit else None}
+        for closures in ({"blocks": frames["blocks"]}, {"intervals": merged}):
+            found = facts.instock_daily(frames["pairs"], frames["daily"], weeks, str(on(start)), str(on(end)), count_start, **more, **closures)
+            assert sorted(tuple(r) for r in found.collect()) == sorted(want) and want
+
+
+def test_no_input_is_joined_or_shuffled_by_pair(spark):
+    text = plan(QUERIES["instock_daily_earliest"](spark, SF))
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 3 and all("REPARTITION_BY_NUM" in line for line in shuffles)  # daily rows, scope, blocks as they are dealt; were seven, and six joins
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" not in text
