@@ -190,3 +190,10 @@ def test_no_input_is_joined_or_shuffled_by_pair(spark):
     shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     assert len(shuffles) == 3 and all("REPARTITION_BY_NUM" in line for line in shuffles)  # daily rows, scope, blocks as they are dealt; were seven, and six joins
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" not in text
+
+
+def test_transit_and_daily_rows_meet_where_they_are_dealt(spark):
+    text = plan(QUERIES["instock_usable_transit"](spark, SF))
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 4 and all("REPARTITION_BY_NUM" in line for line in shuffles)  # were eight, and six joins
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" not in text
