@@ -197,3 +197,13 @@ def test_transit_and_daily_rows_meet_where_they_are_dealt(spark):
     shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     assert len(shuffles) == 4 and all("REPARTITION_BY_NUM" in line for line in shuffles)  # were eight, and six joins
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" not in text
+
+
+def test_a_first_row_within_a_block_does_not_open_a_pair(spark):
+    _, weeks = weeks_of(spark, "2024-01-07", 28)
+    pairs = spark.createDataFrame([(1, 1, day("2024-01-01")), (2, 1, day("2024-01-01"))], "product_id long, store_id long, scope_start date")
+    daily = spark.createDataFrame([(p, 1, day(d), 1.0, 0.0) for p, d in ((1, "2024-01-09"), (1, "2024-01-23"), (2, "2024-01-09"))], "product_id long, store_id long, date date, inventory double, sales_quantity double")
+    blocks = spark.createDataFrame([(p, 1, day(a), b and day(b)) for p, a, b in ((1, "2024-01-08", "2024-01-10"), (1, "2024-01-09", "2024-01-12"), (1, "2024-01-29", None), (2, "2023-12-31", "2024-01-20"))], "product_id long, location_id long, start_date date, end_date date")
+    found = facts.instock_daily(pairs, daily, weeks, "2024-01-07", "2024-02-03", "first", blocks=blocks)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1, 2024, 3, 1, 5), (1, 1, 2024, 4, 0, 1), (2, 1, 2024, 1, 1, 5), (2, 1, 2024, 2, 0, 7), (2, 1, 2024, 3, 0, 7), (2, 1, 2024, 4, 0, 7)]
+    assert "changes" not in plan(found)  # weeks were looked up in a map, one by one
