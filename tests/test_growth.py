@@ -207,3 +207,13 @@ def test_a_first_row_within_a_block_does_not_open_a_pair(spark):
     found = facts.instock_daily(pairs, daily, weeks, "2024-01-07", "2024-02-03", "first", blocks=blocks)
     assert sorted(tuple(r) for r in found.collect()) == [(1, 1, 2024, 3, 1, 5), (1, 1, 2024, 4, 0, 1), (2, 1, 2024, 1, 1, 5), (2, 1, 2024, 2, 0, 7), (2, 1, 2024, 3, 0, 7), (2, 1, 2024, 4, 0, 7)]
     assert "changes" not in plan(found)  # weeks were looked up in a map, one by one
+
+
+def test_a_pair_without_scope_start_opens_with_its_first_row_and_is_never_blocked(spark):
+    _, weeks = weeks_of(spark, "2024-01-07", 21)
+    pairs = spark.createDataFrame([(1, 1, None), (2, 1, day("2024-01-16"))], "product_id long, store_id long, scope_start date")
+    daily = spark.createDataFrame([(p, 1, day("2024-01-10"), 1.0, 0.0) for p in (1, 2, 3)], "product_id long, store_id long, date date, inventory double, sales_quantity double")
+    blocks = spark.createDataFrame([(p, 1, day(a), day(b)) for p in (1, 2, 3) for a, b in (("2024-01-10", "2024-01-11"), ("2024-01-18", "2024-01-19"))], "product_id long, location_id long, start_date date, end_date date")
+    found = facts.instock_daily(pairs, daily, weeks, "2024-01-07", "2024-01-27", "scope", blocks=blocks)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1, 2024, 1, 1, 4), (1, 1, 2024, 2, 0, 7), (1, 1, 2024, 3, 0, 7), (2, 1, 2024, 2, 0, 3), (2, 1, 2024, 3, 0, 7)]
+    assert "Join" not in plan(found).replace("BroadcastNestedLoopJoin BuildRight, Cross", "")  # pairs, days and blocks were joined by pair
